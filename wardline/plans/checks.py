@@ -7,52 +7,45 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.operators.joins import HOT_ROWS, anti_join
 from wardline.schema import ENTITIES, Entity
 
-# (Table_Name, Check, Column_Name, Violations); only breaches are listed by ``violations``.
 
+def columns(df: DataFrame, entity: Entity) -> DataFrame:
+    """One scan: rows without a key, and values longer than their core column."""
+    counters = {"missing": (F.col(entity.key).isNull(), "key is null", entity.key)}
+    for column, limit in entity.core_lengths.items():
+        counters[column] = (F.length(column) > limit, f"longer than {limit}", column)
+    found = df.agg(*[F.count_if(broken).alias(c) for c, (broken, _, _) in counters.items()])
+    return _long(found, entity, {c: (check, column) for c, (_, check, column) in counters.items()})
 
-def primary_key(df: DataFrame, entity: Entity) -> DataFrame:
-    """How many rows have no key, and how many keys occur more than once."""
-    counted = df.groupBy(entity.key).agg(F.count("*").alias("_copies"))
-    key = F.col(entity.key)
-    found = counted.agg(
-        F.coalesce(F.sum(F.when(key.isNull(), F.col("_copies"))), F.lit(0)).alias("missing"),
-        F.count_if(key.isNotNull() & (F.col("_copies") > 1)).alias("repeated"),
-    )
-    return _long(found, entity, {"missing": ("key is null", entity.key), "repeated": ("key not unique", entity.key)})
 
+def unique_key(df: DataFrame, entity: Entity) -> DataFrame:
+    """Keys that occur more than once."""
+    counted = df.where(F.col(entity.key).isNotNull()).groupBy(entity.key).count()
+    found = counted.agg(F.count_if(F.col("count") > 1).alias("repeated"))
+    return _long(found, entity, {"repeated": ("key not unique", entity.key)})
 
-def foreign_keys(tables: dict[str, DataFrame], entity: Entity, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """How many rows refer to a parent that is not in the clean tables. NULL is allowed."""
+
+def foreign_keys(tables: dict[str, DataFrame], entity: Entity) -> DataFrame | None:
+    """Rows that refer to a parent missing from the clean tables. NULL is allowed."""
     child = tables[entity.name]
     found = []
     for column, parent in entity.foreign_keys:
-        # Distinct references with their counts: a hot reference is one row here.
-        references = (
-            child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_rows"))
+        # Counting the references first leaves one row of a hot reference for the join.
+        references = child.where(F.col(column).isNotNull()).groupBy(column).count()
+        unmatched = references.join(
+            tables[parent].select(F.col(ENTITIES[parent].key).alias(column)), column, "left_anti"
         )
-        unmatched = anti_join(references, tables[parent], column, ENTITIES[parent].key, left_rows=0)
-        total = unmatched.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("unmatched"))
+        total = unmatched.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("unmatched"))
         found.append(_long(total, entity, {"unmatched": (f"not found in {parent}", column)}))
     return reduce(DataFrame.unionByName, found) if found else None
 
 
-def lengths(df: DataFrame, entity: Entity) -> DataFrame:
-    """How many values are longer than their core column."""
-    limits = entity.core_lengths
-    found = df.agg(*[F.count_if(F.length(c) > n).alias(c) for c, n in limits.items()])
-    return _long(found, entity, {c: (f"longer than {n}", c) for c, n in limits.items()})
-
-
-def all_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    parts = []
-    for entity in ENTITIES.values():
-        parts.append(lengths(tables[entity.name], entity))
-        parts.append(primary_key(tables[entity.name], entity))
-        if entity.foreign_keys:
-            parts.append(foreign_keys(tables, entity))
+def entity_checks(tables: dict[str, DataFrame], entity: Entity) -> DataFrame:
+    """(Table_Name, Check, Column_Name, Violations) of one table."""
+    parts = [columns(tables[entity.name], entity), unique_key(tables[entity.name], entity)]
+    if entity.foreign_keys:
+        parts.append(foreign_keys(tables, entity))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -6,6 +6,7 @@ import logging
 import uuid
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
@@ -93,9 +94,7 @@ def load(
         written = {
             e.name: read_core_table(spark, e, core_path(root, run, e), e.name in by_month) for e in ENTITIES.values()
         }
-        broken = checks.all_checks(written).where("Violations > 0").collect()
-        if broken:
-            raise ConstraintError(broken)
+        _check(written)
         _publish(spark, root, run, by_month)
     except Exception as error:
         log.error("load %s failed, nothing was published: %s", run, error)
@@ -152,10 +151,26 @@ def write_errors(
     return _for_each_entity(write)
 
 
+def staging_status(staging: dict[str, DataFrame]) -> DataFrame:
+    """(Table_Name, Error_Code, Status) with Status ``empty`` or ``ok``."""
+    status = F.when(F.count("*") == 0, "empty").otherwise("ok")
+    per_table = [
+        staging[name]
+        .limit(1)
+        .agg(
+            F.lit(name).alias("Table_Name"),
+            F.lit(EMPTY_STAGING_CODES[name]).alias("Error_Code"),
+            status.alias("Status"),
+        )
+        for name in ENTITIES
+    ]
+    return reduce(DataFrame.unionByName, per_table)
+
+
 def guard_not_empty(staging: dict[str, DataFrame]) -> None:
-    for name in ENTITIES:
-        if staging[name].isEmpty():
-            raise EmptyStagingError(name)
+    empty = staging_status(staging).where("Status = 'empty'").orderBy("Error_Code").first()
+    if empty:
+        raise EmptyStagingError(empty.Table_Name)
 
 
 def exclude_quarantined(
@@ -181,6 +196,16 @@ def _write_core(staging, errors, root, run, month_layout_rows, hot_rows) -> list
     return by_month
 
 
+def _check(written: dict[str, DataFrame]) -> None:
+    def violations(entity: Entity) -> list:
+        # A handful of counters per table.
+        return checks.entity_checks(written, entity).where("Violations > 0").collect()
+
+    broken = [row for rows in _for_each_entity(violations).values() for row in rows]
+    if broken:
+        raise ConstraintError(broken)
+
+
 def _quarantined_by_rules(errors: DataFrame) -> DataFrame:
     # An unreadable line never reached staging; it must not take down a good row
     # that happens to have the same key.

@@ -130,11 +130,14 @@ class _Tables:
             .when(F.col("o_orderstatus") == "P", "No-show")
             .when(F.col("o_orderstatus") == "O", "Scheduled")
         )
+        quarter_hour = F.lpad(_text(F.col("o_orderkey") % 4 * 15), 2, "0")
+        time = F.concat(F.lpad(_text(F.col("o_orderkey") % 10 + 8), 2, "0"), F.lit(":"), quarter_hour, F.lit(":00"))
         return self._read("orders").select(
             _text(F.col("o_orderkey")).alias("Appointment_ID"),
             _text(F.col("o_custkey")).alias("Patient_ID"),
             _text(F.col("o_orderkey") % doctors).alias("Doctor_ID"),
             F.col("o_orderdate").cast("date").alias("Appointment_Date"),
+            time.alias("Appointment_Time"),
             status.alias("Status"),
             *more,
         )
