@@ -90,7 +90,7 @@ def _dirty(spark: SparkSession, sf_dir: str) -> _Dirty:
         errors = load.write_errors(spark, staging, {}, path, testbed.DIRTY_AS_OF)
         clean = {
             name: materialize(
-                load.exclude_quarantined(staging[name], errors[name], entity, staging[name].count()), f"kept-{name}"
+                load.exclude_quarantined(staging[name], errors[name], entity), f"kept-{name}"
             )
             for name, entity in ENTITIES.items()
         }
@@ -171,7 +171,7 @@ def _quality_queries() -> dict[str, Query]:
         """The orphan rule with every patient of five visits or more treated as hot."""
         rules = tuple(r for r in quality.RULES["Appointments"] if getattr(r, "parent", None) == "Patients")
         staging = _staged_dirty(spark, sf_dir)
-        return quality.error_rows(APPOINTMENTS, staging, testbed.DIRTY_AS_OF, rules, hot_rows=5)
+        return quality.error_rows(APPOINTMENTS, staging, testbed.DIRTY_AS_OF, rules, hot_rows=5, broadcast_rows=0)
 
     out = {name: rule(table, reason) for name, (table, reason) in RULE_QUERIES.items()}
     out |= {f"errors_{name.lower()}": error_log(name) for name in ENTITIES}
@@ -191,9 +191,7 @@ def _load_queries() -> dict[str, Query]:
         dirty = _dirty(spark, sf_dir)
         keys = []
         for name, entity in ENTITIES.items():
-            kept = load.exclude_quarantined(
-                dirty.staging[name], dirty.errors[name], entity, dirty.staging[name].count()
-            )
+            kept = load.exclude_quarantined(dirty.staging[name], dirty.errors[name], entity)
             keys.append(kept.select(F.lit(name).alias("Table_Name"), F.col(entity.key).alias("Row_Key")))
         return reduce(DataFrame.unionByName, keys)
 

@@ -18,7 +18,7 @@ from clinic import AS_OF, write_extracts  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session("8", shuffle_partitions=4)
+    return local_session("8", shuffle_partitions=2)
 
 
 @pytest.fixture
@@ -27,10 +27,16 @@ def as_of() -> date:
 
 
 @pytest.fixture(scope="session")
-def loaded(spark, tmp_path_factory):
-    """The small clinic, loaded once for all tests that only read."""
+def root(tmp_path_factory) -> str:
+    """The folder under which the small clinic is published."""
+    return str(tmp_path_factory.mktemp("root"))
+
+
+@pytest.fixture(scope="session")
+def loaded(spark, tmp_path_factory, root):
+    """The small clinic, loaded once for all tests that do not change it."""
     source = write_extracts(tmp_path_factory.mktemp("extracts"))
-    return load.load_csv(spark, source, str(tmp_path_factory.mktemp("root")), AS_OF)
+    return load.load_csv(spark, source, root, AS_OF)
 
 
 @pytest.fixture(scope="session")

@@ -80,23 +80,24 @@ def _published(spark, root):
     return {name: sorted(map(tuple, df.collect()), key=str) for name, df in core.tables().items()}
 
 
-def _load_variant(spark, tmp_path, change):
-    """Publish the clinic, then load a changed delivery that must fail; return the error."""
-    root = str(tmp_path / "root")
-    (tmp_path / "good").mkdir()
-    (tmp_path / "bad").mkdir()
-    load.load_csv(spark, write_extracts(tmp_path / "good"), root, AS_OF)
-    before, run = _published(spark, root), latest_run(spark, root).run
-    rows = extract_rows()
-    change(rows)
-    with pytest.raises(load.LoadError) as caught:
-        load.load_csv(spark, write_extracts(tmp_path / "bad", rows), root, AS_OF)
-    assert _published(spark, root) == before
-    assert latest_run(spark, root).run == run
-    return caught.value
+@pytest.fixture
+def failing_load(spark, tmp_path, loaded, root):
+    """Load a changed delivery that must fail over the published clinic; return the error."""
+
+    def run(change):
+        before = _published(spark, root)
+        rows = extract_rows()
+        change(rows)
+        with pytest.raises(load.LoadError) as caught:
+            load.load_csv(spark, write_extracts(tmp_path, rows), root, AS_OF)
+        assert _published(spark, root) == before
+        assert latest_run(spark, root).run == loaded.run
+        return caught.value
+
+    return run
 
 
-def test_child_of_a_quarantined_parent_stops_the_load(spark, tmp_path):
+def test_child_of_a_quarantined_parent_stops_the_load(failing_load):
     def change(rows):
         rows["Appointments"].append(
             {
@@ -109,18 +110,18 @@ def test_child_of_a_quarantined_parent_stops_the_load(spark, tmp_path):
             }
         )
 
-    error = _load_variant(spark, tmp_path, change)
+    error = failing_load(change)
     assert isinstance(error, load.ConstraintError)
     assert [(v.Table_Name, v.Column_Name, v.Check, v.Violations) for v in error.violations] == [
         ("Appointments", "Patient_ID", "not found in Patients", 1)
     ]
 
 
-def test_null_key_is_logged_but_stops_the_load(spark, tmp_path):
+def test_null_key_is_logged_but_stops_the_load(failing_load):
     def change(rows):
         rows["Patients"].append(dict(rows["Patients"][0], Patient_ID=""))
 
-    error = _load_variant(spark, tmp_path, change)
+    error = failing_load(change)
     assert [(v.Table_Name, v.Check) for v in error.violations] == [("Patients", "key is null")]
 
 
@@ -133,23 +134,23 @@ def test_null_key_is_invisible_in_the_summary(spark):
 
 
 @pytest.mark.parametrize("table", ["Doctors", "Billing"])
-def test_duplicate_key_without_a_rule_stops_the_load(spark, tmp_path, table):
-    error = _load_variant(spark, tmp_path, lambda rows: rows[table].append(rows[table][0]))
+def test_duplicate_key_without_a_rule_stops_the_load(failing_load, table):
+    error = failing_load(lambda rows: rows[table].append(rows[table][0]))
     assert [(v.Table_Name, v.Check, v.Violations) for v in error.violations] == [(table, "key not unique", 1)]
 
 
 @pytest.mark.parametrize("table,code", load.EMPTY_STAGING_CODES.items())
-def test_empty_staging_stops_the_load(spark, tmp_path, table, code):
-    error = _load_variant(spark, tmp_path, lambda rows: rows[table].clear())
+def test_empty_staging_stops_the_load(failing_load, table, code):
+    error = failing_load(lambda rows: rows[table].clear())
     assert isinstance(error, load.EmptyStagingError)
     assert (error.code, error.table) == (code, table)
 
 
-def test_too_long_key_stops_the_load(spark, tmp_path):
+def test_too_long_key_stops_the_load(failing_load):
     def change(rows):
         rows["Doctors"].append({"Doctor_ID": "D" * 21, "First_Name": "x"})
 
-    error = _load_variant(spark, tmp_path, change)
+    error = failing_load(change)
     assert [(v.Table_Name, v.Column_Name, v.Check) for v in error.violations] == [
         ("Doctors", "Doctor_ID", "longer than 20")
     ]
@@ -184,7 +185,7 @@ def test_large_date_tables_are_laid_out_by_month(spark, tmp_path, core):
 
 def test_hot_keys_do_not_change_the_load(spark, tmp_path, core):
     (tmp_path / "in").mkdir()
-    result = load.load_csv(spark, write_extracts(tmp_path / "in"), str(tmp_path / "root"), AS_OF, hot_rows=2)
+    result = load.load_csv(spark, write_extracts(tmp_path / "in"), str(tmp_path / "root"), AS_OF, hot_rows=2, broadcast_rows=0)
     for name, df in result.core.tables().items():
         assert sorted(map(tuple, df.collect()), key=str) == sorted(map(tuple, core.tables()[name].collect()), key=str)
 

@@ -71,8 +71,9 @@ def test_anti_join_with_hot_keys(spark, hot_rows):
     )
     known = {r.key for r in keys.collect()}
     expected = {r.id for r in left.collect() if r.ref is None or r.ref not in known}
-    for rows in (None, 3000):
-        found = [r.id for r in anti_join(left, keys, "ref", "key", rows, hot_rows).collect()]
+    for broadcast_rows in (0, 200):
+        joined = anti_join(left, keys, "ref", "key", 3000, 200, hot_rows, broadcast_rows)
+        found = [r.id for r in joined.collect()]
         assert len(found) == len(set(found)) and set(found) == expected
 
 

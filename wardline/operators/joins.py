@@ -7,12 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with at least this many rows is treated apart from the shuffle. There can be
-# at most (rows / HOT_ROWS) such keys, which bounds what is broadcast.
-HOT_ROWS = 1_000_000
+# Rows of one short text column that may be broadcast: some 50 MB as a hash table.
+BROADCAST_ROWS = 500_000
 
-# Rows of one key column that may be broadcast.
-BROADCAST_ROWS = 100_000
+# A value with at least this many rows is kept out of the shuffle, and at most
+# this many values are.
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -25,23 +26,30 @@ def anti_join(
     keys: DataFrame,
     on: str,
     key: str,
-    left_rows: int | None = None,
+    left_rows: int,
+    key_rows: int,
     hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Rows of ``left`` whose ``on`` value is not among ``keys[key]``.
+    """Rows of ``left`` whose ``on`` value is not among ``keys[key]``; ``keys`` may repeat values.
 
-    A NULL matches nothing, so rows with a NULL stay. ``keys`` may repeat values.
+    A NULL matches nothing, so rows with a NULL stay. ``left_rows`` and ``key_rows`` are the
+    rows of both sides, free to get for Parquet tables; they choose the plan.
 
-    A plain anti-join sends all rows of one value, and all NULLs, to one task. Pass the
-    number of rows in ``left`` (free for a Parquet table): below ``hot_rows`` no value
-    can be hot and the plain join is used. Otherwise NULLs skip the join, values with
-    ``hot_rows`` rows or more are decided once per value and then selected by a
-    broadcast list, and only the rest is shuffled.
+    Few keys are broadcast, and ``left`` is not shuffled at all. With many keys a plain
+    anti-join would send all rows of one value, and all NULLs, to one task. If ``left`` is
+    large enough for that to matter, NULLs skip the join, values with ``hot_rows`` rows or
+    more are decided once per value and then selected by a broadcast list, and only the
+    rest is shuffled. The list has at most ``left_rows / hot_rows`` values, and ``hot_rows``
+    is raised so that this is at most ``MAX_HOT_KEYS``.
     """
     wanted = keys.select(F.col(key).alias(on)).where(F.col(on).isNotNull()).distinct()
-    if left_rows is not None and left_rows < hot_rows:
+    if key_rows <= broadcast_rows:
+        return left.join(F.broadcast(wanted), on, "left_anti")
+    if left_rows < hot_rows:
         return left.join(wanted, on, "left_anti")
 
+    hot_rows = max(hot_rows, left_rows // MAX_HOT_KEYS)
     present = left.where(F.col(on).isNotNull())
     hot = present.groupBy(on).count().where(F.col("count") >= hot_rows).select(on)
     hot_unmatched = hot.join(wanted, on, "left_anti")

@@ -14,7 +14,7 @@ ONE_TASK_ROWS = 200_000
 
 # Rows per sorted bucket beyond that.
 BUCKET_ROWS = 1_000_000
-MAX_BUCKETS = 4_096
+MAX_BUCKETS = 1_024
 
 
 def dense_rank_desc(

@@ -41,9 +41,11 @@ def foreign_keys(tables: dict[str, DataFrame], entity: Entity) -> DataFrame | No
     return reduce(DataFrame.unionByName, found) if found else None
 
 
-def entity_checks(tables: dict[str, DataFrame], entity: Entity) -> DataFrame:
+def entity_checks(tables: dict[str, DataFrame], entity: Entity, known_unique: bool = False) -> DataFrame:
     """(Table_Name, Check, Column_Name, Violations) of one table."""
-    parts = [columns(tables[entity.name], entity), unique_key(tables[entity.name], entity)]
+    parts = [columns(tables[entity.name], entity)]
+    if not known_unique:
+        parts.append(unique_key(tables[entity.name], entity))
     if entity.foreign_keys:
         parts.append(foreign_keys(tables, entity))
     return reduce(DataFrame.unionByName, parts)

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions import average, money, percent
+from wardline.operators import with_total
 from wardline.sources.core import Core
 
 
 def payment_status_share(core: Core) -> DataFrame:
     statuses = core.billing.groupBy("Payment_Status").agg(money(F.sum("Amount")).alias("Total_Amount"))
-    billed = statuses.agg(F.sum("Total_Amount")).scalar()
     return (
-        statuses.withColumn("_billed", billed)
+        with_total(statuses, "_billed", F.sum("Total_Amount"))
         .withColumn("Pct_Of_Billed", percent(F.col("Total_Amount"), F.col("_billed"), "decimal(5,1)"))
         .drop("_billed")
     )

@@ -12,11 +12,11 @@ from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.operators.joins import HOT_ROWS, anti_join
+from wardline.operators.joins import anti_join
 from wardline.plans import checks, quality
 from wardline.plans.layout import MONTH_LAYOUT_ROWS, write_core_table
 from wardline.schema import CORRUPT, ENTITIES, Entity
-from wardline.sources.core import COMMIT_SCHEMA, Core, commit_path, core_path, latest_run, open_core, read_core_table
+from wardline.sources.core import Core, commit_path, core_path, latest_run, open_core, read_core_table
 from wardline.sources.csv import read_csv_extracts
 
 log = logging.getLogger(__name__)
@@ -77,20 +77,21 @@ def load(
     as_of: date,
     max_errors: int = MAX_ERRORS,
     month_layout_rows: int = MONTH_LAYOUT_ROWS,
-    hot_rows: int = HOT_ROWS,
+    **thresholds: int,
 ) -> LoadResult:
     """Publish the clean rows of ``feed`` under ``root``, a folder all executors share.
 
     Everything is written below a new run folder. The run counts as published only once
     its line is in the publish log, which is the last step, so a reader sees the old five
-    tables or the new five. One load at a time per ``root``.
+    tables or the new five. One load at a time per ``root``. ``thresholds`` go to the
+    anti-joins.
     """
     run = uuid.uuid4().hex
     try:
         staging, rejects = stage(spark, feed, f"{root}/run={run}/staging", max_errors)
-        errors = write_errors(spark, staging, rejects, f"{root}/run={run}/errors", as_of, hot_rows)
+        errors = write_errors(spark, staging, rejects, f"{root}/run={run}/errors", as_of, **thresholds)
         guard_not_empty(staging)
-        by_month = _write_core(staging, errors, root, run, month_layout_rows, hot_rows)
+        by_month = _write_core(staging, errors, root, run, month_layout_rows, thresholds)
         written = {
             e.name: read_core_table(spark, e, core_path(root, run, e), e.name in by_month) for e in ENTITIES.values()
         }
@@ -135,12 +136,12 @@ def write_errors(
     rejects: dict[str, DataFrame],
     path: str,
     as_of: date,
-    hot_rows: int = HOT_ROWS,
+    **thresholds: int,
 ) -> dict[str, DataFrame]:
     """The five error logs (key, Error_Reason, Logged_At), replacing those of ``path``."""
 
     def write(entity: Entity) -> DataFrame:
-        rows = quality.error_rows(entity, staging, as_of, hot_rows=hot_rows)
+        rows = quality.error_rows(entity, staging, as_of, **thresholds)
         if entity.name in rejects:
             rows = rows.unionByName(rejects[entity.name])
         rows = rows.withColumn("Logged_At", F.current_timestamp())
@@ -173,20 +174,19 @@ def guard_not_empty(staging: dict[str, DataFrame]) -> None:
         raise EmptyStagingError(empty.Table_Name)
 
 
-def exclude_quarantined(
-    staged: DataFrame, errors: DataFrame, entity: Entity, rows: int | None = None, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def exclude_quarantined(staged: DataFrame, errors: DataFrame, entity: Entity, **thresholds: int) -> DataFrame:
     """Rows whose key has no error. All copies of a key go; rows without a key stay."""
-    return anti_join(staged.select(*entity.columns), errors, entity.key, entity.key, rows, hot_rows)
+    rows = staged.select(*entity.columns)
+    return anti_join(rows, errors, entity.key, entity.key, staged.count(), errors.count(), **thresholds)
 
 
-def _write_core(staging, errors, root, run, month_layout_rows, hot_rows) -> list[str]:
+def _write_core(staging, errors, root, run, month_layout_rows, thresholds) -> list[str]:
     by_month = []
 
     def write(entity: Entity) -> None:
         staged = staging[entity.name]
         rows = staged.count()
-        clean = exclude_quarantined(staged, _quarantined_by_rules(errors[entity.name]), entity, rows, hot_rows)
+        clean = exclude_quarantined(staged, _quarantined_by_rules(errors[entity.name]), entity, **thresholds)
         monthly = entity.month_of is not None and rows >= month_layout_rows
         if monthly:
             by_month.append(entity.name)
@@ -198,8 +198,10 @@ def _write_core(staging, errors, root, run, month_layout_rows, hot_rows) -> list
 
 def _check(written: dict[str, DataFrame]) -> None:
     def violations(entity: Entity) -> list:
-        # A handful of counters per table.
-        return checks.entity_checks(written, entity).where("Violations > 0").collect()
+        # A handful of counters per table. Keys with copies were quarantined by the
+        # duplicate rule, so only tables without that rule can have any left.
+        unique = quality.has_duplicate_rule(entity)
+        return checks.entity_checks(written, entity, known_unique=unique).where("Violations > 0").collect()
 
     broken = [row for rows in _for_each_entity(violations).values() for row in rows]
     if broken:
@@ -216,8 +218,13 @@ def _publish(spark: SparkSession, root: str, run: str, by_month: list[str]) -> N
     """Append one line to the publish log: a single small file that appears whole or not at all."""
     last = latest_run(spark, root)
     sequence = (last.sequence if last else 0) + 1
-    line = spark.createDataFrame([(sequence, run, sorted(by_month), None)], COMMIT_SCHEMA)
-    line.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("append").json(commit_path(root))
+    line = spark.range(1).select(
+        F.lit(sequence).alias("sequence"),
+        F.lit(run).alias("run"),
+        F.array(*map(F.lit, sorted(by_month))).cast("array<string>").alias("by_month"),
+        F.current_timestamp().alias("published_at"),
+    )
+    line.coalesce(1).write.mode("append").json(commit_path(root))
 
 
 def _for_each_entity(job) -> dict:

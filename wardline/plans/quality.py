@@ -10,7 +10,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.operators.joins import HOT_ROWS, anti_join
+from wardline.operators.joins import BROADCAST_ROWS, HOT_ROWS, anti_join
 from wardline.operators.repeat import repeat_rows
 from wardline.schema import CORRUPT, ENTITIES, Entity
 
@@ -107,6 +107,7 @@ def error_rows(
     as_of: date,
     rules: tuple | None = None,
     hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """(key, Error_Reason) for every breach of the entity's rules.
 
@@ -126,7 +127,7 @@ def error_rows(
         if isinstance(rule, Duplicate):
             found.append(_duplicates(staged, entity.key, rule.reason, rows))
         elif isinstance(rule, Orphan):
-            found.append(_orphans(staged, entity.key, rule, staging, rows, hot_rows))
+            found.append(_orphans(staged, entity.key, rule, staging, rows, hot_rows, broadcast_rows))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -141,6 +142,10 @@ def reject_rows(raw: DataFrame, entity: Entity) -> DataFrame:
     return raw.where(F.col(CORRUPT).isNotNull()).select(entity.key, F.lit(UNPARSEABLE).alias(REASON))
 
 
+def has_duplicate_rule(entity: Entity) -> bool:
+    return any(isinstance(rule, Duplicate) for rule in RULES[entity.name])
+
+
 def summary(errors: dict[str, DataFrame]) -> DataFrame:
     """(Table_Name, Quarantined_Rows): distinct keys with an error; tables without errors show 0."""
     per_table = []
@@ -165,9 +170,17 @@ def _duplicates(staged: DataFrame, key: str, reason: str, rows: int) -> DataFram
     return again.select(key, F.lit(reason).alias(REASON))
 
 
-def _orphans(staged, key, rule, staging, rows, hot_rows):
+def _orphans(staged, key, rule, staging, rows, hot_rows, broadcast_rows):
     parents = staging[rule.parent]
-    parent_key = ENTITIES[rule.parent].key
     references = staged.select(F.col(key).alias("_key"), F.col(rule.column).alias("_reference"))
-    unmatched = anti_join(references, parents, "_reference", parent_key, rows, hot_rows)
+    unmatched = anti_join(
+        references,
+        parents,
+        "_reference",
+        ENTITIES[rule.parent].key,
+        left_rows=rows,
+        key_rows=parents.count(),
+        hot_rows=hot_rows,
+        broadcast_rows=broadcast_rows,
+    )
     return unmatched.select(F.col("_key").alias(key), F.lit(rule.reason).alias(REASON))

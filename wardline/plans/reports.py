@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.functions import age_years, average, full_name, money, month_name, percent, quotient
-from wardline.operators import dense_rank_desc, repeat_rows
+from wardline.operators import dense_rank_desc, repeat_rows, with_total
 from wardline.plans.facts import billed_treatments, fact_chain
 from wardline.sources.core import Core
 
@@ -122,12 +122,13 @@ def patient_segmentation(core: Core, **ranking) -> DataFrame:
     patients = _patient_totals(core).select(
         "Patient_ID", "Patient_Name", "Total_Visits", "Total_Treatments", "Total_Spending"
     )
-    ranked = dense_rank_desc(
-        patients, "Total_Spending", "Spending_Rank", "Patient_ID", max_rows=core.patients.count(), **ranking
-    )
-    mean = ranked.agg(average(F.sum("Total_Spending"), F.count("Total_Spending"))).scalar()
+    most = core.patients.count()
+    ranked = dense_rank_desc(patients, "Total_Spending", "Spending_Rank", "Patient_ID", max_rows=most, **ranking)
+    one_task = {k: v for k, v in ranking.items() if k == "one_task_rows"}
+    totals = with_total(ranked, "_spending", F.sum("Total_Spending"), max_rows=most, **one_task)
+    totals = with_total(totals, "_spenders", F.count("Total_Spending"), max_rows=most, **one_task)
     spender = F.col("Total_Spending") > F.col("Avg_Patient_Spending")
-    return ranked.withColumn("Avg_Patient_Spending", mean).select(
+    return totals.withColumn("Avg_Patient_Spending", average(F.col("_spending"), F.col("_spenders"))).select(
         "Patient_ID",
         "Patient_Name",
         "Total_Visits",
@@ -172,8 +173,7 @@ def treatment_performance(core: Core, **ranking) -> DataFrame:
 
 def appointment_status(core: Core) -> DataFrame:
     statuses = core.appointments.groupBy("Status").agg(F.count("*").alias("Total_Appointments"))
-    overall = statuses.agg(F.sum("Total_Appointments")).scalar()
-    return statuses.withColumn("Overall_Appointments", overall).withColumn(
+    return with_total(statuses, "Overall_Appointments", F.sum("Total_Appointments")).withColumn(
         "Status_Percentage", percent(F.col("Total_Appointments"), F.col("Overall_Appointments"))
     )
 
@@ -182,9 +182,8 @@ def payment_methods(core: Core) -> DataFrame:
     methods = core.billing.groupBy("Payment_Method").agg(
         F.count("*").alias("Bill_Count"), money(F.sum("Amount")).alias("Total_Amount")
     )
-    bills = methods.agg(F.sum("Bill_Count")).scalar()
     return (
-        methods.withColumn("_bills", bills)
+        with_total(methods, "_bills", F.sum("Bill_Count"))
         .withColumn("Pct_Of_Bills", percent(F.col("Bill_Count"), F.col("_bills"), "decimal(5,1)"))
         .drop("_bills")
         .orderBy(F.desc("Total_Amount"))
