@@ -12,11 +12,13 @@ from wardline.schema import ENTITIES, Entity
 
 def columns(df: DataFrame, entity: Entity) -> DataFrame:
     """One scan: rows without a key, and values longer than their core column."""
-    counters = {"missing": (F.col(entity.key).isNull(), "key is null", entity.key)}
+    conditions = {"missing": f"{entity.key} is null"}
+    checks = {"missing": ("key is null", entity.key)}
     for column, limit in entity.core_lengths.items():
-        counters[column] = (F.length(column) > limit, f"longer than {limit}", column)
-    found = df.agg(*[F.count_if(broken).alias(c) for c, (broken, _, _) in counters.items()])
-    return _long(found, entity, {c: (check, column) for c, (_, check, column) in counters.items()})
+        conditions[column] = f"length({column}) > {limit}"
+        checks[column] = (f"longer than {limit}", column)
+    found = df.agg(*[F.expr(f"count_if({condition}) as {c}") for c, condition in conditions.items()])
+    return _long(found, entity, checks)
 
 
 def unique_key(df: DataFrame, entity: Entity) -> DataFrame:
@@ -62,13 +64,8 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def _long(found: DataFrame, entity: Entity, checks: dict[str, tuple[str, str]]) -> DataFrame:
     """One row of counters to one row per check."""
-    rows = [
-        F.struct(
-            F.lit(entity.name).alias("Table_Name"),
-            F.lit(check).alias("Check"),
-            F.lit(column).alias("Column_Name"),
-            F.col(counter).cast("bigint").alias("Violations"),
-        )
+    rows = ", ".join(
+        f"'{entity.name}', '{check}', '{column}', cast({counter} as bigint)"
         for counter, (check, column) in checks.items()
-    ]
-    return found.select(F.inline(F.array(*rows)))
+    )
+    return found.selectExpr(f"stack({len(checks)}, {rows}) as (Table_Name, `Check`, Column_Name, Violations)")

@@ -116,7 +116,8 @@ def stage(
     def write(entity: Entity) -> DataFrame:
         target = f"{path}/{entity.name.lower()}"
         feed[entity.name].write.mode("overwrite").parquet(target)
-        return spark.read.schema(feed[entity.name].schema).parquet(target)
+        ddl = f"{entity.ddl}, {CORRUPT} string" if CORRUPT in feed[entity.name].columns else entity.ddl
+        return spark.read.schema(ddl).parquet(target)
 
     staging, rejects = {}, {}
     for name, raw in _for_each_entity(write).items():
@@ -147,7 +148,7 @@ def write_errors(
         rows = rows.withColumn("Logged_At", F.current_timestamp())
         target = f"{path}/{entity.name.lower()}"
         rows.write.mode("overwrite").parquet(target)
-        return spark.read.schema(rows.schema).parquet(target)
+        return spark.read.schema(f"{entity.key} string, {quality.REASON} string, Logged_At timestamp").parquet(target)
 
     return _for_each_entity(write)
 
@@ -158,11 +159,8 @@ def staging_status(staging: dict[str, DataFrame]) -> DataFrame:
     per_table = [
         staging[name]
         .limit(1)
-        .agg(
-            F.lit(name).alias("Table_Name"),
-            F.lit(EMPTY_STAGING_CODES[name]).alias("Error_Code"),
-            status.alias("Status"),
-        )
+        .agg(status.alias("Status"))
+        .selectExpr(f"'{name}' as Table_Name", f"{EMPTY_STAGING_CODES[name]} as Error_Code", "Status")
         for name in ENTITIES
     ]
     return reduce(DataFrame.unionByName, per_table)

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import types as T
-
 CORRUPT = "_corrupt_record"
 
 
@@ -31,8 +29,8 @@ class Entity:
         return [f.name for f in self.fields]
 
     @property
-    def schema(self) -> T.StructType:
-        return T.StructType([T.StructField(f.name, T._parse_datatype_string(f.type)) for f in self.fields])
+    def ddl(self) -> str:
+        return ", ".join(f"{f.name} {f.type}" for f in self.fields)
 
     @property
     def core_lengths(self) -> dict[str, int]:

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wardline.schema import ENTITIES, Entity
 
@@ -70,7 +69,5 @@ def open_core(spark: SparkSession, root: str) -> Core:
 
 def read_core_table(spark: SparkSession, entity: Entity, path: str, by_month: bool) -> DataFrame:
     """A core table; one laid out by month also has the hidden column ``_month``."""
-    fields = list(entity.schema.fields)
-    if by_month:
-        fields.append(T.StructField(MONTH, T.DateType()))
-    return spark.read.schema(T.StructType(fields)).parquet(path)
+    ddl = f"{entity.ddl}, {MONTH} date" if by_month else entity.ddl
+    return spark.read.schema(ddl).parquet(path)

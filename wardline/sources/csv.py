@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wardline.schema import CORRUPT, ENTITIES, Entity
 
@@ -21,9 +20,8 @@ def read_csv_extract(
 
     ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
     """
-    schema = T.StructType([*entity.schema.fields, T.StructField(CORRUPT, T.StringType())])
     rows = (
-        spark.read.schema(schema)
+        spark.read.schema(f"{entity.ddl}, {CORRUPT} string")
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
@@ -34,9 +32,7 @@ def read_csv_extract(
         .option("encoding", encoding)
         .csv(path)
     )
-    too_long = F.lit(False)
-    for name, length in entity.staged_lengths.items():
-        too_long = too_long | F.coalesce(F.length(name) > length, F.lit(False))
+    too_long = F.expr(" or ".join(f"length({c}) > {n}" for c, n in entity.staged_lengths.items()))
     raw = F.to_csv(F.struct(*entity.columns))
     rows = rows.withColumn(CORRUPT, F.coalesce(CORRUPT, F.when(too_long, raw)))
     if "Appointment_Time" in entity.columns:

@@ -186,8 +186,8 @@ def _typed(feed: dict[str, DataFrame]) -> dict[str, DataFrame]:
     out = {}
     for name, df in feed.items():
         entity: Entity = ENTITIES[name]
-        columns = [
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.type).alias(f.name) for f in entity.fields
-        ]
-        out[name] = df.select(*columns)
+        filled = set(df.columns)
+        out[name] = df.selectExpr(
+            *[f"cast({f.name if f.name in filled else 'null'} as {f.type}) as {f.name}" for f in entity.fields]
+        )
     return out
