@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wardline.functions import age_years, average, percent, quotient
-from wardline.operators import anti_join, broadcast_if_small, dense_rank_desc, repeat_rows
+from wardline.operators import anti_join, dense_rank_desc, prefilter, repeat_rows
 
 
 def _amounts(spark, kind):
@@ -87,10 +87,11 @@ def test_repeat_rows(spark, chunk):
         assert {r.k: r["count"] for r in out.groupBy("k").count().collect()} == expected
 
 
-def test_broadcast_only_below_the_limit(spark):
-    df = spark.range(10)
-    assert "broadcast" in broadcast_if_small(df, 10)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in broadcast_if_small(df, 9)._jdf.queryExecution().logical().toString().lower()
+def test_prefilter_only_with_few_keys(spark):
+    left = spark.range(100).select("id", (F.col("id") % 7).alias("k"))
+    keys = spark.createDataFrame([(1,), (1,), (3,)], "k long")
+    assert {r.k for r in prefilter(left, keys, "k", max_rows=3).collect()} == {1, 3}
+    assert prefilter(left, keys, "k", max_rows=2).count() == 100
 
 
 @pytest.mark.parametrize(

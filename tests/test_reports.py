@@ -134,15 +134,17 @@ def test_kpi_summary(core):
     assert tuple(row) == (3, 3, 5, 2, 1, 1, D("405.00"), D("130.00"), D("75.00"))
 
 
-def test_patient_procedure(core):
-    [row] = procedures.patient_analysis(core, "P1").collect()
+@pytest.mark.parametrize("limits", [{}, {"max_rows": 0}])
+def test_patient_procedure(core, limits):
+    [row] = procedures.patient_analysis(core, "P1", **limits).collect()
     assert tuple(row) == ("P1", "Ann Lee", 2, 3, D("405.00"), JAN5)
     assert procedures.patient_analysis(core, "P6").collect() == []
     assert procedures.patient_analysis(core, "nobody").collect() == []
 
 
-def test_doctor_procedure(core):
-    [row] = procedures.doctor_performance(core, "D1").collect()
+@pytest.mark.parametrize("limits", [{}, {"max_rows": 0}])
+def test_doctor_procedure(core, limits):
+    [row] = procedures.doctor_performance(core, "D1", **limits).collect()
     assert tuple(row) == ("D1", "Gus Poe", "Oncology", 2, 3, D("405.00"), D("110.000000"))
     assert procedures.doctor_performance(core, "D2").collect() == []
 

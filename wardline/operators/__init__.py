@@ -1,6 +1,6 @@
-from wardline.operators.joins import anti_join, broadcast_if_small
+from wardline.operators.joins import anti_join, prefilter
 from wardline.operators.ranking import dense_rank_desc
 from wardline.operators.repeat import repeat_rows
 from wardline.operators.totals import with_total
 
-__all__ = ["anti_join", "broadcast_if_small", "dense_rank_desc", "repeat_rows", "with_total"]
+__all__ = ["anti_join", "dense_rank_desc", "prefilter", "repeat_rows", "with_total"]

@@ -16,9 +16,17 @@ HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if counting shows that it has at most ``max_rows`` rows."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+def prefilter(left: DataFrame, keys: DataFrame, on: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Cut ``left`` down to the keys of ``keys`` ahead of an inner join, if they are few.
+
+    Few keys, by count, are broadcast: one scan of ``left`` and no shuffle. With more keys
+    ``left`` is returned as it is, since a shuffle here would send all rows of a hot key to
+    one task before they can be aggregated.
+    """
+    wanted = keys.select(on)
+    if wanted.count() > max_rows:
+        return left
+    return left.join(F.broadcast(wanted), on, "left_semi")
 
 
 def anti_join(

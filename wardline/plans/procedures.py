@@ -8,28 +8,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions import average, full_name, money
-from wardline.operators import broadcast_if_small
+from wardline.operators import prefilter
 from wardline.plans.facts import fact_chain
 from wardline.plans.layout import in_period
 from wardline.sources.core import Core
 
 
-def _chain_of(core: Core, column: str, value: str) -> DataFrame:
+def _chain_of(core: Core, column: str, value: str, **limits: int) -> DataFrame:
     """The fact chain of the appointments with ``column`` = ``value``.
 
-    Treatments and bills are cut down to those appointments before anything is
-    aggregated. While the list of keys is short, that needs no shuffle of either table.
+    As long as their keys are few, treatments and bills are cut down to them before
+    anything is aggregated or shuffled.
     """
     visits = core.appointments.where(F.col(column) == value)
-    treatments = core.treatments.join(broadcast_if_small(visits.select("Appointment_ID")), "Appointment_ID", "left_semi")
-    bills = core.billing.join(broadcast_if_small(treatments.select("Treatment_ID")), "Treatment_ID", "left_semi")
+    treatments = prefilter(core.treatments, visits, "Appointment_ID", **limits)
+    bills = prefilter(core.billing, treatments, "Treatment_ID", **limits)
     return fact_chain(visits, treatments, bills)
 
 
-def patient_analysis(core: Core, patient_id: str) -> DataFrame:
+def patient_analysis(core: Core, patient_id: str, **limits: int) -> DataFrame:
     """One row, or none if the patient is unknown or has no billed treatment."""
     totals = (
-        _chain_of(core, "Patient_ID", patient_id)
+        _chain_of(core, "Patient_ID", patient_id, **limits)
         .groupBy("Patient_ID")
         .agg(
             F.count("*").alias("Total_Visits"),
@@ -44,10 +44,10 @@ def patient_analysis(core: Core, patient_id: str) -> DataFrame:
     )
 
 
-def doctor_performance(core: Core, doctor_id: str) -> DataFrame:
+def doctor_performance(core: Core, doctor_id: str, **limits: int) -> DataFrame:
     """One row, or none if the doctor is unknown or has no billed treatment."""
     totals = (
-        _chain_of(core, "Doctor_ID", doctor_id)
+        _chain_of(core, "Doctor_ID", doctor_id, **limits)
         .groupBy("Doctor_ID")
         .agg(
             F.count_distinct("Patient_ID").alias("Total_Patients"),
