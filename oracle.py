@@ -29,6 +29,9 @@ def _mean_money(amount: str, places: int, type_: str) -> str:
     return _rounded(f"sum({_cents(amount)})", f"100 * count({amount})", places, type_)
 
 
+# Age groups with their first and last age.
+_AGE_BANDS = "(-1000, 17, 'Under 18'), (18, 35, '18-35'), (36, 50, '36-50'), (51, 65, '51-65'), (66, 1000, 'Over 65')"
+
 _NAME = "concat(First_Name, ' ', Last_Name)"
 
 # The clean tables, as they are after a load.
@@ -472,11 +475,11 @@ def _report_queries() -> dict[str, str]:
             select Payment_Method, count(*) as Bill_Count, cast(sum(Amount) as decimal(38,2)) as Total_Amount,
               {_percent("count(*)", "(select count(*) from billing)", "decimal(5,1)")} as Pct_Of_Bills
             from billing group by Payment_Method""",
-        "report_age_gender": f"""{_CLEAN}
-            select case when Age < 18 then 'Under 18' when Age between 18 and 35 then '18-35'
-                        when Age between 36 and 50 then '36-50' when Age between 51 and 65 then '51-65'
-                        else 'Over 65' end as Age_Group, Gender, count(*) as Patient_Count
-            from (select Gender, {age} as Age from patients) group by 1, 2""",
+        "report_age_gender": f"""{_CLEAN},
+            ages as (select Gender, {age} as Age from patients),
+            bands(Lowest, Highest, Label) as (values {_AGE_BANDS})
+            select Label as Age_Group, Gender, count(*) as Patient_Count
+            from ages join bands on Age between Lowest and Highest group by 1, 2""",
         "report_kpi_summary": f"""{_CLEAN}
             select (select count(*) from patients) as Total_Patients,
               (select count(*) from doctors) as Total_Doctors,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wardline.plans import checks, load, quality
 from wardline.schema import ENTITIES, PATIENTS
-from wardline.sources import open_core, read_csv_extract
+from wardline.sources import open_core, read_csv_extract, read_parquet_extracts
 from wardline.sources.core import MONTH, latest_run
 
 MISSING_PATIENT = "Missing required field (ID/Name/Registration_Date)"
@@ -139,11 +139,21 @@ def test_duplicate_key_without_a_rule_stops_the_load(failing_load, table):
     assert [(v.Table_Name, v.Check, v.Violations) for v in error.violations] == [(table, "key not unique", 1)]
 
 
-@pytest.mark.parametrize("table,code", load.EMPTY_STAGING_CODES.items())
-def test_empty_staging_stops_the_load(failing_load, table, code):
-    error = failing_load(lambda rows: rows[table].clear())
+def test_empty_staging_stops_the_load(failing_load):
+    error = failing_load(lambda rows: rows["Billing"].clear())
     assert isinstance(error, load.EmptyStagingError)
-    assert (error.code, error.table) == (code, table)
+    assert (error.code, error.table) == (50005, "Billing")
+
+
+def test_guard_names_the_first_empty_table(core):
+    tables = core.tables()
+    load.guard_not_empty(tables)
+    for first, code in load.EMPTY_STAGING_CODES.items():
+        names = list(ENTITIES)
+        emptied = {n: df.limit(0) if names.index(n) >= names.index(first) else df for n, df in tables.items()}
+        with pytest.raises(load.EmptyStagingError) as caught:
+            load.guard_not_empty(emptied)
+        assert (caught.value.code, caught.value.table) == (code, first)
 
 
 def test_too_long_key_stops_the_load(failing_load):
@@ -247,3 +257,13 @@ def test_today_is_not_in_the_future(spark, tmp_path):
     }
     found = quality.rule_rows(PATIENTS, "Date_Of_Birth is in the future", staging, AS_OF)
     assert [r.Patient_ID for r in found.collect()] == ["P5"]
+
+
+def test_parquet_extracts(spark, tmp_path, core):
+    for name, df in core.tables().items():
+        df.drop("Email", "Description").write.parquet(str(tmp_path / f"{name.lower()}.parquet"))
+    feed = read_parquet_extracts(spark, str(tmp_path))
+    for name, df in feed.items():
+        assert df.columns == ENTITIES[name].columns
+        assert dict(df.dtypes) == dict(core.tables()[name].dtypes)
+        assert df.count() == core.tables()[name].count()

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.schema import FAILED, PAID, PENDING
+
 
 def bills_per_treatment(billing: DataFrame) -> DataFrame:
     def with_status(status: str):
@@ -23,9 +25,9 @@ def bills_per_treatment(billing: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("Bills"),
             F.sum("Amount").alias("Amount"),
-            with_status("Paid").alias("Paid"),
-            with_status("Pending").alias("Pending"),
-            with_status("Failed").alias("Failed"),
+            with_status(PAID).alias("Paid"),
+            with_status(PENDING).alias("Pending"),
+            with_status(FAILED).alias("Failed"),
         )
     )
 

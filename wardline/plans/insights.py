@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import average, money, percent
 from wardline.operators import with_total
+from wardline.schema import CANCELLED, NO_SHOW
 from wardline.sources.core import Core
 
 
@@ -55,7 +56,7 @@ def gender_mix(core: Core) -> DataFrame:
 
 def not_reached_rate(core: Core) -> DataFrame:
     """One row: how many appointments ended as No-show or Cancelled."""
-    not_reached = F.count_if(F.col("Status").isin("No-show", "Cancelled"))
+    not_reached = F.count_if(F.col("Status").isin(NO_SHOW, CANCELLED))
     return core.appointments.agg(
         not_reached.alias("Not_Reached_Appointments"),
         percent(not_reached, F.count("*")).alias("Not_Reached_Rate"),

@@ -10,8 +10,16 @@ from pyspark.sql import functions as F
 from wardline.functions import age_years, average, full_name, money, month_name, percent, quotient
 from wardline.operators import dense_rank_desc, repeat_rows, with_total
 from wardline.plans.facts import billed_treatments, fact_chain
+from wardline.schema import CANCELLED, COMPLETED, NO_SHOW, PAID, PENDING
 from wardline.sources.core import Core
 
+# Labels and limits.
+NEW, RETURNING = "New Patient", "Returning Patient"
+ONE_TIME, VIP, REGULAR = "One-Time Patient", "VIP Patient", "Regular Patient"
+VIP_VISITS = 3
+AGE_GROUPS = ((17, "Under 18"), (35, "18-35"), (50, "36-50"), (65, "51-65"))
+OLDEST_GROUP = "Over 65"
+
 
 def _doctor_totals(core: Core) -> DataFrame:
     chain = fact_chain(core.appointments, core.treatments, core.billing)
@@ -114,7 +122,7 @@ def patient_retention(core: Core, **repeating) -> DataFrame:
         "Patient_Name",
         "Appointment_Date",
         F.col("previous").alias("Previous_Visit_Date"),
-        F.when(F.col("previous").isNull(), "New Patient").otherwise("Returning Patient").alias("Patient_Status"),
+        F.when(F.col("previous").isNull(), NEW).otherwise(RETURNING).alias("Patient_Status"),
     )
 
 
@@ -136,9 +144,9 @@ def patient_segmentation(core: Core, **ranking) -> DataFrame:
         "Total_Spending",
         "Avg_Patient_Spending",
         "Spending_Rank",
-        F.when(F.col("Total_Visits") == 1, "One-Time Patient")
-        .when((F.col("Total_Visits") >= 3) & spender, "VIP Patient")
-        .otherwise("Regular Patient")
+        F.when(F.col("Total_Visits") == 1, ONE_TIME)
+        .when((F.col("Total_Visits") >= VIP_VISITS) & spender, VIP)
+        .otherwise(REGULAR)
         .alias("Patient_Segment"),
     )
 
@@ -192,14 +200,9 @@ def payment_methods(core: Core) -> DataFrame:
 
 def age_gender(core: Core, as_of: date) -> DataFrame:
     """Patients by age group and gender. A patient without a birth date counts as the oldest group."""
-    age = F.col("_age")
-    group = (
-        F.when(age < 18, "Under 18")
-        .when(age.between(18, 35), "18-35")
-        .when(age.between(36, 50), "36-50")
-        .when(age.between(51, 65), "51-65")
-        .otherwise("Over 65")
-    )
+    group = F.lit(OLDEST_GROUP)
+    for limit, label in reversed(AGE_GROUPS):
+        group = F.when(F.col("_age") <= limit, label).otherwise(group)
     return (
         core.patients.select("Gender", age_years(F.col("Date_Of_Birth"), as_of).alias("_age"))
         .groupBy(group.alias("Age_Group"), "Gender")
@@ -220,15 +223,15 @@ def kpi_summary(core: Core) -> DataFrame:
     appointments = core.appointments.agg(
         F.struct(
             F.count("*").alias("Total_Appointments"),
-            outcomes("Completed").alias("Completed_Appointments"),
-            outcomes("No-show").alias("No_Show_Appointments"),
-            outcomes("Cancelled").alias("Cancelled_Appointments"),
+            outcomes(COMPLETED).alias("Completed_Appointments"),
+            outcomes(NO_SHOW).alias("No_Show_Appointments"),
+            outcomes(CANCELLED).alias("Cancelled_Appointments"),
         )
     ).scalar()
     money_totals = core.billing.agg(
         money(F.sum("Amount")).alias("Total_Revenue_Billed"),
-        billed("Paid").alias("Total_Revenue_Collected"),
-        billed("Pending").alias("Total_Revenue_Pending"),
+        billed(PAID).alias("Total_Revenue_Collected"),
+        billed(PENDING).alias("Total_Revenue_Pending"),
     )
     return (
         money_totals.withColumn("_appointments", appointments)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import average, full_name, money, percent, weekday_name
 from wardline.plans.facts import billed_treatments, treatments_per_appointment
+from wardline.schema import CANCELLED, COMPLETED, NO_SHOW, SCHEDULED
 from wardline.sources.core import Core
 
 
@@ -97,10 +98,10 @@ def appointment_analysis(core: Core) -> DataFrame:
         core.appointments.groupBy("Appointment_Date")
         .agg(
             F.count("Appointment_ID").alias("Total_Appointments"),
-            with_status("Completed").alias("Completed_Count"),
-            with_status("Cancelled").alias("Cancelled_Count"),
-            with_status("No-show").alias("No_Show_Count"),
-            with_status("Scheduled").alias("Scheduled_Count"),
+            with_status(COMPLETED).alias("Completed_Count"),
+            with_status(CANCELLED).alias("Cancelled_Count"),
+            with_status(NO_SHOW).alias("No_Show_Count"),
+            with_status(SCHEDULED).alias("Scheduled_Count"),
         )
         .select(
             "Appointment_Date",

@@ -107,3 +107,7 @@ BILLING = Entity("Billing", "Bill_ID", "billing.csv", _fields("""
 
 # Parents come before children.
 ENTITIES = {e.name: e for e in (PATIENTS, DOCTORS, APPOINTMENTS, TREATMENTS, BILLING)}
+
+# Texts that the results look for.
+COMPLETED, CANCELLED, NO_SHOW, SCHEDULED = "Completed", "Cancelled", "No-show", "Scheduled"
+PAID, PENDING, FAILED = "Paid", "Pending", "Failed"

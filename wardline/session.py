@@ -20,6 +20,10 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Partitions that fit in memory are joined by hashing instead of sorting.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
+        # In one process a shuffle is cheaper than collecting and hashing a mid-size table.
+        .config("spark.sql.autoBroadcastJoinThreshold", "2m")
     )
     for name, value in extra.items():
         builder = builder.config(name, value)

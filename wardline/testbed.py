@@ -12,7 +12,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.schema import ENTITIES, Entity
+from wardline.schema import CANCELLED, COMPLETED, ENTITIES, FAILED, NO_SHOW, PAID, PENDING, SCHEDULED
+from wardline.sources.parquet import conform
 
 AS_OF = date(2026, 12, 3)
 DIRTY_AS_OF = date(2000, 1, 1)
@@ -125,10 +126,10 @@ class _Tables:
     def appointments(self, *more: str) -> DataFrame:
         doctors = self._read("supplier").agg(F.count("*")).scalar()
         status = (
-            F.when(F.col("o_orderpriority") == "5-LOW", "Cancelled")
-            .when(F.col("o_orderstatus") == "F", "Completed")
-            .when(F.col("o_orderstatus") == "P", "No-show")
-            .when(F.col("o_orderstatus") == "O", "Scheduled")
+            F.when(F.col("o_orderpriority") == "5-LOW", CANCELLED)
+            .when(F.col("o_orderstatus") == "F", COMPLETED)
+            .when(F.col("o_orderstatus") == "P", NO_SHOW)
+            .when(F.col("o_orderstatus") == "O", SCHEDULED)
         )
         quarter_hour = F.lpad(_text(F.col("o_orderkey") % 4 * 15), 2, "0")
         time = F.concat(F.lpad(_text(F.col("o_orderkey") % 10 + 8), 2, "0"), F.lit(":"), quarter_hour, F.lit(":00"))
@@ -164,7 +165,7 @@ class _Tables:
             F.col("l_shipdate").cast("date").alias("Bill_Date"),
             (F.col("l_extendedprice").cast("decimal(12,2)") * rate).cast("decimal(12,2)").alias("Amount"),
             F.col("o_orderpriority").alias("Payment_Method"),
-            F.when(flag == "A", "Paid").when(flag == "N", "Pending").when(flag == "R", "Failed").alias("Payment_Status"),
+            F.when(flag == "A", PAID).when(flag == "N", PENDING).when(flag == "R", FAILED).alias("Payment_Status"),
             *more,
         )
 
@@ -182,12 +183,4 @@ def _unless(condition: Column, column: str) -> Column:
 
 
 def _typed(feed: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every column of the entity, in order and type; those the tables cannot fill are NULL."""
-    out = {}
-    for name, df in feed.items():
-        entity: Entity = ENTITIES[name]
-        filled = set(df.columns)
-        out[name] = df.selectExpr(
-            *[f"cast({f.name if f.name in filled else 'null'} as {f.type}) as {f.name}" for f in entity.fields]
-        )
-    return out
+    return {name: conform(df, ENTITIES[name]) for name, df in feed.items()}
