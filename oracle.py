@@ -34,6 +34,16 @@ _AGE_BANDS = "(-1000, 17, 'Under 18'), (18, 35, '18-35'), (36, 50, '36-50'), (51
 
 _NAME = "concat(First_Name, ' ', Last_Name)"
 
+_CHAIN = """
+chain as (
+  select a.Appointment_ID, a.Patient_ID, a.Doctor_ID, a.Appointment_Date,
+         t.Treatment_ID, t.Cost, b.Bill_ID, b.Amount
+  from appointments a
+  join treatments t on t.Appointment_ID = a.Appointment_ID
+  join billing b on b.Treatment_ID = t.Treatment_ID
+)
+"""
+
 # The clean tables, as they are after a load.
 _CLEAN = """
 with patients as (
@@ -87,14 +97,7 @@ billing as (
          case l_returnflag when 'A' then 'Paid' when 'N' then 'Pending' when 'R' then 'Failed' end as Payment_Status
   from lineitem join once on ok = l_orderkey and ln = l_linenumber join orders on o_orderkey = l_orderkey
 ),
-chain as (
-  select a.Appointment_ID, a.Patient_ID, a.Doctor_ID, a.Appointment_Date,
-         t.Treatment_ID, t.Cost, b.Bill_ID, b.Amount
-  from appointments a
-  join treatments t on t.Appointment_ID = a.Appointment_ID
-  join billing b on b.Treatment_ID = t.Treatment_ID
-)
-"""
+""" + _CHAIN
 
 # The staged rows of the dirty delivery.
 _DIRTY = """
@@ -440,8 +443,8 @@ def _report_queries() -> dict[str, str]:
                      monthname(Bill_Date) as Name, sum(Amount) as Total, sum({_cents("Amount")}) as Cents
               from billing group by 1, 2, 3),
             ordered as (
-              select *, lag(Total) over (order by Y, M) as Total_Before, lag(Cents) over (order by Y, M) as Before
-              from months)
+              select *, lag(Total) over calendar as Total_Before, lag(Cents) over calendar as Before
+              from months window calendar as (order by Y nulls first, M nulls first))
             select Y as Revenue_Year, M as Revenue_Month, Name as Revenue_Month_Name,
               cast(Total as decimal(38,2)) as Total_Revenue,
               cast(Total_Before as decimal(38,2)) as Previous_Month_Revenue,
@@ -535,5 +538,11 @@ def _summary_queries() -> dict[str, str]:
     }
 
 
+def on_core_tables() -> dict[str, str]:
+    """The reporting queries over five tables that already have the names and columns of the core."""
+    reporting = _view_queries() | _report_queries() | _summary_queries()
+    return {name: sql.replace(_CLEAN, f"with {_CHAIN}") for name, sql in reporting.items()}
+
+
 def all_queries() -> dict[str, str]:
     return _load_queries() | _rule_queries() | _view_queries() | _report_queries() | _summary_queries()
