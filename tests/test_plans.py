@@ -7,12 +7,13 @@ from datetime import date
 
 import pytest
 from clinic import AS_OF
+from pyspark.sql import functions as F
 
 from wardline.plans import insights, procedures, quality, reports, views
 from wardline.plans.layout import write_by_month
 from wardline.schema import BILLING, ENTITIES
 from wardline.sources import Core
-from wardline.sources.core import read_core_table
+from wardline.sources.core import MONTH, read_core_table
 
 RANGED = {"one_task_rows": 0, "buckets": 2}
 PLANS = {
@@ -94,3 +95,25 @@ def test_few_keys_do_not_shuffle_the_referring_table(core, capfd):
     rule = tuple(r for r in quality.RULES["Billing"] if getattr(r, "parent", "") == "Treatments")
     plan = explained(quality.error_rows(ENTITIES["Billing"], core.tables(), AS_OF, rule), capfd)
     assert "BroadcastHashJoin LeftAnti" in plan and "SortMergeJoin" not in plan
+
+
+def test_month_layout_splits_a_hot_month_and_patient(spark, tmp_path):
+    rows = spark.range(0, 6000, numPartitions=3).selectExpr(
+        "concat('A', lpad(id, 5, '0')) as Appointment_ID",
+        "if(id % 3 = 0, 'hot', concat('P', id % 500)) as Patient_ID",
+        "cast(null as string) as Doctor_ID",
+        "if(id % 3 < 2, date '2020-05-05', date_add(date '2020-01-01', cast(id % 300 as int))) as Appointment_Date",
+        "'08:00:00' as Appointment_Time",
+        "cast(null as string) as Reason_For_Visit",
+        "'Completed' as Status",
+    )
+    entity, path = ENTITIES["Appointments"], str(tmp_path / "appointments")
+    write_by_month(rows, entity, path, files=12)
+    written = read_core_table(spark, entity, path, by_month=True)
+    assert written.drop(MONTH).exceptAll(rows).isEmpty() and written.count() == 6000
+    by_file = written.groupBy(F.input_file_name()).agg(F.count("*").alias("n"))
+    assert by_file.agg(F.max("n")).first()[0] < 6000 / 6
+    hot = written.where("Patient_ID = 'hot'").select(F.input_file_name()).distinct().count()
+    assert hot > 3
+    cold = written.where("Patient_ID = 'P7' and _month = date '2020-05-01'").select(F.input_file_name()).distinct()
+    assert cold.count() == 1

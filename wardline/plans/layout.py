@@ -23,15 +23,20 @@ def write_core_table(df: DataFrame, entity: Entity, path: str, by_month: bool, r
 
 
 def write_by_month(df: DataFrame, entity: Entity, path: str, files: int) -> None:
-    """One folder per month, sorted by key, so date filters prune folders and files.
+    """One folder per month; in it, rows sorted by the column they are looked up or joined by.
 
-    The rows are cut into ranges of (month, key): a month that holds much of the table is
-    spread over many tasks, and a task writes to few months.
+    A date filter prunes folders, and the smallest and largest value in a file's footer
+    prune files for one patient. Rows to be aggregated together lie together, so that
+    combining before the shuffle takes away the most.
+
+    The rows are cut into ranges of (month, sort column, key). The key is unique, so both a
+    month and a value that hold much of the table are spread over many tasks.
     """
+    order = [MONTH, entity.sorted_by, entity.key]
     (
         df.withColumn(MONTH, F.trunc(entity.month_of, "month"))
-        .repartitionByRange(files, MONTH, entity.key)
-        .sortWithinPartitions(MONTH, entity.key)
+        .repartitionByRange(files, *order)
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .partitionBy(MONTH)
         .parquet(path)

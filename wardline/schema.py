@@ -22,7 +22,9 @@ class Entity:
     file: str
     fields: tuple[Field, ...]
     foreign_keys: tuple[tuple[str, str], ...] = ()
+    # Large tables: the date that gives the month folder, and the column rows are sorted by.
     month_of: str | None = None
+    sorted_by: str | None = None
 
     @property
     def columns(self) -> list[str]:
@@ -84,7 +86,7 @@ APPOINTMENTS = Entity("Appointments", "Appointment_ID", "appointments.csv", _fie
     Appointment_Time  string
     Reason_For_Visit  string  200  200
     Status            string  50   50
-"""), (("Patient_ID", "Patients"), ("Doctor_ID", "Doctors")), month_of="Appointment_Date")
+"""), (("Patient_ID", "Patients"), ("Doctor_ID", "Doctors")), month_of="Appointment_Date", sorted_by="Patient_ID")
 
 TREATMENTS = Entity("Treatments", "Treatment_ID", "treatments.csv", _fields("""
     Treatment_ID    string  50   20
@@ -103,7 +105,7 @@ BILLING = Entity("Billing", "Bill_ID", "billing.csv", _fields("""
     Amount          decimal(10,2)
     Payment_Method  string  50  50
     Payment_Status  string  50  50
-"""), (("Patient_ID", "Patients"), ("Treatment_ID", "Treatments")), month_of="Bill_Date")
+"""), (("Patient_ID", "Patients"), ("Treatment_ID", "Treatments")), month_of="Bill_Date", sorted_by="Treatment_ID")
 
 # Parents come before children.
 ENTITIES = {e.name: e for e in (PATIENTS, DOCTORS, APPOINTMENTS, TREATMENTS, BILLING)}
