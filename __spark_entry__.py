@@ -223,9 +223,12 @@ def _load_queries() -> dict[str, Query]:
         "check_length": length_checks,
         "load_row_counts": lambda spark, sf_dir: checks.row_counts(_core(spark, sf_dir).tables()),
         "load_publish": publish,
-        "layout_billing_by_month": lambda spark, sf_dir: _monthly_billing(spark, sf_dir)
+        "layout_billing_by_month": lambda spark, sf_dir: _by_month(spark, sf_dir, BILLING)
         .groupBy(F.col(MONTH).alias("Bill_Month"))
         .agg(F.count("*").alias("Bill_Count"), F.sum("Amount").cast("decimal(38,2)").alias("Total_Amount")),
+        "layout_appointments_by_month": lambda spark, sf_dir: _by_month(spark, sf_dir, APPOINTMENTS)
+        .groupBy(F.col(MONTH).alias("Visit_Month"), "Status")
+        .agg(F.count("*").alias("Appointment_Count")),
         "layout_revenue_report": _revenue_by_month_folders,
     }
 
@@ -234,17 +237,19 @@ def _checked(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [checks.entity_checks(tables, e) for e in ENTITIES.values()])
 
 
-def _monthly_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _by_month(spark: SparkSession, sf_dir: str, entity: Entity) -> DataFrame:
+    """A core table written in the layout for large tables."""
+
     def prepare() -> DataFrame:
-        path = f"{scratch_root(spark)}/billing-by-month-{uuid.uuid4().hex}"
-        write_by_month(_core(spark, sf_dir).billing, BILLING, path, files=8)
-        return read_core_table(spark, BILLING, path, by_month=True)
+        path = f"{scratch_root(spark)}/by-month-{uuid.uuid4().hex}"
+        write_by_month(_core(spark, sf_dir).tables()[entity.name], entity, path, files=8)
+        return read_core_table(spark, entity, path, by_month=True)
 
-    return _once("by month", spark, sf_dir, prepare)
+    return _once(f"{entity.name} by month", spark, sf_dir, prepare)
 
 
 def _revenue_by_month_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _core(spark, sf_dir).tables() | {"Billing": _monthly_billing(spark, sf_dir)}
+    tables = _core(spark, sf_dir).tables() | {"Billing": _by_month(spark, sf_dir, BILLING)}
     return procedures.revenue_report(Core.of(tables), *PERIOD)
 
 
@@ -280,7 +285,7 @@ def _reporting_queries() -> dict[str, Query]:
         "report_kpi_summary": on_core(reports.kpi_summary),
         # The paths for large tables, forced on all rows of the small ones.
         "global_dense_rank": on_core(reports.top_patients, one_task_rows=0, buckets=16),
-        "retention_in_pieces": on_core(reports.patient_retention, chunk=1),
+        "retention_in_pieces": on_core(reports.patient_retention, chunk=1, one_task_copies=0),
         "proc_patient_analysis": on_core(procedures.patient_analysis, "12"),
         "proc_doctor_performance": on_core(procedures.doctor_performance, "5"),
         "proc_revenue_report": on_core(procedures.revenue_report, *PERIOD),

@@ -350,6 +350,10 @@ def _load_queries() -> dict[str, str]:
         select cast(date_trunc('month', Bill_Date) as date) as Bill_Month, count(*) as Bill_Count,
                cast(sum(Amount) as decimal(38,2)) as Total_Amount
         from billing group by 1"""
+    out["layout_appointments_by_month"] = f"""{_CLEAN}
+        select cast(date_trunc('month', Appointment_Date) as date) as Visit_Month, Status,
+               count(*) as Appointment_Count
+        from appointments group by 1, 2"""
     out["fact_chain"] = f"""{_CLEAN}
         select Appointment_ID, Patient_ID, Doctor_ID, Appointment_Date,
                count(distinct Treatment_ID) as Treatments, cast(sum(Amount) as decimal(38,2)) as Amount,

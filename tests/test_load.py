@@ -267,3 +267,14 @@ def test_parquet_extracts(spark, tmp_path, core):
         assert df.columns == ENTITIES[name].columns
         assert dict(df.dtypes) == dict(core.tables()[name].dtypes)
         assert df.count() == core.tables()[name].count()
+
+
+def test_load_messages(failing_load, spark, tmp_path, caplog):
+    caplog.set_level("INFO", "wardline")
+    error = failing_load(lambda rows: rows["Doctors"].append(rows["Doctors"][0]))
+    [failed] = [r for r in caplog.records if r.levelname == "ERROR"]
+    assert "nothing was published" in failed.getMessage() and str(error) in failed.getMessage()
+    assert "Doctors.Doctor_ID key not unique: 1" in str(error)
+    (tmp_path / "in").mkdir()
+    load.load_csv(spark, write_extracts(tmp_path / "in"), str(tmp_path / "root"), AS_OF)
+    assert any(r.getMessage().endswith("published") and r.levelname == "INFO" for r in caplog.records)

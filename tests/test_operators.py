@@ -81,8 +81,8 @@ def test_anti_join_with_hot_keys(spark, hot_rows):
 def test_repeat_rows(spark, chunk):
     df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 4), ("d", 7), ("e", 8), ("f", 50), (None, 15)], "k string, n long")
     expected = {"b": 1, "c": 4, "d": 7, "e": 8, "f": 50, None: 15}
-    for most in (None, 50):
-        out = repeat_rows(df, "n", most=most, chunk=chunk)
+    for limit in (0, 85):
+        out = repeat_rows(df, "n", total=85, chunk=chunk, one_task_copies=limit)
         assert out.columns == ["k"]
         assert {r.k: r["count"] for r in out.groupBy("k").count().collect()} == expected
 

@@ -30,7 +30,7 @@ PLANS = {
     "global_dense_rank": lambda core: reports.top_patients(core, **RANGED),
     "report_monthly_revenue": reports.monthly_revenue,
     "report_patient_retention": reports.patient_retention,
-    "retention_in_pieces": lambda core: reports.patient_retention(core, chunk=1),
+    "retention_in_pieces": lambda core: reports.patient_retention(core, chunk=1, one_task_copies=0),
     "report_patient_segmentation": reports.patient_segmentation,
     "report_doctor_performance": lambda core: reports.doctor_performance(core, **RANGED),
     "report_treatment_performance": lambda core: reports.treatment_performance(core, **RANGED),

@@ -68,8 +68,8 @@ def test_monthly_revenue(core):
     ]
 
 
-@pytest.mark.parametrize("chunk", [65_536, 1])
-def test_patient_retention(core, chunk):
+@pytest.mark.parametrize("repeating", [{}, {"chunk": 1, "one_task_copies": 0}])
+def test_patient_retention(core, repeating):
     columns = ("Patient_ID", "Appointment_Date", "Previous_Visit_Date", "Patient_Status")
     expected = [
         ("P1", JAN5, None, "New Patient"),
@@ -78,7 +78,7 @@ def test_patient_retention(core, chunk):
         ("P2", MAR10, None, "New Patient"),
         ("P2", MAR12, MAR10, "Returning Patient"),
     ]
-    assert rows(reports.patient_retention(core, chunk=chunk), *columns) == sorted(expected, key=str)
+    assert rows(reports.patient_retention(core, **repeating), *columns) == sorted(expected, key=str)
 
 
 @pytest.mark.parametrize("ranking", RANKING)

@@ -2,34 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows that one input row may produce inside its own task.
-CHUNK = 65_536
+# Up to this many copies in total, one task may make all of them.
+ONE_TASK_COPIES = 1_000_000
 
+# Beyond that, copies that one row may turn into inside its own task.
+CHUNK = 8_192
 
-def repeat_rows(df: DataFrame, times: str, most: int | None = None, chunk: int = CHUNK) -> DataFrame:
+
+def repeat_rows(
+    df: DataFrame, times: str, total: int, chunk: int = CHUNK, one_task_copies: int = ONE_TASK_COPIES
+) -> DataFrame:
     """Emit each row ``times`` times and drop the counter; rows with ``times`` < 1 vanish.
 
-    ``most`` is a known upper bound of the counter. Without one, or with one above
-    ``chunk``, rows with larger counters are cut into chunks that are spread over the
-    cluster before they are expanded, so no task expands a huge counter alone.
+    ``total`` is a known bound on the rows emitted. If it is large, rows with a counter
+    above ``chunk`` are cut into pieces that are spread over the cluster before they are
+    expanded, so no task expands a huge counter, or many large ones, alone.
     """
-    small = df.where(F.col(times).between(1, chunk))
-    copies = _expand(small, F.col(times), times)
-    if most is not None and most <= chunk:
-        return copies
+    if total <= one_task_copies:
+        return _expand(df.where(F.col(times) > 0), F.col(times), times)
 
-    size = F.lit(chunk)
+    small = df.where(F.col(times).between(1, chunk))
     pieces = (
         df.where(F.col(times) > chunk)
         .withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(`{times}` - 1) div {chunk}"))))
         .repartition(*df.columns, "_piece")
     )
-    left_over = F.least(size, F.col(times) - F.col("_piece") * size)
-    return copies.unionByName(_expand(pieces, left_over, times).drop("_piece"))
+    in_piece = F.least(F.lit(chunk), F.col(times) - F.col("_piece") * chunk)
+    return _expand(small, F.col(times), times).unionByName(_expand(pieces, in_piece, times).drop("_piece"))
 
 
-def _expand(df: DataFrame, count, times: str) -> DataFrame:
-    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), count.cast("bigint")))).drop("_copy", times)
+def _expand(df: DataFrame, count: Column, times: str) -> DataFrame:
+    copies = F.sequence(F.lit(1).cast("bigint"), count.cast("bigint"))
+    return df.withColumn("_copy", F.explode(copies)).drop("_copy", times)

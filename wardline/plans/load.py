@@ -86,7 +86,7 @@ def load(
     tables or the new five. One load at a time per ``root``. ``thresholds`` go to the
     anti-joins.
     """
-    run = uuid.uuid4().hex
+    root, run = root.rstrip("/"), uuid.uuid4().hex
     try:
         staging, rejects = stage(spark, feed, f"{root}/run={run}/staging", max_errors)
         errors = write_errors(spark, staging, rejects, f"{root}/run={run}/errors", as_of, **thresholds)

@@ -166,7 +166,7 @@ def _duplicates(staged: DataFrame, key: str, reason: str, rows: int) -> DataFram
     # Counting combines copies before the shuffle; numbering them in a window would put
     # all copies of a key into one task.
     counted = staged.where(F.col(key).isNotNull()).groupBy(key).agg((F.count("*") - 1).alias("_more"))
-    again = repeat_rows(counted.where(F.col("_more") > 0), "_more", most=rows)
+    again = repeat_rows(counted.where(F.col("_more") > 0), "_more", total=rows)
     return again.select(key, F.lit(reason).alias(REASON))
 
 

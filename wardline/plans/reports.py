@@ -116,7 +116,7 @@ def patient_retention(core: Core, **repeating) -> DataFrame:
         .join(core.patients.select("Patient_ID", full_name().alias("Patient_Name")), "Patient_ID")
         .select("Patient_ID", "Patient_Name", "Appointment_Date", F.inline(first_and_others))
     )
-    visits = repeat_rows(counted, "visits", most=core.appointments.count(), **repeating)
+    visits = repeat_rows(counted, "visits", total=core.appointments.count(), **repeating)
     return visits.select(
         "Patient_ID",
         "Patient_Name",
