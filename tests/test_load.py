@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wardline.plans import checks, load, quality
 from wardline.schema import ENTITIES, PATIENTS
-from wardline.sources import open_core, read_csv_extract, read_parquet_extracts
+from wardline.sources import conform, open_core, read_csv_extract, read_parquet_extracts
 from wardline.sources.core import MONTH, latest_run
 
 MISSING_PATIENT = "Missing required field (ID/Name/Registration_Date)"
@@ -278,3 +278,20 @@ def test_load_messages(failing_load, spark, tmp_path, caplog):
     (tmp_path / "in").mkdir()
     load.load_csv(spark, write_extracts(tmp_path / "in"), str(tmp_path / "root"), AS_OF)
     assert any(r.getMessage().endswith("published") and r.levelname == "INFO" for r in caplog.records)
+
+
+def test_one_key_with_very_many_copies(spark, tmp_path, monkeypatch):
+    """A third of the rows are copies of one key, another third have no key."""
+    entity = ENTITIES["Doctors"]
+    rows = spark.range(0, 3000).selectExpr(
+        "case id % 3 when 0 then 'hot' when 1 then null else concat('D', id) end as Doctor_ID"
+    )
+    staged_path = str(tmp_path / "staged")
+    conform(rows, entity).write.parquet(staged_path)
+    staged = spark.read.schema(entity.ddl).parquet(staged_path)
+    errors = rows.where("Doctor_ID = 'hot'").selectExpr("Doctor_ID", "'x' as Error_Reason")
+    monkeypatch.setattr(load, "BROADCAST_ROWS", 10)
+    for thresholds in ({"broadcast_rows": 10}, {"broadcast_rows": 0, "hot_rows": 100}):
+        kept = load.exclude_quarantined(staged, errors, entity, **thresholds)
+        counts = {r.Doctor_ID: r["count"] for r in kept.groupBy("Doctor_ID").count().collect()}
+        assert counts.pop(None) == 1000 and len(counts) == 1000 and "hot" not in counts

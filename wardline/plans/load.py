@@ -12,7 +12,7 @@ from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.operators.joins import anti_join
+from wardline.operators.joins import BROADCAST_ROWS, anti_join
 from wardline.plans import checks, quality
 from wardline.plans.layout import MONTH_LAYOUT_ROWS, write_core_table
 from wardline.schema import CORRUPT, ENTITIES, Entity
@@ -66,7 +66,10 @@ class LoadResult:
 
 
 def load_csv(spark: SparkSession, source_dir: str, root: str, as_of: date, **options) -> LoadResult:
-    """Load the five CSV extracts in ``source_dir`` and publish them under ``root``."""
+    """Load the five CSV extracts in ``source_dir`` and publish them under ``root``.
+
+    For extracts that need reader options, pass ``read_csv_extracts(...)`` to ``load``.
+    """
     return load(spark, read_csv_extracts(spark, source_dir), root, as_of, **options)
 
 
@@ -175,7 +178,11 @@ def guard_not_empty(staging: dict[str, DataFrame]) -> None:
 def exclude_quarantined(staged: DataFrame, errors: DataFrame, entity: Entity, **thresholds: int) -> DataFrame:
     """Rows whose key has no error. All copies of a key go; rows without a key stay."""
     rows = staged.select(*entity.columns)
-    return anti_join(rows, errors, entity.key, entity.key, staged.count(), errors.count(), **thresholds)
+    bad_keys = errors.count()
+    if bad_keys > BROADCAST_ROWS:
+        # The log has a row for every copy of a key; few keys can have very many.
+        bad_keys = errors.agg(F.count_distinct(entity.key)).first()[0]
+    return anti_join(rows, errors, entity.key, entity.key, staged.count(), bad_keys, **thresholds)
 
 
 def _write_core(staging, errors, root, run, month_layout_rows, thresholds) -> list[str]:
