@@ -20,6 +20,11 @@ from wardline.session import materialize, scratch_root
 from wardline.sources import Core, open_core, read_csv_extract
 from wardline.sources.core import MONTH, read_core_table
 
+try:
+    from wardline.llm import queries as llm
+except ImportError:
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 PERIOD = date(1997, 1, 1), date(1998, 6, 30)
@@ -31,11 +36,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return _source_queries() | _quality_queries() | _load_queries() | _reporting_queries()
+    own = _source_queries() | _quality_queries() | _load_queries() | _reporting_queries()
+    return own | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.all_queries()
+    return oracle.all_queries() | (llm.oracle_sql() if llm else {})
 
 
 # --- inputs that several queries share, prepared once per session and data folder ---

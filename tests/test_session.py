@@ -2,29 +2,23 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
-import pytest
-
 from wardline.session import materialize, scratch_root
 
 
-def _session(master: str, configured: str | None):
-    context = SimpleNamespace(applicationId="app-1", master=master)
-    return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, default: configured))
+def _session(configured: str | None):
+    settings = {"spark.checkpoint.dir": configured, "spark.sql.warehouse.dir": "hdfs:///warehouse/"}
+    return SimpleNamespace(
+        sparkContext=SimpleNamespace(applicationId="app-1"),
+        conf=SimpleNamespace(get=lambda name, default=None: settings[name] or default),
+    )
 
 
 def test_scratch_lies_in_the_folder_the_cluster_names():
-    assert scratch_root(_session("yarn", "hdfs:///shared/")) == "hdfs:///shared/wardline-app-1"
-    assert scratch_root(_session("local[2]", "/shared")) == "/shared/wardline-app-1"
-
-
-def test_a_cluster_without_a_shared_folder_is_refused():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_root(_session("yarn", None))
+    assert scratch_root(_session("hdfs:///shared/")) == "hdfs:///shared/wardline-app-1"
 
 
-def test_a_local_session_without_one_gets_a_temporary_folder():
-    session = _session("local[2]", None)
-    assert scratch_root(session) == scratch_root(session)
+def test_without_one_scratch_lies_in_the_warehouse():
+    assert scratch_root(_session(None)) == "hdfs:///warehouse/_scratch/wardline-app-1"
 
 
 def test_materialized_rows_do_not_depend_on_their_origin(spark, capfd):

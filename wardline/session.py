@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_scratch: dict[str, str] = {}
-
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
@@ -18,6 +16,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", os.path.join(os.environ.get("TMPDIR", "/tmp"), "wardline-warehouse"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         # Partitions that fit in memory are joined by hashing instead of sorting.
@@ -35,18 +34,23 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, one subfolder per application.
 
-    Taken from ``spark.checkpoint.dir``. Only a local session may go without it;
-    there a temporary folder is as good as shared.
+    Taken from ``spark.checkpoint.dir``; without it, a folder in the warehouse, which is
+    shared by definition.
     """
-    app = spark.sparkContext.applicationId
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return f"{configured.rstrip('/')}/wardline-{app}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="wardline-")
-    return _local_scratch[app]
+    base = configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{base.rstrip('/')}/wardline-{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this application has written to its scratch folder; results read from there end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -56,6 +60,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     executors that produced it, and gives later passes a column-pruned scan.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
