@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from wardline.llm import exact_dedup, records
+from wardline.llm import exact_dedup, piece_bpe, records
 
 QUERIES = {
     "op2_token_records": records.op2_token_records,
+    "op5_sentencepiece": piece_bpe.op5_sentencepiece,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
 }
 
