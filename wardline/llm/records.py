@@ -70,9 +70,11 @@ def write_records(
             for ids, texts in batch_chunks(batches):
                 if shard is None or shard.size >= SHARD_BYTES:
                     shard = _close(shard) or _Shard(path)
+                tokens_of, limits = codec.encode_all(texts)
+                limits = limits.tolist()
                 payloads = [
-                    _label(i, width) + encoded + end
-                    for i, encoded in zip(ids, codec.encode_all(texts))
+                    _label(i, width) + tokens_of[low:high].tobytes() + end
+                    for i, low, high in zip(ids, limits, limits[1:])
                 ]
                 counts = np.array([(len(p) - LABEL_BYTES) // width for p in payloads], np.int64)
                 before = tokens + np.cumsum(counts) - counts

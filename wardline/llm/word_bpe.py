@@ -1,7 +1,8 @@
 """Token ids of whole texts by a public word-level BPE tokenizer, with the ids of known words kept.
 
 The tokenizer looks at no more than the run of characters between two pieces of ASCII white
-space, so a text is encoded run by run. Runs that a worker has met before are looked up.
+space, so a text is encoded run by run, a closing full stop or comma apart. Runs that a worker
+has met before are looked up, all runs of a group of texts at once.
 """
 
 from __future__ import annotations
@@ -11,9 +12,10 @@ from functools import lru_cache
 
 import numpy as np
 
-# A worker keeps the ids of at most this many runs, and of none longer than this many bytes.
-KEPT_RUNS = 1_000_000
-KEPT_BYTES = 64
+from wardline.llm.words import Lookup, Words, ranges, split_words
+
+# A worker keeps the ids of at most this many runs, about 40 bytes each.
+KEPT_RUNS = 2_000_000
 
 END_OF_WORD = "</w>"
 
@@ -35,71 +37,55 @@ class WordEncoder:
         self.id_type = "<u2" if size <= 65536 else "<u4"
         self._ends_word = np.zeros(size, bool)
         self._ends_word[[i for t, i in self._tokenizer.get_vocab().items() if t.endswith(END_OF_WORD)]] = True
-        self._marks = {m: self._pack(self._encode(m.decode())) for m in (b".", b",")}
-        self._known: dict[bytes, bytes] = {}
-
-    def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text as ``id_type``, joined."""
-        split = [_lower(t).split() for t in texts]
-        known, missing = self._known, set()
-        for runs in split:
-            missing.update(runs)
-        missing.difference_update(known)
-        if len(known) + len(missing) > KEPT_RUNS:
-            known.clear()
-            missing = {run for runs in split for run in runs}
-        self._learn(missing)
-        encoded = [b"".join([known[run] for run in runs]) for runs in split]
-        for run in missing:
-            if len(run) > KEPT_BYTES:
-                del known[run]
-        return encoded
-
-    def _learn(self, missing: set[bytes]) -> None:
-        known, stems = self._known, set()
-        marked = []
-        for run in missing:
-            # "word." is the word and the mark; only plain letters before it are certain to be.
-            if run[-1:] in self._marks and run[:-1].isalpha():
-                marked.append(run)
-                if run[:-1] not in known:
-                    stems.add(run[:-1])
-            else:
-                stems.add(run)
-        words, others = [], []
-        for run in stems:
-            (words if run.decode("utf-8").isalpha() else others).append(run)
-        # Words of letters only are encoded in one go and told apart by their last pieces.
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            ids = np.array(self._encode(b" ".join(part).decode("utf-8")), np.int64)
+        self._forget()
+
+    def _forget(self) -> None:
+        self._known = Lookup()
+        self._ids = np.zeros(0, self.id_type)
+        self._starts = self._counts = np.zeros(0, np.int64)
+
+    def encode_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, joined, and where each text starts in them (one more than texts)."""
+        # The tokenizer ignores case, except in the marks that it knows as special tokens.
+        marked = any(b"<|" in t for t in texts)
+        words = split_words(texts, lower=not marked, marks=not marked)
+        unique, sample, which = np.unique(words.hashes, return_index=True, return_inverse=True)
+        if len(self._known) + len(unique) > KEPT_RUNS:
+            self._forget()
+        numbers = self._known.find(unique)
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            self._learn(words, unique[new], sample[new])
+            numbers[new] = self._known.find(unique[new])
+        numbers = numbers[which]
+        counts = self._counts[numbers]
+        ids = self._ids[ranges(self._starts[numbers], counts)]
+        return ids, np.concatenate([[0], np.cumsum(counts)])[words.first]
+
+    def _learn(self, words: Words, keys: np.ndarray, samples: np.ndarray) -> None:
+        runs = [words.text(i).decode("utf-8") for i in samples.tolist()]
+        plain = np.fromiter(map(str.isalpha, runs), bool, len(runs))
+        pieces, counts, order, others = [], [], [], np.flatnonzero(~plain).tolist()
+        # Runs of letters only are one word each: encoded in one go, told apart by their last pieces.
+        plain = np.flatnonzero(plain)
+        for at in range(0, len(plain), 4096):
+            part = plain[at : at + 4096].tolist()
+            ids = self._encode(" ".join([runs[i] for i in part]))
             ends = np.flatnonzero(self._ends_word[ids]) + 1
-            if len(ends) != len(part):
+            if len(ends) == len(part):
+                pieces.append(ids)
+                counts.append(np.diff(ends, prepend=0))
+                order += part
+            else:
                 others += part
-                continue
-            packed, width, start = self._pack(ids), int(self.id_type[-1]), 0
-            for run, end in zip(part, ends.tolist()):
-                known[run] = packed[start * width : end * width]
-                start = end
-        for run in others:
-            known[run] = self._pack(self._encode(run.decode("utf-8")))
-        for run in marked:
-            known[run] = known[run[:-1]] + self._marks[run[-1:]]
-
-    def _encode(self, text: str) -> list[int]:
-        return self._tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _pack(self, ids) -> bytes:
-        return np.asarray(ids, self.id_type).tobytes()
-
-
-def _lower(text: bytes) -> bytes:
-    """The text in lower case if that is certain to be what the tokenizer does: fewer runs to learn."""
-    if text.isascii():
-        return text.lower()
-    string = text.decode("utf-8")
-    try:
-        string.encode("latin-1")
-    except UnicodeEncodeError:
-        return text
-    return string.lower().encode("utf-8")
+        for i in others:
+            pieces.append(self._encode(runs[i]))
+            counts.append([len(pieces[-1])])
+        counts = np.concatenate(counts).astype(np.int64)
+        self._known.add(keys[np.array(order + others, np.int64)])
+        self._starts = np.concatenate([self._starts, len(self._ids) + np.cumsum(counts) - counts])
+        self._counts = np.concatenate([self._counts, counts])
+        self._ids = np.concatenate([self._ids, *pieces])
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, self.id_type)
