@@ -64,7 +64,9 @@ def chunks(ids: list, texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[
         yield ids[start:], texts[start:]
 
 
-def batch_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
+def batch_chunks(
+    batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES
+) -> Iterator[tuple[list, list[bytes]]]:
     """(ids, texts) of batches with the columns doc_id and text, in pieces."""
     for batch in batches:
-        yield from chunks(batch.column("doc_id").to_pylist(), text_bytes(batch.column("text")))
+        yield from chunks(batch.column("doc_id").to_pylist(), text_bytes(batch.column("text")), limit)

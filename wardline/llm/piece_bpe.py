@@ -6,9 +6,9 @@ candidate is the one if it is compatible with the last piece of the prefix befor
 is, if the two stay apart when they are encoded as one string. The ids are then read off
 backwards. Compatibility of two pieces is found out once by merging them and remembered.
 
-A text is cut where no piece can reach across: ahead of a blank that follows something else,
-and between two characters that stand side by side in no piece. What lies between two cuts
-is encoded once per worker and kept.
+A text is cut where no piece can reach across: between two characters that stand side by side
+in no piece, which holds for whatever comes ahead of a blank. What lies between two cuts is
+encoded once per worker and kept; the cuts of many texts are found and looked up at once.
 
 Defined cases: a null or empty text has the end id alone and decodes to ''. Any other text,
 however long, is encoded as a whole, blanks at its ends and line ends included. Characters
@@ -19,23 +19,24 @@ and empty tables need no rule.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from wardline.llm.common import batch_chunks, id_and_text, read_table
+from wardline.llm.words import Lookup, ranges, span_hashes
 
 # Fixed value: the character that stands for a blank.
 BLANK = "\u2581"
 
-# A worker keeps at most this many encoded segments, and none longer than this many characters.
-KEPT_SEGMENTS = 600_000
-KEPT_CHARS = 48
-
-SEGMENTS = re.compile(f"{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+|\n")
+# A worker keeps at most this many segments, and as many answers about pairs of pieces.
+KEPT_SEGMENTS = 1_500_000
+KEPT_PAIRS = 1_000_000
+# Texts are encoded in groups of about this many bytes.
+GROUP_BYTES = 2_000_000
 
 
 @lru_cache(maxsize=2)
@@ -67,41 +68,66 @@ class PieceCodec:
             self._automaton.add_word(piece, piece)
         self._automaton.make_automaton()
         self._compatible: dict[tuple[str, str], bool] = {}
-        self._known: dict[str, tuple[bytes, bytes]] = {"": (b"", b"")}
+        self._cut = self._cut_table()
+        self._forget()
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text without the end id."""
-        return [int(i) for i in self.encode_decode([text])[0][0].split()]
+        digits, _, _, _ = self.encode_all([text.encode("utf-8")])
+        return [int(i) for i in digits.split()]
 
     def decode(self, ids: list[int]) -> str:
         joined = b"".join([self._texts.get(i, b"") for i in ids])
         return joined.removeprefix(b" ").decode("utf-8", "replace")
 
-    def encode_decode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """Per text the decimal ids, a blank after each, and the text that they decode to."""
-        known, missing = self._known, set()
-        segmented = [_segments(t) for t in texts]
-        for segments in segmented:
-            missing.update(segments)
-        missing.difference_update(known)
-        if len(known) + len(missing) > KEPT_SEGMENTS:
-            known.clear()
-            known[""] = (b"", b"")
-            missing = {s for segments in segmented for s in segments if s}
-        for segment in missing:
-            ids = self._encode_segment(segment)
-            known[segment] = (
-                b"".join([b"%d " % i for i in ids]),
-                b"".join([self._texts[i] for i in ids]),
-            )
-        out = []
-        for segments in segmented:
-            found = [known[s] for s in segments]
-            out.append((b"".join([f[0] for f in found]), b"".join([f[1] for f in found]).removeprefix(b" ")))
-        for segment in missing:
-            if len(segment) > KEPT_CHARS:
-                del known[segment]
-        return out
+    def encode_all(self, texts: list[bytes]) -> tuple[bytes, list[int], bytes, list[int]]:
+        """Decimal ids of all texts, a blank after each, where each text starts in them, and the
+        same for what the ids decode to, the blank ahead of each text included."""
+        ahead = [b" " + t.replace(BLANK.encode(), b" ") if t else b"" for t in texts]
+        data = np.frombuffer(b"\n".join([*ahead, b""]), np.uint8)
+        limits = np.cumsum([0] + [len(t) + 1 for t in ahead])
+        starts = np.concatenate([[0], 1 + np.flatnonzero(self._cut[data[:-1], data[1:]])])
+        ends = np.append(starts[1:], len(data))
+        separates = np.zeros(len(data), bool)
+        separates[limits[1:] - 1] = True
+        real = ~separates[starts]
+        starts, ends = starts[real], ends[real]
+        unique, sample, which = np.unique(
+            span_hashes(data, starts, ends, lower=False), return_index=True, return_inverse=True
+        )
+        if len(self._known) + len(unique) > KEPT_SEGMENTS:
+            self._forget()
+        numbers = self._known.find(unique)
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            self._learn([data[starts[i] : ends[i]].tobytes() for i in sample[new].tolist()], unique[new])
+            numbers[new] = self._known.find(unique[new])
+        numbers = numbers[which]
+        first = np.searchsorted(starts, limits)
+        digits, digit_limits = self._digits.gather(numbers, first)
+        decoded, text_limits = self._decoded.gather(numbers, first)
+        return digits, digit_limits, decoded, text_limits
+
+    def _cut_table(self) -> np.ndarray:
+        """For two bytes whether no piece reaches across them; for parts of longer characters, only at blanks and line ends."""
+        cut = np.zeros((256, 256), bool)
+        signs = [BLANK if b == 0x20 else chr(b) for b in range(128)]
+        for a in range(128):
+            cut[a, :128] = [signs[a] + sign not in self._side_by_side for sign in signs]
+        used = {c for pair in self._side_by_side for c in pair}
+        ahead_of_blank = any(pair[1] == BLANK and not pair[0].isascii() and pair[0] != BLANK for pair in self._side_by_side)
+        cut[128:, 0x20] = not ahead_of_blank
+        cut[0x0A, :] = cut[:, 0x0A] = "\n" not in used
+        return cut
+
+    def _forget(self) -> None:
+        self._known, self._digits, self._decoded = Lookup(), _Strings(), _Strings()
+
+    def _learn(self, segments: list[bytes], keys: np.ndarray) -> None:
+        encoded = [self._encode_segment(s.decode("utf-8").replace(" ", BLANK)) for s in segments]
+        self._known.add(keys)
+        self._digits.extend([b"".join([b"%d " % i for i in ids]) for ids in encoded])
+        self._decoded.extend([b"".join([self._texts[i] for i in ids]) for ids in encoded])
 
     def _encode_segment(self, segment: str) -> list[int]:
         beside, start, ids = self._side_by_side, 0, []
@@ -134,7 +160,7 @@ class PieceCodec:
         fits = self._compatible.get((before, piece))
         if fits is None:
             fits = self._merge(before + piece) == ([before, piece] if before else [piece])
-            if len(self._compatible) >= KEPT_SEGMENTS:
+            if len(self._compatible) >= KEPT_PAIRS:
                 self._compatible.clear()
             self._compatible[before, piece] = fits
         return fits
@@ -154,14 +180,24 @@ class PieceCodec:
         return parts
 
 
-def _segments(text: str) -> list[str]:
-    """The text with a blank ahead, cut ahead of blanks and around line ends."""
-    if not text:
-        return []
-    if text[0] == " " or "  " in text or BLANK in text:
-        return SEGMENTS.findall(BLANK + text.replace(" ", BLANK))
-    marked = (BLANK + text.replace(" ", " " + BLANK)).replace("\n", " \n ")
-    return marked.split(" ")
+class _Strings:
+    """Byte strings in one buffer, by number."""
+
+    def __init__(self):
+        self._data = np.zeros(0, np.uint8)
+        self._starts = self._lengths = np.zeros(0, np.int64)
+
+    def extend(self, strings: list[bytes]) -> None:
+        lengths = np.array([len(s) for s in strings], np.int64)
+        self._starts = np.concatenate([self._starts, len(self._data) + np.cumsum(lengths) - lengths])
+        self._lengths = np.concatenate([self._lengths, lengths])
+        self._data = np.concatenate([self._data, np.frombuffer(b"".join(strings), np.uint8)])
+
+    def gather(self, numbers: np.ndarray, first: np.ndarray) -> tuple[bytes, list[int]]:
+        """The strings with these numbers, joined, and where the first-th of them start."""
+        lengths = self._lengths[numbers]
+        joined = self._data[ranges(self._starts[numbers], lengths)].tobytes()
+        return joined, np.concatenate([[0], np.cumsum(lengths)])[first].tolist()
 
 
 def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -170,12 +206,12 @@ def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = codec(model)
         for ids, found in _encoded(batches, pieces):
-            numbers = [[int(i) for i in f[0].split()] + [pieces.end_id] for f in found]
+            numbers = [[int(i) for i in digits.split()] + [pieces.end_id] for digits, _ in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(numbers, pa.list_(pa.int32())),
-                    pa.array([f[1].decode("utf-8") for f in found], pa.string()),
+                    pa.array([text.decode("utf-8") for _, text in found], pa.string()),
                 ],
                 names=["doc_id", "ids", "decoded"],
             )
@@ -193,9 +229,9 @@ def digest_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
-                    pa.array([f[0].count(b" ") + 1 for f in found], pa.int64()),
-                    pa.array([hashlib.sha256(f[0] + end).hexdigest() for f in found]),
-                    pa.array([hashlib.sha256(f[1]).hexdigest() for f in found]),
+                    pa.array([digits.count(b" ") + 1 for digits, _ in found], pa.int64()),
+                    pa.array([hashlib.sha256(digits + end).hexdigest() for digits, _ in found]),
+                    pa.array([hashlib.sha256(text).hexdigest() for _, text in found]),
                 ],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
@@ -206,8 +242,16 @@ def digest_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
 
 
 def _encoded(batches, pieces):
-    for ids, texts in batch_chunks(batches):
-        yield ids, pieces.encode_decode([t.decode("utf-8") for t in texts])
+    """Per group of texts their ids and (decimal ids, decoded text) pairs."""
+    for ids, texts in batch_chunks(batches, GROUP_BYTES):
+        digits, digit_at, decoded, text_at = pieces.encode_all(texts)
+        yield (
+            ids,
+            [
+                (digits[a:b], decoded[c:d].removeprefix(b" "))
+                for a, b, c, d in zip(digit_at, digit_at[1:], text_at, text_at[1:])
+            ],
+        )
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
