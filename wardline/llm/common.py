@@ -11,14 +11,23 @@ from pyspark.sql import functions as F
 
 # Texts are handled in groups of about this many bytes inside a task, so that memory does
 # not depend on the size of an Arrow batch.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
+# An Arrow batch holds at most about this many bytes, however long its texts are.
+BATCH_BYTES = 8_000_000
+DEFAULT_BATCH = "67108864b"
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers find this package where the driver found it, if they see that folder.
+def prepare(spark: SparkSession) -> None:
+    """Settle what all Python stages need.
 
-    A cluster that does not brings the package by --py-files or has it installed.
+    Workers find this package where the driver found it, if they see that folder; a cluster
+    that does not brings the package by --py-files or has it installed. Arrow batches are
+    bounded by bytes, so that long texts do not make large batches, unless the session
+    chose a bound itself.
     """
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound) == DEFAULT_BATCH:
+        spark.conf.set(bound, BATCH_BYTES)
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(":") if p]
@@ -32,7 +41,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator works on; a missing text is an empty one."""
-    importable(docs.sparkSession)
+    prepare(docs.sparkSession)
     return docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )

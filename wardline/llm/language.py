@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm.common import batch_chunks, chunks, crc_mod, id_and_text, importable, read_table, text_bytes
+from wardline.llm.common import batch_chunks, chunks, crc_mod, id_and_text, prepare, read_table, text_bytes
 from wardline.llm.words import U64, Lookup, mix, split_words
 
 # Parameters of the model.
@@ -249,7 +249,7 @@ def learn_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         F.col(lang_col).alias("label"),
     )
-    importable(docs.sparkSession)
+    prepare(docs.sparkSession)
     sample = _sample(labelled, "label")
     counts = _count_ngrams(sample).toPandas()
     if not len(counts):

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from wardline.llm import exact_dedup, language, piece_bpe, records
+from wardline.llm import class_lm, exact_dedup, language, piece_bpe, records
 
 QUERIES = {
     "op2_token_records": records.op2_token_records,
     "op5_sentencepiece": piece_bpe.op5_sentencepiece,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op9_language": language.op9_language,
+    "op10_class_lm": class_lm.op10_class_lm,
 }
 
 

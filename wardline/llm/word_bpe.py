@@ -15,7 +15,7 @@ import numpy as np
 from wardline.llm.words import Lookup, Words, ranges, split_words
 
 # A worker keeps the ids of at most this many runs, about 40 bytes each.
-KEPT_RUNS = 2_000_000
+KEPT_RUNS = 600_000
 
 END_OF_WORD = "</w>"
 
