@@ -26,12 +26,15 @@ from pyspark.sql import functions as F
 
 from wardline.llm.common import batch_chunks, chunks, crc_mod, id_and_text, prepare, read_table, text_bytes
 from wardline.llm.words import U64, Lookup, mix, split_words
+from wardline.session import materialize
 
 # Parameters of the model.
 ORDER = 4
 SAMPLE_DOCS = 1_500
 # Languages with fewer labelled documents than this are not learned.
 LEAST_DOCS = 5
+# At most this many languages are learned, those with the most documents.
+MAX_LANGUAGES = 512
 # The score compares languages by their probability of this many characters of the text.
 SCORE_CHARS = 20
 
@@ -97,13 +100,16 @@ def _runs(texts: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray, np.nda
 # --- learning ---
 
 
-def _sample(docs: DataFrame, lang_col: str) -> DataFrame:
+def _sample(docs: DataFrame) -> DataFrame:
     """Labelled documents, about ``SAMPLE_DOCS`` of each language, by a hash of the id."""
-    labelled = docs.where(F.col(lang_col).isNotNull())
-    counts = labelled.groupBy(F.col(lang_col).alias("lang")).count().where(F.col("count") >= LEAST_DOCS)
+    labelled = docs.where(F.col("lang").isNotNull())
+    counts = labelled.groupBy("lang").count().where(F.col("count") >= LEAST_DOCS)
+    counts = counts.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    if not counts:
+        return labelled.limit(0)
+    shares = [x for row in counts for x in (F.lit(row["lang"]), F.lit(SAMPLE_DOCS / row["count"] * 1_000_000))]
     place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
-    share = F.lit(SAMPLE_DOCS) / F.col("count") * 1_000_000
-    return labelled.withColumnRenamed(lang_col, "lang").join(counts, "lang").where(place < share).drop("count")
+    return materialize(labelled.where(place < F.element_at(F.create_map(*shares), F.col("lang"))), "lang-sample")
 
 
 def _count_ngrams(sample: DataFrame) -> DataFrame:
@@ -247,10 +253,10 @@ def learn_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        F.col(lang_col).alias("label"),
+        F.col(lang_col).alias("lang"),
     )
     prepare(docs.sparkSession)
-    sample = _sample(labelled, "label")
+    sample = _sample(labelled)
     counts = _count_ngrams(sample).toPandas()
     if not len(counts):
         return None
