@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardline.llm import class_lm, exact_dedup, language, personal, piece_bpe, records, toxicity
+from wardline.llm import class_lm, exact_dedup, language, ngram_join, personal, piece_bpe, records, toxicity
 
 QUERIES = {
     "op2_token_records": records.op2_token_records,
@@ -12,6 +12,7 @@ QUERIES = {
     "op10_class_lm": class_lm.op10_class_lm,
     "op6_toxicity": toxicity.op6_toxicity,
     "op8_personal_data": personal.op8_personal_data,
+    "op4_ngram_join": ngram_join.op4_ngram_join,
 }
 
 
