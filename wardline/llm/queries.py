@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardline.llm import class_lm, exact_dedup, language, ngram_join, personal, piece_bpe, records, repeats, toxicity
+from wardline.llm import class_lm, decontaminate, exact_dedup, language, ngram_join, personal, piece_bpe, records, repeats, toxicity
 
 QUERIES = {
     "op2_token_records": records.op2_token_records,
@@ -14,6 +14,7 @@ QUERIES = {
     "op8_personal_data": personal.op8_personal_data,
     "op4_ngram_join": ngram_join.op4_ngram_join,
     "op3_suffix_dedup": repeats.op3_suffix_dedup,
+    "op1_decontaminate": decontaminate.op1_decontaminate,
 }
 
 
