@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,3 +80,17 @@ def batch_chunks(
     """(ids, texts) of batches with the columns doc_id and text, in pieces."""
     for batch in batches:
         yield from chunks(batch.column("doc_id").to_pylist(), text_bytes(batch.column("text")), limit)
+
+
+def filter_texts(docs: DataFrame, text_col: str, keeps: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
+    """The rows whose text ``keeps`` marks, all columns as they are; a null text counts as an empty one."""
+    prepare(docs.sparkSession)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = text_bytes(batch.column(text_col).fill_null(""))
+            marks = [keeps(part) for _, part in chunks(texts, texts)]
+            if marks:
+                yield batch.filter(pa.array(np.concatenate(marks).astype(bool)))
+
+    return docs.mapInArrow(run, docs.schema)

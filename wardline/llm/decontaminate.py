@@ -30,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import partial, reduce
 from math import ceil, log
 
 import numpy as np
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm.common import batch_chunks, id_and_text, read_table
+from wardline.llm.common import batch_chunks, filter_texts, id_and_text, read_table
 from wardline.llm.words import BASE, U64, Words, mix, ranges, split_words
 
 # Parameters of the search.
@@ -233,21 +234,43 @@ def find_leaks(
     sent_bytes: int = SENT_BYTES,
 ) -> DataFrame:
     """One row per document and leaked item: doc_id, item_id, distance, n_words, first_word, last_word."""
-    spark = docs.sparkSession
     rows = id_and_text(docs, id_col, text_col)
-    named = items.select(F.col(item_id_col).cast("bigint").alias("item_id"), F.col(item_text_col).alias("text"))
+    leaks = [rows.mapInArrow(_searcher(own), LEAK_SCHEMA) for own in _indexes(items, item_id_col, item_text_col, sent_bytes)]
+    return reduce(DataFrame.unionByName, leaks)
+
+
+def without_leaks(
+    docs: DataFrame,
+    items: DataFrame,
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    sent_bytes: int = SENT_BYTES,
+) -> DataFrame:
+    """The rows that no item leaks into, all columns as they are."""
+    for own in _indexes(items, item_id_col, item_text_col, sent_bytes):
+        docs = filter_texts(docs, text_col, partial(_clean, own))
+    return docs
+
+
+def _clean(shared, texts: list[bytes]) -> np.ndarray:
+    clean = np.ones(len(texts), bool)
+    clean[[text for text, *_ in shared.value.leaks(texts)]] = False
+    return clean
+
+
+def _indexes(items: DataFrame, id_col: str, text_col: str, sent_bytes: int) -> list:
+    """The items in as many broadcast indexes as their size asks for, one at least."""
+    named = items.select(F.col(id_col).cast("bigint").alias("item_id"), F.col(text_col).alias("text"))
     named = named.where(F.length("text") > 0)
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    passes = max(1, -(-size // sent_bytes))
-    found = None
-    for turn in range(passes):
-        part = named.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == turn).collect()
-        own = spark.sparkContext.broadcast(
-            ItemIndex.build([r["item_id"] for r in part], [r["text"].encode("utf-8") for r in part])
-        )
-        leaks = rows.mapInArrow(_searcher(own), LEAK_SCHEMA)
-        found = leaks if found is None else found.unionByName(leaks)
-    return found
+    turns = max(1, -(-size // sent_bytes))
+    out = []
+    for turn in range(turns):
+        part = named.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(turns)) == turn).collect()
+        index = ItemIndex.build([r["item_id"] for r in part], [r["text"].encode("utf-8") for r in part])
+        out.append(items.sparkSession.sparkContext.broadcast(index))
+    return out
 
 
 def _searcher(shared):

@@ -64,6 +64,24 @@ def exact_classes(
     )
 
 
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each class, that with the smallest id, all columns as they are.
+
+    The row itself travels with its class: no join, and copies are reduced before the shuffle.
+    Of rows with the smallest id any one stays.
+    """
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    place = F.struct(F.col(id_col).isNotNull(), F.col(id_col))
+    rows = docs.select(
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.struct(F.col(text_col).isNull().alias("_missing"), *others).alias("row"),
+        place.alias("place"),
+    ).withColumn("hash", content_hash(F.col("text")))
+    kept = rows.groupBy("hash", "text").agg(F.min_by("row", "place").alias("row"))
+    text = F.when(~F.col("row._missing"), F.col("text"))
+    return kept.select(*(text.alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns))
+
+
 def _smallest(column: Column) -> Column:
     """The least value, null before all others."""
     return F.when(F.count(column) == F.count("*"), F.min(column))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm.common import batch_chunks, chunks, crc_mod, id_and_text, prepare, read_table, text_bytes
+from wardline.llm.common import batch_chunks, chunks, crc_mod, filter_texts, id_and_text, prepare, read_table, text_bytes
 from wardline.llm.words import U64, Lookup, mix, split_words
 from wardline.session import materialize
 
@@ -311,6 +311,12 @@ def _judge(models: LanguageModels | None, texts: list[bytes]) -> list[pa.Array]:
     ]
 
 
+def accepted(docs: DataFrame, models: LanguageModels | None, text_col: str = "text") -> DataFrame:
+    """The rows whose language is accepted, all columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(models)
+    return filter_texts(docs, text_col, lambda texts: ~_judge(shared.value, texts)[-1].to_numpy(zero_copy_only=False))
+
+
 def learned_documents(docs: DataFrame) -> DataFrame:
     """Documents that the models may learn from."""
     return docs.where(crc_mod("doc_id", 4) != 2)

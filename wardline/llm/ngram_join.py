@@ -83,8 +83,8 @@ def token_sets(texts: list[bytes]) -> list[np.ndarray]:
             out.append(found[np.concatenate([[True], found[1:] != found[:-1]])])
         else:
             few = words.hashes[low:high]
-            total = sum((few[k] * MULTIPLIERS[k] for k in range(len(few))), U64(len(few)))
-            out.append(mix(np.array([total], U64)) if len(few) else few)
+            total = (few * np.array(MULTIPLIERS[: len(few)], U64)).sum(keepdims=True) + U64(len(few))
+            out.append(mix(total) if len(few) else few)
     return out
 
 
@@ -417,6 +417,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return _with_components(described, components)
 
 
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that name their component, all columns as they are: one of each component."""
+    found = near_duplicates(docs, id_col, text_col)
+    named = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"))
+    named = materialize(named.distinct(), "representatives")
+    return docs.join(named, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
+
+
 def _needed_sets(rows: DataFrame, described: DataFrame, pairs: list[DataFrame], members: DataFrame, lists: DataFrame) -> DataFrame:
     """The sets that may have to be compared, each once: set, tokens."""
     named = [p.select(F.col(side).alias("set")) for p in pairs for side in ("a", "b")]

@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
-from wardline.llm import class_lm, decontaminate, exact_dedup, language, ngram_join, personal, piece_bpe, records, repeats, toxicity
+import corpus_pipeline
+from wardline.llm import (
+    class_lm,
+    decontaminate,
+    exact_dedup,
+    language,
+    ngram_join,
+    personal,
+    piece_bpe,
+    records,
+    repeats,
+    toxicity,
+)
 
 QUERIES = {
+    "op1_decontaminate": decontaminate.op1_decontaminate,
     "op2_token_records": records.op2_token_records,
+    "op3_suffix_dedup": repeats.op3_suffix_dedup,
+    "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_sentencepiece": piece_bpe.op5_sentencepiece,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op8_personal_data": personal.op8_personal_data,
     "op9_language": language.op9_language,
     "op10_class_lm": class_lm.op10_class_lm,
-    "op6_toxicity": toxicity.op6_toxicity,
-    "op8_personal_data": personal.op8_personal_data,
-    "op4_ngram_join": ngram_join.op4_ngram_join,
-    "op3_suffix_dedup": repeats.op3_suffix_dedup,
-    "op1_decontaminate": decontaminate.op1_decontaminate,
+    "pipeline": corpus_pipeline.run,
 }
 
 
@@ -23,4 +36,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": exact_dedup.OP7_SQL}
+    own = {"op7_exact_dedup": exact_dedup.OP7_SQL}
+    return own | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
