@@ -16,33 +16,33 @@ def connected_components(edges: DataFrame) -> DataFrame:
     longest path. Least neighbours are aggregated before they are shuffled, so a node with very
     many edges is no hot key there; what is joined back to edges is one row per node.
     """
-    both = edges.select(F.col("a").cast("bigint"), F.col("b").cast("bigint")).where("a != b")
-    edges = materialize(_down(both), "edges")
+    edges = edges.select(F.col("a").cast("bigint"), F.col("b").cast("bigint")).where("a != b")
+    edges = materialize(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    seen = _print(edges)
     while True:
-        after = materialize(_star(_star(edges, large=True), large=False), "edges")
-        # Stars whose centres are no one's leaf: every edge points from a node straight to its least one.
-        if edges.exceptAll(after).isEmpty() and after.exceptAll(edges).isEmpty():
+        edges = materialize(_star(_star(edges, large=True), large=False).distinct(), "edges")
+        # Stars whose centres are no one's leaf stay as they are.
+        if seen == (seen := _print(edges)):
             break
-        edges = after
     leaves = edges.select(F.col("b").alias("node"), F.col("a").alias("component"))
     centres = edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     return leaves.unionByName(centres)
 
 
-def _down(edges: DataFrame) -> DataFrame:
-    """Each edge once, from the smaller to the larger node."""
-    return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _print(edges: DataFrame) -> tuple:
+    """Number and checksum of the edges: the same before and after only if nothing changes."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    sides = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     # From a node to its neighbours: in a small star only to smaller ones.
-    if not large:
-        sides = sides.where("b < a")
+    back = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    sides = edges.unionByName(back) if large else back
     least = sides.groupBy("a").agg(F.min(F.least("a", "b")).alias("least"))
     tied = sides.join(least, "a")
     if large:
         out = tied.where("b > a").select(F.col("least").alias("a"), "b")
     else:
-        out = tied.select(F.col("least").alias("a"), "b").unionByName(least.select(F.col("least").alias("a"), F.col("a").alias("b")))
-    return out.where("a != b").distinct()
+        own = least.select(F.col("least").alias("a"), F.col("a").alias("b"))
+        out = tied.select(F.col("least").alias("a"), "b").unionByName(own)
+    return out.where("a != b")

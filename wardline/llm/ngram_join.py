@@ -11,8 +11,8 @@ that relation, so a link whose ends are known to be connected need not be looked
    the token's list; lists with the same members are one list with a weight.
 3. Short lists: all pairs of a list, with the number of prefix tokens that they share. Sets that
    link share a number of prefix tokens that follows from their sizes; only such pairs are
-   verified, each with a smaller document first, then those that are not yet connected.
-4. Long lists are not turned into pairs. Each member is verified against the least member, which
+   verified, each document with the one that it shares most with first, then those not yet connected.
+4. Long lists are not turned into pairs. Each member is verified against the list's centre, which
    gathers similar documents into groups. What is left are members of one list in
    different groups. The token-group matrix - for each token list the groups in it - bounds how many
    prefix tokens a document shares with all of a group together; only groups that reach what the
@@ -38,10 +38,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm.common import batch_chunks, id_and_text, partitions, read_table
+from wardline.llm.class_lm import frequent_words
+from wardline.llm.common import batch_chunks, chunks, id_and_text, partitions, read_table, zipped
 from wardline.llm.components import connected_components
 from wardline.llm.words import BASE, U64, mix, split_words
 from wardline.session import materialize
@@ -52,19 +54,19 @@ SHARE = (4, 5)
 
 # Lists up to this long are turned into pairs.
 SHORT_LIST = 40
-# A token counts as frequent in a group of texts if it is in this many of them, and in one in so many.
-FREQUENT_LEAST, FREQUENT_SHARE = 8, 500
+# A task reports tokens that this many of its texts hold; sums of reports order the frequent tokens.
+FREQUENT_LEAST = 3
 # At most this many frequent tokens are put last; which ones does not change the result.
 FREQUENT_TOKENS = 1 << 17
 # Entries of a frequent token are spread over so many parts of the shuffle that each gets about this many.
 SPREAD_ENTRIES = 20_000
 # Tokens that a task gathers before it hands them on.
-GATHERED = 2_000_000
+GATHERED = 5_000_000
 
 MULTIPLIERS = [U64(pow(BASE, k + 2, 1 << 64) | 1) for k in range(WORDS)]
 SET_SCHEMA = "doc_id bigint, n int, set bigint, token bigint, documents bigint"
-ENTRY_SCHEMA = "part int, tokens binary, sets binary, sizes binary"
-LIST_SCHEMA = "list bigint, weight bigint, set bigint, n int"
+ENTRY_SCHEMA = "part int, tokens binary, sets binary"
+LIST_SCHEMA = "list bigint, weight bigint, set bigint"
 
 
 def token_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -134,7 +136,7 @@ def _sets(docs: DataFrame) -> DataFrame:
 
 def _frequent(sets: list[np.ndarray]) -> pa.RecordBatch:
     tokens, n = np.unique(np.concatenate(sets), return_counts=True)
-    often = n >= max(FREQUENT_LEAST, len(sets) // FREQUENT_SHARE)
+    often = n >= FREQUENT_LEAST
     tokens, n = tokens[often], n[often]
     empty = [pa.nulls(len(tokens), t) for t in (pa.int64(), pa.int32(), pa.int64())]
     return pa.RecordBatch.from_arrays(
@@ -172,9 +174,9 @@ class Frequent:
 
 
 def _token_lists(docs: DataFrame, frequent: Frequent) -> DataFrame:
-    """Documents that share prefix tokens: list, weight (tokens with just these members), set, n."""
+    """Documents that share prefix tokens: list, weight (tokens with just these members), set."""
     spark = docs.sparkSession
-    parts = 8 * partitions(spark)
+    parts = 4 * partitions(spark)
     shared = spark.sparkContext.broadcast(frequent)
 
     def entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +191,7 @@ def _token_lists(docs: DataFrame, frequent: Frequent) -> DataFrame:
                 often = places >= 0
                 if often.any():
                     spread[often] = digest % (1 + shared.value.documents[places[often]] // SPREAD_ENTRIES)
-                gathered.append((prefix, spread, digest, len(tokens)))
+                gathered.append((prefix, spread, digest))
                 held += len(prefix)
             if held >= GATHERED:
                 yield _entries(gathered, parts)
@@ -198,15 +200,14 @@ def _token_lists(docs: DataFrame, frequent: Frequent) -> DataFrame:
             yield _entries(gathered, parts)
 
     def lists(table: pa.Table) -> pa.Table:
-        tokens, sets, sizes = (
-            np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
-            for c, kind in (("tokens", U64), ("sets", np.int64), ("sizes", np.int32))
+        tokens, sets = (
+            np.frombuffer(b"".join(table.column(c).to_pylist()), kind) for c, kind in (("tokens", U64), ("sets", np.int64))
         )
         order = np.lexsort((sets, tokens))
-        tokens, sets, sizes = tokens[order], sets[order], sizes[order]
+        tokens, sets = tokens[order], sets[order]
         new = np.ones(len(tokens), bool)
         new[1:] = (tokens[1:] != tokens[:-1]) | (sets[1:] != sets[:-1])
-        tokens, sets, sizes = tokens[new], sets[new], sizes[new]
+        tokens, sets = tokens[new], sets[new]
         starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
         lengths = np.diff(np.append(starts, len(tokens)))
         often = shared.value.places(tokens[starts])
@@ -226,13 +227,12 @@ def _token_lists(docs: DataFrame, frequent: Frequent) -> DataFrame:
                 "list": unique.view(np.int64)[of],
                 "weight": weight[of].astype(np.int64),
                 "set": sets[at],
-                "n": sizes[at],
             }
         )
 
     found = docs.mapInArrow(entries, ENTRY_SCHEMA).groupBy("part").applyInArrow(lists, LIST_SCHEMA)
     # Parts of the shuffle count their own tokens of a list; parts of a spread list hold different members.
-    return found.groupBy("list", "set", "n").agg(F.sum("weight").alias("weight"))
+    return found.groupBy("list", "set").agg(F.sum("weight").alias("weight"))
 
 
 def _entries(gathered: list[tuple], parts: int) -> pa.RecordBatch:
@@ -240,15 +240,14 @@ def _entries(gathered: list[tuple], parts: int) -> pa.RecordBatch:
     spread = np.concatenate([g[1] for g in gathered])
     lengths = [len(g[0]) for g in gathered]
     sets = np.repeat(np.array([g[2] for g in gathered], np.int64), lengths)
-    sizes = np.repeat(np.array([g[3] for g in gathered], np.int32), lengths)
     part = ((mix(tokens + spread.astype(U64)) >> U64(20)) % U64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
     numbers, first = np.unique(part[order], return_index=True)
     cuts = [*first.tolist(), len(order)]
-    columns = [[x[order[a:b]].tobytes() for a, b in zip(cuts, cuts[1:])] for x in (tokens, sets, sizes)]
+    columns = [[x[order[a:b]].tobytes() for a, b in zip(cuts, cuts[1:])] for x in (tokens, sets)]
     return pa.RecordBatch.from_arrays(
         [pa.array(numbers.astype(np.int32)), *(pa.array(c, pa.binary()) for c in columns)],
-        names=["part", "tokens", "sets", "sizes"],
+        names=["part", "tokens", "sets"],
     )
 
 
@@ -274,8 +273,7 @@ def _least_shared(n: Column, m: Column) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose sets link."""
-    tokens_of = lambda side: sets.select(F.col("set").alias(side), F.col("tokens").alias(f"tokens_{side}"))
+    """Pairs (a, b) whose sets link, from pairs that bring the set of b: a, b, tokens_b."""
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -287,7 +285,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 pa.array(linked, pa.bool_())
             )
 
-    joined = pairs.select("a", "b").join(tokens_of("b"), "b").join(tokens_of("a"), "a")
+    joined = pairs.join(sets.select(F.col("set").alias("a"), F.col("tokens").alias("tokens_a")), "a")
     return joined.mapInArrow(check, "a bigint, b bigint")
 
 
@@ -296,16 +294,26 @@ def _link(x: np.ndarray, y: np.ndarray) -> bool:
     return SHARE[1] * common >= SHARE[0] * (len(x) + len(y) - common)
 
 
-def _apart(pairs: DataFrame, components: DataFrame) -> DataFrame:
-    """Pairs whose ends are not in one component yet."""
+def _named(pairs: DataFrame, components: DataFrame) -> DataFrame:
+    """Pairs with the components of their ends; a set without links is its own."""
     for side in ("a", "b"):
         own = components.select(F.col("node").alias(side), F.col("component").alias(f"component_{side}"))
         pairs = pairs.join(own, side, "left").withColumn(f"component_{side}", F.coalesce(f"component_{side}", side))
-    return pairs.where("component_a != component_b").drop("component_a", "component_b")
+    return pairs
+
+
+def _apart(pairs: DataFrame, components: DataFrame) -> DataFrame:
+    """Pairs whose ends are not in one component yet."""
+    return _named(pairs, components).where("component_a != component_b").select("a", "b")
+
+
+def _between(links: DataFrame, components: DataFrame) -> DataFrame:
+    """Links as edges between components."""
+    return _named(links, components).select(F.col("component_a").alias("a"), F.col("component_b").alias("b"))
 
 
 def _short_pairs(members: DataFrame, lists: DataFrame) -> DataFrame:
-    """Pairs of short lists that share enough prefix tokens: a, b."""
+    """Pairs of short lists that share enough prefix tokens: a, b, shared."""
     short = members.join(lists.where(F.col("members") <= SHORT_LIST).select("list"), "list")
     long_weight = (
         members.join(lists.where(F.col("members") > SHORT_LIST).select("list"), "list")
@@ -325,16 +333,22 @@ def _short_pairs(members: DataFrame, lists: DataFrame) -> DataFrame:
         pairs = pairs.join(own, side, "left")
     # What two sets share in long lists is not counted; it is no more than what either has there.
     beyond = F.least(F.coalesce("long_a", F.lit(0)), F.coalesce("long_b", F.lit(0)))
-    return pairs.where(F.col("shared") + beyond >= _least_shared(F.col("n_a"), F.col("n_b"))).select("a", "b")
+    return pairs.where(F.col("shared") + beyond >= _least_shared(F.col("n_a"), F.col("n_b"))).select("a", "b", "shared")
 
 
 def _star_pairs(members: DataFrame, lists: DataFrame) -> DataFrame:
-    """Members of long lists with the least member of the list: a, b."""
-    long = lists.where(F.col("members") > SHORT_LIST).select("list", "least", "least_n")
-    pairs = members.join(long, "list").where(
-        (F.col("set") != F.col("least")) & _may_link(F.col("n"), F.col("least_n"))
-    )
-    return pairs.select(F.col("least").alias("a"), F.col("set").alias("b")).distinct()
+    """Members of long lists with the centre of the list: a, b, shared.
+
+    The centre is the member that shares most prefix tokens in long lists: the text from which
+    edited copies were made has no rare tokens of its own, so more of its prefix is shared.
+    """
+    long = members.join(lists.where(F.col("members") > SHORT_LIST).select("list"), "list")
+    weights = long.groupBy("set").agg(F.sum("weight").alias("total"))
+    long = materialize(long.join(weights, "set"), "long-lists")
+    centre = F.max_by(F.struct("set", "n"), F.struct("total", -F.col("set"))).alias("centre")
+    centres = materialize(long.groupBy("list").agg(centre).select("list", "centre.*").toDF("list", "a", "n_a"), "centres")
+    pairs = long.join(centres, "list").where((F.col("set") != F.col("a")) & _may_link(F.col("n"), F.col("n_a")))
+    return pairs.groupBy("a", F.col("set").alias("b")).agg(F.sum("weight").alias("shared"))
 
 
 def _matrix_pairs(members: DataFrame, lists: DataFrame, components: DataFrame) -> DataFrame:
@@ -380,40 +394,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = id_and_text(docs, id_col, text_col)
     scanned = materialize(_sets(rows), "shingle-sets")
     described = scanned.where("token is null").select("doc_id", "n", "set")
-    frequent = (
-        scanned.where("token is not null")
-        .groupBy("token")
-        .agg(F.sum("documents").alias("documents"))
-        .orderBy(F.desc("documents"), "token")
-        .limit(FREQUENT_TOKENS)
-        .toPandas()
-    )
+    reports = scanned.where("token is not null").groupBy("token").agg(F.sum("documents").alias("n"))
+    frequent = frequent_words(materialize(reports, "frequent-tokens"), FREQUENT_TOKENS).toPandas()
     tokens = frequent["token"].to_numpy(np.int64).view(U64)
     order = np.argsort(tokens)
-    found = Frequent(tokens[order], frequent["documents"].to_numpy(np.int64)[order])
-
-    members = materialize(_token_lists(rows, found), "token-lists")
-    # The least set of a list, with its size.
-    least = F.min(F.struct("set", "n"))
-    lists = materialize(
-        members.groupBy("list")
-        .agg(F.count("*").alias("members"), least.alias("least"))
-        .where("members > 1")
-        .select("list", "members", F.col("least.set").alias("least"), F.col("least.n").alias("least_n")),
-        "token-list-sizes",
-    )
-    pairs = materialize(_short_pairs(members, lists), "short-pairs")
-    stars = materialize(_star_pairs(members, lists), "star-pairs")
-    sets = _needed_sets(rows, described, [pairs, stars], members, lists)
-
-    # Each document with its least partner first: most pairs are connected then.
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = materialize(_verified(first.unionByName(stars).distinct(), sets), "links")
-    components = materialize(connected_components(links), "components")
-    rest = _apart(pairs.unionByName(_matrix_pairs(members, lists, components)).distinct(), components)
+    found = Frequent(tokens[order], frequent["n"].to_numpy(np.int64)[order])
+
+    sizes = described.select("set", "n").distinct()
+    members = materialize(_token_lists(rows, found).join(sizes, "set"), "token-lists")
+    lists = members.groupBy("list").agg(F.count("*").alias("members")).where("members > 1")
+    lists = materialize(lists, "token-list-sizes")
+    pairs = materialize(_short_pairs(members, lists).unionByName(_star_pairs(members, lists)), "pairs")
+    # Each document with the one that it shares most with: most pairs are connected then.
+    nearest = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
+    nearest = nearest.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
+    sets = _needed_sets(rows, described, nearest, members, lists)
+
+    first = sets.where("a is not null").select("a", F.col("set").alias("b"), F.col("tokens").alias("tokens_b"))
+    components = connected_components(_verified(first, sets))
+    components = materialize(components, "components")
+    rest = pairs.select("a", "b").unionByName(_matrix_pairs(members, lists, components)).distinct()
+    rest = _apart(rest, components).join(sets.select(F.col("set").alias("b"), F.col("tokens").alias("tokens_b")), "b")
     more = materialize(_verified(rest, sets), "links")
     if not more.isEmpty():
-        components = materialize(connected_components(links.unionByName(more)), "components")
+        # Components that the rest connects, found among components.
+        joined = connected_components(_between(more, components)).withColumnRenamed("component", "joined")
+        named = components.join(joined.withColumnRenamed("node", "component"), "component", "left")
+        named = named.select("node", F.coalesce("joined", "component").alias("component"))
+        alone = joined.join(components, "node", "left_anti").withColumnRenamed("joined", "component")
+        components = materialize(named.unionByName(alone), "components")
     return _with_components(described, components)
 
 
@@ -425,33 +434,31 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return docs.join(named, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
 
 
-def _needed_sets(rows: DataFrame, described: DataFrame, pairs: list[DataFrame], members: DataFrame, lists: DataFrame) -> DataFrame:
-    """The sets that may have to be compared, each once: set, tokens."""
-    named = [p.select(F.col(side).alias("set")) for p in pairs for side in ("a", "b")]
-    # Which members of long lists meet is known only when groups are.
+def _needed_sets(rows: DataFrame, described: DataFrame, nearest: DataFrame, members: DataFrame, lists: DataFrame) -> DataFrame:
+    """The sets that may have to be compared: set, tokens, and the set that each is compared with first (a)."""
+    # Which members of long lists meet is known only when groups are. Both ends of a pair have a nearest.
     wanted = members.join(lists.where(F.col("members") > SHORT_LIST).select("list"), "list").select("set")
-    for other in named:
-        wanted = wanted.unionByName(other)
-    holders = (
-        described.join(wanted.distinct(), "set", "left_semi").groupBy("set").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "set")
-    )
-    holders = materialize(holders, "set-holders")
-    texts = rows.join(holders, rows["doc_id"].eqNullSafe(holders["doc_id"])).select("set", "text")
+    wanted = wanted.unionByName(nearest.select(F.col("b").alias("set"))).distinct()
+    holders = described.join(wanted, "set", "left_semi").groupBy("set").agg(F.min("doc_id").alias("doc_id"))
+    first = nearest.select(F.col("b").alias("set"), "a")
+    holders = materialize(holders.join(first, "set", "left"), "set-holders")
+    packed = zipped(rows)
+    texts = packed.join(holders, packed["doc_id"].eqNullSafe(holders["doc_id"])).select("set", "a", "zipped")
 
     def tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            renamed = pa.RecordBatch.from_arrays([batch.column("set"), batch.column("text")], names=["doc_id", "text"])
-            for wanted, texts in batch_chunks([renamed]):
-                found = token_sets(texts)
-                # Rows may share an id: only the text with the wanted set counts.
-                kept = [(w, s.tobytes()) for w, s in zip(wanted, found) if _digest(s) == w]
+            named = list(zip(batch.column("set").to_pylist(), batch.column("a").to_pylist()))
+            for names, texts in chunks(named, [unpack.decompress(z) for z in batch.column("zipped").to_pylist()]):
+                # Rows may share an id: only a text with the wanted set counts.
+                kept = [(*name, s.tobytes()) for name, s in zip(names, token_sets(texts)) if _digest(s) == name[0]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([w for w, _ in kept], pa.int64()), pa.array([s for _, s in kept], pa.binary())],
-                    names=["set", "tokens"],
+                    [pa.array([k[i] for k in kept], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))],
+                    names=["set", "a", "tokens"],
                 )
 
-    found = texts.mapInArrow(tokens, "set bigint, tokens binary")
-    return materialize(found.dropDuplicates(["set"]), "token-sets")
+    # Rows that agree in id and text give a set twice, and its links twice, which changes nothing.
+    return materialize(texts.mapInArrow(tokens, "set bigint, a bigint, tokens binary"), "token-sets")
 
 
 def _with_components(described: DataFrame, components: DataFrame) -> DataFrame:

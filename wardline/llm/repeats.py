@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm.common import id_and_text, partitions, read_table, text_bytes
+from wardline.llm.common import id_and_text, partitions, read_table, text_bytes, zipped
 from wardline.llm.words import U64, _powers, byte_values, mix, ranges
 from wardline.session import materialize
 
@@ -55,7 +55,6 @@ SENT = 5
 
 FIRST = np.iinfo(np.int64).min
 
-ZIPPED_SCHEMA = "doc_id bigint, same bigint, zipped binary"
 TRIGGER_SCHEMA = "part int, batch bigint, hashes binary, counts binary, doc_ids binary, sames binary"
 SHARED_SCHEMA = "batch bigint, ordinal int, hashes binary, doc_id bigint, same bigint"
 PHRASE_SCHEMA = "part int, batch bigint, zipped binary, starts binary, ends binary, ordinal int, doc_id bigint, same bigint"
@@ -122,21 +121,6 @@ def _parse_all(texts: list[bytes]) -> list[tuple[np.ndarray, ...]]:
 # --- triggers that several documents hold ---
 
 
-def _zipped(docs: DataFrame) -> DataFrame:
-    """Texts packed for the shuffle: doc_id, same (a hash of the text), zipped."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            zipped = [pack.compress(t) for t in text_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("same"), pa.array(zipped, pa.binary())],
-                names=["doc_id", "same", "zipped"],
-            )
-
-    return docs.mapInArrow(run, ZIPPED_SCHEMA)
-
-
 def _gather(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list, list[bytes]]]:
     """(doc ids, text hashes, texts) of about ``GATHERED_BYTES``."""
     ids, sames, texts, size = [], [], [], 0
@@ -464,18 +448,18 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         hashed.join(earliest.where("n > 1"), "whole").where("place > least").select("doc_id", "same").distinct(), "copies"
     )
     shared = materialize(_shared_triggers(rows), "triggers-by-text")
-    zipped = _zipped(rows)
+    packed = zipped(rows)
     with_ids = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["same"] == b["same"])
     asked = shared.join(copies, with_ids(shared, copies), "left_anti")
-    marks = _marks(zipped.join(asked, with_ids(zipped, asked)).select(zipped["*"], asked["hashes"]))
+    marks = _marks(packed.join(asked, with_ids(packed, asked)).select(packed["*"], asked["hashes"]))
     found = materialize(
         marks.withColumn("copy", F.lit(False)).unionByName(
             copies.withColumns({"starts": F.array().cast("array<binary>"), "ends": F.array().cast("array<binary>"), "copy": F.lit(True)})
         ),
         "repeats",
     )
-    joined = zipped.join(found, with_ids(zipped, found), "left")
-    return joined.select(zipped["doc_id"], "zipped", F.coalesce("copy", F.lit(False)).alias("copy"), "starts", "ends")
+    joined = packed.join(found, with_ids(packed, found), "left")
+    return joined.select(packed["doc_id"], "zipped", F.coalesce("copy", F.lit(False)).alias("copy"), "starts", "ends")
 
 
 REMOVED_SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
