@@ -55,7 +55,8 @@ GENERALISED = "[TERM]"
 TERM = r"[\p{L}]{4,}+"
 TERM_KIND = "term"
 
-SPAN = "array<struct<start:int,end:int,rank:int,kind:string,value:string>>"
+# Fields in the order by which spans are sorted.
+SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
 
 
 def _spans(text: Column, kind: str, rank: int, pattern: str) -> Column:
@@ -71,8 +72,8 @@ def _spans(text: Column, kind: str, rank: int, pattern: str) -> Column:
         end = begin + F.length(pair["f"])
         span = F.struct(
             begin.alias("start"),
-            end.alias("end"),
             F.lit(rank).alias("rank"),
+            end.alias("end"),
             F.lit(kind).alias("kind"),
             pair["f"].alias("value"),
         )
@@ -129,7 +130,7 @@ def base_spans(text: Column) -> Column:
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, text (null without spans), base (spans), added (terms, as spans).
 
-    A span has start, end, rank, kind and value; the value of a term is what stands in its place.
+    A span has start, rank (of its kind), end, kind and value; the value of a term is what stands in its place.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
@@ -155,8 +156,8 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 F.collect_list(
                     F.struct(
                         F.col("place.start").alias("start"),
-                        F.col("place.end").alias("end"),
                         F.lit(len(KINDS)).alias("rank"),
+                        F.col("place.end").alias("end"),
                         F.lit(TERM_KIND).alias("kind"),
                         F.col("in_place").alias("value"),
                     )
