@@ -197,6 +197,15 @@ class LanguageModels:
 
     def score_words(self, words: list[str]) -> np.ndarray:
         """Log-probability of each word and the blank after it, in each language."""
+        sums = np.cumsum(self.character_scores(words), axis=0)
+        return np.diff(sums[self._blanks(words)], axis=0)
+
+    @staticmethod
+    def _blanks(words: list[str]) -> np.ndarray:
+        return np.cumsum([0, *(len(w) + 1 for w in words)])
+
+    def character_scores(self, words: list[str]) -> np.ndarray:
+        """Log-probability of each character of the words, a blank ahead of each and after the last."""
         letters = Letters.of(words)
         p = np.full((len(letters.values), len(self.languages)), self.log_uniform) + self.first_rest
         shorter = None
@@ -214,9 +223,7 @@ class LanguageModels:
             p[here] = np.where(np.isnan(own), p[here], own)
             shorter = found
         p[0] = 0
-        ends = np.flatnonzero(letters.values == 32)
-        sums = np.cumsum(p, axis=0)[ends]
-        return np.diff(sums, axis=0)
+        return p
 
     def entropies(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Per text the cross-entropy per character in each language, and whether it has a letter."""
