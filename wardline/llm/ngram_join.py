@@ -55,13 +55,13 @@ SHARE = (4, 5)
 # Lists up to this long are turned into pairs.
 SHORT_LIST = 40
 # A task reports tokens that this many of its texts hold; sums of reports order the frequent tokens.
-FREQUENT_LEAST = 3
+FREQUENT_LEAST = 2
 # At most this many frequent tokens are put last; which ones does not change the result.
 FREQUENT_TOKENS = 1 << 17
 # Entries of a frequent token are spread over so many parts of the shuffle that each gets about this many.
 SPREAD_ENTRIES = 20_000
 # Tokens that a task gathers before it hands them on.
-GATHERED = 5_000_000
+GATHERED = 2_000_000
 
 MULTIPLIERS = [U64(pow(BASE, k + 2, 1 << 64) | 1) for k in range(WORDS)]
 SET_SCHEMA = "doc_id bigint, n int, set bigint, token bigint, documents bigint"
