@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 # not depend on the size of an Arrow batch.
 CHUNK_BYTES = 2_000_000
 # An Arrow batch holds at most about this many bytes, however long its texts are.
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 2_000_000
 DEFAULT_BATCH = "67108864b"
 
 

@@ -60,8 +60,10 @@ FREQUENT_LEAST = 2
 FREQUENT_TOKENS = 1 << 17
 # Entries of a frequent token are spread over so many parts of the shuffle that each gets about this many.
 SPREAD_ENTRIES = 20_000
+# Texts are turned into sets in groups of about this many bytes.
+GROUP_BYTES = 500_000
 # Tokens that a task gathers before it hands them on.
-GATHERED = 2_000_000
+GATHERED = 1_000_000
 
 MULTIPLIERS = [U64(pow(BASE, k + 2, 1 << 64) | 1) for k in range(WORDS)]
 SET_SCHEMA = "doc_id bigint, n int, set bigint, token bigint, documents bigint"
@@ -106,7 +108,7 @@ def _sets(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered, held, seen = [], 0, set()
-        for ids, texts in batch_chunks(batches):
+        for ids, texts in batch_chunks(batches, GROUP_BYTES):
             sets = token_sets(texts)
             digests = [_digest(s) for s in sets]
             n = len(ids)
@@ -181,7 +183,7 @@ def _token_lists(docs: DataFrame, frequent: Frequent) -> DataFrame:
 
     def entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered, held, seen = [], 0, set()
-        for _, texts in batch_chunks(batches):
+        for _, texts in batch_chunks(batches, GROUP_BYTES):
             for tokens in token_sets(texts):
                 if not len(tokens) or (digest := _digest(tokens)) in seen:
                     continue
@@ -443,13 +445,14 @@ def _needed_sets(rows: DataFrame, described: DataFrame, nearest: DataFrame, memb
     first = nearest.select(F.col("b").alias("set"), "a")
     holders = materialize(holders.join(first, "set", "left"), "set-holders")
     packed = zipped(rows)
-    texts = packed.join(holders, packed["doc_id"].eqNullSafe(holders["doc_id"])).select("set", "a", "zipped")
+    # Holders grow with the corpus: the join is the same shuffle for any number of them.
+    texts = packed.join(holders.hint("merge"), packed["doc_id"].eqNullSafe(holders["doc_id"])).select("set", "a", "zipped")
 
     def tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             named = list(zip(batch.column("set").to_pylist(), batch.column("a").to_pylist()))
-            for names, texts in chunks(named, [unpack.decompress(z) for z in batch.column("zipped").to_pylist()]):
+            for names, texts in chunks(named, [unpack.decompress(z) for z in batch.column("zipped").to_pylist()], GROUP_BYTES):
                 # Rows may share an id: only a text with the wanted set counts.
                 kept = [(*name, s.tobytes()) for name, s in zip(names, token_sets(texts)) if _digest(s) == name[0]]
                 yield pa.RecordBatch.from_arrays(
