@@ -18,7 +18,7 @@ from wardline.plans.layout import write_by_month
 from wardline.schema import APPOINTMENTS, BILLING, CORRUPT, ENTITIES, PATIENTS, Entity
 from wardline.session import materialize, scratch_root
 from wardline.sources import Core, open_core, read_csv_extract
-from wardline.sources.core import MONTH, read_core_table
+from wardline.sources.core import MONTH, read_monthly
 
 try:
     from wardline.llm import queries as llm
@@ -111,6 +111,7 @@ def _dirty(spark: SparkSession, sf_dir: str) -> _Dirty:
 def _source_queries() -> dict[str, Query]:
     out: dict[str, Query] = {f"source_{e.file.removesuffix('.csv')}": _csv_round_trip(e) for e in ENTITIES.values()}
     out["source_bad_rows"] = _bad_rows
+    out["source_bad_times"] = _bad_times
     return out
 
 
@@ -127,7 +128,8 @@ def _csv_round_trip(entity: Entity) -> Query:
         rows = testbed.clean_feed(spark, sf_dir)[entity.name]
         if entity is APPOINTMENTS:
             rows = rows.withColumn("Appointment_Time", F.regexp_replace("Appointment_Time", "^0", ""))
-        return read_csv_extract(spark, entity, _write_csv(rows)).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        # Unreadable rows would show as rows without a counterpart.
+        return read_csv_extract(spark, entity, _write_csv(rows)).drop(CORRUPT)
 
     return query
 
@@ -142,6 +144,14 @@ def _bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.reject_rows(materialize(read_csv_extract(spark, PATIENTS, _write_csv(broken)), "raw"), PATIENTS)
 
 
+def _bad_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appointments whose time is written in seven ways, three of which are none."""
+    rows = testbed.clean_feed(spark, sf_dir)["Appointments"]
+    written = F.array(*map(F.lit, [None, "noon", "25:00", "8:5", "8:00", "23:59:59", "08:15:00.5"]))
+    rows = rows.withColumn("Appointment_Time", written[(F.col("Appointment_ID").cast("bigint") % 7).cast("int")])
+    return quality.reject_rows(materialize(read_csv_extract(spark, APPOINTMENTS, _write_csv(rows)), "raw"), APPOINTMENTS)
+
+
 # --- quality ---
 
 # Query name and rule text.
@@ -208,7 +218,19 @@ def _load_queries() -> dict[str, Query]:
         return _checked(_dirty(spark, sf_dir).clean).where(F.col("Check").startswith("not found "))
 
     def length_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _checked(_core(spark, sf_dir).tables()).where(F.col("Check").startswith("longer "))
+        """On a delivery that writes genders out for every fifth patient."""
+        tables = _core(spark, sf_dir).tables()
+        long = F.when(F.col("Patient_ID").cast("int") % 5 == 0, "not stated yet").otherwise(F.col("Gender"))
+        tables["Patients"] = tables["Patients"].withColumn("Gender", long)
+        return _checked(tables).where(F.col("Check").startswith("longer "))
+
+    def guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """A delivery without treatments."""
+        feed = testbed.clean_feed(spark, sf_dir)
+        return load.staging_status(feed | {"Treatments": feed["Treatments"].where(F.lit(False))})
+
+    def by_month(name: str) -> Query:
+        return lambda spark, sf_dir: _core_by_month(spark, sf_dir).tables()[name]
 
     def publish(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Row counts after a load of the dirty delivery has failed: those of the clean one."""
@@ -223,7 +245,10 @@ def _load_queries() -> dict[str, Query]:
     out: dict[str, Query] = {f"core_{name.lower()}": core_table(name) for name in ENTITIES}
     return out | {
         "load_exclude_quarantined": remaining,
-        "load_guard_empty": lambda spark, sf_dir: load.staging_status(testbed.clean_feed(spark, sf_dir)),
+        "load_guard_empty": guard,
+        "core_appointments_by_month": by_month("Appointments"),
+        "core_billing_by_month": by_month("Billing"),
+        "layout_treatment_lookup": _treatment_lookup,
         "check_primary_key": key_checks,
         "check_foreign_key": reference_checks,
         "check_length": length_checks,
@@ -249,14 +274,32 @@ def _by_month(spark: SparkSession, sf_dir: str, entity: Entity) -> DataFrame:
     def prepare() -> DataFrame:
         path = f"{scratch_root(spark)}/by-month-{uuid.uuid4().hex}"
         write_by_month(_core(spark, sf_dir).tables()[entity.name], entity, path, files=8)
-        return read_core_table(spark, entity, path, by_month=True)
+        return read_monthly(spark, entity, path)
 
     return _once(f"{entity.name} by month", spark, sf_dir, prepare)
 
 
 def _revenue_by_month_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _core(spark, sf_dir).tables() | {"Billing": _by_month(spark, sf_dir, BILLING)}
-    return procedures.revenue_report(Core.of(tables), *PERIOD)
+    monthly = Core.of(_core(spark, sf_dir).tables(), {"Billing": _by_month(spark, sf_dir, BILLING)})
+    return procedures.revenue_report(monthly, *PERIOD)
+
+
+def _core_by_month(spark: SparkSession, sf_dir: str) -> Core:
+    """The clean delivery, loaded in the layout for large tables."""
+
+    def prepare() -> Core:
+        root = f"{scratch_root(spark)}/clinic-by-month-{uuid.uuid4().hex}"
+        load.load(spark, testbed.clean_feed(spark, sf_dir), root, testbed.AS_OF, layout_rows=0)
+        return open_core(spark, root)
+
+    return _once("core by month", spark, sf_dir, prepare)
+
+
+def _treatment_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Treatments of one appointment, from the layout in which their files can be skipped."""
+    treatments = _core_by_month(spark, sf_dir).treatments
+    last = treatments.agg(F.max("Appointment_ID")).first()[0]
+    return treatments.where(F.col("Appointment_ID") == last).select("Treatment_ID", "Appointment_ID", "Cost")
 
 
 # --- views, reports, summaries, insights ---
@@ -290,7 +333,7 @@ def _reporting_queries() -> dict[str, Query]:
         "report_age_gender": on_core(reports.age_gender, testbed.AS_OF),
         "report_kpi_summary": on_core(reports.kpi_summary),
         # The paths for large tables, forced on all rows of the small ones.
-        "global_dense_rank": on_core(reports.top_patients, one_task_rows=0, buckets=16),
+        "global_dense_rank": on_core(reports.top_patients, one_task_rows=0, buckets=1_024),
         "retention_in_pieces": on_core(reports.patient_retention, chunk=1, one_task_copies=0),
         "proc_patient_analysis": on_core(procedures.patient_analysis, "12"),
         "proc_doctor_performance": on_core(procedures.doctor_performance, "5"),

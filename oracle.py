@@ -46,11 +46,16 @@ chain as (
 
 # The clean tables, as they are after a load.
 _CLEAN = """
-with patients as (
+with dealt as (
+  select *, o_custkey + case when o_custkey % 10 = 0 then 1 else 0 end as patient,
+         o_orderkey % (select count(*) from supplier) as doctor
+  from orders
+),
+patients as (
   select cast(c_custkey as varchar) as Patient_ID,
          substring(c_name, 1, 8) as First_Name, substring(c_name, 10) as Last_Name,
          case when c_custkey % 2 = 0 then 'F' else 'M' end as Gender,
-         date '1940-01-01' + cast(c_custkey * 7919 % 25550 as integer) as Date_Of_Birth,
+         case when c_custkey % 11 <> 0 then date '1940-01-01' + cast(c_custkey * 7919 % 25550 as integer) end as Date_Of_Birth,
          cast(null as varchar) as Contact_Number, cast(null as varchar) as Address,
          date '1990-01-01' + cast(c_custkey % 1825 as integer) as Registration_Date,
          c_mktsegment as Insurance_Provider, 'INS' || c_custkey as Insurance_Number,
@@ -59,15 +64,15 @@ with patients as (
 ),
 doctors as (
   select cast(s_suppkey as varchar) as Doctor_ID,
-         substring(s_name, 1, 8) as First_Name, substring(s_name, 10) as Last_Name,
+         substring(s_name, 1, 8) as First_Name, case when s_suppkey % 7 <> 0 then substring(s_name, 10) end as Last_Name,
          n_name as Specialization, cast(null as varchar) as Phone_Number,
          cast(null as integer) as Years_Experience, cast(null as varchar) as Hospital_Branch,
          cast(null as varchar) as Email
   from supplier join nation on s_nationkey = n_nationkey
 ),
 appointments as (
-  select cast(o_orderkey as varchar) as Appointment_ID, cast(o_custkey as varchar) as Patient_ID,
-         cast(o_orderkey % (select count(*) from supplier) as varchar) as Doctor_ID,
+  select cast(o_orderkey as varchar) as Appointment_ID, cast(patient as varchar) as Patient_ID,
+         cast(doctor + case when doctor % 10 = 0 then 1 else 0 end as varchar) as Doctor_ID,
          cast(o_orderdate as date) as Appointment_Date,
          lpad(cast(o_orderkey % 10 + 8 as varchar), 2, '0') || ':'
            || lpad(cast(o_orderkey % 4 * 15 as varchar), 2, '0') || ':00' as Appointment_Time,
@@ -75,50 +80,58 @@ appointments as (
          case when o_orderpriority = '5-LOW' then 'Cancelled'
               else case o_orderstatus when 'F' then 'Completed' when 'P' then 'No-show' when 'O' then 'Scheduled' end
          end as Status
-  from orders
-),
-once as (
-  select l_orderkey as ok, l_linenumber as ln from lineitem group by all having count(*) = 1
+  from dealt
 ),
 treatments as (
   select cast(l_orderkey * 10 + l_linenumber as varchar) as Treatment_ID,
-         cast(l_orderkey as varchar) as Appointment_ID, p_type as Treatment_Type,
+         cast(l_orderkey as varchar) as Appointment_ID, min(p_type) as Treatment_Type,
          cast(null as varchar) as Description,
-         cast(l_extendedprice as decimal(10,2)) as Cost, cast(l_shipdate as date) as Treatment_Date
-  from lineitem join once on ok = l_orderkey and ln = l_linenumber join part on p_partkey = l_partkey
+         cast(max(l_extendedprice) as decimal(10,2)) as Cost, cast(min(l_shipdate) as date) as Treatment_Date
+  from lineitem join part on p_partkey = l_partkey group by l_orderkey, l_linenumber
 ),
 billing as (
-  select cast(l_orderkey * 10 + l_linenumber as varchar) as Bill_ID,
-         cast(o_custkey as varchar) as Patient_ID,
+  select l_orderkey * 10 + l_linenumber || '-' || row_number() over (
+           partition by l_orderkey, l_linenumber
+           order by l_extendedprice, l_discount, l_shipdate, l_returnflag, l_quantity) as Bill_ID,
+         cast(case when l_linenumber <> 1 then o_custkey
+                   when o_custkey % 2 = 0 then o_custkey + 1 else o_custkey - 1 end as varchar) as Patient_ID,
          cast(l_orderkey * 10 + l_linenumber as varchar) as Treatment_ID,
          cast(l_shipdate as date) as Bill_Date,
          cast(cast(l_extendedprice as decimal(12,2)) * (1 - cast(l_discount as decimal(4,2))) as decimal(10,2)) as Amount,
          o_orderpriority as Payment_Method,
          case l_returnflag when 'A' then 'Paid' when 'N' then 'Pending' when 'R' then 'Failed' end as Payment_Status
-  from lineitem join once on ok = l_orderkey and ln = l_linenumber join orders on o_orderkey = l_orderkey
+  from lineitem join orders on o_orderkey = l_orderkey
 ),
 """ + _CHAIN
 
 # The staged rows of the dirty delivery.
 _DIRTY = """
 with patients as (
-  select case when c_acctbal between 8800 and 9000 then null else cast(c_custkey as varchar) end as Patient_ID,
+  select case when c_acctbal between 8800 and 9000 then null
+              when c_acctbal < -500 then 'X' || c_custkey else cast(c_custkey as varchar) end as Patient_ID,
          substring(c_name, 1, 8) as First_Name,
          case when c_acctbal between 0 and 500 then null else substring(c_name, 10) end as Last_Name,
-         date '1940-01-01' + cast(c_custkey * 7919 % 25550 as integer) as Date_Of_Birth,
+         case when c_custkey % 11 <> 0 then date '1940-01-01' + cast(c_custkey * 7919 % 25550 as integer) end as Date_Of_Birth,
          date '1990-01-01' + cast(c_custkey % 1825 as integer) as Registration_Date
-  from customer, range(case when c_acctbal > 9000 then 2 when c_acctbal >= -500 then 1 else 0 end)
+  from customer, range(case when c_acctbal > 9000 then 2 else 1 end)
 ),
 doctors as (
-  select case when s_acctbal > 9500 then null else cast(s_suppkey as varchar) end as Doctor_ID
-  from supplier where s_acctbal >= 0
+  select case when s_acctbal > 9500 then null
+              when s_acctbal < 0 then 'X' || s_suppkey else cast(s_suppkey as varchar) end as Doctor_ID
+  from supplier
+),
+dealt as (
+  select *, o_custkey + case when o_custkey % 10 = 0 then 1 else 0 end as patient,
+         o_orderkey % (select count(*) from supplier) as doctor
+  from orders
 ),
 appointments as (
-  select cast(o_orderkey as varchar) as Appointment_ID, cast(o_custkey as varchar) as Patient_ID,
+  select case when o_totalprice < 5000 then 'X' || o_orderkey else cast(o_orderkey as varchar) end as Appointment_ID,
+         cast(patient as varchar) as Patient_ID,
          case when o_totalprice < 10000 then null
-              else cast(o_orderkey % (select count(*) from supplier) as varchar) end as Doctor_ID,
+              else cast(doctor + case when doctor % 10 = 0 then 1 else 0 end as varchar) end as Doctor_ID,
          cast(o_orderdate as date) as Appointment_Date
-  from orders, range(case when o_totalprice > 480000 then 2 when o_totalprice >= 5000 then 1 else 0 end)
+  from dealt, range(case when o_totalprice > 480000 then 2 else 1 end)
 ),
 treatments as (
   select case when l_quantity = 50 then null else cast(l_orderkey * 10 + l_linenumber as varchar) end as Treatment_ID,
@@ -126,7 +139,11 @@ treatments as (
   from lineitem
 ),
 billing as (
-  select cast(l_orderkey * 10 + l_linenumber as varchar) as Bill_ID, cast(o_custkey as varchar) as Patient_ID,
+  select l_orderkey * 10 + l_linenumber || '-' || row_number() over (
+           partition by l_orderkey, l_linenumber
+           order by l_extendedprice, l_discount, l_shipdate, l_returnflag, l_quantity) as Bill_ID,
+         cast(case when l_linenumber <> 1 then o_custkey
+                   when o_custkey % 2 = 0 then o_custkey + 1 else o_custkey - 1 end as varchar) as Patient_ID,
          cast(l_orderkey * 10 + l_linenumber as varchar) as Treatment_ID,
          cast(cast(l_extendedprice as decimal(12,2)) * (1 - cast(l_discount as decimal(4,2))) as decimal(10,2))
            * case when l_returnflag = 'R' and l_discount > 0.085 then -1 else 1 end as Amount
@@ -301,9 +318,16 @@ _CORE_LENGTHS = {
 }
 
 
+def _delivered(table: str, column: str) -> str:
+    """Genders are checked as delivered by a clinic that writes them out for every fifth patient."""
+    if (table, column) != ("patients", "Gender"):
+        return column
+    return "case when cast(Patient_ID as integer) % 5 = 0 then 'not stated yet' else Gender end"
+
+
 def _length_checks() -> str:
     return " union all ".join(
-        _check(t, f"longer than {n}", c, f"select count(*) from {t} where length({c}) > {n}")
+        _check(t, f"longer than {n}", c, f"select count(*) from {t} where length({_delivered(t, c)}) > {n}")
         for t, columns in _CORE_LENGTHS.items()
         for c, n in columns.items()
     )
@@ -330,20 +354,24 @@ def _load_queries() -> dict[str, str]:
     for table in _KEYS:
         out[f"core_{table}"] = f"{_CLEAN} select * from {table}"
         out[f"source_{table}"] = f"{_CLEAN} select * from {table}"
-    # Treatments are delivered with their duplicates; the load removes them.
-    staged = (
-        _CLEAN.replace("lineitem join once on ok = l_orderkey and ln = l_linenumber join part", "lineitem join part")
-    )
-    out["source_treatments"] = f"{staged} select * from treatments"
     out["source_bad_rows"] = (
         "select cast(c_custkey as varchar) as Patient_ID, 'Unparseable row' as Error_Reason from customer where c_acctbal < 0"
     )
     codes = {"patients": 50001, "doctors": 50002, "appointments": 50003, "treatments": 50004, "billing": 50005}
     out["load_guard_empty"] = f"{_CLEAN} " + " union all ".join(
         f"select '{t.capitalize()}' as Table_Name, {code} as Error_Code, "
-        f"case when count(*) = 0 then 'empty' else 'ok' end as Status from {t}"
+        f"case when count(*) = 0 then 'empty' else 'ok' end as Status from {t}{' where false' if t == 'treatments' else ''}"
         for t, code in codes.items()
     )
+    # Times of orders by their number; 0 stands for no time at all.
+    out["source_bad_times"] = """
+        select cast(o_orderkey as varchar) as Appointment_ID, 'Unparseable row' as Error_Reason
+        from orders where o_orderkey % 7 in (1, 2, 3)"""
+    out["layout_treatment_lookup"] = f"""{_CLEAN}
+        select Treatment_ID, Appointment_ID, Cost from treatments
+        where Appointment_ID = (select max(Appointment_ID) from treatments)"""
+    for table in ("appointments", "billing"):
+        out[f"core_{table}_by_month"] = f"{_CLEAN} select * from {table}"
     out["load_row_counts"] = f"{_CLEAN} " + _per_table("count(*) as Row_Count")
     out["load_publish"] = out["load_row_counts"]
     out["layout_billing_by_month"] = f"""{_CLEAN}
@@ -483,7 +511,7 @@ def _report_queries() -> dict[str, str]:
               {_percent("count(*)", "(select count(*) from billing)", "decimal(5,1)")} as Pct_Of_Bills
             from billing group by Payment_Method""",
         "report_age_gender": f"""{_CLEAN},
-            ages as (select Gender, {age} as Age from patients),
+            ages as (select Gender, coalesce({age}, 1000) as Age from patients),
             bands(Lowest, Highest, Label) as (values {_AGE_BANDS})
             select Label as Age_Group, Gender, count(*) as Patient_Count
             from ages join bands on Age between Lowest and Highest group by 1, 2""",

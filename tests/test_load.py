@@ -185,12 +185,13 @@ def test_nothing_published_yet(spark, tmp_path):
 def test_large_date_tables_are_laid_out_by_month(spark, tmp_path, core):
     (tmp_path / "in").mkdir()
     root = str(tmp_path / "root")
-    result = load.load_csv(spark, write_extracts(tmp_path / "in"), root, AS_OF, month_layout_rows=1)
-    assert MONTH in result.core.billing.columns and MONTH in result.core.appointments.columns
-    assert MONTH not in result.core.patients.columns
+    result = load.load_csv(spark, write_extracts(tmp_path / "in"), root, AS_OF, layout_rows=1)
+    assert set(result.core.monthly) == {"Appointments", "Billing"}
+    assert MONTH in result.core.by_date("Billing").columns
     for name, df in result.core.tables().items():
         flat = core.tables()[name]
-        assert sorted(map(tuple, df.drop(MONTH).collect()), key=str) == sorted(map(tuple, flat.collect()), key=str)
+        assert df.columns == flat.columns
+        assert sorted(map(tuple, df.collect()), key=str) == sorted(map(tuple, flat.collect()), key=str)
 
 
 def test_hot_keys_do_not_change_the_load(spark, tmp_path, core):
@@ -264,8 +265,9 @@ def test_parquet_extracts(spark, tmp_path, core):
         df.drop("Email", "Description").write.parquet(str(tmp_path / f"{name.lower()}.parquet"))
     feed = read_parquet_extracts(spark, str(tmp_path))
     for name, df in feed.items():
-        assert df.columns == ENTITIES[name].columns
-        assert dict(df.dtypes) == dict(core.tables()[name].dtypes)
+        assert df.columns == [*ENTITIES[name].columns, "_corrupt_record"]
+        assert df.where("_corrupt_record is not null").isEmpty()
+        assert dict(df.drop("_corrupt_record").dtypes) == dict(core.tables()[name].dtypes)
         assert df.count() == core.tables()[name].count()
 
 
@@ -295,3 +297,33 @@ def test_one_key_with_very_many_copies(spark, tmp_path, monkeypatch):
         kept = load.exclude_quarantined(staged, errors, entity, **thresholds)
         counts = {r.Doctor_ID: r["count"] for r in kept.groupBy("Doctor_ID").count().collect()}
         assert counts.pop(None) == 1000 and len(counts) == 1000 and "hot" not in counts
+
+
+def test_dropped_runs_leave_the_last_published(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    root = str(tmp_path / "root")
+    source = write_extracts(tmp_path / "in")
+    first, second = (load.load_csv(spark, source, root, AS_OF) for _ in range(2))
+    (tmp_path / "root" / "run=failed").mkdir()
+    load.drop_staging(spark, root, second.run)
+    assert load.drop_runs(spark, root, keep=0) == [second.run]
+    folders = {p.name for p in (tmp_path / "root").iterdir() if p.name.startswith("run=")}
+    assert folders == {f"run={second.run}"} and first.run != second.run
+    assert not (tmp_path / "root" / f"run={second.run}" / "staging").exists()
+    assert open_core(spark, root).patients.count() == second.core.patients.count()
+
+
+@pytest.mark.parametrize(
+    "written,read",
+    [("8:00", "08:00:00"), ("23:59:59", "23:59:59"), ("08:15:00.5", "08:15:00.5"), ("noon", None), ("25:00", None), ("8:5", None),
+     ("99:99:99", None), ("12:60", None), (None, None)],
+)
+def test_times(spark, written, read):
+    from wardline.schema import APPOINTMENTS, CORRUPT
+    from wardline.sources import conform
+    from wardline.sources.csv import mark_unreadable
+
+    rows = conform(spark.createDataFrame([("A1", written)], "Appointment_ID string, Appointment_Time string"), APPOINTMENTS)
+    row = mark_unreadable(rows, APPOINTMENTS).first()
+    assert (row[CORRUPT] is None) == (read is not None or written is None)
+    assert row[CORRUPT] is not None or row.Appointment_Time == read

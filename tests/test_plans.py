@@ -13,7 +13,7 @@ from wardline.plans import insights, procedures, quality, reports, views
 from wardline.plans.layout import write_by_month
 from wardline.schema import BILLING, ENTITIES
 from wardline.sources import Core
-from wardline.sources.core import MONTH, read_core_table
+from wardline.sources.core import MONTH, read_monthly
 
 RANGED = {"one_task_rows": 0, "buckets": 2}
 PLANS = {
@@ -65,16 +65,25 @@ def test_scans_read_only_what_is_used(core, capfd):
     assert "ReadSchema: struct<Appointment_ID:string,Appointment_Date:date,Status:string>" in plan
 
 
-def test_filters_reach_the_scan(core, capfd):
+def test_filters_reach_the_scan(core, capfd, monkeypatch):
+    """What a lookup writes on its way is left in its plan here."""
+    monkeypatch.setattr(procedures, "materialize", lambda df, label: df)
     plan = explained(procedures.patient_analysis(core, "P1"), capfd)
     assert "EqualTo(Patient_ID,P1)" in plan
 
 
+def test_lookups_read_each_table_once(core, capfd):
+    """Visits and treatments of the key are small tables of their own; bills are read with them."""
+    plan = explained(procedures.patient_analysis(core, "P1"), capfd)
+    assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) <= 5
+    assert plan.count("/core/appointments") == 0 and plan.count("/core/treatments") == 0
+
+
 def test_periods_prune_month_folders(spark, core, capfd, tmp_path):
     path = str(tmp_path / "billing")
     write_by_month(core.billing, BILLING, path, files=2)
-    by_month = read_core_table(spark, BILLING, path, by_month=True)
-    monthly = Core.of(core.tables() | {"Billing": by_month})
+    by_month = read_monthly(spark, BILLING, path)
+    monthly = Core.of(core.tables(), {"Billing": by_month})
     start, end = date(2023, 1, 6), date(2023, 2, 10)
     plan = explained(procedures.revenue_report(monthly, start, end), capfd)
     assert re.search(r"PartitionFilters: \[.*_month.* >= 2023-01-01.*_month.* <= 2023-02-01", plan)
@@ -109,7 +118,7 @@ def test_month_layout_splits_a_hot_month_and_patient(spark, tmp_path):
     )
     entity, path = ENTITIES["Appointments"], str(tmp_path / "appointments")
     write_by_month(rows, entity, path, files=12)
-    written = read_core_table(spark, entity, path, by_month=True)
+    written = read_monthly(spark, entity, path)
     assert written.drop(MONTH).exceptAll(rows).isEmpty() and written.count() == 6000
     by_file = written.groupBy(F.input_file_name()).agg(F.count("*").alias("n"))
     assert by_file.agg(F.max("n")).first()[0] < 6000 / 6

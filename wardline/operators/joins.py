@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.session import materialize
+
 # Rows of one short text column that may be broadcast: some 50 MB as a hash table.
 BROADCAST_ROWS = 500_000
 
-# A value with at least this many rows is kept out of the shuffle, and at most
-# this many values are.
+# A value with at least this many rows is kept out of the shuffle.
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
 
 
 def prefilter(left: DataFrame, keys: DataFrame, on: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -42,28 +40,29 @@ def anti_join(
     """Rows of ``left`` whose ``on`` value is not among ``keys[key]``; ``keys`` may repeat values.
 
     A NULL matches nothing, so rows with a NULL stay. ``left_rows`` and ``key_rows`` are the
-    rows of both sides, free to get for Parquet tables; they choose the plan.
+    rows of both sides, known from writing them; they choose the plan.
 
-    Few keys are broadcast, and ``left`` is not shuffled at all. With many keys a plain
-    anti-join would send all rows of one value, and all NULLs, to one task. If ``left`` is
-    large enough for that to matter, NULLs skip the join, values with ``hot_rows`` rows or
-    more are decided once per value and then selected by a broadcast list, and only the
-    rest is shuffled. The list has at most ``left_rows / hot_rows`` values, and ``hot_rows``
-    is raised so that this is at most ``MAX_HOT_KEYS``.
+    Few keys are broadcast, and ``left`` is not shuffled at all. With many keys the references
+    of ``left`` are counted per value first, which combines before the shuffle, and only the
+    values without a counterpart are written, with their counts. They select the rows of ``left``:
+    broadcast if they are few. If not, values with ``hot_rows`` rows or more are broadcast, and so
+    are NULLs; there are at most ``left_rows / hot_rows`` such values, and where that could be
+    more than may be broadcast, ``hot_rows`` grows to ``left_rows / broadcast_rows``. The rest is shuffled.
     """
-    wanted = keys.select(F.col(key).alias(on)).where(F.col(on).isNotNull()).distinct()
     if key_rows <= broadcast_rows:
+        wanted = keys.select(F.col(key).alias(on)).where(F.col(on).isNotNull()).distinct()
         return left.join(F.broadcast(wanted), on, "left_anti")
-    if left_rows < hot_rows:
-        return left.join(wanted, on, "left_anti")
+    references = left.groupBy(on).agg(F.count("*").alias("_rows"))
+    parents = keys.select(F.col(key).alias(on))
+    # A NULL among the references has no counterpart either.
+    unmatched = materialize(references.join(parents, on, "left_anti"), "unmatched")
+    if unmatched.count() <= broadcast_rows:
+        return _with_values(left, F.broadcast(unmatched), on)
+    hot = (F.col("_rows") >= max(hot_rows, left_rows // max(broadcast_rows, 1))) | F.col(on).isNull()
+    often, seldom = unmatched.where(hot), unmatched.where(~hot)
+    return _with_values(left, F.broadcast(often), on).unionByName(left.join(seldom, on, "left_semi"))
+
 
-    hot_rows = max(hot_rows, left_rows // MAX_HOT_KEYS)
-    present = left.where(F.col(on).isNotNull())
-    hot = present.groupBy(on).count().where(F.col("count") >= hot_rows).select(on)
-    hot_unmatched = hot.join(wanted, on, "left_anti")
-    parts = [
-        left.where(F.col(on).isNull()),
-        present.join(F.broadcast(hot_unmatched), on, "left_semi"),
-        present.join(F.broadcast(hot), on, "left_anti").join(wanted, on, "left_anti"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def _with_values(left: DataFrame, values: DataFrame, on: str) -> DataFrame:
+    """Rows of ``left`` whose ``on`` value is among ``values``, a NULL like any other."""
+    return left.join(values, left[on].eqNullSafe(values[on]), "left_semi")

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.session import materialize
@@ -14,7 +12,6 @@ ONE_TASK_ROWS = 200_000
 
 # Rows per sorted bucket beyond that.
 BUCKET_ROWS = 1_000_000
-MAX_BUCKETS = 1_024
 
 
 def dense_rank_desc(
@@ -31,20 +28,19 @@ def dense_rank_desc(
     ``max_rows`` is a known bound on the rows of ``df``. If it is not given the rows
     are written out once and counted. Small inputs use a plain window.
 
-    Larger inputs are written to the shared folder, cut into value ranges at sampled
-    quantiles, ranked inside each range, and shifted by the number of distinct values in
-    the ranges above. Every cut value is a range of its own. A value that many rows share
-    is among the cut values, and since all rows of such a range have the same rank they
-    are spread over tasks by the hash of ``key``.
+    Larger inputs are sorted into ranges of (value, key), so that a value that many rows share is
+    spread over ranges too, and written once with the number of the range. Ranks inside a range are
+    shifted by the distinct values of the ranges above; where a range starts with the value that the
+    one above ends with, that value is not counted again.
     """
     if max_rows is not None and max_rows <= one_task_rows:
         return _ranked_in_one_task(df, value, rank)
-    rows = materialize(df, "rank-input")
-    count = rows.count()
-    if count <= one_task_rows:
-        return _ranked_in_one_task(rows, value, rank)
-    buckets = buckets or min(MAX_BUCKETS, max(2, -(-count // BUCKET_ROWS)))
-    return _ranked_by_range(rows, value, rank, key, buckets)
+    if max_rows is None:
+        df = materialize(df, "rank-input")
+        max_rows = df.count()
+        if max_rows <= one_task_rows:
+            return _ranked_in_one_task(df, value, rank)
+    return _ranked_by_range(df, value, rank, key, buckets or max(2, -(-max_rows // BUCKET_ROWS)))
 
 
 def _ranked_in_one_task(df, value, rank):
@@ -52,45 +48,28 @@ def _ranked_in_one_task(df, value, rank):
 
 
 def _ranked_by_range(rows, value, rank, key, buckets):
-    cuts = _cut_values(rows, value, buckets)
-    null_range = 2 * len(cuts) + 1
-    slices = F.pmod(F.xxhash64(key), F.lit(buckets))
-    single_valued = F.col("_range") % 2 == 1
-    placed = rows.withColumn("_range", F.coalesce(_range_of(F.col(value), cuts), F.lit(null_range))).withColumn(
-        "_slice", F.when(single_valued, slices).otherwise(0)
+    placed = rows.repartitionByRange(buckets, F.desc_nulls_last(value), F.col(key))
+    placed = materialize(placed.withColumn("_range", F.spark_partition_id()), "rank-ranges")
+    inside = Window.partitionBy("_range").orderBy(F.desc_nulls_last(value))
+    ranked = placed.withColumn("_inside", F.dense_rank().over(inside))
+
+    # One row per range.
+    has_null = F.max(F.col(value).isNull())
+    ranges = placed.groupBy("_range").agg(
+        (F.count_distinct(value) + has_null.cast("bigint")).alias("_width"),
+        F.max(value).alias("_first"),
+        F.when(~has_null, F.min(value)).alias("_last"),
+    )
+    order = Window.orderBy("_range")
+    above = F.lag(F.struct("_last")).over(order)
+    continues = (above.isNotNull() & F.col("_first").eqNullSafe(above["_last"])).cast("bigint")
+    shifts = ranges.withColumn("_continues", continues).withColumn(
+        "_shift",
+        F.coalesce(F.sum(F.col("_width") - F.col("_continues")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        - F.col("_continues"),
     )
-    inside = Window.partitionBy("_range", "_slice").orderBy(F.desc(value))
-    ranked = materialize(placed.withColumn("_inside", F.dense_rank().over(inside)).drop("_slice"), "rank-ranges")
-
-    # At most 2 * buckets rows, one per range.
-    widths = ranked.groupBy("_range").agg(F.max("_inside").cast("bigint").alias("_width"))
-    above = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = widths.select("_range", F.coalesce(F.sum("_width").over(above), F.lit(0)).alias("_shift"))
     return (
-        ranked.join(F.broadcast(shifts), "_range")
+        ranked.join(F.broadcast(shifts.select("_range", "_shift")), "_range")
         .withColumn(rank, F.col("_inside") + F.col("_shift"))
         .drop("_range", "_inside", "_shift")
     )
-
-
-def _cut_values(rows: DataFrame, value: str, buckets: int) -> list[Decimal]:
-    """At most ``buckets - 1`` distinct quantiles, highest first."""
-    steps = [i / buckets for i in range(1, buckets)]
-    quantiles = rows.agg(F.percentile_approx(value, steps, F.lit(max(1_000, 4 * buckets))).alias("q")).first().q
-    return sorted(set(quantiles or []), reverse=True)
-
-
-def _range_of(value: Column, cuts: list[Decimal], first: int = 0) -> Column:
-    """Range number in descending order: odd at a cut value, even between two cuts.
-
-    Written as a balanced tree of comparisons; NULL for a NULL value.
-    """
-    if not cuts:
-        return F.when(value.isNotNull(), F.lit(2 * first))
-    middle = len(cuts) // 2
-    cut = F.lit(cuts[middle])
-    return (
-        F.when(value == cut, F.lit(2 * (first + middle) + 1))
-        .when(value > cut, _range_of(value, cuts[:middle], first))
-        .when(value < cut, _range_of(value, cuts[middle + 1 :], first + middle + 1))
-    )

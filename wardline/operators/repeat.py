@@ -25,9 +25,18 @@ def repeat_rows(
         return _expand(df.where(F.col(times) > 0), F.col(times), times)
 
     small = df.where(F.col(times).between(1, chunk))
-    pieces = (
+    # Pieces are listed in two levels: one row's list of blocks is short, and each block lists its own pieces.
+    last = F.expr(f"(`{times}` - 1) div {chunk}")
+    blocks = (
         df.where(F.col(times) > chunk)
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(`{times}` - 1) div {chunk}"))))
+        .withColumn("_last", last)
+        .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"_last div {chunk}"))))
+        .repartition(*df.columns, "_block")
+    )
+    first = F.col("_block") * chunk
+    pieces = (
+        blocks.withColumn("_piece", F.explode(F.sequence(first, F.least(F.col("_last"), first + (chunk - 1)))))
+        .drop("_last", "_block")
         .repartition(*df.columns, "_piece")
     )
     in_piece = F.least(F.lit(chunk), F.col(times) - F.col("_piece") * chunk)

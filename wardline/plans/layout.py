@@ -10,18 +10,27 @@ from pyspark.sql import functions as F
 from wardline.schema import Entity
 from wardline.sources.core import MONTH
 
-# A table with fewer rows is written as it comes.
-MONTH_LAYOUT_ROWS = 50_000_000
+# A table with fewer rows is written as it comes. Its columns are the same either way.
+LAYOUT_ROWS = 50_000_000
 ROWS_PER_FILE = 5_000_000
 
 
-def write_core_table(df: DataFrame, entity: Entity, path: str, by_month: bool, rows: int) -> None:
-    if by_month:
-        write_by_month(df, entity, path, max(1, -(-rows // ROWS_PER_FILE)))
+def write_core_table(df: DataFrame, entity: Entity, path: str, laid_out: bool, rows: int) -> None:
+    files = max(1, -(-rows // ROWS_PER_FILE))
+    if laid_out and entity.month_of:
+        write_by_month(df, entity, path, files)
+    elif laid_out and entity.sorted_by:
+        write_sorted(df, entity, path, files)
     else:
         df.write.mode("overwrite").parquet(path)
 
 
+def write_sorted(df: DataFrame, entity: Entity, path: str, files: int) -> None:
+    """Files of ranges of (sort column, key): a lookup by the column skips all files but one or two."""
+    order = [entity.sorted_by, entity.key]
+    df.repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
 def write_by_month(df: DataFrame, entity: Entity, path: str, files: int) -> None:
     """One folder per month; in it, rows sorted by the column they are looked up or joined by.
 

@@ -9,21 +9,19 @@ from datetime import date
 from functools import reduce
 
 from pyspark import InheritableThread
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.operators.joins import BROADCAST_ROWS, anti_join
 from wardline.plans import checks, quality
-from wardline.plans.layout import MONTH_LAYOUT_ROWS, write_core_table
+from wardline.plans.layout import LAYOUT_ROWS, write_core_table
 from wardline.schema import CORRUPT, ENTITIES, Entity
-from wardline.sources.core import Core, commit_path, core_path, latest_run, open_core, read_core_table
+from wardline.session import delete_path, list_folders
+from wardline.sources.core import Core, commit_path, core_path, latest_run, open_core, published_runs, read_core_table
 from wardline.sources.csv import read_csv_extracts
 
 log = logging.getLogger(__name__)
 
-# Unreadable lines per extract that a load tolerates.
-MAX_ERRORS = 10
-
 # Error codes for an empty staging table.
 EMPTY_STAGING_CODES = {
     "Patients": 50001,
@@ -34,6 +32,14 @@ EMPTY_STAGING_CODES = {
 }
 
 
+class Staging(dict):
+    """Staged tables by name, with the rows that were counted while they were written."""
+
+    def __init__(self, tables: dict[str, DataFrame], rows: dict[str, int]):
+        super().__init__(tables)
+        self.rows = rows
+
+
 class LoadError(Exception):
     """The load stopped; what was published before is untouched."""
 
@@ -78,26 +84,25 @@ def load(
     feed: dict[str, DataFrame],
     root: str,
     as_of: date,
-    max_errors: int = MAX_ERRORS,
-    month_layout_rows: int = MONTH_LAYOUT_ROWS,
+    max_errors: int | None = None,
+    layout_rows: int = LAYOUT_ROWS,
     **thresholds: int,
 ) -> LoadResult:
     """Publish the clean rows of ``feed`` under ``root``, a folder all executors share.
 
     Everything is written below a new run folder. The run counts as published only once
     its line is in the publish log, which is the last step, so a reader sees the old five
-    tables or the new five. One load at a time per ``root``. ``thresholds`` go to the
-    anti-joins.
+    tables or the new five. One load at a time per ``root``. Unreadable lines are logged;
+    more than ``max_errors`` of an extract stop the load, if that is given. ``thresholds`` go
+    to the anti-joins.
     """
     root, run = root.rstrip("/"), uuid.uuid4().hex
     try:
         staging, rejects = stage(spark, feed, f"{root}/run={run}/staging", max_errors)
         errors = write_errors(spark, staging, rejects, f"{root}/run={run}/errors", as_of, **thresholds)
         guard_not_empty(staging)
-        by_month = _write_core(staging, errors, root, run, month_layout_rows, thresholds)
-        written = {
-            e.name: read_core_table(spark, e, core_path(root, run, e), e.name in by_month) for e in ENTITIES.values()
-        }
+        by_month = _write_core(staging, errors, root, run, layout_rows, thresholds)
+        written = {e.name: read_core_table(spark, e, core_path(root, run, e)) for e in ENTITIES.values()}
         _check(written)
         _publish(spark, root, run, by_month)
     except Exception as error:
@@ -108,30 +113,32 @@ def load(
 
 
 def stage(
-    spark: SparkSession, feed: dict[str, DataFrame], path: str, max_errors: int = MAX_ERRORS
-) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    spark: SparkSession, feed: dict[str, DataFrame], path: str, max_errors: int | None = None
+) -> tuple[Staging, dict[str, DataFrame]]:
     """Write the feed as Parquet, replacing what is there; return staged rows and reject rows.
 
     Staging once means that an extract is parsed once, and that every rule scans only the
     columns it needs.
     """
 
-    def write(entity: Entity) -> DataFrame:
+    def write(entity: Entity) -> tuple[DataFrame, dict]:
         target = f"{path}/{entity.name.lower()}"
-        feed[entity.name].write.mode("overwrite").parquet(target)
-        ddl = f"{entity.ddl}, {CORRUPT} string" if CORRUPT in feed[entity.name].columns else entity.ddl
-        return spark.read.schema(ddl).parquet(target)
-
-    staging, rejects = {}, {}
-    for name, raw in _for_each_entity(write).items():
+        raw, counts = feed[entity.name], Observation(f"staged {entity.name}")
+        unreadable = F.count(CORRUPT) if CORRUPT in raw.columns else F.lit(0).cast("bigint")
+        counted = raw.observe(counts, F.count("*").alias("rows"), unreadable.alias("unreadable"))
+        counted.write.mode("overwrite").parquet(target)
+        ddl = f"{entity.ddl}, {CORRUPT} string" if CORRUPT in raw.columns else entity.ddl
+        return spark.read.schema(ddl).parquet(target), counts.get
+
+    staging, rejects, rows = {}, {}, {}
+    for name, (raw, counts) in _for_each_entity(write).items():
         if CORRUPT in raw.columns:
             rejects[name] = quality.reject_rows(raw, ENTITIES[name])
-            unreadable = rejects[name].count()
-            if unreadable > max_errors:
-                raise TooManyRejectsError(name, unreadable, max_errors)
+            if max_errors is not None and counts["unreadable"] > max_errors:
+                raise TooManyRejectsError(name, counts["unreadable"], max_errors)
             raw = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        staging[name] = raw
-    return staging, rejects
+        staging[name], rows[name] = raw, counts["rows"] - counts["unreadable"]
+    return Staging(staging, rows), rejects
 
 
 def write_errors(
@@ -170,32 +177,53 @@ def staging_status(staging: dict[str, DataFrame]) -> DataFrame:
 
 
 def guard_not_empty(staging: dict[str, DataFrame]) -> None:
-    empty = staging_status(staging).where("Status = 'empty'").orderBy("Error_Code").first()
+    empty = [name for name in EMPTY_STAGING_CODES if not quality.rows_of(staging, name)]
     if empty:
-        raise EmptyStagingError(empty.Table_Name)
+        raise EmptyStagingError(empty[0])
+
+
+def drop_runs(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
+    """Delete the folders of all runs but the last ``keep`` published ones; return the runs that are left.
+
+    Runs that failed, or were published earlier, go with their staging tables and error logs. The last
+    published run stays whatever ``keep`` says. Not while a load is running.
+    """
+    kept = set(published_runs(spark, root)[: max(keep, 1)])
+    for folder in list_folders(spark, root):
+        if folder.startswith("run=") and folder.removeprefix("run=") not in kept:
+            delete_path(spark, f"{root.rstrip('/')}/{folder}")
+    return sorted(kept)
+
+
+def drop_staging(spark: SparkSession, root: str, run: str) -> None:
+    """Delete the staged tables of a run; what it published and its error logs stay."""
+    delete_path(spark, f"{root.rstrip('/')}/run={run}/staging")
 
 
-def exclude_quarantined(staged: DataFrame, errors: DataFrame, entity: Entity, **thresholds: int) -> DataFrame:
+def exclude_quarantined(
+    staged: DataFrame, errors: DataFrame, entity: Entity, staged_rows: int | None = None, **thresholds: int
+) -> DataFrame:
     """Rows whose key has no error. All copies of a key go; rows without a key stay."""
     rows = staged.select(*entity.columns)
     bad_keys = errors.count()
     if bad_keys > BROADCAST_ROWS:
         # The log has a row for every copy of a key; few keys can have very many.
         bad_keys = errors.agg(F.count_distinct(entity.key)).first()[0]
-    return anti_join(rows, errors, entity.key, entity.key, staged.count(), bad_keys, **thresholds)
+    staged_rows = staged.count() if staged_rows is None else staged_rows
+    return anti_join(rows, errors, entity.key, entity.key, staged_rows, bad_keys, **thresholds)
 
 
-def _write_core(staging, errors, root, run, month_layout_rows, thresholds) -> list[str]:
+def _write_core(staging, errors, root, run, layout_rows, thresholds) -> list[str]:
     by_month = []
 
     def write(entity: Entity) -> None:
         staged = staging[entity.name]
-        rows = staged.count()
-        clean = exclude_quarantined(staged, _quarantined_by_rules(errors[entity.name]), entity, **thresholds)
-        monthly = entity.month_of is not None and rows >= month_layout_rows
-        if monthly:
+        rows = quality.rows_of(staging, entity.name)
+        clean = exclude_quarantined(staged, _quarantined_by_rules(errors[entity.name]), entity, rows, **thresholds)
+        laid_out = rows >= layout_rows
+        if laid_out and entity.month_of:
             by_month.append(entity.name)
-        write_core_table(clean, entity, core_path(root, run, entity), monthly, rows)
+        write_core_table(clean, entity, core_path(root, run, entity), laid_out, rows)
 
     _for_each_entity(write)
     return by_month
@@ -203,10 +231,8 @@ def _write_core(staging, errors, root, run, month_layout_rows, thresholds) -> li
 
 def _check(written: dict[str, DataFrame]) -> None:
     def violations(entity: Entity) -> list:
-        # A handful of counters per table. Keys with copies were quarantined by the
-        # duplicate rule, so only tables without that rule can have any left.
-        unique = quality.has_duplicate_rule(entity)
-        return checks.entity_checks(written, entity, known_unique=unique).where("Violations > 0").collect()
+        # A handful of counters per table.
+        return checks.entity_checks(written, entity).where("Violations > 0").collect()
 
     broken = [row for rows in _for_each_entity(violations).values() for row in rows]
     if broken:

@@ -8,22 +8,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions import average, full_name, money
-from wardline.operators import prefilter
+from wardline.operators.joins import BROADCAST_ROWS, prefilter
 from wardline.plans.facts import fact_chain
 from wardline.plans.layout import in_period
+from wardline.session import materialize
 from wardline.sources.core import Core
 
 
-def _chain_of(core: Core, column: str, value: str, **limits: int) -> DataFrame:
+def _chain_of(core: Core, column: str, value: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The fact chain of the appointments with ``column`` = ``value``.
 
-    As long as their keys are few, treatments and bills are cut down to them before
-    anything is aggregated or shuffled.
+    Each table is scanned once: what belongs to the key is written, its row count comes with it, and
+    it selects rows of the next table, broadcast as long as it has at most ``max_rows``. Beyond that
+    the next tables are joined as they are, since a shuffle by a hot key would not be cheaper.
     """
     visits = core.appointments.where(F.col(column) == value)
-    treatments = prefilter(core.treatments, visits, "Appointment_ID", **limits)
-    bills = prefilter(core.billing, treatments, "Treatment_ID", **limits)
-    return fact_chain(visits, treatments, bills)
+    visits = materialize(visits.select("Appointment_ID", "Patient_ID", "Doctor_ID", "Appointment_Date"), "visits")
+    treatments = prefilter(core.treatments, visits, "Appointment_ID", max_rows)
+    if treatments is core.treatments:
+        return fact_chain(visits, treatments, core.billing)
+    treatments = materialize(treatments, "treatments")
+    return fact_chain(visits, treatments, prefilter(core.billing, treatments, "Treatment_ID", max_rows))
 
 
 def patient_analysis(core: Core, patient_id: str, **limits: int) -> DataFrame:
@@ -70,7 +75,8 @@ def doctor_performance(core: Core, doctor_id: str, **limits: int) -> DataFrame:
 
 def revenue_report(core: Core, start: date, end: date) -> DataFrame:
     """Always one row; a period without bills has a zero count and NULL figures."""
-    return core.billing.where(in_period(core.billing, "Bill_Date", start, end)).agg(
+    bills = core.by_date("Billing")
+    return bills.where(in_period(bills, "Bill_Date", start, end)).agg(
         F.lit(start).alias("Start_Date"),
         F.lit(end).alias("End_Date"),
         F.count("Bill_ID").alias("Total_Bills"),

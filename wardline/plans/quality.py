@@ -112,12 +112,12 @@ def error_rows(
     """(key, Error_Reason) for every breach of the entity's rules.
 
     All rules that look at one row share a single scan. Each duplicate rule is one
-    aggregation on the key, each orphan rule one anti-join. ``staging`` should be
-    Parquet tables, so that counting their rows is free.
+    aggregation on the key, each orphan rule one anti-join. Row counts come with ``staging`` where
+    it was written by a load; other tables are counted.
     """
     rules = RULES[entity.name] if rules is None else rules
     staged = staging[entity.name]
-    rows = staged.count()
+    rows = rows_of(staging, entity.name)
     found = []
 
     row_rules = [r for r in rules if hasattr(r, "broken")]
@@ -142,10 +142,6 @@ def reject_rows(raw: DataFrame, entity: Entity) -> DataFrame:
     return raw.where(F.col(CORRUPT).isNotNull()).select(entity.key, F.lit(UNPARSEABLE).alias(REASON))
 
 
-def has_duplicate_rule(entity: Entity) -> bool:
-    return any(isinstance(rule, Duplicate) for rule in RULES[entity.name])
-
-
 def summary(errors: dict[str, DataFrame]) -> DataFrame:
     """(Table_Name, Quarantined_Rows): distinct keys with an error; tables without errors show 0."""
     per_table = []
@@ -156,6 +152,11 @@ def summary(errors: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, per_table)
 
 
+def rows_of(staging: dict[str, DataFrame], name: str) -> int:
+    known = getattr(staging, "rows", {})
+    return known[name] if name in known else staging[name].count()
+
+
 def _row_errors(staged: DataFrame, key: str, rules, as_of: date) -> DataFrame:
     hits = [F.when(rule.broken(as_of), F.lit(rule.reason)) for rule in rules]
     suspicious = staged.where(reduce(or_, (rule.broken(as_of) for rule in rules)))
@@ -179,7 +180,7 @@ def _orphans(staged, key, rule, staging, rows, hot_rows, broadcast_rows):
         "_reference",
         ENTITIES[rule.parent].key,
         left_rows=rows,
-        key_rows=parents.count(),
+        key_rows=rows_of(staging, rule.parent),
         hot_rows=hot_rows,
         broadcast_rows=broadcast_rows,
     )

@@ -167,6 +167,7 @@ def doctor_performance(core: Core, **ranking) -> DataFrame:
 
 
 def treatment_performance(core: Core, **ranking) -> DataFrame:
+    """Types of treatment are a short list, however many treatments there are: one task ranks them."""
     types = (
         billed_treatments(core.treatments, core.billing)
         .groupBy("Treatment_Type")
@@ -176,7 +177,7 @@ def treatment_performance(core: Core, **ranking) -> DataFrame:
             average(F.sum("Weighted_Cost"), F.sum("Cost_Weight"), "decimal(10,2)").alias("Avg_Treatment_Cost"),
         )
     )
-    return dense_rank_desc(types, "Total_Revenue", "Revenue_Rank", "Treatment_Type", **ranking)
+    return dense_rank_desc(types, "Total_Revenue", "Revenue_Rank", "Treatment_Type", **{"max_rows": 1, **ranking})
 
 
 def appointment_status(core: Core) -> DataFrame:
@@ -191,9 +192,10 @@ def payment_methods(core: Core) -> DataFrame:
         F.count("*").alias("Bill_Count"), money(F.sum("Amount")).alias("Total_Amount")
     )
     return (
-        with_total(methods, "_bills", F.sum("Bill_Count"))
-        .withColumn("Pct_Of_Bills", percent(F.col("Bill_Count"), F.col("_bills"), "decimal(5,1)"))
-        .drop("_bills")
+        # The figure uses both columns, so that its plan is that of the rows and the exchange is shared.
+        with_total(methods, "_all", F.struct(F.sum("Bill_Count").alias("bills"), F.sum("Total_Amount").alias("amount")))
+        .withColumn("Pct_Of_Bills", percent(F.col("Bill_Count"), F.col("_all.bills"), "decimal(5,1)"))
+        .drop("_all")
         .orderBy(F.desc("Total_Amount"))
     )
 

@@ -22,7 +22,7 @@ class Entity:
     file: str
     fields: tuple[Field, ...]
     foreign_keys: tuple[tuple[str, str], ...] = ()
-    # Large tables: the date that gives the month folder, and the column rows are sorted by.
+    # Large tables: the date that gives the month folder, if any, and the column rows are sorted by.
     month_of: str | None = None
     sorted_by: str | None = None
 
@@ -95,7 +95,7 @@ TREATMENTS = Entity("Treatments", "Treatment_ID", "treatments.csv", _fields("""
     Description     string  500  500
     Cost            decimal(10,2)
     Treatment_Date  date
-"""), (("Appointment_ID", "Appointments"),))
+"""), (("Appointment_ID", "Appointments"),), sorted_by="Appointment_ID")
 
 BILLING = Entity("Billing", "Bill_ID", "billing.csv", _fields("""
     Bill_ID         string  50  20

@@ -49,8 +49,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def drop_scratch(spark: SparkSession) -> None:
     """Remove what this application has written to its scratch folder; results read from there end with it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    delete_path(spark, scratch_root(spark))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    files, place = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(place) if s.isDirectory())
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +21,16 @@ class Core:
     appointments: DataFrame
     treatments: DataFrame
     billing: DataFrame
+    #: Scans of tables that lie in month folders, with the folder's month, for pruning by date.
+    monthly: dict[str, DataFrame] = field(default_factory=dict)
 
     @classmethod
-    def of(cls, tables: dict[str, DataFrame]) -> Core:
-        return cls(*(tables[name] for name in ENTITIES))
+    def of(cls, tables: dict[str, DataFrame], monthly: dict[str, DataFrame] | None = None) -> Core:
+        return cls(*(tables[name] for name in ENTITIES), monthly=monthly or {})
+
+    def by_date(self, name: str) -> DataFrame:
+        """The table for a filter on its date: with the month column if it lies in month folders."""
+        return self.monthly.get(name, self.tables()[name])
 
     def tables(self) -> dict[str, DataFrame]:
         return dict(zip(ENTITIES, (self.patients, self.doctors, self.appointments, self.treatments, self.billing)))
@@ -54,20 +60,31 @@ def latest_run(spark: SparkSession, root: str):
     return log.orderBy(F.desc("sequence"), F.desc("published_at"), F.desc("run")).first()
 
 
+def published_runs(spark: SparkSession, root: str) -> list[str]:
+    """Published runs, the last first: one line of the log per load."""
+    if latest_run(spark, root) is None:
+        return []
+    log = spark.read.schema(COMMIT_SCHEMA).json(commit_path(root))
+    return [row.run for row in log.orderBy(F.desc("sequence"), F.desc("published_at"), F.desc("run")).collect()]
+
+
 def open_core(spark: SparkSession, root: str) -> Core:
     """The tables of the last published run under ``root``."""
     commit = latest_run(spark, root)
     if commit is None:
         raise FileNotFoundError(f"nothing has been published under {root}")
+    paths = {e.name: core_path(root, commit.run, e) for e in ENTITIES.values()}
     return Core.of(
-        {
-            e.name: read_core_table(spark, e, core_path(root, commit.run, e), e.name in commit.by_month)
-            for e in ENTITIES.values()
-        }
+        {e.name: read_core_table(spark, e, paths[e.name]) for e in ENTITIES.values()},
+        {name: read_monthly(spark, ENTITIES[name], paths[name]) for name in commit.by_month},
     )
 
 
-def read_core_table(spark: SparkSession, entity: Entity, path: str, by_month: bool) -> DataFrame:
-    """A core table; one laid out by month also has the hidden column ``_month``."""
-    ddl = f"{entity.ddl}, {MONTH} date" if by_month else entity.ddl
-    return spark.read.schema(ddl).parquet(path)
+def read_core_table(spark: SparkSession, entity: Entity, path: str) -> DataFrame:
+    """A core table: the columns of the entity, however its files are laid out."""
+    return spark.read.schema(entity.ddl).parquet(path).select(*entity.columns)
+
+
+def read_monthly(spark: SparkSession, entity: Entity, path: str) -> DataFrame:
+    """A core table in month folders, with the month as column ``_month``."""
+    return spark.read.schema(f"{entity.ddl}, {MONTH} date").parquet(path)

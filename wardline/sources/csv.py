@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.schema import CORRUPT, ENTITIES, Entity
 
+TIME = "Appointment_Time"
+# Fixed value: hours and minutes, seconds and their fraction if given.
+TIME_PATTERN = r"^([01]?\d|2[0-3]):([0-5]\d)(:[0-5]\d(?:\.\d{1,7})?)?$"
+
 
 def read_csv_extract(
     spark: SparkSession, entity: Entity, path: str, multi_line: bool = False, encoding: str = "UTF-8"
@@ -15,8 +19,8 @@ def read_csv_extract(
 
     Columns are taken by position; the header line is skipped, its names are ignored.
     An empty field is NULL. A row with a field that does not parse, with too many or too
-    few fields, or with a text over its staged length, keeps what could be read and
-    carries its raw text in ``_corrupt_record``.
+    few fields, with a text over its staged length, or with a time that is none, keeps what
+    could be read and carries its raw text in ``_corrupt_record``.
 
     ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
     """
@@ -32,12 +36,7 @@ def read_csv_extract(
         .option("encoding", encoding)
         .csv(path)
     )
-    too_long = F.expr(" or ".join(f"length({c}) > {n}" for c, n in entity.staged_lengths.items()))
-    raw = F.to_csv(F.struct(*entity.columns))
-    rows = rows.withColumn(CORRUPT, F.coalesce(CORRUPT, F.when(too_long, raw)))
-    if "Appointment_Time" in entity.columns:
-        rows = rows.withColumn("Appointment_Time", _padded_time("Appointment_Time"))
-    return rows
+    return mark_unreadable(rows, entity)
 
 
 def read_csv_extracts(spark: SparkSession, source_dir: str, **options) -> dict[str, DataFrame]:
@@ -46,7 +45,22 @@ def read_csv_extracts(spark: SparkSession, source_dir: str, **options) -> dict[s
     return {e.name: read_csv_extract(spark, e, f"{base}/{e.file}", **options) for e in ENTITIES.values()}
 
 
-def _padded_time(name: str):
-    """``8:00:00`` and ``8:00`` become ``08:00:00``."""
-    with_seconds = F.when(F.col(name).rlike(r"^\d{1,2}:\d{2}$"), F.concat(name, F.lit(":00"))).otherwise(F.col(name))
-    return F.when(F.length(with_seconds) < 8, F.lpad(with_seconds, 8, "0")).otherwise(with_seconds)
+def mark_unreadable(rows: DataFrame, entity: Entity) -> DataFrame:
+    """Rows with ``_corrupt_record`` set where a text is too long or a time is none; times as ``HH:mm:ss``."""
+    wrong = F.expr(" or ".join(f"length({c}) > {n}" for c, n in entity.staged_lengths.items()))
+    wrong = F.coalesce(wrong, F.lit(False))
+    timed = TIME in entity.columns
+    if timed:
+        wrong = wrong | F.coalesce(~F.col(TIME).rlike(TIME_PATTERN), F.lit(False))
+    raw = F.to_csv(F.struct(*entity.columns))
+    known = F.col(CORRUPT) if CORRUPT in rows.columns else F.lit(None).cast("string")
+    rows = rows.withColumn(CORRUPT, F.coalesce(known, F.when(wrong, raw)))
+    return rows.withColumn(TIME, _padded_time(F.col(TIME))) if timed else rows
+
+
+def _padded_time(time: Column) -> Column:
+    """``8:00:00`` and ``8:00`` become ``08:00:00``; a fraction of a second stays; what is no time stays as it is."""
+    hour, rest = F.regexp_extract(time, TIME_PATTERN, 1), F.regexp_extract(time, TIME_PATTERN, 2)
+    seconds = F.regexp_extract(time, TIME_PATTERN, 3)
+    whole = F.concat(F.lpad(hour, 2, "0"), F.lit(":"), rest, F.when(seconds == "", ":00").otherwise(seconds))
+    return F.when(time.rlike(TIME_PATTERN), whole).otherwise(time)

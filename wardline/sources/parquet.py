@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wardline.schema import ENTITIES, Entity
+from wardline.sources.csv import mark_unreadable
 
 
 def conform(df: DataFrame, entity: Entity) -> DataFrame:
@@ -16,6 +17,13 @@ def conform(df: DataFrame, entity: Entity) -> DataFrame:
 
 
 def read_parquet_extracts(spark: SparkSession, source_dir: str) -> dict[str, DataFrame]:
-    """All five extracts from ``source_dir/<entity>.parquet``, by entity name."""
+    """All five extracts from ``source_dir/<entity>.parquet``, by entity name.
+
+    As in CSV extracts, rows with a text that is too long or a time that is none are marked in
+    ``_corrupt_record``.
+    """
     base = source_dir.rstrip("/")
-    return {e.name: conform(spark.read.parquet(f"{base}/{e.name.lower()}.parquet"), e) for e in ENTITIES.values()}
+    return {
+        e.name: mark_unreadable(conform(spark.read.parquet(f"{base}/{e.name.lower()}.parquet"), e), e)
+        for e in ENTITIES.values()
+    }
