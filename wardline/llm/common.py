@@ -12,12 +12,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardline.session import materialize
+
 # Texts are handled in groups of about this many bytes inside a task, so that memory does
 # not depend on the size of an Arrow batch.
 CHUNK_BYTES = 2_000_000
 # An Arrow batch holds at most about this many bytes, however long its texts are.
 BATCH_BYTES = 2_000_000
 DEFAULT_BATCH = "67108864b"
+# Rows of a few numbers that one file of an intermediate table may hold.
+FILE_ROWS = 1_000_000
 
 
 def prepare(spark: SparkSession) -> None:
@@ -55,6 +59,11 @@ def crc_mod(id_col: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def written(df: DataFrame, label: str, rows: int) -> DataFrame:
+    """``materialize`` for a table of at most ``rows`` short rows: as many files as these need."""
+    return materialize(df.coalesce(max(1, -(-rows // FILE_ROWS))), label)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

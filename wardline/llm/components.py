@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.llm.common import written
 from wardline.session import materialize
 
 
@@ -20,7 +21,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = materialize(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     seen = _print(edges)
     while True:
-        edges = materialize(_star(_star(edges, large=True), large=False).distinct(), "edges")
+        # A step has no more edges than it was given, and one for each node.
+        edges = written(_star(_star(edges, large=True), large=False).distinct(), "edges", 2 * seen[0])
         # Stars whose centres are no one's leaf stay as they are.
         if seen == (seen := _print(edges)):
             break

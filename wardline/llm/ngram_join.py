@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm.class_lm import frequent_words
-from wardline.llm.common import batch_chunks, chunks, id_and_text, partitions, read_table, zipped
+from wardline.llm.common import batch_chunks, chunks, id_and_text, partitions, read_table, written, zipped
 from wardline.llm.components import connected_components
 from wardline.llm.words import BASE, U64, mix, split_words
 from wardline.session import materialize
@@ -338,7 +338,7 @@ def _short_pairs(members: DataFrame, lists: DataFrame) -> DataFrame:
     return pairs.where(F.col("shared") + beyond >= _least_shared(F.col("n_a"), F.col("n_b"))).select("a", "b", "shared")
 
 
-def _star_pairs(members: DataFrame, lists: DataFrame) -> DataFrame:
+def _star_pairs(members: DataFrame, lists: DataFrame, entries: int) -> DataFrame:
     """Members of long lists with the centre of the list: a, b, shared.
 
     The centre is the member that shares most prefix tokens in long lists: the text from which
@@ -346,24 +346,24 @@ def _star_pairs(members: DataFrame, lists: DataFrame) -> DataFrame:
     """
     long = members.join(lists.where(F.col("members") > SHORT_LIST).select("list"), "list")
     weights = long.groupBy("set").agg(F.sum("weight").alias("total"))
-    long = materialize(long.join(weights, "set"), "long-lists")
+    long = written(long.join(weights, "set"), "long-lists", entries)
     centre = F.max_by(F.struct("set", "n"), F.struct("total", -F.col("set"))).alias("centre")
-    centres = materialize(long.groupBy("list").agg(centre).select("list", "centre.*").toDF("list", "a", "n_a"), "centres")
+    centres = long.groupBy("list").agg(centre).select("list", "centre.*").toDF("list", "a", "n_a")
+    centres = written(centres, "centres", entries)
     pairs = long.join(centres, "list").where((F.col("set") != F.col("a")) & _may_link(F.col("n"), F.col("n_a")))
     return pairs.groupBy("a", F.col("set").alias("b")).agg(F.sum("weight").alias("shared"))
 
 
-def _matrix_pairs(members: DataFrame, lists: DataFrame, components: DataFrame) -> DataFrame:
+def _matrix_pairs(members: DataFrame, lists: DataFrame, components: DataFrame, entries: int) -> DataFrame:
     """Members of long lists in different groups, by the token-group matrix: a, b."""
     own = components.select(F.col("node").alias("set"), "component")
     long = members.join(lists.where(F.col("members") > SHORT_LIST).select("list"), "list").join(own, "set", "left")
     rows = long.withColumn("grp", F.coalesce("component", "set")).drop("component")
-    matrix = materialize(
-        rows.groupBy("list", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("weight").alias("weight")),
-        "token-groups",
+    matrix = written(
+        rows.groupBy("list", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high")), "token-groups", entries
     )
     several = matrix.groupBy("list").count().where("count > 1").select("list")
-    rows = materialize(rows.join(several, "list"), "token-rows")
+    rows = written(rows.join(several, "list"), "token-rows", entries)
     matrix = matrix.join(several, "list")
     # A group can be reached from both sides; the side of the larger group name asks.
     asked = matrix.select("list", F.col("grp").alias("other"), "low", "high")
@@ -405,17 +405,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = described.select("set", "n").distinct()
     members = materialize(_token_lists(rows, found).join(sizes, "set"), "token-lists")
     lists = members.groupBy("list").agg(F.count("*").alias("members")).where("members > 1")
-    lists = materialize(lists, "token-list-sizes")
-    pairs = materialize(_short_pairs(members, lists).unionByName(_star_pairs(members, lists)), "pairs")
+    entries = members.count()
+    lists = written(lists, "token-list-sizes", entries)
+    pairs = materialize(_short_pairs(members, lists).unionByName(_star_pairs(members, lists, entries)), "pairs")
     # Each document with the one that it shares most with: most pairs are connected then.
     nearest = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
     nearest = nearest.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
     sets = _needed_sets(rows, described, nearest, members, lists)
 
     first = sets.where("a is not null").select("a", F.col("set").alias("b"), F.col("tokens").alias("tokens_b"))
-    components = connected_components(_verified(first, sets))
-    components = materialize(components, "components")
-    rest = pairs.select("a", "b").unionByName(_matrix_pairs(members, lists, components)).distinct()
+    compared = sets.count()
+    components = written(connected_components(_verified(first, sets)), "components", compared)
+    rest = pairs.select("a", "b").unionByName(_matrix_pairs(members, lists, components, entries)).distinct()
     rest = _apart(rest, components).join(sets.select(F.col("set").alias("b"), F.col("tokens").alias("tokens_b")), "b")
     more = materialize(_verified(rest, sets), "links")
     if not more.isEmpty():
@@ -424,7 +425,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         named = components.join(joined.withColumnRenamed("node", "component"), "component", "left")
         named = named.select("node", F.coalesce("joined", "component").alias("component"))
         alone = joined.join(components, "node", "left_anti").withColumnRenamed("joined", "component")
-        components = materialize(named.unionByName(alone), "components")
+        components = written(named.unionByName(alone), "components", compared)
     return _with_components(described, components)
 
 
@@ -443,7 +444,7 @@ def _needed_sets(rows: DataFrame, described: DataFrame, nearest: DataFrame, memb
     wanted = wanted.unionByName(nearest.select(F.col("b").alias("set"))).distinct()
     holders = described.join(wanted, "set", "left_semi").groupBy("set").agg(F.min("doc_id").alias("doc_id"))
     first = nearest.select(F.col("b").alias("set"), "a")
-    holders = materialize(holders.join(first, "set", "left"), "set-holders")
+    holders = written(holders.join(first, "set", "left"), "set-holders", members.count())
     packed = zipped(rows)
     # Holders grow with the corpus: the join is the same shuffle for any number of them.
     texts = packed.join(holders.hint("merge"), packed["doc_id"].eqNullSafe(holders["doc_id"])).select("set", "a", "zipped")
@@ -469,7 +470,8 @@ def _with_components(described: DataFrame, components: DataFrame) -> DataFrame:
     classes = described.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("least"))
     grouped = classes.join(own, "set", "left").withColumn("component", F.coalesce("component", "set"))
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = materialize(grouped.join(least, "component").select("set", "component_id"), "set-components")
+    named = grouped.join(least, "component").select("set", "component_id")
+    named = written(named, "set-components", described.count())
     full = described.where("n > 0").join(named, "set")
     empty = described.where("n = 0").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id"]
