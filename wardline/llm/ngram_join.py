@@ -14,9 +14,10 @@ that relation, so a link whose ends are known to be connected need not be looked
    verified, each document with the one that it shares most with first, then those not yet connected.
 4. Long lists are not turned into pairs. Each member is verified against the list's centre, which
    gathers similar documents into groups. What is left are members of one list in
-   different groups. The token-group matrix - for each token list the groups in it - bounds how many
-   prefix tokens a document shares with all of a group together; only groups that reach what the
-   sizes require are opened, and then only their members that reach it themselves are verified.
+   different groups. The token-group matrix holds for each token list the groups in it. How many
+   prefix tokens a document can share with a group is bounded by its lists from the first that the group
+   is in, shortest first, and by the lists of the group's members; only groups whose bound reaches what
+   the sizes require are opened, and then only their members that reach it themselves are verified.
 
 Token lists of tokens with very many documents are never gathered in one task: their entries are
 spread by document, and lists longer than ``SHORT_LIST`` remain rows.
@@ -39,7 +40,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardline.llm.class_lm import frequent_words
@@ -357,27 +358,28 @@ def _star_pairs(members: DataFrame, lists: DataFrame, entries: int) -> DataFrame
 def _matrix_pairs(members: DataFrame, lists: DataFrame, components: DataFrame, entries: int) -> DataFrame:
     """Members of long lists in different groups, by the token-group matrix: a, b."""
     own = components.select(F.col("node").alias("set"), "component")
-    long = members.join(lists.where(F.col("members") > SHORT_LIST).select("list"), "list").join(own, "set", "left")
+    long = members.join(lists.where(F.col("members") > SHORT_LIST), "list").join(own, "set", "left")
     rows = long.withColumn("grp", F.coalesce("component", "set")).drop("component")
-    matrix = written(
-        rows.groupBy("list", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high")), "token-groups", entries
+    several = rows.groupBy("list").agg(F.min("grp").alias("least"), F.max("grp").alias("most")).where("least < most")
+    # A document's lists from the shortest on. What it can share with anyone is the weight from the first
+    # list that they have in common to the last.
+    order = Window.partitionBy("set").orderBy("members", "list")
+    rest = F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    rows = rows.join(several.select("list"), "list").withColumn("rest", rest)
+    rows = written(rows.withColumn("total", F.max("rest").over(Window.partitionBy("set"))), "token-rows", entries)
+    # Which groups are in a list, with the sizes of their members there and the most that one can share.
+    matrix = rows.groupBy("list", F.col("grp").alias("other")).agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("total").alias("most")
     )
-    several = matrix.groupBy("list").count().where("count > 1").select("list")
-    rows = written(rows.join(several, "list"), "token-rows", entries)
-    matrix = matrix.join(several, "list")
-    # A group can be reached from both sides; the side of the larger group name asks.
-    asked = matrix.select("list", F.col("grp").alias("other"), "low", "high")
+    matrix = written(matrix, "token-groups", entries)
+    # A group can be reached from both sides; the side of the larger group name asks. The requirement is
+    # least for the partner whose size is furthest away.
     up, down = SHARE
     fits = (F.col("n") * down >= F.col("low") * up) & (F.col("high") * down >= F.col("n") * up)
-    bounds = (
-        rows.join(asked, "list")
-        .where((F.col("grp") > F.col("other")) & fits)
-        .groupBy("set", "other")
-        .agg(F.sum("weight").alias("bound"), F.min("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
-    )
-    # The requirement is least for the partner whose size is furthest away.
     least = F.least(_least_shared(F.col("n"), F.col("low")), _least_shared(F.col("n"), F.col("high")))
-    opened = bounds.where(F.col("bound") >= least).select("set", "other")
+    reaches = F.least("rest", "most") >= least
+    opened = rows.join(matrix, "list").where((F.col("grp") > F.col("other")) & fits & reaches)
+    opened = opened.select("set", "other").distinct()
     inside = rows.select("list", F.col("grp").alias("other"), F.col("set").alias("b"), F.col("n").alias("n_b"))
     pairs = (
         rows.select("list", "weight", "set", "n")
@@ -434,7 +436,8 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = near_duplicates(docs, id_col, text_col)
     named = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"))
     named = materialize(named.distinct(), "representatives")
-    return docs.join(named, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
+    # They grow with the corpus: the join is the same shuffle for any number of them.
+    return docs.join(named.hint("merge"), F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
 
 
 def _needed_sets(rows: DataFrame, described: DataFrame, nearest: DataFrame, members: DataFrame, lists: DataFrame) -> DataFrame:
