@@ -379,17 +379,26 @@ def _matrix_pairs(members: DataFrame, lists: DataFrame, components: DataFrame, e
     least = F.least(_least_shared(F.col("n"), F.col("low")), _least_shared(F.col("n"), F.col("high")))
     reaches = F.least("rest", "most") >= least
     opened = rows.join(matrix, "list").where((F.col("grp") > F.col("other")) & fits & reaches)
-    opened = opened.select("set", "other").distinct()
-    inside = rows.select("list", F.col("grp").alias("other"), F.col("set").alias("b"), F.col("n").alias("n_b"))
+    # Lists have one order for all documents, so the first that two have in common is the same for both.
+    inside = rows.select(
+        "list", F.col("grp").alias("other"), F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b")
+    )
+    required = _least_shared(F.col("n"), F.col("n_b"))
     pairs = (
-        rows.select("list", "weight", "set", "n")
-        .join(opened, "set")
+        opened.select("list", "other", "set", "n", "rest")
         .join(inside, ["list", "other"])
-        .where(_may_link(F.col("n"), F.col("n_b")))
-        .groupBy("set", "b", "n", "n_b")
-        .agg(F.sum("weight").alias("shared"))
+        .where(_may_link(F.col("n"), F.col("n_b")) & (F.least("rest", "rest_b") >= required))
+        .select("set", "b", "n", "n_b")
+        .distinct()
+    )
+    # What they share in all lists, by the weights of each document's lists: a row for each pair.
+    held = rows.groupBy("set").agg(F.collect_list(F.struct("list", "weight")).alias("held"))
+    theirs = held.select(F.col("set").alias("b"), F.map_from_entries("held").alias("theirs"))
+    shared = F.aggregate(
+        "held", F.lit(0).cast("bigint"), lambda total, e: total + F.coalesce(F.element_at("theirs", e["list"]), F.lit(0))
     )
-    return pairs.where(F.col("shared") >= _least_shared(F.col("n"), F.col("n_b"))).select(F.col("set").alias("a"), "b")
+    counted = pairs.join(held, "set").join(theirs, "b").where(shared >= required)
+    return counted.select(F.col("set").alias("a"), "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
