@@ -251,6 +251,25 @@ def test_leaks_are_found_and_verified(spark, nothing):
     assert decontaminate.find_leaks(made, bench.where("false")).isEmpty()
 
 
+@pytest.mark.parametrize("kind", ["remove", "insert", "any"])
+@pytest.mark.parametrize("n", [8, 15, 20, 40, 80, 150, 300])
+def test_leaks_with_as_many_edits_as_allowed_are_found_at_any_length(n, kind):
+    rng = random.Random(f"{n} {kind}")
+    items = [[f"w{rng.randrange(10**9)}" for _ in range(n)] for _ in range(40)]
+    texts = []
+    for item in items:
+        words = list(item)
+        for _ in range(decontaminate.edits_allowed(n)):
+            at = rng.randrange(len(words))
+            edit = kind if kind != "any" else rng.choice(["remove", "insert", "replace"])
+            words[at : at + (edit != "insert")] = [] if edit == "remove" else [f"x{rng.randrange(10**9)}"]
+        around = [f"y{rng.randrange(10**9)}" for _ in range(60)]
+        texts.append(" ".join(around[:30] + words + around[30:]).encode())
+    index = decontaminate.ItemIndex.build(list(range(len(items))), [" ".join(item).encode() for item in items])
+    found = {(text, item) for text, item, *_ in index.leaks(texts)}
+    assert found == {(k, k) for k in range(len(items))}
+
+
 # --- models ---
 
 

@@ -7,15 +7,18 @@ bytes other than ASCII white space, A-Z as a-z.
 Candidates come from the CGK embedding. A random walk over a string emits its current word at each step and
 moves on or stays, as a hash of step and word says; strings at a small edit distance
 fall into step again after an edit, so their emitted sequences are at a small Hamming distance.
-Windows of the size of the items, one from every word on, are embedded, and so are the items; each
-table of the locality-sensitive hashing takes ``SAMPLED`` positions of the
-sequences, and a window meets the items that agree with it there. With a share ``AGREEING`` of agreeing
-positions, the number of tables makes a meeting as likely as ``RECALL``; a leak has several
-windows, and one without edits agrees everywhere. Every meeting is verified by the exact edit
+The longer a walk, the likelier it is to be out of step for long, so items are embedded in pieces of
+``PIECE_WORDS`` to twice as many words: one piece at least has no more than its part of the edits. Windows
+of the size of the pieces, one from every word on, are embedded as well; each
+table of the locality-sensitive hashing has a walk of its own and takes ``SAMPLED`` positions of the
+sequences, and a window meets the pieces that agree with it there. ``TABLES`` is chosen by what a
+piece with a share ``EDITED`` of edited words was seen to need, inserted, removed or replaced. A leak
+without edits agrees everywhere. Every meeting is verified by the exact edit
 distance around the window.
 
-Windows that cannot be near any item are not embedded: an edit changes one word, so a
-window needs its size less the edits in words that occur in items at all.
+Windows that cannot be near any piece are not embedded: an edit changes one word, so a
+window needs its size less the edits of a piece in words that occur in items at all, and must lie
+where a stretch of an item's size holds enough of them as well.
 
 Items are sent to all tasks while their texts take no more than ``SENT_BYTES``; more are handled
 in so many passes over the documents.
@@ -31,7 +34,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import partial, reduce
-from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
@@ -44,33 +46,48 @@ from wardline.llm.words import BASE, U64, Words, mix, ranges, split_words
 # Parameters of the search.
 EDITED = 0.2
 LEAST_WORDS = 5
-AGREEING, SAMPLED, RECALL = 0.5, 2, 0.99
-TABLES = ceil(log(1 - RECALL) / log(1 - AGREEING**SAMPLED))
-#: Tables that share one random walk.
-TABLES_A_WALK = 7
-#: Items whose sizes differ by no more than this factor share windows.
+SAMPLED, TABLES = 2, 24
+#: Items are cut into pieces of this many words or more, fewer than twice as many.
+PIECE_WORDS = 12
+#: Items of as many pieces whose sizes differ by no more than this factor share windows.
 SIZE_STEP = 1.15
 SENT_BYTES = 32_000_000
 
 LEAK_SCHEMA = "doc_id bigint, item_id bigint, distance int, n_words int, first_word int, last_word int"
 NOTHING = U64(0)
+#: Windows that walk together, so that they stay in a processor's cache.
+WALKED = 8_192
 
 
 def edits_allowed(n: int) -> int:
     return int(n * EDITED + 1e-9)
 
 
+def _pieces(n: int) -> int:
+    return max(1, n // PIECE_WORDS)
+
+
 @dataclass
 class SizeClass:
-    """Items of similar size: the size of their windows and how many positions are sampled from."""
+    """Items of similar size and as many pieces: the size of their windows and how many positions are sampled from."""
 
-    size: int
-    edits: int
-    items: np.ndarray
+    least: int
+    most: int
+    pieces: int
     steps: int
     samples: np.ndarray  #: per table the sampled positions
-    keys: list[np.ndarray] = field(default_factory=list)  #: per table the sorted keys of the items
-    holders: list[np.ndarray] = field(default_factory=list)  #: and whose they are
+    keys: list[np.ndarray] = field(default_factory=list)  #: per table the sorted keys of the pieces
+    holders: list[np.ndarray] = field(default_factory=list)  #: whose they are
+    offsets: list[np.ndarray] = field(default_factory=list)  #: and where in the item they begin
+
+    @property
+    def size(self) -> int:
+        return self.least // self.pieces
+
+    @property
+    def edits(self) -> int:
+        """The best piece of an item has no more."""
+        return edits_allowed(self.most) // self.pieces
 
 
 @dataclass
@@ -92,23 +109,31 @@ class ItemIndex:
         rest = np.argsort(sizes, kind="stable")
         while len(rest):
             least = int(sizes[rest[0]])
-            own = rest[sizes[rest] <= max(least, int(least * SIZE_STEP))]
+            most = min(max(least, int(least * SIZE_STEP)), (_pieces(least) + 1) * PIECE_WORDS - 1)
+            own = rest[sizes[rest] <= most]
             rest = rest[len(own) :]
             index.classes.append(index._size_class(least, int(sizes[own].max()), own))
         return index
 
     def _size_class(self, least: int, most: int, own: np.ndarray) -> SizeClass:
+        pieces = _pieces(least)
+        size = least // pieces
         # On average a walk moves on at every second step: most sampled positions lie within the window.
-        steps = max(SAMPLED, 2 * least - least // 4)
+        steps = max(SAMPLED, 2 * size - size // 4)
         random = np.random.default_rng(least)
         samples = np.stack([np.sort(random.choice(steps, SAMPLED, replace=False)) for _ in range(TABLES)])
-        found = SizeClass(least, edits_allowed(most), own, steps, samples)
-        text = np.concatenate([np.append(self.words[i], np.full(least, NOTHING)) for i in own])
-        starts = np.cumsum([0] + [len(self.words[i]) + least for i in own[:-1]])
-        for keys in _table_keys(text, starts, starts + np.array([len(self.words[i]) for i in own]), found):
+        found = SizeClass(least, most, pieces, steps, samples)
+        # A piece's walk may run on into the words behind the piece, as it does in a document.
+        text = np.concatenate([np.append(self.words[i], NOTHING) for i in own])
+        lengths = np.array([len(self.words[i]) for i in own])
+        begins = np.repeat(np.cumsum(lengths + 1) - lengths - 1, pieces)
+        offsets = np.tile(np.arange(pieces), len(own)) * np.repeat(lengths // pieces, pieces)
+        holders = np.repeat(own, pieces)
+        for keys in _table_keys(text, begins + offsets, found):
             order = np.argsort(keys, kind="stable")
             found.keys.append(keys[order])
-            found.holders.append(own[order])
+            found.holders.append(holders[order])
+            found.offsets.append(offsets[order])
         return found
 
     def leaks(self, texts: list[bytes]) -> list[tuple[int, int, int, int, int]]:
@@ -117,27 +142,47 @@ class ItemIndex:
         if not len(words.hashes) or not self.classes:
             return []
         at = np.minimum(np.searchsorted(self.vocabulary, words.hashes), len(self.vocabulary) - 1)
-        known = np.concatenate([[0], np.cumsum(self.vocabulary[at] == words.hashes)])
-        limits = np.repeat(words.first[1:], np.diff(words.first))
-        meetings = [self._meetings(words, known, limits, c) for c in self.classes]
+        numbers = np.where(self.vocabulary[at] == words.hashes, at, len(self.vocabulary))
+        known = np.concatenate([[0], np.cumsum(numbers < len(self.vocabulary))])
+        lengths = np.diff(words.first)
+        begins, limits = np.repeat(words.first[:-1], lengths), np.repeat(words.first[1:], lengths)
+        padded = np.insert(words.hashes, words.first[1:], NOTHING)
+        meetings = [self._meetings(padded, words.documents(), known, begins, limits, c) for c in self.classes]
         meetings = [m for m in meetings if len(m[0])]
         if not meetings:
             return []
         starts, items = (np.concatenate(x) for x in zip(*meetings))
-        return self._verify(words, starts, items)
-
-    def _meetings(self, words: Words, known: np.ndarray, limits: np.ndarray, own: SizeClass) -> tuple[np.ndarray, np.ndarray]:
-        """Windows (by their first word) and items that agree in a table."""
-        starts, ends = _windows(known, limits, own)
+        return self._verify(words, numbers, starts, items)
+
+    def _meetings(
+        self,
+        padded: np.ndarray,
+        documents: np.ndarray,
+        known: np.ndarray,
+        begins: np.ndarray,
+        limits: np.ndarray,
+        own: SizeClass,
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Items that a window agrees with in a table, and the words that they would begin with."""
+        starts = _windows(known, limits, own)
         pairs = []
         if len(starts):
-            for keys, table, holders in zip(_table_keys(words.hashes, starts, ends, own), own.keys, own.holders):
+            least = begins[starts]
+            # Each text ahead has an end of its own there.
+            walked = _table_keys(padded, starts + documents[starts], own)
+            tables = zip(walked, own.keys, own.holders, own.offsets)
+            for keys, table, holders, offsets in tables:
                 low, high = np.searchsorted(table, keys, "left"), np.searchsorted(table, keys, "right")
-                pairs.append(np.repeat(starts, high - low) * len(self.ids) + holders[ranges(low, high - low)])
+                met = np.repeat(np.arange(len(starts)), high - low)
+                at = ranges(low, high - low)
+                first = np.maximum(starts[met] - offsets[at], least[met])
+                pairs.append(np.unique(first * len(self.ids) + holders[at]))
         found = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
         return found // len(self.ids), found % len(self.ids)
 
-    def _verify(self, words: Words, starts: np.ndarray, items: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    def _verify(
+        self, words: Words, numbers: np.ndarray, starts: np.ndarray, items: np.ndarray
+    ) -> list[tuple[int, int, int, int, int]]:
         texts = np.searchsorted(words.first, starts, "right") - 1
         # Meetings of one item in one text that lie close are verified as one stretch.
         order = np.lexsort((starts, texts, items))
@@ -148,6 +193,8 @@ class ItemIndex:
         first = np.flatnonzero(opens)
         last = np.append(first[1:] - 1, len(starts) - 1)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        there = np.zeros(len(self.vocabulary) + 1, bool)
+        own = {i: np.searchsorted(self.vocabulary, self.words[i]) for i in np.unique(items).tolist()}
         for a, b in zip(first.tolist(), last.tolist()):
             item, text = int(items[a]), int(texts[a])
             wanted = self.words[item]
@@ -155,7 +202,10 @@ class ItemIndex:
             low = max(int(starts[a]) - len(wanted) - reach, int(words.first[text]))
             high = min(int(starts[b]) + 2 * len(wanted) + reach, int(words.first[text + 1]))
             # Each edit costs one word at most: enough of the item's words must be there at all.
-            if np.isin(wanted, words.hashes[low:high]).sum() < len(wanted) - reach:
+            there[numbers[low:high]] = True
+            held = np.count_nonzero(there[own[item]])
+            there[numbers[low:high]] = False
+            if held < len(wanted) - reach:
                 continue
             distance, end = _nearest(wanted, words.hashes[low:high])
             if distance <= reach and (found := best.get((text, item), (1 << 30,)))[0] >= distance:
@@ -166,37 +216,47 @@ class ItemIndex:
         return [(text, item, *place) for (text, item), place in sorted(best.items())]
 
 
-def _windows(known: np.ndarray, limits: np.ndarray, own: SizeClass) -> tuple[np.ndarray, np.ndarray]:
-    """The first words of windows that hold enough words of items, and where their texts end.
+def _windows(known: np.ndarray, limits: np.ndarray, own: SizeClass) -> np.ndarray:
+    """The first words of windows that hold enough words of items.
 
     ``known`` counts the words of items ahead of each word.
     """
-    n, size = len(limits), own.size
-    ends = np.minimum(np.arange(size, size + n), n)
-    # Counted across text ends first; few windows are left to be looked at closely.
-    starts = np.flatnonzero(known[ends] - known[:n] >= size - own.edits)
+    n, reach = len(limits), edits_allowed(own.most)
+    # Where an item may begin; a piece of it begins no further on than the item can reach.
+    whole = _rich(known, limits, np.arange(n), own.least, reach)
+    marks = np.zeros(n + 1, np.int64)
+    np.add.at(marks, np.maximum(whole - own.size, 0), 1)
+    np.add.at(marks, np.minimum(whole + own.most + reach, n), -1)
+    return _rich(known, limits, np.flatnonzero(np.cumsum(marks[:n])), own.size, own.edits)
+
+
+def _rich(known: np.ndarray, limits: np.ndarray, starts: np.ndarray, size: int, edits: int) -> np.ndarray:
+    """Those of ``starts`` from where on ``size`` words hold all but ``edits`` words of items."""
+    # Counted across text ends first; few are left to be looked at closely.
+    ends = np.minimum(starts + size, len(limits))
+    starts = starts[known[ends] - known[starts] >= size - edits]
     ends = np.minimum(starts + size, limits[starts])
-    starts = starts[known[ends] - known[starts] >= size - own.edits]
-    return starts, limits[starts]
-
-
-def _table_keys(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, own: SizeClass) -> Iterator[np.ndarray]:
-    """The key of each window in each table. A walk ends at the window's text end: beyond, nothing is emitted."""
-    padded = np.append(text, NOTHING)
-    walks = -(-len(own.samples) // TABLES_A_WALK)
-    multipliers = mix(np.arange(1, walks * own.steps + 1, dtype=U64)).reshape(walks, own.steps) | U64(1)
-    for walk in range(walks):
-        tables = own.samples[walk * TABLES_A_WALK : (walk + 1) * TABLES_A_WALK]
-        keys = np.zeros((len(tables), len(starts)), U64)
-        place = starts.copy()
-        for step in range(int(tables.max()) + 1):
-            word = padded[np.minimum(place, len(text))]
-            word = np.where(place < ends, word, NOTHING)
-            for table in np.flatnonzero((tables == step).any(axis=1)):
-                keys[table] = keys[table] * U64(BASE) + word
-            # The highest bit of a product: as good as drawn anew for each step and word.
-            place += ((word * multipliers[walk, step]) >> U64(63)).astype(np.int64)
-        yield from keys
+    return starts[known[ends] - known[starts] >= size - edits]
+
+
+def _table_keys(padded: np.ndarray, starts: np.ndarray, own: SizeClass) -> Iterator[np.ndarray]:
+    """The key of each window in each table. ``NOTHING`` ends a text; a walk stays there, as its product is 0."""
+    multipliers = mix(np.arange(1, TABLES * own.steps + 1, dtype=U64)).reshape(TABLES, own.steps) | U64(1)
+    for sampled, walk in zip(own.samples.tolist(), multipliers):
+        keys = np.zeros(len(starts), U64)
+        for low in range(0, len(starts), WALKED):
+            place, part = starts[low : low + WALKED].copy(), keys[low : low + WALKED]
+            word = np.empty(len(place), U64)
+            for step in range(sampled[-1] + 1):
+                np.take(padded, place, out=word, mode="clip")
+                if step in sampled:
+                    part *= U64(BASE)
+                    part += word
+                # The highest bit of a product: as good as drawn anew for each step and word.
+                word *= walk[step]
+                word >>= U64(63)
+                place += word.view(np.int64)
+        yield keys
 
 
 def _nearest(wanted: np.ndarray, text: np.ndarray) -> tuple[int, int]:
