@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -175,6 +177,49 @@ def test_terms_that_stand_by_one_entity_are_removed(spark):
     assert clean[10] is None
 
 
+def test_terms_disclose_wherever_they_stand_in_the_document(spark):
+    """Terms that are far from the entity, short, repeated or in base spans, next to counts by brute force."""
+    rng = random.Random(11)
+    filler = lambda n: " ".join(rng.choice(["lorem", "ipsum", "dolor", "sit", "amet", "of"]) for _ in range(n))
+    texts = [f"Dear Marlowe, {filler(60)}\nyours, Marlowe Bo\n{filler(40)}\npm@example.com" for _ in range(5)]
+    texts += [f"{filler(9)} tell q{'abc'[k % 3]}@host.example {filler(50)} Vimes, Quill" for k in range(9)]
+    texts += [texts[-1]] * 3 + [f"Zorn, once {filler(20)} zorn@z.example"] * 4 + [filler(rng.randint(1, 60)) for _ in range(60)]
+    texts += ["Bo elsewhere", "Quill by itself", "quill again"]
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    found = {r.doc_id: r for r in personal.find_personal_data(made).collect()}
+    entities = [{s.value for s in found[d].base} for d in range(len(texts))]
+
+    def places(d: int) -> list[tuple]:
+        spans = [(s.start, s.end) for s in found[d].base]
+        matches = [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"[^\W\d_]+", texts[d])]
+        return [m for m in matches if not any(a < m[1] and b > m[0] for a, b in spans)]
+
+    terms = [{t for *_, t in places(d)} for d in range(len(texts))]
+    n_t, n_e = Counter(t for own in terms for t in own), Counter(e for own in entities for e in own)
+    n_te, support = Counter(), {}
+    for text, own, es in zip(texts, terms, entities):
+        for pair in {(t, e) for t in own for e in es}:
+            n_te[pair] += 1
+            support.setdefault(pair, set()).add(text)
+    disclosing = {
+        (t, e)
+        for (t, e), n in n_te.items()
+        if len(support[t, e]) >= personal.LEAST_DOCUMENTS
+        and math.log(len(texts) * n / (n_t[t] * n_e[e])) >= personal.DISCLOSED * math.log(len(texts) / n_e[e])
+    }
+    assert ("marlowe", "pm@example.com") in disclosing and ("zorn", "zorn@z.example") not in disclosing
+    alone = Counter(t for t, _ in disclosing)
+    for d in range(len(texts)):
+        wanted = [
+            (a, b, personal.REMOVED if alone[t] == 1 else personal.GENERALISED)
+            for a, b, t in places(d)
+            if any((t, e) in disclosing for e in entities[d])
+        ]
+        assert [(s.start, s.end, s.value) for s in found[d].added] == wanted, texts[d]
+    clean = {r.doc_id: r.text for r in personal.sanitise(personal.find_personal_data(made)).collect()}
+    assert "Marlowe" not in clean[0] and "[EMAIL]" in clean[0]
+
+
 def test_digest_columns_follow_from_the_ids(docs, rows):
     from sentencepiece import SentencePieceProcessor
 

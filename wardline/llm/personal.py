@@ -9,11 +9,16 @@ entity e, with document counts over the whole corpus,
 
     PMI(t; e) = log(N * n(t, e) / (n(t) * n(e))),   IC(e) = log(N / n(e)),
 
-where n(t, e) counts the documents that have t within ``NEAR_CHARS`` characters of e. Of the
+where n(t, e) counts the documents that have t and e. Of the
 information in e, t discloses PMI / IC. A term that discloses ``DISCLOSED`` or more of an entity,
-in at least ``LEAST_DOCUMENTS`` different texts, is removed near it if it does so for that entity
-alone, and otherwise generalised. Copies of a text support no term: they say nothing about how
-terms go together.
+in at least ``LEAST_DOCUMENTS`` different texts, is removed wherever it stands in documents that
+have the entity if it does so for that entity alone, and otherwise generalised. Copies of a text support
+no term: they say nothing about how terms go together. A term is a run of letters, in lower case, that
+overlaps no base span; runs that do are counted nowhere.
+
+Since n(t, e) <= n(e), a term that discloses e is in no more than n(e)^DISCLOSED * N^(1 - DISCLOSED)
+documents. Terms and entities of a document are paired within this bound, as far as n(t) is known
+before a shuffle: it is for the terms of more than one in ``OFTEN`` documents, which are sent to all tasks.
 
 Patterns are possessive where nothing that follows could make them give back, so that no text,
 however long, makes them slow or deep.
@@ -25,6 +30,8 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,21 +53,25 @@ PHONE_DIGITS = (10, 15)
 NEEDED = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 
 # Parameters of the method.
-NEAR_CHARS = 60
 DISCLOSED = 0.95
 LEAST_DOCUMENTS = 3
 REMOVED = ""
 GENERALISED = "[TERM]"
-#: Terms are words of at least this many letters.
-TERM = r"[\p{L}]{4,}+"
+TERM = r"\p{L}++"
 TERM_KIND = "term"
+#: What more than one in so many documents have is joined without a shuffle.
+OFTEN = 1_000
+#: Stands for a base span where terms are counted.
+CUT = "\x00"
 
 # Fields in the order by which spans are sorted.
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
 
 
-def _spans(text: Column, kind: str, rank: int, pattern: str) -> Column:
-    """All matches of the pattern as spans, in order."""
+def _spans(
+    text: Column, kind: str, rank: int, pattern: str, wanted: Callable[[Column], Column] = lambda value: F.lit(True)
+) -> Column:
+    """All matches of the pattern that are wanted as spans, in order."""
     found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
     # What stands between matches; the last piece is behind them all.
     between = F.slice(F.split(text, pattern, -1), F.lit(1), F.greatest(F.size(found), F.lit(1)))
@@ -77,7 +88,8 @@ def _spans(text: Column, kind: str, rank: int, pattern: str) -> Column:
             F.lit(kind).alias("kind"),
             pair["f"].alias("value"),
         )
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+        longer = F.when(wanted(pair["f"]), F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
+        return F.struct(end.alias("at"), longer.alias("spans"))
 
     return F.when(F.size(found) > 0, F.aggregate(pairs, start, add, lambda state: state["spans"])).otherwise(
         F.array().cast(SPAN)
@@ -145,83 +157,109 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "personal-base",
     )
     holding = scanned.where(F.size("base") > 0)
-    near = materialize(_near_terms(holding), "personal-near")
-    hits = (
-        near.join(_disclosing_terms(rows, holding, near), ["term", "entity"])
-        .groupBy("row", "place")
-        .agg(F.min("in_place").alias("in_place"))
-        .groupBy("row")
+    hits = _hits(rows, holding, scanned.count())
+    # Where the terms stand, once the document's are known.
+    terms = _spans(F.col("text"), TERM_KIND, len(KINDS), TERM, lambda value: F.map_contains_key("terms", F.lower(value)))
+    free = F.filter(terms, lambda t: ~F.exists("base", lambda s: (s["start"] < t["end"]) & (s["end"] > t["start"])))
+    named = F.transform(free, lambda t: t.withField("value", F.element_at("terms", F.lower(t["value"]))))
+    added = F.when(F.col("terms").isNotNull(), named).otherwise(F.array().cast(SPAN)).alias("added")
+    return scanned.join(hits, "row", "left").select("doc_id", "text", "base", added)
+
+
+def _terms(text: Column, pattern: str) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), F.lower))
+
+
+def _cut(text: Column, base: Column) -> Column:
+    """The text with ``CUT`` in place of its base spans."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def put(state: Column, span: Column) -> Column:
+        ahead = F.substring(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
+        end = F.greatest(state["at"], span["end"])
+        return F.struct(end.alias("at"), F.concat(state["out"], ahead, F.lit(CUT)).alias("out"))
+
+    return F.aggregate(
+        base, start, put, lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
+    )
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: list[str], often: Column) -> DataFrame:
+    """Inner join with a table of unique keys, of which those that are in ``left`` often cross no shuffle."""
+    hot, rest = right.where(often), right.where(~often)
+    others = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return left.join(F.broadcast(hot), keys).unionByName(others.join(rest, keys))
+
+
+def _hits(rows: DataFrame, holding: DataFrame, total: int) -> DataFrame:
+    """The disclosing terms of each row that has some, with what stands in their place: row, terms (a map)."""
+    often = total / OFTEN
+    named = holding.select(
+        "row", F.xxhash64("text").alias("same"), F.explode(F.array_distinct(F.col("base.value"))).alias("entity")
+    )
+    named = materialize(named, "personal-named")
+    # Copies have the same terms and entities: the first of them supports a term.
+    first = named.groupBy("same").agg(F.min("row").alias("row")).select("row", F.lit(1).alias("first"))
+    named = named.join(first, "row", "left").select("row", "entity", F.coalesce("first", F.lit(0)).alias("first"))
+    named = materialize(named, "personal-entities")
+    entities = named.groupBy("entity").agg(F.count("*").alias("entity_documents"), F.sum("first").alias("texts"))
+    entities = entities.where((F.col("texts") >= LEAST_DOCUMENTS) & (F.col("entity_documents") < total)).drop("texts")
+    entities = materialize(entities, "personal-entity-counts")
+    own = (
+        _joined(named, entities, ["entity"], F.col("entity_documents") > often)
+        .groupBy("row", "first")
         .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct(
-                        F.col("place.start").alias("start"),
-                        F.lit(len(KINDS)).alias("rank"),
-                        F.col("place.end").alias("end"),
-                        F.lit(TERM_KIND).alias("kind"),
-                        F.col("in_place").alias("value"),
-                    )
-                )
-            ).alias("added")
+            F.collect_list(F.struct("entity", "entity_documents")).alias("entities"),
+            F.max("entity_documents").alias("most"),
         )
     )
-    added = F.coalesce("added", F.array()).cast(SPAN).alias("added")
-    return scanned.join(hits, "row", "left").select("doc_id", "text", "base", added)
 
-
-def _near_terms(holding: DataFrame) -> DataFrame:
-    """Terms that stand whole within ``NEAR_CHARS`` of a base span and overlap none: row, entity, term, place."""
-    around = holding.select("row", "text", "base", F.explode("base").alias("span")).select(
-        "row",
-        "base",
-        F.col("span.value").alias("entity"),
-        F.greatest(F.col("span.start") - NEAR_CHARS, F.lit(0)).alias("at"),
-        F.expr(
-            f"substring(text, greatest(span.start - {NEAR_CHARS}, 0) + 1,"
-            f" span.end + {NEAR_CHARS} - greatest(span.start - {NEAR_CHARS}, 0))"
-        ).alias("piece"),
-        (F.col("span.end") + NEAR_CHARS >= F.length("text")).alias("to_end"),
+    # Every word of the corpus, each document once per word, but for those in base spans only: summed up before the shuffle.
+    free = _terms(_cut(F.col("text"), F.col("base")), rf"(?<![\p{{L}}{CUT}]){TERM}(?!{CUT})")
+    words = rows.select(F.explode(_terms(F.col("text"), TERM)).alias("term"), F.lit(1).alias("n"))
+    covered = holding.select(F.explode(F.array_except(_terms(F.col("text"), TERM), free)).alias("term"), F.lit(-1).alias("n"))
+    terms = words.unionByName(covered).groupBy("term").agg(F.sum("n").alias("term_documents"))
+    terms = materialize(terms.where(F.col("term_documents") >= LEAST_DOCUMENTS), "personal-terms")
+
+    def can_disclose(entity_documents: Column) -> Column:
+        bound = F.pow(entity_documents, F.lit(DISCLOSED)) * total ** (1 - DISCLOSED)
+        return F.col("term_documents").isNull() | (F.col("term_documents") <= bound * (1 + 1e-9))
+
+    hot = F.broadcast(terms.where(F.col("term_documents") > often))
+    triples = (
+        holding.join(own, "row")
+        .select("row", "first", "entities", "most", F.explode(free).alias("term"))
+        .join(hot, "term", "left")
+        .where(can_disclose(F.col("most")))
+        .select("row", "first", "term", "term_documents", F.explode("entities").alias("e"))
+        .where(can_disclose(F.col("e.entity_documents")))
+        .select("row", "first", "term", "e.entity", "e.entity_documents")
+    )
+    triples = materialize(triples, "personal-triples")
+    disclosing = _disclosing(triples, terms, total)
+    return (
+        _joined(triples.select("row", "term", "entity"), disclosing, ["term", "entity"], F.col("both") > often)
+        .groupBy("row", "term")
+        .agg(F.min("in_place").alias("in_place"))
+        .groupBy("row")
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", "in_place"))).alias("terms"))
     )
-    terms = around.select("*", F.explode(_spans(F.col("piece"), TERM_KIND, 0, TERM)).alias("t"))
-    whole = ((F.col("t.start") > 0) | (F.col("at") == 0)) & ((F.col("t.end") < F.length("piece")) | F.col("to_end"))
-    place = F.struct((F.col("at") + F.col("t.start")).alias("start"), (F.col("at") + F.col("t.end")).alias("end"))
-    placed = terms.where(whole).select("row", "base", "entity", F.lower("t.value").alias("term"), place.alias("place"))
-    meets = F.exists("base", lambda s: (s["start"] < F.col("place.end")) & (s["end"] > F.col("place.start")))
-    return placed.where(~meets).select("row", "entity", "term", "place")
 
 
-def _disclosing_terms(rows: DataFrame, holding: DataFrame, near: DataFrame) -> DataFrame:
-    """Pairs of term and entity with what stands in the term's place: term, entity, in_place."""
-    texts = holding.select("row", F.xxhash64("text").alias("same"))
+def _disclosing(triples: DataFrame, terms: DataFrame, total: int) -> DataFrame:
+    """Pairs of term and entity with what stands in the term's place: term, entity, both, in_place."""
     pairs = (
-        near.select("row", "entity", "term")
-        .join(texts, "row")
-        .groupBy("term", "entity")
-        .agg(F.countDistinct("row").alias("both"), F.countDistinct("same").alias("texts"))
+        triples.groupBy("term", "entity", "entity_documents")
+        .agg(F.count("*").alias("both"), F.sum("first").alias("texts"))
         .where(F.col("texts") >= LEAST_DOCUMENTS)
     )
-    pairs = materialize(pairs, "personal-pairs")
-    entities = (
-        holding.select("row", F.explode(F.array_distinct(F.col("base.value"))).alias("entity"))
-        .groupBy("entity")
-        .agg(F.count("*").alias("entity_documents"))
-    )
-    # Every word of the corpus, each document once per word: summed up before the shuffle.
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"({TERM})"), F.lit(1)))
-    terms = rows.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("term_documents"))
-    total = rows.agg(F.count("*")).first()[0]
     pmi = F.log(F.lit(total) * F.col("both") / (F.col("term_documents") * F.col("entity_documents")))
     content = F.log(F.lit(total) / F.col("entity_documents"))
-    disclosing = (
-        pairs.join(entities, "entity")
-        .join(terms, "term")
-        .where((content > 0) & (pmi >= DISCLOSED * content))
-        .select("term", "entity")
-    )
+    disclosing = pairs.join(terms, "term").where(pmi >= DISCLOSED * content).select("term", "entity", "both")
     disclosing = materialize(disclosing, "personal-disclosing")
     kinds = disclosing.groupBy("term").agg(F.count("*").alias("entities"))
     in_place = F.when(F.col("entities") == 1, REMOVED).otherwise(GENERALISED)
-    return disclosing.join(kinds, "term").select("term", "entity", in_place.alias("in_place"))
+    return disclosing.join(kinds, "term").select("term", "entity", "both", in_place.alias("in_place"))
 
 
 def all_spans(base: Column, added: Column) -> Column:
