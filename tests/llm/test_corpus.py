@@ -337,6 +337,26 @@ def test_toxic_texts_stand_out(spark, nothing):
     assert toxicity.score_toxicity(nothing, model).isEmpty()
 
 
+def test_toxic_passages_of_ordinary_words_stand_out(spark):
+    """No word tells, only the order of words does."""
+    rng = random.Random(9)
+    ordinary = ["".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(3)) for _ in range(150)]
+    slurs = [" ".join(rng.choice(ordinary) for _ in range(9)) for _ in range(4)]
+    rows, labels = [], []
+    for i in range(600):
+        words = [rng.choice(ordinary) for _ in range(60)]
+        toxic = i % 3 == 0
+        if toxic:
+            words[rng.randrange(60)] = rng.choice(slurs)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    made = spark.createDataFrame(rows, "doc_id bigint, text string")
+    known = spark.createDataFrame([x for x in labels if x[0] % 5], "doc_id bigint, label int")
+    found = {r.doc_id: r.score for r in toxicity.score_toxicity(made, toxicity.learn_toxicity(made, known)).collect()}
+    held = [(found[i], t) for i, t in labels if i % 5 == 0]
+    assert sum((s >= 0.7) == bool(t) for s, t in held) >= 0.9 * len(held)
+
+
 def test_exchange_finds_classes_that_follow_each_other():
     rng = np.random.default_rng(0)
     kinds = np.arange(41) % 4

@@ -1,15 +1,23 @@
 """Toxicity by compression: how much shorter a window gets with a dictionary of toxic text.
 
-Two zstandard dictionaries are made from a bounded sample of labelled documents (about
-``SAMPLE_DOCS`` texts of each label, chosen by a hash of the id). One is trained on windows of
-ordinary text. The other continues it with what training finds in toxic passages: those words
-of toxic documents that begin like no ordinary words do, judged by the documents that use such
-beginnings. The two share their beginning, so lengths differ where toxic passages match and hardly elsewhere.
-
-A window is one word between two pieces of carrier text, the first known to both dictionaries and
+Dictionaries are made from a bounded sample of labelled documents (about
+``SAMPLE_DOCS`` texts of each label, chosen by a hash of the id). Windows of two sizes are compressed.
+
+Passages: windows of ``WINDOW_WORDS`` words, one from every ``WINDOW_STEP``-th word on, under two separate
+dictionaries, one trained on passages of ordinary texts and one on passages of toxic texts. These find
+what is toxic by the order of words that occur in ordinary text as well. The toxic dictionary learns from
+one half of the sample's toxic texts, and calibration looks at the other half: a text knows its own passages.
+
+Words: toxic words that stand one by one in ordinary prose drown in a longer window. A second toxic dictionary
+continues the ordinary one with a list of words: those of toxic documents that begin like no ordinary words do,
+judged by the documents that use such beginnings. A window is one word between two pieces of carrier text,
+the first known to both dictionaries and
 the other to none; without them zstandard would store it as it is. A worker compresses each
-different word once. The largest share that a window of the text saves is its evidence, and its score is the share of toxic documents
-among labelled ones with that evidence, made monotone and weighted back to the rate of all labels.
+different word once.
+
+The largest share that a window of the text saves is its evidence, one for each size. Its score is the share
+of toxic documents among labelled ones with that evidence, made monotone and weighted back to the rate of
+all labels; the larger of the two counts.
 
 Defined cases: a null or empty text, and one without a word, has evidence 0. Documents without
 a label and null labels teach nothing. Without toxic or without ordinary examples every score is 0.
@@ -28,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm.common import batch_chunks, crc_mod, id_and_text, read_table
-from wardline.llm.words import LOWER, Lookup, split_words
+from wardline.llm.words import LOWER, Lookup, Words, split_words
 from wardline.session import materialize
 
 # Parameters of the model.
@@ -53,6 +61,11 @@ REPEATS = 60
 STEPS = 20
 LEAST_LENGTH = 6
 
+#: Windows of passages; the pieces of a window of very long words are compressed one by one.
+WINDOW_WORDS, WINDOW_STEP, WINDOW_BYTES = 8, 4, 512
+WINDOW_LEVEL = 3
+WINDOW_STEPS = 100
+
 CUTOFF = 0.7
 KEPT_WORDS = 1_000_000
 LARGEST_WORD = 256
@@ -61,23 +74,49 @@ LARGEST_WORD = 256
 @dataclass
 class ToxicityModel:
     ordinary: bytes
-    toxic: bytes
+    toxic: bytes  #: the list of words
+    ordinary_passages: bytes
+    toxic_passages: bytes
     scores: np.ndarray = field(default_factory=lambda: np.zeros(1))  #: by evidence from 0 on
+    passage_scores: np.ndarray = field(default_factory=lambda: np.zeros(1))
     _known: Lookup = field(default_factory=Lookup, repr=False)
     _gains: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64), repr=False)
     _pair: tuple | None = field(default=None, repr=False)
+    _passage_pair: tuple | None = field(default=None, repr=False)
     _carrier: tuple[bytes, bytes] = field(default=(b"", b""), repr=False)
     _empty: list[int] = field(default_factory=list, repr=False)
 
     def __getstate__(self):
-        return {"ordinary": self.ordinary, "toxic": self.toxic, "scores": self.scores}
+        kept = ("ordinary", "toxic", "ordinary_passages", "toxic_passages", "scores", "passage_scores")
+        return {name: getattr(self, name) for name in kept}
 
     def __setstate__(self, state):
         self.__init__(**state)
 
-    def evidence(self, texts: list[bytes]) -> np.ndarray:
-        """The largest saving of a window in each text, at least 0."""
+    def evidence(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The largest saving of a word and of a passage in each text, at least 0."""
         words = split_words(texts)
+        return self._word_evidence(words), self._passage_evidence(words)
+
+    def _passage_evidence(self, words: Words) -> np.ndarray:
+        if self._passage_pair is None:
+            self._passage_pair = tuple(_compressor(c, WINDOW_LEVEL) for c in (self.ordinary_passages, self.toxic_passages))
+        ordinary, toxic = self._passage_pair
+        data = LOWER[words.data].tobytes()
+        starts, ends, first = words.starts.tolist(), words.ends.tolist(), words.first.tolist()
+        out = np.zeros(len(first) - 1, np.int64)
+        for text, (low, high) in enumerate(zip(first, first[1:])):
+            best = 0.0
+            for word in range(low, max(high - WINDOW_STEP, low + 1) if high > low else low, WINDOW_STEP):
+                begin, end = starts[word], ends[min(word + WINDOW_WORDS, high) - 1]
+                for at in range(begin, max(end - WINDOW_BYTES // 2, begin + 1), WINDOW_BYTES // 2):
+                    window = data[at : min(at + WINDOW_BYTES, end)]
+                    length = len(ordinary.compress(window))
+                    best = max(best, (length - len(toxic.compress(window))) / max(length, LEAST_LENGTH))
+            out[text] = min(round(best * WINDOW_STEPS), WINDOW_STEPS)
+        return out
+
+    def _word_evidence(self, words: Words) -> np.ndarray:
         unique, sample, which = np.unique(words.hashes, return_index=True, return_inverse=True)
         if len(self._known) + len(unique) > KEPT_WORDS:
             self._known, self._gains = Lookup(), np.zeros(0, np.int64)
@@ -88,14 +127,15 @@ class ToxicityModel:
             self._known.add(unique[new])
             self._gains = np.concatenate([self._gains, gains])
             numbers[new] = self._known.find(unique[new])
-        out = np.zeros(len(texts), np.int64)
+        out = np.zeros(len(words.first) - 1, np.int64)
         filled = np.flatnonzero(np.diff(words.first))
         if len(filled):
             out[filled] = np.maximum.reduceat(self._gains[numbers[which]], words.first[:-1][filled])
         return np.maximum(out, 0)
 
-    def score(self, evidence: np.ndarray) -> np.ndarray:
-        return self.scores[np.minimum(evidence, len(self.scores) - 1)]
+    def score(self, evidence: np.ndarray, passages: np.ndarray) -> np.ndarray:
+        by_word = self.scores[np.minimum(evidence, len(self.scores) - 1)]
+        return np.maximum(by_word, self.passage_scores[np.minimum(passages, len(self.passage_scores) - 1)])
 
     def _gain(self, word: bytes) -> int:
         """The share of its length that a window saves with the toxic dictionary, in steps; the best of a long word's."""
@@ -116,10 +156,10 @@ class ToxicityModel:
         return min(round(best * STEPS), 2 * STEPS)
 
 
-def _compressor(content: bytes) -> zstandard.ZstdCompressor:
+def _compressor(content: bytes, level: int = LEVEL) -> zstandard.ZstdCompressor:
     dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    dictionary.precompute_compress(level=LEVEL)
-    return zstandard.ZstdCompressor(dict_data=dictionary, level=LEVEL, write_content_size=False, write_checksum=False)
+    dictionary.precompute_compress(level=level)
+    return zstandard.ZstdCompressor(dict_data=dictionary, level=level, write_content_size=False, write_checksum=False)
 
 
 def _trained(samples: list[bytes], size: int) -> bytes:
@@ -198,11 +238,15 @@ def _toxic_words(sample: DataFrame) -> list[tuple[str, int]]:
     return [(row["word"], row["count"]) for row in found]
 
 
-def _ordinary_passages(sample: DataFrame) -> list[bytes]:
+def _half() -> Column:
+    """Whether a text of the sample teaches passages; the others calibrate them."""
+    return F.pmod(F.xxhash64("doc_id", F.lit("passages")), F.lit(2)) == 0
+
+
+def _passages(sample: DataFrame) -> list[bytes]:
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(PASSAGE_WORDS))
     passages = (
-        sample.where("label = 0")
-        .select(_words("text").alias("words"))
+        sample.select(_words("text").alias("words"))
         .select("words", F.explode(starts).alias("start"))
         .select(F.concat_ws(" ", F.slice("words", F.col("start") + 1, PASSAGE_WORDS)).alias("passage"))
     )
@@ -213,19 +257,30 @@ def _ordinary_passages(sample: DataFrame) -> list[bytes]:
 def learn_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel | None:
     """From documents (doc_id, text) and labels (doc_id, label); None without examples of both labels."""
     sample, weights = _sample(id_and_text(docs), labels)
-    words = _toxic_words(sample)
-    passages = _ordinary_passages(sample)
-    if not words or not passages:
+    taught = {label: _passages(sample.where((F.col("label") == label) & _half())) for label in (0, 1)}
+    passages = _passages(sample.where("label = 0"))
+    if not taught[0] or not taught[1]:
         return None
+    words = _toxic_words(sample)
     # Training looks at one stretch of the samples after another: each should hold all frequent words.
     toxic = [f" {word} ".encode() for turn in range(REPEATS) for word, n in reversed(words) if n > turn]
-    model = ToxicityModel(_trained(passages, ORDINARY_BYTES), _trained(toxic, TOXIC_BYTES))
+    model = ToxicityModel(
+        _trained(passages, ORDINARY_BYTES),
+        _trained(toxic, TOXIC_BYTES),
+        *(_trained(taught[label], ORDINARY_BYTES) for label in (0, 1)),
+    )
 
     counts = {0: np.zeros(2 * STEPS + 1), 1: np.zeros(2 * STEPS + 1)}
+    unseen = {0: np.zeros(WINDOW_STEPS + 1), 1: np.zeros(WINDOW_STEPS + 1)}
     rows = _evidence(sample.select("doc_id", "text"), model).join(sample.select("doc_id", "label"), "doc_id")
-    for row in rows.groupBy("label", "evidence").count().collect():
-        counts[row["label"]][row["evidence"]] += row["count"] * weights[row["label"]]
-    model.scores = _monotone(counts[1], counts[0] + counts[1])
+    for row in rows.groupBy("label", "evidence", "passages", _half().alias("half")).count().collect():
+        weight = row["count"] * weights[row["label"]]
+        counts[row["label"]][row["evidence"]] += weight
+        if not row["half"]:
+            unseen[row["label"]][row["passages"]] += weight
+    if words:
+        model.scores = _monotone(counts[1], counts[0] + counts[1])
+    model.passage_scores = _monotone(unseen[1], unseen[0] + unseen[1])
     return model
 
 
@@ -249,20 +304,21 @@ def _evidence(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in batch_chunks(batches):
-            evidence = shared.value.evidence(texts)
+            evidence, passages = shared.value.evidence(texts)
+            score = shared.value.score(evidence, passages)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(evidence), pa.array(shared.value.score(evidence))],
-                names=["doc_id", "evidence", "score"],
+                [pa.array(ids, pa.int64()), pa.array(evidence), pa.array(passages), pa.array(score)],
+                names=["doc_id", "evidence", "passages", "score"],
             )
 
-    return docs.mapInArrow(run, "doc_id bigint, evidence bigint, score double")
+    return docs.mapInArrow(run, "doc_id bigint, evidence bigint, passages bigint, score double")
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, evidence, score."""
+    """One row per document: doc_id, evidence (of its words), passages (evidence of these), score."""
     rows = id_and_text(docs, id_col, text_col)
     if model is None:
-        return rows.select("doc_id", F.lit(0).cast("bigint").alias("evidence"), F.lit(0.0).alias("score"))
+        return rows.select("doc_id", *(F.lit(0).cast("bigint").alias(c) for c in ("evidence", "passages")), F.lit(0.0).alias("score"))
     return _evidence(rows, model)
 
 
