@@ -151,6 +151,21 @@ def test_prefixes_share_what_the_sizes_require():
         assert shared >= least
 
 
+def test_a_group_is_bounded_by_each_of_its_sizes(spark):
+    """The bound that opens a group is no more than what a member of any size from low to high requires."""
+    sizes = spark.range(20, 130).selectExpr("cast(id as int) as n")
+    low, high = (spark.range(16, 163).selectExpr(f"cast(id as int) as {c}") for c in ("low", "high"))
+    groups = sizes.join(low, F.expr("low >= 0.8 * n and low <= 1.25 * n"))
+    groups = groups.join(high, F.expr("high >= low and high <= 1.25 * n"))
+    each = groups.withColumn("m", F.explode(F.sequence("low", "high")))
+    bound = ngram_join._least_of_group(F.col("n"), F.col("low"), F.col("high"))
+    each = each.withColumns({"bound": bound, "required": ngram_join._least_shared(F.col("n"), F.col("m"))})
+    assert each.where("bound > required").isEmpty()
+    assert each.where("n = 100 and low = 105 and high = 110").agg(F.min("required"), F.max("bound")).first() == (6, 6)
+    ends = F.least(ngram_join._least_shared(F.col("n"), F.col("low")), ngram_join._least_shared(F.col("n"), F.col("high")))
+    assert not each.where(ends > F.col("required")).isEmpty()
+
+
 # --- repeated passages ---
 
 

@@ -275,6 +275,16 @@ def _least_shared(n: Column, m: Column) -> Column:
     return F.greatest(common - F.ceil(larger * up / down - 1e-9) + 1, F.lit(1))
 
 
+def _least_of_group(n: Column, low: Column, high: Column) -> Column:
+    """A bound from below of ``_least_shared`` for partners of any size from low to high.
+
+    Up to n the requirement grows with the partner. Beyond n it falls but for its two ceilings: what is
+    rounded makes it one less at most than it is for the largest partner.
+    """
+    beyond = _least_shared(n, high) - F.when(high > n, 1).otherwise(0)
+    return F.greatest(F.least(_least_shared(n, low), beyond), F.lit(1))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sets link, from pairs that bring the set of b: a, b, tokens_b."""
 
@@ -372,12 +382,10 @@ def _matrix_pairs(members: DataFrame, lists: DataFrame, components: DataFrame, e
         F.min("n").alias("low"), F.max("n").alias("high"), F.max("total").alias("most")
     )
     matrix = written(matrix, "token-groups", entries)
-    # A group can be reached from both sides; the side of the larger group name asks. The requirement is
-    # least for the partner whose size is furthest away.
+    # A group can be reached from both sides; the side of the larger group name asks.
     up, down = SHARE
     fits = (F.col("n") * down >= F.col("low") * up) & (F.col("high") * down >= F.col("n") * up)
-    least = F.least(_least_shared(F.col("n"), F.col("low")), _least_shared(F.col("n"), F.col("high")))
-    reaches = F.least("rest", "most") >= least
+    reaches = F.least("rest", "most") >= _least_of_group(F.col("n"), F.col("low"), F.col("high"))
     opened = rows.join(matrix, "list").where((F.col("grp") > F.col("other")) & fits & reaches)
     # Lists have one order for all documents, so the first that two have in common is the same for both.
     inside = rows.select(
