@@ -306,6 +306,31 @@ def test_languages(spark, docs, nothing):
     assert {r.lang_pred for r in language.identify(docs, None).collect()} == {"und"}
 
 
+def test_every_labelled_language_is_learned(spark, monkeypatch):
+    """Languages with one or two documents, and more of them than 512; blocks of few words change nothing."""
+    rng = random.Random(5)
+
+    def text(lang: int) -> str:
+        letters = [chr(0x4E00 + 8 * lang + k) for k in range(8)]
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 6))) for _ in range(25))
+
+    rows = [(i, text(i % 600), f"x{i % 600:03d}", "s", 0) for i in range(900)] + [(900 + k, text(k), None, "s", 0) for k in range(600)]
+    made = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    models = language.learn_languages(made)
+    assert len(models.languages) == 600
+    found = {r.doc_id: r.lang_pred for r in language.identify(made, models).collect()}
+    assert sum(found[900 + k] == f"x{k:03d}" for k in range(600)) >= 590
+    assert language.accepted(made, models).where("lang is not null").count() == 900
+    words = [t for *_, t in [(0, r[1]) for r in rows[:4]] for t in t.split(" ")]
+    whole = models.score_words(words)
+    monkeypatch.setattr(language, "CELLS", 20_000)
+    assert np.allclose(models.score_words(words), whole)
+    few = made.where("doc_id < 4")
+    assert language.accepted(few, language.learn_languages(few)).count() == 4
+    bare = made.selectExpr("doc_id", "text", "cast(null as string) as lang")
+    assert language.accepted(bare, language.learn_languages(bare)).count() == len(rows)
+
+
 def test_language_models_sum_to_one():
     """After any context, known or not, the probabilities of all characters and of the end add up to one."""
     import pandas as pd

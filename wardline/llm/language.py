@@ -6,12 +6,14 @@ n-grams lie within a word and the blanks around it, so the log-probability of a
 sum over its words, and a worker scores each different word once. Words without a letter say
 nothing and are left out. The lowest cross-entropy per character wins. A text is rejected if
 even the lowest is nearer to that of evenly drawn characters than to the median of the
-language's own sample, and above the 99.9 % quantile of the sample.
+language's own sample, and above the 99.9 % quantile of the sample. Every language with a labelled
+document is learned; one with fewer than ``FEW_DOCS`` knows its own sample by heart and takes the
+widest limit of all. Per language only its own n-grams are stored.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0 and rejected.
 Unseen characters get the uniform share of the lowest order. Ties go to the language that
 sorts first. Rows are independent, so very long texts, repeated rows and null ids need no
-rule; without any labelled document everything is ``und``. Labels are read for learning only.
+rule; without any labelled document everything is ``und``, and ``accepted`` keeps all rows. Labels are read for learning only.
 """
 
 from __future__ import annotations
@@ -24,22 +26,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm.common import batch_chunks, chunks, crc_mod, filter_texts, id_and_text, prepare, read_table, text_bytes
-from wardline.llm.words import U64, Lookup, mix, split_words
+from wardline.llm.common import CHUNK_BYTES, batch_chunks, chunks, crc_mod, filter_texts, id_and_text, prepare, read_table, text_bytes
+from wardline.llm.words import U64, Lookup, mix, ranges, split_words
 from wardline.session import materialize
 
 # Parameters of the model.
 ORDER = 4
 SAMPLE_DOCS = 1_500
-# Languages with fewer labelled documents than this are not learned.
-LEAST_DOCS = 5
-# At most this many languages are learned, those with the most documents.
-MAX_LANGUAGES = 512
+# Languages with fewer documents in the sample than this are not judged by the sample's entropies.
+FEW_DOCS = 5
 # The score compares languages by their probability of this many characters of the text.
 SCORE_CHARS = 20
 
 UNDECIDED = "und"
 KEPT_WORDS = 1_000_000
+# Numbers that a table of words or characters by languages may hold.
+CELLS = 16_000_000
 NGRAM_SCHEMA = "lang string, size int, key bigint, tail bigint, head bigint, opens boolean, n bigint"
 
 
@@ -103,13 +105,10 @@ def _runs(texts: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray, np.nda
 def _sample(docs: DataFrame) -> DataFrame:
     """Labelled documents, about ``SAMPLE_DOCS`` of each language, by a hash of the id."""
     labelled = docs.where(F.col("lang").isNotNull())
-    counts = labelled.groupBy("lang").count().where(F.col("count") >= LEAST_DOCS)
-    counts = counts.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    if not counts:
-        return labelled.limit(0)
-    shares = [x for row in counts for x in (F.lit(row["lang"]), F.lit(SAMPLE_DOCS / row["count"] * 1_000_000))]
+    counts = labelled.groupBy("lang").agg((SAMPLE_DOCS * 1_000_000 / F.count("*")).alias("share"))
     place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
-    return materialize(labelled.where(place < F.element_at(F.create_map(*shares), F.col("lang"))), "lang-sample")
+    chosen = labelled.join(F.broadcast(counts), "lang").where(place < F.col("share"))
+    return materialize(chosen.select(*labelled.columns), "lang-sample")
 
 
 def _count_ngrams(sample: DataFrame) -> DataFrame:
@@ -142,12 +141,14 @@ def _count_ngrams(sample: DataFrame) -> DataFrame:
 
 @dataclass
 class LanguageModels:
-    """The models of all languages: per n-gram size sorted hashes, and per language a column."""
+    """The models of all languages: per n-gram size sorted hashes, and under each the languages that have it."""
 
     languages: list[str]
     keys: list[np.ndarray]
-    log_p: list[np.ndarray]  #: per size (n-grams, languages); NaN where a language lacks the n-gram
-    log_rest: list[np.ndarray]  #: what a context leaves to the next smaller size; 0 where it is unknown
+    first: list[np.ndarray]  #: per size where the entries of each n-gram start, and their number at the end
+    column: list[np.ndarray]  #: of each entry its language
+    log_p: list[np.ndarray]  #: of each entry
+    log_rest: list[np.ndarray]  #: what a context leaves to the next smaller size; 0 where it is none
     first_rest: np.ndarray
     log_uniform: float
     limits: np.ndarray = field(default_factory=lambda: np.zeros(0))  #: cross-entropy above which a text is rejected
@@ -164,41 +165,57 @@ class LanguageModels:
         raw = [{c: s[c].to_numpy(np.int64).view(U64) for c in ("key", "tail", "head")} for s in sizes]
         keys = [np.unique(r["key"]) for r in raw]
         uniform = 1.0 / (len(keys[0]) + 1)
-        log_p = [np.full((len(k), len(languages)), np.nan) for k in keys]
-        log_rest = [np.zeros((len(k), len(languages))) for k in keys]
-        first_rest = np.zeros(len(languages))
+        # An entry is an n-gram of a language, in the order of these numbers.
+        width = len(languages)
+        codes = [np.searchsorted(k, r["key"]) * width + c for k, r, c in zip(keys, raw, column)]
+        entries = [np.unique(c) for c in codes]
+        log_p = [np.zeros(len(e)) for e in entries]
+        log_rest = [np.zeros(len(e)) for e in entries]
+        first_rest = np.zeros(width)
         for size in range(ORDER):
             rows, lang = raw[size], column[size]
-            own = np.searchsorted(keys[size], rows["key"])
+            own = np.searchsorted(entries[size], codes[size])
             n = sizes[size]["n"].to_numpy(np.float64)
             if size + 1 < ORDER:
                 # Below the largest size an n-gram counts once for each character seen ahead of it.
-                tails = np.searchsorted(keys[size], raw[size + 1]["tail"])
-                ahead = np.zeros((len(keys[size]), len(languages)))
-                np.add.at(ahead, (tails, column[size + 1]), 1)
-                n = np.where(sizes[size]["opens"].to_numpy(bool), n, np.maximum(ahead[own, lang], 1))
-            context = np.searchsorted(keys[size - 1], rows["head"]) if size else np.zeros(len(own), np.int64)
-            shape = (len(keys[size - 1]) if size else 1, len(languages))
-            total, kinds = np.zeros(shape), np.zeros(shape)
-            np.add.at(total, (context, lang), n)
-            np.add.at(kinds, (context, lang), 1)
-            once = np.bincount(lang[n == 1], minlength=len(languages))
-            twice = np.bincount(lang[n == 2], minlength=len(languages))
+                tails = np.searchsorted(keys[size], raw[size + 1]["tail"]) * width + column[size + 1]
+                ahead = np.bincount(np.searchsorted(entries[size], tails), minlength=len(entries[size]))
+                n = np.where(sizes[size]["opens"].to_numpy(bool), n, np.maximum(ahead[own], 1))
+            if size:
+                # A language that has an n-gram has its head and its tail as well.
+                heads = np.searchsorted(keys[size - 1], rows["head"]) * width + lang
+                context, contexts = np.searchsorted(entries[size - 1], heads), len(entries[size - 1])
+            else:
+                context, contexts = lang, width
+            total = np.bincount(context, weights=n, minlength=contexts)
+            kinds = np.bincount(context, minlength=contexts)
+            once = np.bincount(lang[n == 1], minlength=width)
+            twice = np.bincount(lang[n == 2], minlength=width)
             discount = np.clip(once / np.maximum(once + 2 * twice, 1), 0.1, 0.9)
-            rest = np.divide(discount * kinds, total, out=np.ones(shape), where=total > 0)
+            whose = entries[size - 1] % width if size else np.arange(width)
+            rest = np.divide(discount[whose] * kinds, total, out=np.ones(contexts), where=total > 0)
             if size:
-                below = np.exp(log_p[size - 1][np.searchsorted(keys[size - 1], rows["tail"]), lang])
+                tails = np.searchsorted(keys[size - 1], rows["tail"]) * width + lang
+                below = np.exp(log_p[size - 1][np.searchsorted(entries[size - 1], tails)])
                 log_rest[size - 1] = np.log(rest)
             else:
-                below, first_rest = uniform, np.log(rest[0])
-            p = np.maximum(n - discount[lang], 0) / total[context, lang] + rest[context, lang] * below
-            log_p[size][own, lang] = np.log(p)
-        return cls(languages, keys, log_p, log_rest, first_rest, float(np.log(uniform)))
+                below, first_rest = uniform, np.log(rest)
+            p = np.maximum(n - discount[lang], 0) / total[context] + rest[context] * below
+            log_p[size][own] = np.log(p)
+        first = [np.searchsorted(e, np.arange(len(k) + 1) * width) for e, k in zip(entries, keys)]
+        return cls(languages, keys, first, [e % width for e in entries], log_p, log_rest, first_rest, float(np.log(uniform)))
 
     def score_words(self, words: list[str]) -> np.ndarray:
         """Log-probability of each word and the blank after it, in each language."""
-        sums = np.cumsum(self.character_scores(words), axis=0)
-        return np.diff(sums[self._blanks(words)], axis=0)
+        out, block = [np.zeros((0, len(self.languages)))], max(1, CELLS // len(self.languages))
+        low, ends = 0, self._blanks(words)
+        while low < len(words):
+            high = max(low + 1, int(np.searchsorted(ends, ends[low] + block, "right")) - 1)
+            # A blank that starts the array says nothing: with an empty word ahead, all words have one that does.
+            sums = np.cumsum(self.character_scores(["", *words[low:high]]), axis=0)
+            out.append(np.diff(sums[ends[low : high + 1] - ends[low] + 1], axis=0))
+            low = high
+        return np.concatenate(out)
 
     @staticmethod
     def _blanks(words: list[str]) -> np.ndarray:
@@ -217,18 +234,31 @@ class LanguageModels:
             if size > 1:
                 context = np.concatenate([[-1], shorter[:-1]])
                 known = np.flatnonzero(inside & (context >= 0))
-                p[known] += self.log_rest[size - 2][context[known]]
+                at, entry = self._entries(size - 2, known, context[known])
+                p[at, self.column[size - 2][entry]] += self.log_rest[size - 2][entry]
             here = np.flatnonzero(found >= 0)
-            own = self.log_p[size - 1][found[here]]
-            p[here] = np.where(np.isnan(own), p[here], own)
+            at, entry = self._entries(size - 1, here, found[here])
+            p[at, self.column[size - 1][entry]] = self.log_p[size - 1][entry]
             shorter = found
         p[0] = 0
         return p
 
+    def _entries(self, size: int, at: np.ndarray, ngrams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The entries of n-grams, and for each the one of ``at`` that it belongs to."""
+        low = self.first[size][ngrams]
+        n = self.first[size][ngrams + 1] - low
+        return np.repeat(at, n), ranges(low, n)
+
+    @property
+    def chunk_bytes(self) -> int:
+        """Texts that are judged together: their words by languages take a bounded table."""
+        return max(1, min(CHUNK_BYTES, 4 * CELLS // len(self.languages)))
+
     def entropies(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Per text the cross-entropy per character in each language, and whether it has a letter."""
         words, unique, sample, which = _runs(texts)
-        if self._sums is None or len(self._known) + len(unique) > KEPT_WORDS:
+        kept = min(KEPT_WORDS, CELLS // len(self.languages))
+        if self._sums is None or len(self._known) + len(unique) > kept:
             self._known, self._sums, self._chars = Lookup(), np.zeros((0, len(self.languages))), np.zeros((0, 2))
         numbers = self._known.find(unique)
         new = np.flatnonzero(numbers < 0)
@@ -268,14 +298,18 @@ def learn_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not len(counts):
         return None
     models = LanguageModels.learn(counts)
+    sampled = {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()}
     fitted = identify(sample.select("doc_id", "text"), models).where(F.col("lang_pred") != UNDECIDED)
     quantiles = {
         r["lang_pred"]: r["q"]
         for r in fitted.groupBy("lang_pred").agg(F.percentile_approx("entropy", [0.5, 0.999], 10_000).alias("q")).collect()
     }
-    widest = max(quantiles.values(), default=[0.0, -models.log_uniform])
-    chosen = [quantiles.get(lang, widest) for lang in models.languages]
-    models.limits = np.array([max(high, (middle - models.log_uniform) / 2) for middle, high in chosen])
+    enough = {lang: q for lang, q in quantiles.items() if sampled.get(lang, 0) >= FEW_DOCS}
+    widest = max(enough.values(), default=[-models.log_uniform] * 2)
+    chosen = [enough.get(lang, widest) for lang in models.languages]
+    limits = np.array([max(high, (middle - models.log_uniform) / 2) for middle, high in chosen])
+    few = [lang not in enough for lang in models.languages]
+    models.limits = np.where(few, limits.max(), limits)
     return models
 
 
@@ -290,7 +324,7 @@ def identify(docs: DataFrame, models: LanguageModels | None, id_col: str = "doc_
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = shared.value
-        for ids, texts in batch_chunks(batches):
+        for ids, texts in batch_chunks(batches, models.chunk_bytes if models else CHUNK_BYTES):
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *_judge(models, texts)], names=RESULT_NAMES)
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, RESULT_SCHEMA)
@@ -319,9 +353,16 @@ def _judge(models: LanguageModels | None, texts: list[bytes]) -> list[pa.Array]:
 
 
 def accepted(docs: DataFrame, models: LanguageModels | None, text_col: str = "text") -> DataFrame:
-    """The rows whose language is accepted, all columns as they are."""
+    """The rows whose language is accepted, all columns as they are; all rows if there is no model to judge by."""
+    if models is None:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(models)
-    return filter_texts(docs, text_col, lambda texts: ~_judge(shared.value, texts)[-1].to_numpy(zero_copy_only=False))
+
+    def keeps(texts: list[bytes]) -> np.ndarray:
+        judged = [_judge(shared.value, part)[-1] for _, part in chunks(texts, texts, shared.value.chunk_bytes)]
+        return ~pa.concat_arrays(judged).to_numpy(zero_copy_only=False)
+
+    return filter_texts(docs, text_col, keeps)
 
 
 def learned_documents(docs: DataFrame) -> DataFrame:
