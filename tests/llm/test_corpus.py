@@ -285,6 +285,22 @@ def test_leaks_with_as_many_edits_as_allowed_are_found_at_any_length(n, kind):
     assert found == {(k, k) for k in range(len(items))}
 
 
+def test_items_without_blanks_and_of_few_long_words_are_found():
+    rng = random.Random(12)
+    signs = [chr(c) for c in (*range(0x4E00, 0x4F00), *range(0x3041, 0x3090))]
+    thai = [chr(c) for c in range(0x0E01, 0x0E2F)]
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    items = [draw(signs, 30), draw(thai, 40), "Floccinaucinihilipilification notwithstanding", "too short", draw(signs, 4), "𠀀" * 3 + draw(signs, 12)]
+    edited = items[0][:7] + "x" + items[0][9:20] + items[0][21:]
+    texts = [draw(signs, 50) + edited + draw(signs, 50), "abc " + draw(thai, 9) + items[1] + "def", "so floccinaucinihilipilification\nNotwithstanding this",
+             "floccinaucinihilipilification is notwithstanding", "too short", items[4], draw(signs, 300), "é" + items[5] + "."]
+    index = decontaminate.ItemIndex.build(list(range(len(items))), [item.encode() for item in items])
+    leaks = {(text, index.ids[item]): distance for text, item, distance, *_ in index.leaks([t.encode() for t in texts])}
+    assert leaks == {(0, 0): edit_distance(list(items[0]), list(texts[0])), (1, 1): 0, (2, 2): 0, (7, 5): 0}
+    broken = decontaminate.split_words([b"a\xe4\xb8", texts[0].encode(), b"\xe4"], unspaced=True)
+    assert len(broken.starts) == len(broken.ends) and (broken.starts < broken.ends).all()
+
+
 # --- models ---
 
 

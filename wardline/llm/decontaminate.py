@@ -2,7 +2,8 @@
 
 An item of n words leaks into a document if some stretch of the document's words has an edit
 distance (words inserted, removed, replaced) of at most ``floor(n * EDITED)`` to it. Words are runs of
-bytes other than ASCII white space, A-Z as a-z.
+bytes other than ASCII white space, A-Z as a-z; each character of a script that is written
+without blanks (Chinese, Japanese, Thai and others) is a word.
 
 Candidates come from the CGK embedding. A random walk over a string emits its current word at each step and
 moves on or stays, as a hash of step and word says; strings at a small edit distance
@@ -23,8 +24,8 @@ where a stretch of an item's size holds enough of them as well.
 Items are sent to all tasks while their texts take no more than ``SENT_BYTES``; more are handled
 in so many passes over the documents.
 
-Defined cases: items of fewer than ``LEAST_WORDS`` words, null and empty ones say nothing and never
-leak. Null and empty documents hold no leak. Items with the same words leak alike; repeated
+Defined cases: an item of fewer than ``LEAST_WORDS`` words leaks as an exact copy, if it has
+``LEAST_CHARS`` characters or more; shorter ones, null and empty ones say nothing and never leak. Null and empty documents hold no leak. Items with the same words leak alike; repeated
 rows report alike. Of equally near places the first counts. Very long texts are searched as a whole.
 An empty table on either side gives an empty result.
 """
@@ -46,6 +47,8 @@ from wardline.llm.words import BASE, U64, Words, mix, ranges, split_words
 # Parameters of the search.
 EDITED = 0.2
 LEAST_WORDS = 5
+#: Characters besides white space that make an item of fewer words worth looking for.
+LEAST_CHARS = 20
 SAMPLED, TABLES = 2, 24
 #: Items are cut into pieces of this many words or more, fewer than twice as many.
 PIECE_WORDS = 12
@@ -63,6 +66,10 @@ def edits_allowed(n: int) -> int:
     return int(n * EDITED + 1e-9)
 
 
+def _characters(text: bytes) -> int:
+    return len(b"".join(text.split()).decode("utf-8", "replace"))
+
+
 def _pieces(n: int) -> int:
     return max(1, n // PIECE_WORDS)
 
@@ -99,9 +106,9 @@ class ItemIndex:
 
     @classmethod
     def build(cls, ids: list, texts: list[bytes]) -> ItemIndex:
-        split = split_words(texts)
+        split = split_words(texts, unspaced=True)
         words = [split.hashes[a:b] for a, b in zip(split.first[:-1], split.first[1:])]
-        kept = [i for i, w in enumerate(words) if len(w) >= LEAST_WORDS]
+        kept = [i for i, w in enumerate(words) if len(w) >= LEAST_WORDS or _characters(texts[i]) >= LEAST_CHARS]
         ids, words = [ids[i] for i in kept], [words[i] for i in kept]
         vocabulary = np.unique(np.concatenate(words)) if words else np.zeros(0, U64)
         index = cls(ids, words, vocabulary, [])
@@ -138,7 +145,7 @@ class ItemIndex:
 
     def leaks(self, texts: list[bytes]) -> list[tuple[int, int, int, int, int]]:
         """(text, item, distance, first word, last word), the nearest place of each item in each text."""
-        words = split_words(texts)
+        words = split_words(texts, unspaced=True)
         if not len(words.hashes) or not self.classes:
             return []
         at = np.minimum(np.searchsorted(self.vocabulary, words.hashes), len(self.vocabulary) - 1)

@@ -86,9 +86,27 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def split_words(texts: list[bytes], lower: bool = True, marks: bool = False) -> Words:
+def _unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where characters of scripts that are written without blanks start, and where the next ones do:
+    Thai, Lao, Tibetan, Burmese, Khmer, Chinese, Japanese."""
+    at = np.flatnonzero(data >= 0xE0)
+    first, second = data[at], data[np.minimum(at + 1, len(data) - 1)]
+    size = np.where(first >= 0xF0, 4, 3)
+    own = (first == 0xE0) & (second >= 0xB8)
+    own |= (first == 0xE1) & ((second <= 0x82) | ((second >= 0x9E) & (second <= 0x9F)))
+    own |= (first == 0xE2) & (second >= 0xBA) | (first >= 0xE3) & (first <= 0xE9)
+    own |= (first == 0xEF) & ((second >= 0xA4) & (second <= 0xAB) | (second >= 0xBC))
+    own |= (first == 0xF0) & (second >= 0xA0)
+    # Bytes that are no character are left alone.
+    for k in (1, 2, 3):
+        own &= (k >= size) | (data[np.minimum(at + k, len(data) - 1)] & 0xC0 == 0x80)
+    return at[own], (at + size)[own]
+
+
+def split_words(texts: list[bytes], lower: bool = True, marks: bool = False, unspaced: bool = False) -> Words:
     """Cut texts into words. ``lower``: hashes take A-Z for a-z. ``marks``: a full stop or comma
-    that ends a run, right after a letter, is a word of its own."""
+    that ends a run, right after a letter, is a word of its own. ``unspaced``: so is each character
+    of a script that is written without blanks."""
     data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
     inside = ~WHITE[data]
     begins, closes = inside.copy(), inside.copy()
@@ -102,6 +120,12 @@ def split_words(texts: list[bytes], lower: bool = True, marks: bool = False) ->
         after = after[(after > 0) & (ASCII_LETTER[before] | (latin & (after > 1)))]
         begins[after] = True
         closes[after - 1] = True
+    if unspaced:
+        at, after = _unspaced(data)
+        begins[at] = closes[after - 1] = True
+        begins[after] |= inside[after]
+        at = at[at > 0]
+        closes[at - 1] |= inside[at - 1]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(closes) + 1
     limits = np.cumsum([0] + [len(t) + 1 for t in texts])
     return Words(data, starts, ends, span_hashes(data, starts, ends, lower), np.searchsorted(starts, limits))
