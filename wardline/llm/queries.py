@@ -8,6 +8,7 @@ from wardline.llm import (
     decontaminate,
     exact_dedup,
     language,
+    merkle,
     ngram_join,
     personal,
     piece_bpe,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_personal_data": personal.op8_personal_data,
     "op9_language": language.op9_language,
     "op10_class_lm": class_lm.op10_class_lm,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -36,5 +38,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    own = {"op7_exact_dedup": exact_dedup.OP7_SQL}
+    own = {"op7_exact_dedup": exact_dedup.OP7_SQL, "op11_merkle_manifest": merkle.OP11_SQL}
     return own | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
