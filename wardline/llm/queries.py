@@ -14,6 +14,7 @@ from wardline.llm import (
     piece_bpe,
     records,
     repeats,
+    token_alignment,
     toxicity,
 )
 
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_language": language.op9_language,
     "op10_class_lm": class_lm.op10_class_lm,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_token_alignment": token_alignment.op12_token_alignment,
     "pipeline": corpus_pipeline.run,
 }
 
