@@ -16,6 +16,7 @@ from wardline.llm import (
     repeats,
     token_alignment,
     toxicity,
+    vector_graph,
 )
 
 QUERIES = {
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_class_lm": class_lm.op10_class_lm,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
     "op12_token_alignment": token_alignment.op12_token_alignment,
+    "op13_vector_graph": vector_graph.op13_vector_graph,
     "pipeline": corpus_pipeline.run,
 }
 
