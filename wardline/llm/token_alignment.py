@@ -300,7 +300,8 @@ class Aligner:
         ids, group, of_b, stretch = np.append(a, b)[order], group[order], of_b[order], stretch[order]
         sizes = self._digits.lengths[ids]
         out = self._digits.spell(ids)
-        last = np.append((group[1:] != group[:-1]) | (of_b[1:] != of_b[:-1]), True)
+        last = np.ones(len(ids), bool)
+        last[:-1] = (group[1:] != group[:-1]) | (of_b[1:] != of_b[:-1])
         out[np.cumsum(sizes)[last] - 1] = np.where(of_b[last], ord(";"), ord("|"))
         return out, np.bincount(stretch, weights=sizes, minlength=n).astype(np.int64)
 
