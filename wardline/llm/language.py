@@ -41,7 +41,7 @@ SCORE_CHARS = 20
 UNDECIDED = "und"
 KEPT_WORDS = 1_000_000
 # Numbers that a table of words or characters by languages may hold.
-CELLS = 16_000_000
+CELLS = 2_000_000
 NGRAM_SCHEMA = "lang string, size int, key bigint, tail bigint, head bigint, opens boolean, n bigint"
 
 

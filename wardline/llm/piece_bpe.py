@@ -33,8 +33,8 @@ from wardline.llm.words import Lookup, ranges, span_hashes
 BLANK = "\u2581"
 
 # A worker keeps at most this many segments, and as many answers about pairs of pieces.
-KEPT_SEGMENTS = 1_500_000
-KEPT_PAIRS = 1_000_000
+KEPT_SEGMENTS = 400_000
+KEPT_PAIRS = 250_000
 # Texts are encoded in groups of about this many bytes.
 GROUP_BYTES = 2_000_000
 
