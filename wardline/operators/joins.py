@@ -43,24 +43,29 @@ def anti_join(
     rows of both sides, known from writing them; they choose the plan.
 
     Few keys are broadcast, and ``left`` is not shuffled at all. With many keys the references
-    of ``left`` are counted per value first, which combines before the shuffle, and only the
-    values without a counterpart are written, with their counts. They select the rows of ``left``:
-    broadcast if they are few. If not, values with ``hot_rows`` rows or more are broadcast, and so
-    are NULLs; there are at most ``left_rows / hot_rows`` such values, and where that could be
-    more than may be broadcast, ``hot_rows`` grows to ``left_rows / broadcast_rows``. The rest is shuffled.
+    of ``left`` are counted per value and written, which combines before the shuffle, and joined
+    with the keys. The values without a counterpart select the rows of ``left``: broadcast if they are
+    few. If not, ``left`` is shuffled by value, but for NULLs and values with ``hot_rows`` rows or more, with or without
+    a counterpart: these are broadcast, once to keep them out of the shuffle and once to select their rows.
+    There are at most ``left_rows / hot_rows`` such values, and where that could be more than may be
+    broadcast, ``hot_rows`` grows to ``left_rows / broadcast_rows``.
     """
     if key_rows <= broadcast_rows:
         wanted = keys.select(F.col(key).alias(on)).where(F.col(on).isNotNull()).distinct()
         return left.join(F.broadcast(wanted), on, "left_anti")
-    references = left.groupBy(on).agg(F.count("*").alias("_rows"))
+    references = materialize(left.groupBy(on).agg(F.count("*").alias("_rows")), "references")
     parents = keys.select(F.col(key).alias(on))
     # A NULL among the references has no counterpart either.
     unmatched = materialize(references.join(parents, on, "left_anti"), "unmatched")
     if unmatched.count() <= broadcast_rows:
         return _with_values(left, F.broadcast(unmatched), on)
-    hot = (F.col("_rows") >= max(hot_rows, left_rows // max(broadcast_rows, 1))) | F.col(on).isNull()
-    often, seldom = unmatched.where(hot), unmatched.where(~hot)
-    return _with_values(left, F.broadcast(often), on).unionByName(left.join(seldom, on, "left_semi"))
+    many = F.col("_rows") >= max(hot_rows, left_rows // max(broadcast_rows, 1))
+    hot = many | F.col(on).isNull()
+    known = F.broadcast(references.where(many & F.col(on).isNotNull()).select(on))
+    rest = left.where(F.col(on).isNotNull()).join(known, on, "left_anti")
+    return _with_values(left, F.broadcast(unmatched.where(hot)), on).unionByName(
+        rest.join(unmatched.where(~hot), on, "left_semi")
+    )
 
 
 def _with_values(left: DataFrame, values: DataFrame, on: str) -> DataFrame:

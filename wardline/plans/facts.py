@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.schema import FAILED, PAID, PENDING
+from wardline.schema import FAILED, PAID, PENDING, VISITS
+from wardline.sources.core import Core
+from wardline.sources.parquet import conform
 
 
 def bills_per_treatment(billing: DataFrame) -> DataFrame:
@@ -63,6 +65,13 @@ def treatments_per_appointment(treatments: DataFrame, billing: DataFrame, how: s
     )
 
 
+def visits(core: Core) -> DataFrame:
+    """The fact chain of a core: read if its load has published it, else put together."""
+    if core.visits is not None:
+        return core.visits
+    return conform(fact_chain(core.appointments, core.treatments, core.billing), VISITS)
+
+
 def fact_chain(appointments: DataFrame, treatments: DataFrame, billing: DataFrame) -> DataFrame:
     """One row per appointment that has at least one treatment with at least one bill."""
     visits = appointments.select("Appointment_ID", "Patient_ID", "Doctor_ID", "Appointment_Date")

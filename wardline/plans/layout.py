@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from wardline.schema import Entity
@@ -13,43 +14,121 @@ from wardline.sources.core import MONTH
 # A table with fewer rows is written as it comes. Its columns are the same either way.
 LAYOUT_ROWS = 50_000_000
 ROWS_PER_FILE = 5_000_000
+PLACE = "_place"
 
 
-def write_core_table(df: DataFrame, entity: Entity, path: str, laid_out: bool, rows: int) -> None:
+# Rows from which the ranges of a column are taken, and the most bits of a range's number.
+SAMPLE_ROWS = 65_536
+RANGE_BITS = 12
+
+# The largest Bloom filter of a column in a row group: enough for the keys of a file at one wrong in a hundred.
+BLOOM_BYTES = 8 << 20
+
+
+def write_core_table(
+    df: DataFrame, entity: Entity, path: str, laid_out: bool, rows: int, keys: dict[str, int] | None = None
+) -> None:
+    """``rows`` and ``keys`` (rows of the tables referred to) are counts from staging; they size files and filters."""
     files = max(1, -(-rows // ROWS_PER_FILE))
     if laid_out and entity.month_of:
-        write_by_month(df, entity, path, files)
-    elif laid_out and entity.sorted_by:
-        write_sorted(df, entity, path, files)
+        write_by_month(df, entity, path, files, keys, rows)
+    elif laid_out and entity.lookups:
+        write_sorted(df, entity, path, files, keys, rows)
     else:
         df.write.mode("overwrite").parquet(path)
 
 
-def write_sorted(df: DataFrame, entity: Entity, path: str, files: int) -> None:
-    """Files of ranges of (sort column, key): a lookup by the column skips all files but one or two."""
-    order = [entity.sorted_by, entity.key]
-    df.repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+def write_sorted(
+    df: DataFrame, entity: Entity, path: str, files: int, keys: dict[str, int] | None = None, rows: int | None = None
+) -> None:
+    """Files of ranges of (lookup columns, key): a lookup skips all files but a few."""
+    placed, order = _ordered(df, entity, files, rows)
+    order.append(entity.key)
+    placed = placed.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    _filtered(placed.drop(PLACE).write.mode("overwrite"), entity, keys).parquet(path)
 
 
-def write_by_month(df: DataFrame, entity: Entity, path: str, files: int) -> None:
-    """One folder per month; in it, rows sorted by the column they are looked up or joined by.
+def write_by_month(
+    df: DataFrame, entity: Entity, path: str, files: int, keys: dict[str, int] | None = None, rows: int | None = None
+) -> None:
+    """One folder per month; in it, rows in the order of the columns they are looked up or joined by.
 
     A date filter prunes folders, and the smallest and largest value in a file's footer
-    prune files for one patient. Rows to be aggregated together lie together, so that
+    prune files for one patient or doctor. Rows to be aggregated together lie together, so that
     combining before the shuffle takes away the most.
 
-    The rows are cut into ranges of (month, sort column, key). The key is unique, so both a
+    The rows are cut into ranges of (month, lookup columns, key). The key is unique, so both a
     month and a value that hold much of the table are spread over many tasks.
     """
-    order = [MONTH, entity.sorted_by, entity.key]
-    (
-        df.withColumn(MONTH, F.trunc(entity.month_of, "month"))
+    placed, order = _ordered(df, entity, files, rows)
+    order = [MONTH, *order, entity.key]
+    placed = (
+        placed.withColumn(MONTH, F.trunc(entity.month_of, "month"))
         .repartitionByRange(files, *order)
         .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .partitionBy(MONTH)
-        .parquet(path)
     )
+    _filtered(placed.drop(PLACE).write.mode("overwrite").partitionBy(MONTH), entity, keys).parquet(path)
+
+
+def _ordered(df: DataFrame, entity: Entity, files: int, rows: int | None) -> tuple[DataFrame, list[str]]:
+    """Rows and the columns that put them in the order of their lookups.
+
+    Two columns have equal rights: each value gets the number of the range it lies in, and the bits of
+    both numbers take turns. A file then spans few ranges of either column, so that a lookup by one or the
+    other reads about the square root of the files.
+    """
+    if len(entity.lookups) < 2:
+        return df, list(entity.lookups)
+    bits = min(RANGE_BITS, 3 + files.bit_length() // 2)
+    numbers = [_range_number(F.col(c), limits) for c, limits in _range_limits(df, entity, bits, rows).items()]
+    place = reduce(lambda a, b: a.bitwiseOR(b), (F.shiftleft(_spread(n), i) for i, n in enumerate(reversed(numbers))))
+    return df.withColumn(PLACE, place), [PLACE]
+
+
+def _range_limits(df: DataFrame, entity: Entity, bits: int, rows: int | None) -> dict[str, list[str]]:
+    """For each lookup column 2 ** bits - 1 values that cut it into ranges of about as many rows.
+
+    They come from at most about ``SAMPLE_ROWS`` rows, chosen by a hash of the key, and decide
+    on the order of rows only.
+    """
+    rows = max(df.count() if rows is None else rows, 1)
+    share = F.pmod(F.xxhash64(entity.key), F.lit(1_000_000)) < F.lit(1_000_000 * SAMPLE_ROWS // rows)
+    sample = df.where(share).select(*entity.lookups).collect()
+    limits = {}
+    for column in entity.lookups:
+        values = sorted(r[column] for r in sample if r[column] is not None)
+        count = 1 << bits
+        limits[column] = [values[i * len(values) // count] if values else "" for i in range(1, count)]
+    return limits
+
+
+def _range_number(column: Column, limits: list[str]) -> Column:
+    """How many of the ascending limits are no larger than the value, by halving; 0 for NULL."""
+    bits = len(limits).bit_length()
+    ascending = F.array(*map(F.lit, limits))
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(bits))))
+    found = F.aggregate(
+        steps, F.lit(0), lambda low, step: F.when(ascending[low + step - 1] <= column, low + step).otherwise(low)
+    )
+    return F.coalesce(found, F.lit(0)).cast("bigint")
+
+
+def _spread(number: Column) -> Column:
+    """A zero bit after each of the 16 lowest bits."""
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        number = number.bitwiseOR(F.shiftleft(number, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
+    return number
+
+
+def _filtered(writer: DataFrameWriter, entity: Entity, keys: dict[str, int] | None) -> DataFrameWriter:
+    """Bloom filters for the key and the lookup columns, for as many values as a file can have of them."""
+    parents = dict(entity.foreign_keys)
+    writer = writer.option("parquet.bloom.filter.max.bytes", str(BLOOM_BYTES))
+    for column in {entity.key, *entity.lookups}:
+        values = min(ROWS_PER_FILE, (keys or {}).get(parents.get(column, ""), ROWS_PER_FILE))
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{column}", str(max(values, 1)))
+    return writer
 
 
 def in_period(df: DataFrame, column: str, start: date, end: date) -> Column:

@@ -1,11 +1,12 @@
-"""Load: stage, validate, quarantine, check, and publish all five tables or none."""
+"""Load: stage, validate, quarantine, check, and publish all five tables or none; keep a log of every load."""
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
-from dataclasses import dataclass
-from datetime import date
+from dataclasses import dataclass, field
+from datetime import date, datetime, timezone
 from functools import reduce
 
 from pyspark import InheritableThread
@@ -13,10 +14,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.operators.joins import BROADCAST_ROWS, anti_join
-from wardline.plans import checks, quality
+from wardline.plans import cascade, checks, facts, quality
 from wardline.plans.layout import LAYOUT_ROWS, write_core_table
-from wardline.schema import CORRUPT, ENTITIES, Entity
-from wardline.session import delete_path, list_folders
+from wardline.schema import CORRUPT, ENTITIES, VISITS, Entity
+from wardline.session import delete_path, list_folders, write_new
 from wardline.sources.core import Core, commit_path, core_path, latest_run, open_core, published_runs, read_core_table
 from wardline.sources.csv import read_csv_extracts
 
@@ -32,12 +33,16 @@ EMPTY_STAGING_CODES = {
 }
 
 
+STOP, QUARANTINE = "stop", "quarantine"
+
+
 class Staging(dict):
-    """Staged tables by name, with the rows that were counted while they were written."""
+    """Staged tables by name, with the rows that were counted while they were written, and those that could not be read."""
 
-    def __init__(self, tables: dict[str, DataFrame], rows: dict[str, int]):
+    def __init__(self, tables: dict[str, DataFrame], rows: dict[str, int], unreadable: dict[str, int] | None = None):
         super().__init__(tables)
         self.rows = rows
+        self.unreadable = unreadable or {}
 
 
 class LoadError(Exception):
@@ -64,6 +69,21 @@ class ConstraintError(LoadError):
         super().__init__(f"clean tables break constraints: {listed}")
 
 
+class OvertakenError(LoadError):
+    def __init__(self, sequence: int):
+        super().__init__(f"another load was published as number {sequence} while this one was running")
+
+
+@dataclass
+class _Counts:
+    """What a load has counted so far, by table."""
+
+    read: dict[str, int] = field(default_factory=dict)
+    rejected: dict[str, int] = field(default_factory=dict)
+    errors: dict[str, int] = field(default_factory=dict)
+    written: dict[str, int] = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class LoadResult:
     run: str
@@ -86,34 +106,64 @@ def load(
     as_of: date,
     max_errors: int | None = None,
     layout_rows: int = LAYOUT_ROWS,
+    on_violation: str = STOP,
+    with_visits: bool = True,
     **thresholds: int,
 ) -> LoadResult:
     """Publish the clean rows of ``feed`` under ``root``, a folder all executors share.
 
     Everything is written below a new run folder. The run counts as published only once
     its line is in the publish log, which is the last step, so a reader sees the old five
-    tables or the new five. One load at a time per ``root``. Unreadable lines are logged;
-    more than ``max_errors`` of an extract stop the load, if that is given. ``thresholds`` go
-    to the anti-joins.
+    tables or the new five. Of loads that run side by side under one ``root``, the first to end is published;
+    the others get ``OvertakenError``. Unreadable lines are logged; more than ``max_errors`` of an extract stop the
+    load, if that is given. What the rules leave and the core cannot take stops the load, or, with
+    ``on_violation="quarantine"``, goes to the error log with all that refers to it. ``with_visits`` publishes what the
+    treatments and bills of each appointment come to, so that reports need not join them. ``thresholds`` go to the
+    anti-joins. Every load, published or not, leaves its counts in the load log (``load_log``).
     """
-    root, run = root.rstrip("/"), uuid.uuid4().hex
+    if on_violation not in (STOP, QUARANTINE):
+        raise ValueError(f"on_violation is {on_violation!r}, not {STOP!r} or {QUARANTINE!r}")
+    root, run, started = root.rstrip("/"), uuid.uuid4().hex, datetime.now(timezone.utc)
+    counts = _Counts()
     try:
-        staging, rejects = stage(spark, feed, f"{root}/run={run}/staging", max_errors)
-        errors = write_errors(spark, staging, rejects, f"{root}/run={run}/errors", as_of, **thresholds)
+        last = latest_run(spark, root)
+        staging, rejects = stage(spark, feed, f"{root}/run={run}/staging", max_errors, counts)
+        errors_path = f"{root}/run={run}/errors"
+        errors = write_errors(spark, staging, rejects, errors_path, as_of, counts, **thresholds)
         guard_not_empty(staging)
-        by_month = _write_core(staging, errors, root, run, layout_rows, thresholds)
-        written = {e.name: read_core_table(spark, e, core_path(root, run, e)) for e in ENTITIES.values()}
+        steps = cascade.levels() if on_violation == QUARANTINE else [list(ENTITIES.values())]
+        written: dict[str, DataFrame] = {}
+        for entities in steps:
+
+            def write(entity: Entity) -> DataFrame:
+                if on_violation == QUARANTINE:
+                    errors[entity.name] = _log_breaches(
+                        staging, errors[entity.name], entity, written, errors_path, counts, **thresholds
+                    )
+                _write_core(staging, errors[entity.name], entity, root, run, layout_rows, on_violation, counts, thresholds)
+                return read_core_table(spark, entity, core_path(root, run, entity))
+
+            written |= _for_each_entity(write, entities)
         _check(written)
-        _publish(spark, root, run, by_month)
+        if with_visits:
+            _write_visits(written, root, run, layout_rows, counts)
+        by_month = [e.name for e in ENTITIES.values() if e.month_of and _laid_out(staging, e, layout_rows)]
+        _publish(spark, root, run, (last.sequence if last else 0) + 1, by_month, with_visits, counts)
     except Exception as error:
         log.error("load %s failed, nothing was published: %s", run, error)
+        _log_load(spark, root, run, started, counts, "failed", str(error))
         raise
     log.info("load %s published", run)
+    _log_load(spark, root, run, started, counts, "published", None)
     return LoadResult(run, open_core(spark, root), errors)
 
 
 def stage(
-    spark: SparkSession, feed: dict[str, DataFrame], path: str, max_errors: int | None = None
+    spark: SparkSession,
+    feed: dict[str, DataFrame],
+    path: str,
+    max_errors: int | None = None,
+    counted: _Counts | None = None,
 ) -> tuple[Staging, dict[str, DataFrame]]:
     """Write the feed as Parquet, replacing what is there; return staged rows and reject rows.
 
@@ -130,15 +180,20 @@ def stage(
         ddl = f"{entity.ddl}, {CORRUPT} string" if CORRUPT in raw.columns else entity.ddl
         return spark.read.schema(ddl).parquet(target), counts.get
 
-    staging, rejects, rows = {}, {}, {}
-    for name, (raw, counts) in _for_each_entity(write).items():
+    staging, rejects, rows, unreadable = {}, {}, {}, {}
+    written = _for_each_entity(write)
+    if counted is not None:
+        counted.read = {name: counts["rows"] for name, (_, counts) in written.items()}
+        counted.rejected = {name: counts["unreadable"] for name, (_, counts) in written.items()}
+    for name, (raw, counts) in written.items():
         if CORRUPT in raw.columns:
             rejects[name] = quality.reject_rows(raw, ENTITIES[name])
             if max_errors is not None and counts["unreadable"] > max_errors:
                 raise TooManyRejectsError(name, counts["unreadable"], max_errors)
             raw = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
         staging[name], rows[name] = raw, counts["rows"] - counts["unreadable"]
-    return Staging(staging, rows), rejects
+        unreadable[name] = counts["unreadable"]
+    return Staging(staging, rows, unreadable), rejects
 
 
 def write_errors(
@@ -147,6 +202,7 @@ def write_errors(
     rejects: dict[str, DataFrame],
     path: str,
     as_of: date,
+    counted: _Counts | None = None,
     **thresholds: int,
 ) -> dict[str, DataFrame]:
     """The five error logs (key, Error_Reason, Logged_At), replacing those of ``path``."""
@@ -155,14 +211,21 @@ def write_errors(
         rows = quality.error_rows(entity, staging, as_of, **thresholds)
         if entity.name in rejects:
             rows = rows.unionByName(rejects[entity.name])
-        rows = rows.withColumn("Logged_At", F.current_timestamp())
-        target = f"{path}/{entity.name.lower()}"
-        rows.write.mode("overwrite").parquet(target)
-        return spark.read.schema(f"{entity.key} string, {quality.REASON} string, Logged_At timestamp").parquet(target)
+        return _append_errors(rows, entity, path, "overwrite", counted)
 
     return _for_each_entity(write)
 
 
+def _append_errors(rows: DataFrame, entity: Entity, path: str, mode: str, counted: _Counts | None) -> DataFrame:
+    target, counts = f"{path}/{entity.name.lower()}", Observation(f"errors {entity.name}")
+    rows = rows.withColumn("Logged_At", F.current_timestamp()).observe(counts, F.count("*").alias("rows"))
+    rows.write.mode(mode).parquet(target)
+    if counted is not None:
+        counted.errors[entity.name] = counted.errors.get(entity.name, 0) + counts.get["rows"]
+    schema = f"{entity.key} string, {quality.REASON} string, Logged_At timestamp"
+    return rows.sparkSession.read.schema(schema).parquet(target)
+
+
 def staging_status(staging: dict[str, DataFrame]) -> DataFrame:
     """(Table_Name, Error_Code, Status) with Status ``empty`` or ``ok``."""
     status = F.when(F.count("*") == 0, "empty").otherwise("ok")
@@ -213,20 +276,34 @@ def exclude_quarantined(
     return anti_join(rows, errors, entity.key, entity.key, staged_rows, bad_keys, **thresholds)
 
 
-def _write_core(staging, errors, root, run, layout_rows, thresholds) -> list[str]:
-    by_month = []
+def _laid_out(staging, entity: Entity, layout_rows: int) -> bool:
+    return quality.rows_of(staging, entity.name) >= layout_rows
 
-    def write(entity: Entity) -> None:
-        staged = staging[entity.name]
-        rows = quality.rows_of(staging, entity.name)
-        clean = exclude_quarantined(staged, _quarantined_by_rules(errors[entity.name]), entity, rows, **thresholds)
-        laid_out = rows >= layout_rows
-        if laid_out and entity.month_of:
-            by_month.append(entity.name)
-        write_core_table(clean, entity, core_path(root, run, entity), laid_out, rows)
 
-    _for_each_entity(write)
-    return by_month
+def _log_breaches(staging, errors, entity, written, errors_path, counts, **thresholds) -> DataFrame:
+    """The error log of a table with the rows that the core cannot take, though no rule speaks against them."""
+    rows = quality.rows_of(staging, entity.name)
+    kept = exclude_quarantined(staging[entity.name], _quarantined_by_rules(errors), entity, rows, **thresholds)
+    found = cascade.breaches(entity, kept, written, rows, counts.written, **thresholds)
+    return _append_errors(found, entity, errors_path, "append", counts)
+
+
+def _write_core(staging, errors, entity, root, run, layout_rows, on_violation, counts, thresholds) -> None:
+    rows = quality.rows_of(staging, entity.name)
+    clean = exclude_quarantined(staging[entity.name], _quarantined_by_rules(errors), entity, rows, **thresholds)
+    if on_violation == QUARANTINE:
+        # Rows without a key are logged, but no key leaves them out.
+        clean = clean.where(F.col(entity.key).isNotNull())
+    laid_out, observed = _laid_out(staging, entity, layout_rows), Observation(f"core {entity.name}")
+    clean = clean.observe(observed, F.count("*").alias("rows"))
+    write_core_table(clean, entity, core_path(root, run, entity), laid_out, rows, staging.rows)
+    counts.written[entity.name] = observed.get["rows"]
+
+
+def _write_visits(written, root, run, layout_rows, counts) -> None:
+    rows = counts.written["Appointments"]
+    chain = facts.visits(Core.of(written))
+    write_core_table(chain, VISITS, core_path(root, run, VISITS), rows >= layout_rows, rows, counts.written)
 
 
 def _check(written: dict[str, DataFrame]) -> None:
@@ -245,21 +322,66 @@ def _quarantined_by_rules(errors: DataFrame) -> DataFrame:
     return errors.where(F.col(quality.REASON) != quality.UNPARSEABLE)
 
 
-def _publish(spark: SparkSession, root: str, run: str, by_month: list[str]) -> None:
-    """Append one line to the publish log: a single small file that appears whole or not at all."""
-    last = latest_run(spark, root)
-    sequence = (last.sequence if last else 0) + 1
-    line = spark.range(1).select(
-        F.lit(sequence).alias("sequence"),
-        F.lit(run).alias("run"),
-        F.array(*map(F.lit, sorted(by_month))).cast("array<string>").alias("by_month"),
-        F.current_timestamp().alias("published_at"),
-    )
-    line.coalesce(1).write.mode("append").json(commit_path(root))
+def _publish(spark: SparkSession, root: str, run: str, sequence: int, by_month: list[str], with_visits, counts) -> None:
+    """Add the next line to the publish log: one file named by its number, which only one load can create."""
+    line = {
+        "sequence": sequence,
+        "run": run,
+        "by_month": sorted(by_month),
+        "has_visits": with_visits,
+        "rows": counts.written,
+        "published_at": datetime.now(timezone.utc).isoformat(),
+    }
+    if not write_new(spark, f"{commit_path(root)}/{sequence:020d}.json", json.dumps(line)):
+        raise OvertakenError(sequence)
+
+
+LOG_SCHEMA = (
+    "run string, started_at timestamp, ended_at timestamp, Status string, Message string, Table_Name string, "
+    "Read_Rows bigint, Rejected_Rows bigint, Error_Rows bigint, Quarantined_Rows bigint, Published_Rows bigint"
+)
+
+
+def log_path(root: str) -> str:
+    return f"{root.rstrip('/')}/_loads"
+
+
+def load_log(spark: SparkSession, root: str) -> DataFrame:
+    """One row per load and table, published or not: rows read, unreadable, logged as errors, left out and published.
+
+    What a load that failed did not get to is NULL; it has published nothing.
+    """
+    return spark.read.schema(LOG_SCHEMA).json(log_path(root))
+
+
+def _log_load(spark, root, run, started, counts: _Counts, status: str, message: str | None) -> None:
+    lines = []
+    for name in ENTITIES:
+        read, rejected, written = (d.get(name) for d in (counts.read, counts.rejected, counts.written))
+        line = {
+            "run": run,
+            "started_at": started.isoformat(),
+            "ended_at": datetime.now(timezone.utc).isoformat(),
+            "Status": status,
+            "Message": message,
+            "Table_Name": name,
+            "Read_Rows": read,
+            "Rejected_Rows": rejected,
+            "Error_Rows": counts.errors.get(name),
+            "Quarantined_Rows": None if written is None else read - rejected - written,
+            "Published_Rows": written if status == "published" else 0,
+        }
+        lines.append(json.dumps(line))
+    try:
+        write_new(spark, f"{log_path(root)}/{run}.json", "\n".join(lines) + "\n")
+    except Exception as error:
+        # The load itself has ended, for better or worse, and that is what its caller has to know.
+        log.error("load %s could not be logged: %s", run, error)
 
 
-def _for_each_entity(job) -> dict:
+def _for_each_entity(job, entities: list[Entity] | None = None) -> dict:
     """Run one Spark job per entity side by side; the small tables do not wait for the large ones."""
+    entities = list(ENTITIES.values()) if entities is None else entities
     results: dict = {}
     failures: list[Exception] = []
 
@@ -269,11 +391,11 @@ def _for_each_entity(job) -> dict:
         except Exception as error:  # re-raised below, in the calling thread
             failures.append(error)
 
-    threads = [InheritableThread(target=call, args=(entity,)) for entity in ENTITIES.values()]
+    threads = [InheritableThread(target=call, args=(entity,)) for entity in entities]
     for thread in threads:
         thread.start()
     for thread in threads:
         thread.join()
     if failures:
         raise failures[0]
-    return {name: results[name] for name in ENTITIES}
+    return {entity.name: results[entity.name] for entity in entities}

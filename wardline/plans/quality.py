@@ -125,7 +125,7 @@ def error_rows(
         found.append(_row_errors(staged, entity.key, row_rules, as_of))
     for rule in rules:
         if isinstance(rule, Duplicate):
-            found.append(_duplicates(staged, entity.key, rule.reason, rows))
+            found.append(repeated_keys(staged, entity.key, rule.reason, rows))
         elif isinstance(rule, Orphan):
             found.append(_orphans(staged, entity.key, rule, staging, rows, hot_rows, broadcast_rows))
     return reduce(DataFrame.unionByName, found)
@@ -163,7 +163,8 @@ def _row_errors(staged: DataFrame, key: str, rules, as_of: date) -> DataFrame:
     return suspicious.select(key, F.explode(F.array_compact(F.array(*hits))).alias(REASON))
 
 
-def _duplicates(staged: DataFrame, key: str, reason: str, rows: int) -> DataFrame:
+def repeated_keys(staged: DataFrame, key: str, reason: str, rows: int) -> DataFrame:
+    """An error row for every copy of a key but one."""
     # Counting combines copies before the shuffle; numbering them in a window would put
     # all copies of a key into one task.
     counted = staged.where(F.col(key).isNotNull()).groupBy(key).agg((F.count("*") - 1).alias("_more"))

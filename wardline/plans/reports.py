@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import age_years, average, full_name, money, month_name, percent, quotient
 from wardline.operators import dense_rank_desc, repeat_rows, with_total
-from wardline.plans.facts import billed_treatments, fact_chain
+from wardline.plans.facts import billed_treatments, visits
 from wardline.schema import CANCELLED, COMPLETED, NO_SHOW, PAID, PENDING
 from wardline.sources.core import Core
 
@@ -22,9 +22,8 @@ OLDEST_GROUP = "Over 65"
 
 
 def _doctor_totals(core: Core) -> DataFrame:
-    chain = fact_chain(core.appointments, core.treatments, core.billing)
     totals = (
-        chain.where(F.col("Doctor_ID").isNotNull())
+        visits(core).where(F.col("Doctor_ID").isNotNull())
         .groupBy("Doctor_ID")
         .agg(
             F.count("*").alias("Total_Visits"),
@@ -37,9 +36,8 @@ def _doctor_totals(core: Core) -> DataFrame:
 
 
 def _patient_totals(core: Core) -> DataFrame:
-    chain = fact_chain(core.appointments, core.treatments, core.billing)
     totals = (
-        chain.where(F.col("Patient_ID").isNotNull())
+        visits(core).where(F.col("Patient_ID").isNotNull())
         .groupBy("Patient_ID")
         .agg(
             F.count("*").alias("Total_Visits"),
@@ -55,7 +53,7 @@ def top_doctors(core: Core, **ranking) -> DataFrame:
         "Doctor_ID", "Doctor_Name", "Specialization", "Total_Visits", "Total_Patients", "Total_Revenue"
     )
     return dense_rank_desc(
-        doctors, "Total_Revenue", "Revenue_Rank", "Doctor_ID", max_rows=core.doctors.count(), **ranking
+        doctors, "Total_Revenue", "Revenue_Rank", "Doctor_ID", max_rows=core.row_count("Doctors"), **ranking
     )
 
 
@@ -69,7 +67,7 @@ def top_patients(core: Core, **ranking) -> DataFrame:
         average(F.col("Total_Spending"), F.col("Total_Visits"), "decimal(10,2)").alias("Average_Spend"),
     )
     return dense_rank_desc(
-        patients, "Total_Spending", "Spending_Rank", "Patient_ID", max_rows=core.patients.count(), **ranking
+        patients, "Total_Spending", "Spending_Rank", "Patient_ID", max_rows=core.row_count("Patients"), **ranking
     )
 
 
@@ -116,8 +114,8 @@ def patient_retention(core: Core, **repeating) -> DataFrame:
         .join(core.patients.select("Patient_ID", full_name().alias("Patient_Name")), "Patient_ID")
         .select("Patient_ID", "Patient_Name", "Appointment_Date", F.inline(first_and_others))
     )
-    visits = repeat_rows(counted, "visits", total=core.appointments.count(), **repeating)
-    return visits.select(
+    each = repeat_rows(counted, "visits", total=core.row_count("Appointments"), **repeating)
+    return each.select(
         "Patient_ID",
         "Patient_Name",
         "Appointment_Date",
@@ -130,7 +128,7 @@ def patient_segmentation(core: Core, **ranking) -> DataFrame:
     patients = _patient_totals(core).select(
         "Patient_ID", "Patient_Name", "Total_Visits", "Total_Treatments", "Total_Spending"
     )
-    most = core.patients.count()
+    most = core.row_count("Patients")
     ranked = dense_rank_desc(patients, "Total_Spending", "Spending_Rank", "Patient_ID", max_rows=most, **ranking)
     one_task = {k: v for k, v in ranking.items() if k == "one_task_rows"}
     totals = with_total(ranked, "_spending", F.sum("Total_Spending"), max_rows=most, **one_task)
@@ -162,12 +160,11 @@ def doctor_performance(core: Core, **ranking) -> DataFrame:
         "Avg_Treatment_Cost",
     )
     return dense_rank_desc(
-        doctors, "Total_Revenue", "Revenue_Rank", "Doctor_ID", max_rows=core.doctors.count(), **ranking
+        doctors, "Total_Revenue", "Revenue_Rank", "Doctor_ID", max_rows=core.row_count("Doctors"), **ranking
     )
 
 
 def treatment_performance(core: Core, **ranking) -> DataFrame:
-    """Types of treatment are a short list, however many treatments there are: one task ranks them."""
     types = (
         billed_treatments(core.treatments, core.billing)
         .groupBy("Treatment_Type")
@@ -177,7 +174,7 @@ def treatment_performance(core: Core, **ranking) -> DataFrame:
             average(F.sum("Weighted_Cost"), F.sum("Cost_Weight"), "decimal(10,2)").alias("Avg_Treatment_Cost"),
         )
     )
-    return dense_rank_desc(types, "Total_Revenue", "Revenue_Rank", "Treatment_Type", **{"max_rows": 1, **ranking})
+    return dense_rank_desc(types, "Total_Revenue", "Revenue_Rank", "Treatment_Type", **ranking)
 
 
 def appointment_status(core: Core) -> DataFrame:

@@ -22,9 +22,9 @@ class Entity:
     file: str
     fields: tuple[Field, ...]
     foreign_keys: tuple[tuple[str, str], ...] = ()
-    # Large tables: the date that gives the month folder, if any, and the column rows are sorted by.
+    # Large tables: the date that gives the month folder, if any, and the one or two columns by which rows are looked up.
     month_of: str | None = None
-    sorted_by: str | None = None
+    lookups: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -86,7 +86,7 @@ APPOINTMENTS = Entity("Appointments", "Appointment_ID", "appointments.csv", _fie
     Appointment_Time  string
     Reason_For_Visit  string  200  200
     Status            string  50   50
-"""), (("Patient_ID", "Patients"), ("Doctor_ID", "Doctors")), month_of="Appointment_Date", sorted_by="Patient_ID")
+"""), (("Patient_ID", "Patients"), ("Doctor_ID", "Doctors")), month_of="Appointment_Date", lookups=("Patient_ID", "Doctor_ID"))
 
 TREATMENTS = Entity("Treatments", "Treatment_ID", "treatments.csv", _fields("""
     Treatment_ID    string  50   20
@@ -95,7 +95,7 @@ TREATMENTS = Entity("Treatments", "Treatment_ID", "treatments.csv", _fields("""
     Description     string  500  500
     Cost            decimal(10,2)
     Treatment_Date  date
-"""), (("Appointment_ID", "Appointments"),), sorted_by="Appointment_ID")
+"""), (("Appointment_ID", "Appointments"),), lookups=("Appointment_ID",))
 
 BILLING = Entity("Billing", "Bill_ID", "billing.csv", _fields("""
     Bill_ID         string  50  20
@@ -105,7 +105,19 @@ BILLING = Entity("Billing", "Bill_ID", "billing.csv", _fields("""
     Amount          decimal(10,2)
     Payment_Method  string  50  50
     Payment_Status  string  50  50
-"""), (("Patient_ID", "Patients"), ("Treatment_ID", "Treatments")), month_of="Bill_Date", sorted_by="Treatment_ID")
+"""), (("Patient_ID", "Patients"), ("Treatment_ID", "Treatments")), month_of="Bill_Date", lookups=("Treatment_ID", "Patient_ID"))
+
+# What the treatments and bills of an appointment come to, published beside the tables it is made of.
+VISITS = Entity("Visits", "Appointment_ID", "", _fields("""
+    Appointment_ID    string
+    Patient_ID        string
+    Doctor_ID         string
+    Appointment_Date  date
+    Treatments        bigint
+    Amount            decimal(38,2)
+    Weighted_Cost     decimal(38,2)
+    Cost_Weight       bigint
+"""), (("Patient_ID", "Patients"), ("Doctor_ID", "Doctors")), lookups=("Patient_ID", "Doctor_ID"))
 
 # Parents come before children.
 ENTITIES = {e.name: e for e in (PATIENTS, DOCTORS, APPOINTMENTS, TREATMENTS, BILLING)}

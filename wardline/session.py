@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -57,6 +58,29 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with ``text``, unless there is one of that name: then leave it and return False."""
+    files, place = _file_system(spark, path)
+    files.mkdirs(place.getParent())
+    if files.getScheme() == "file":
+        # The local file system of the JVM looks first and creates afterwards.
+        try:
+            with open(place.toUri().getPath(), "x", encoding="utf-8") as out:
+                out.write(text)
+            return True
+        except FileExistsError:
+            return False
+    try:
+        out = files.create(place, False)
+    except Py4JJavaError as error:
+        if files.exists(place):
+            return False
+        raise error
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    return True
+
+
 def list_folders(spark: SparkSession, path: str) -> list[str]:
     files, place = _file_system(spark, path)
     return sorted(s.getPath().getName() for s in files.listStatus(place) if s.isDirectory())

@@ -1,4 +1,4 @@
-"""The published core: five clean Parquet tables behind a log of published runs."""
+"""The published core: five clean Parquet tables, and what their appointments come to, behind a log of published runs."""
 
 from __future__ import annotations
 
@@ -8,9 +8,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.schema import ENTITIES, Entity
+from wardline.schema import ENTITIES, VISITS, Entity
 
-COMMIT_SCHEMA = "sequence bigint, run string, by_month array<string>, published_at timestamp"
+COMMIT_SCHEMA = (
+    "sequence bigint, run string, by_month array<string>, has_visits boolean, rows map<string,bigint>, published_at timestamp"
+)
 MONTH = "_month"
 
 
@@ -23,10 +25,18 @@ class Core:
     billing: DataFrame
     #: Scans of tables that lie in month folders, with the folder's month, for pruning by date.
     monthly: dict[str, DataFrame] = field(default_factory=dict)
+    #: One row per appointment with billed treatments, if the load has published it.
+    visits: DataFrame | None = None
+    #: Rows of each table, as far as they were counted while it was written.
+    rows: dict[str, int] = field(default_factory=dict)
 
     @classmethod
-    def of(cls, tables: dict[str, DataFrame], monthly: dict[str, DataFrame] | None = None) -> Core:
-        return cls(*(tables[name] for name in ENTITIES), monthly=monthly or {})
+    def of(cls, tables: dict[str, DataFrame], monthly: dict[str, DataFrame] | None = None, **published) -> Core:
+        return cls(*(tables[name] for name in ENTITIES), monthly=monthly or {}, **published)
+
+    def row_count(self, name: str) -> int:
+        """Rows of a table: known from the load, or else counted."""
+        return self.rows[name] if name in self.rows else self.tables()[name].count()
 
     def by_date(self, name: str) -> DataFrame:
         """The table for a filter on its date: with the month column if it lies in month folders."""
@@ -57,14 +67,15 @@ def latest_run(spark: SparkSession, root: str):
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return log.orderBy(F.desc("sequence"), F.desc("published_at"), F.desc("run")).first()
+    # A line that is still being written has no number yet.
+    return log.where("sequence is not null").orderBy(F.desc("sequence"), F.desc("published_at"), F.desc("run")).first()
 
 
 def published_runs(spark: SparkSession, root: str) -> list[str]:
     """Published runs, the last first: one line of the log per load."""
     if latest_run(spark, root) is None:
         return []
-    log = spark.read.schema(COMMIT_SCHEMA).json(commit_path(root))
+    log = spark.read.schema(COMMIT_SCHEMA).json(commit_path(root)).where("sequence is not null")
     return [row.run for row in log.orderBy(F.desc("sequence"), F.desc("published_at"), F.desc("run")).collect()]
 
 
@@ -77,6 +88,8 @@ def open_core(spark: SparkSession, root: str) -> Core:
     return Core.of(
         {e.name: read_core_table(spark, e, paths[e.name]) for e in ENTITIES.values()},
         {name: read_monthly(spark, ENTITIES[name], paths[name]) for name in commit.by_month},
+        visits=read_core_table(spark, VISITS, core_path(root, commit.run, VISITS)) if commit.has_visits else None,
+        rows=commit.rows or {},
     )
 
 
