@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
@@ -108,6 +111,24 @@ def zipped(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, T.StructType([*fields, T.StructField("zipped", T.BinaryType())]))
 
 
+def tidied(work: Callable) -> Callable:
+    """``work`` on the batches of a task, which gives back the memory it no longer needs when it ends.
+
+    Worker processes outlive their tasks, and what one stage has freed stays theirs unless they return it.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def filter_texts(docs: DataFrame, text_col: str, keeps: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
     """The rows whose text ``keeps`` marks, all columns as they are; a null text counts as an empty one."""
     prepare(docs.sparkSession)
@@ -119,4 +140,4 @@ def filter_texts(docs: DataFrame, text_col: str, keeps: Callable[[list[bytes]],
             if marks:
                 yield batch.filter(pa.array(np.concatenate(marks).astype(bool)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)

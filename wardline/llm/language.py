@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm.common import CHUNK_BYTES, batch_chunks, chunks, crc_mod, filter_texts, id_and_text, prepare, read_table, text_bytes
+from wardline.llm.common import CHUNK_BYTES, batch_chunks, chunks, crc_mod, filter_texts, id_and_text, prepare, read_table, text_bytes, tidied
 from wardline.llm.words import U64, Lookup, mix, ranges, split_words
 from wardline.session import materialize
 
@@ -135,7 +135,7 @@ def _count_ngrams(sample: DataFrame) -> DataFrame:
                             names=["lang", "size", "key", "tail", "head", "opens", "n"],
                         )
 
-    counted = sample.select("lang", "text").mapInArrow(count, NGRAM_SCHEMA)
+    counted = sample.select("lang", "text").mapInArrow(tidied(count), NGRAM_SCHEMA)
     return counted.groupBy("lang", "size", "key", "tail", "head", "opens").agg(F.sum("n").alias("n"))
 
 
@@ -327,7 +327,7 @@ def identify(docs: DataFrame, models: LanguageModels | None, id_col: str = "doc_
         for ids, texts in batch_chunks(batches, models.chunk_bytes if models else CHUNK_BYTES):
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *_judge(models, texts)], names=RESULT_NAMES)
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, RESULT_SCHEMA)
+    return id_and_text(docs, id_col, text_col).mapInArrow(tidied(run), RESULT_SCHEMA)
 
 
 RESULT_NAMES = ["doc_id", "lang_pred", "score", "entropy", "rejected"]

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm.common import batch_chunks, id_and_text, read_table
+from wardline.llm.common import batch_chunks, id_and_text, read_table, tidied
 from wardline.llm.words import Lookup, ranges, span_hashes
 
 # Fixed value: the character that stands for a blank.
@@ -216,7 +216,7 @@ def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
                 names=["doc_id", "ids", "decoded"],
             )
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, ids array<int>, decoded string")
+    return id_and_text(docs, id_col, text_col).mapInArrow(tidied(run), "doc_id bigint, ids array<int>, decoded string")
 
 
 def digest_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -237,7 +237,7 @@ def digest_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
             )
 
     return id_and_text(docs, id_col, text_col).mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        tidied(run), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     )
 
 
