@@ -120,6 +120,7 @@ def test_near_duplicates(spark, docs, rows, nothing, clashing, monkeypatch, shor
 def test_near_duplicates_of_a_large_family(spark, monkeypatch, spread):
     """Edited copies that are linked through their original only, and unrelated texts with a common passage."""
     monkeypatch.setattr(ngram_join, "SPREAD_ENTRIES", spread)
+    monkeypatch.setattr(ngram_join, "PART_PAIRS", spread)
     monkeypatch.setattr(ngram_join, "SHORT_LIST", 4)
     rng = random.Random(11)
     base, passage = words_of(rng, 150).split(" "), words_of(rng, 40)

@@ -63,6 +63,22 @@ def test_stages(spark, folder):
     assert list(stages) == ["language", "exact_dedup", "ngram_join", "decontaminate", "sentencepiece"]
 
 
+def test_columns_with_names_of_the_stages(spark, folder):
+    """All columns but the last stage's pass through, whatever they are called; repeated rows and null ids as well."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    odd = docs.limit(2).selectExpr("cast(null as bigint) as doc_id", "text", "lang", "source", "n_chars")
+    names = ("_missing", "missing", "_kept", "kept", "Kept_", "row", "hash", "place", "others", "set", "rejected", "item_id", "my col")
+    docs = docs.unionByName(docs.limit(3)).unionByName(odd).selectExpr("*", *(f"doc_id as `{n}`" for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        given = docs.count()
+        docs = stage(spark, docs, folder).cache()
+        assert docs.columns[-len(names) :] == list(names), name
+        assert 0 < docs.count() <= given
+        assert docs.where(" or ".join(f"not (doc_id <=> `{n}`)" for n in names)).isEmpty(), name
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+    assert sorted(str(r.doc_id) for r in last.collect()) == sorted(str(r.doc_id) for r in docs.collect())
+
+
 def test_an_empty_table_passes_through(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:

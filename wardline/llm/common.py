@@ -62,6 +62,14 @@ def crc_mod(id_col: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many signs after it as it takes to be no column of ``df``, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, label: str, rows: int) -> DataFrame:
     """``materialize`` for a table of at most ``rows`` short rows: as many files as these need."""
     return materialize(df.coalesce(max(1, -(-rows // FILE_ROWS))), label)

@@ -71,15 +71,16 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Of rows with the smallest id any one stays.
     """
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    place = F.struct(F.col(id_col).isNotNull(), F.col(id_col))
+    own_id = F.col(f"`{id_col}`")
+    place = F.struct(own_id.isNotNull(), own_id)
     rows = docs.select(
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        F.struct(F.col(text_col).isNull().alias("_missing"), *others).alias("row"),
+        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
+        F.struct(F.col(f"`{text_col}`").isNull().alias("missing"), F.struct(*others).alias("others")).alias("row"),
         place.alias("place"),
     ).withColumn("hash", content_hash(F.col("text")))
     kept = rows.groupBy("hash", "text").agg(F.min_by("row", "place").alias("row"))
-    text = F.when(~F.col("row._missing"), F.col("text"))
-    return kept.select(*(text.alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns))
+    text = F.when(~F.col("row.missing"), F.col("text"))
+    return kept.select(*(text.alias(c) if c == text_col else F.col(f"row.others.`{c}`") for c in docs.columns))
 
 
 def _smallest(column: Column) -> Column:

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardline.llm.class_lm import frequent_words
-from wardline.llm.common import batch_chunks, chunks, id_and_text, partitions, read_table, written, zipped
+from wardline.llm.common import batch_chunks, chunks, free_name, id_and_text, partitions, read_table, written, zipped
 from wardline.llm.components import connected_components
 from wardline.llm.words import BASE, U64, mix, split_words
 from wardline.session import materialize
@@ -59,6 +59,9 @@ SHORT_LIST = 40
 FREQUENT_LEAST = 2
 # At most this many frequent tokens are put last; which ones does not change the result.
 FREQUENT_TOKENS = 1 << 17
+# Pairs of one set that a task verifies, and sets whose pairs may be dealt to several tasks.
+PART_PAIRS = 128
+HOT_SETS = 100_000
 # Entries of a frequent token are spread over so many parts of the shuffle that each gets about this many.
 SPREAD_ENTRIES = 20_000
 # Texts are turned into sets in groups of about this many bytes.
@@ -285,8 +288,16 @@ def _least_of_group(n: Column, low: Column, high: Column) -> Column:
     return F.greatest(F.least(_least_shared(n, low), beyond), F.lit(1))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose sets link, from pairs that bring the set of b: a, b, tokens_b."""
+def _verified(pairs: DataFrame, sets: DataFrame, named: DataFrame, total: int) -> DataFrame:
+    """Pairs (a, b) whose sets link, from pairs that bring the set of b: a, b, tokens_b.
+
+    A set that more than ``PART_PAIRS`` others are compared with goes to several tasks, each with its part of
+    them. ``named`` is the a of each pair, ``total`` bounds their number.
+    """
+    part = max(PART_PAIRS, -(-total // HOT_SETS))
+    several = named.groupBy("a").count().where(F.col("count") > part)
+    # At most HOT_SETS rows.
+    several = F.broadcast(materialize(several.select("a", F.ceil(F.col("count") / part).alias("parts")), "hot-sets"))
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -298,7 +309,11 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 pa.array(linked, pa.bool_())
             )
 
-    joined = pairs.join(sets.select(F.col("set").alias("a"), F.col("tokens").alias("tokens_a")), "a")
+    parts = F.coalesce("parts", F.lit(1).cast("bigint"))
+    dealt = pairs.join(several, "a", "left").withColumn("part", F.pmod(F.xxhash64("b"), parts)).drop("parts")
+    owners = sets.select(F.col("set").alias("a"), F.col("tokens").alias("tokens_a")).join(several, "a", "left")
+    owners = owners.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))).drop("parts")
+    joined = dealt.join(owners, ["a", "part"])
     return joined.mapInArrow(check, "a bigint, b bigint")
 
 
@@ -434,10 +449,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     first = sets.where("a is not null").select("a", F.col("set").alias("b"), F.col("tokens").alias("tokens_b"))
     compared = sets.count()
-    components = written(connected_components(_verified(first, sets)), "components", compared)
+    links = _verified(first, sets, first.select("a"), compared)
+    components = written(connected_components(links), "components", compared)
     rest = pairs.select("a", "b").unionByName(_matrix_pairs(members, lists, components, entries)).distinct()
-    rest = _apart(rest, components).join(sets.select(F.col("set").alias("b"), F.col("tokens").alias("tokens_b")), "b")
-    more = materialize(_verified(rest, sets), "links")
+    rest = materialize(_apart(rest, components), "more-pairs")
+    more = _verified(rest.join(sets.select(F.col("set").alias("b"), F.col("tokens").alias("tokens_b")), "b"), sets, rest.select("a"), rest.count())
+    more = materialize(more, "links")
     if not more.isEmpty():
         # Components that the rest connects, found among components.
         joined = connected_components(_between(more, components)).withColumnRenamed("component", "joined")
@@ -451,10 +468,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that name their component, all columns as they are: one of each component."""
     found = near_duplicates(docs, id_col, text_col)
-    named = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"))
+    kept = free_name(docs, "kept")
+    named = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(kept))
     named = materialize(named.distinct(), "representatives")
     # They grow with the corpus: the join is the same shuffle for any number of them.
-    return docs.join(named.hint("merge"), F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
+    return docs.join(named.hint("merge"), F.col(f"`{id_col}`").eqNullSafe(F.col(kept)), "left_semi")
 
 
 def _needed_sets(rows: DataFrame, described: DataFrame, nearest: DataFrame, members: DataFrame, lists: DataFrame) -> DataFrame:
