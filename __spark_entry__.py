@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import oracle
@@ -18,11 +18,14 @@ from wardline.plans.layout import write_by_month
 from wardline.schema import APPOINTMENTS, BILLING, CORRUPT, ENTITIES, PATIENTS, Entity
 from wardline.session import materialize, scratch_root
 from wardline.sources import Core, open_core, read_csv_extract
-from wardline.sources.core import MONTH, read_monthly
+from wardline.sources.core import MONTH, latest_run, read_monthly
 
 try:
     from wardline.llm import queries as llm
-except ImportError:
+except ModuleNotFoundError as error:
+    # Only without that part of the library; anything else that it lacks is an error.
+    if error.name not in ("wardline.llm", "wardline.llm.queries", "corpus_pipeline"):
+        raise
     llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +50,10 @@ def oracle_sql() -> dict[str, str]:
 # --- inputs that several queries share, prepared once per session and data folder ---
 
 
+# A patient who makes every third visit, in the query that joins by hot keys.
+HOT_PATIENT = "12"
+
+
 @dataclass(frozen=True)
 class _Dirty:
     staging: dict[str, DataFrame]
@@ -110,6 +117,7 @@ def _dirty(spark: SparkSession, sf_dir: str) -> _Dirty:
 
 def _source_queries() -> dict[str, Query]:
     out: dict[str, Query] = {f"source_{e.file.removesuffix('.csv')}": _csv_round_trip(e) for e in ENTITIES.values()}
+    out["source_multiline"] = _line_breaks
     out["source_bad_rows"] = _bad_rows
     out["source_bad_times"] = _bad_times
     return out
@@ -134,6 +142,22 @@ def _csv_round_trip(entity: Entity) -> Query:
     return query
 
 
+def _line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patients whose addresses have quotes and line breaks, in one file that many tasks read."""
+    rows = testbed.clean_feed(spark, sf_dir)["Patients"]
+    number = F.col("Patient_ID").cast("bigint")
+    lines = F.concat(F.lit('"House", '), "Patient_ID", F.lit("\n\n"), "Last_Name", F.lit(',\r\n"'))
+    address = F.when(number % 3 == 0, lines).when(number % 3 == 1, F.concat(F.lit('say ""'), "Patient_ID"))
+    path = _write_csv(rows.withColumn("Address", address).coalesce(1))
+    split = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(split)
+    spark.conf.set(split, "4k")
+    try:
+        return materialize(read_csv_extract(spark, PATIENTS, path, multi_line=True), "patients").drop(CORRUPT)
+    finally:
+        spark.conf.set(split, before)
+
+
 def _bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patients with a negative balance are written with a birth date that is no date."""
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
@@ -184,10 +208,13 @@ def _quality_queries() -> dict[str, Query]:
         return lambda spark, sf_dir: _dirty(spark, sf_dir).errors[table].drop("Logged_At")
 
     def hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-        """The orphan rule with every patient of five visits or more treated as hot."""
+        """The orphan rule by the plan for large tables; a third of all visits are of one known patient."""
         rules = tuple(r for r in quality.RULES["Appointments"] if getattr(r, "parent", None) == "Patients")
-        staging = _staged_dirty(spark, sf_dir)
-        return quality.error_rows(APPOINTMENTS, staging, testbed.DIRTY_AS_OF, rules, hot_rows=5, broadcast_rows=0)
+        staging = dict(_staged_dirty(spark, sf_dir))
+        number = F.regexp_extract("Appointment_ID", "[0-9]+", 0).cast("bigint")
+        hot = F.when(number % 3 == 0, HOT_PATIENT).otherwise(F.col("Patient_ID"))
+        staging["Appointments"] = staging["Appointments"].withColumn("Patient_ID", hot)
+        return quality.error_rows(APPOINTMENTS, staging, testbed.DIRTY_AS_OF, rules, hot_rows=5, broadcast_rows=5)
 
     out = {name: rule(table, reason) for name, (table, reason) in RULE_QUERIES.items()}
     out |= {f"errors_{name.lower()}": error_log(name) for name in ENTITIES}
@@ -242,6 +269,41 @@ def _load_queries() -> dict[str, Query]:
             return checks.row_counts(open_core(spark, root).tables())
         raise AssertionError("the dirty delivery must not be published")
 
+    def cascade_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The keys that a load of the dirty delivery publishes when it may quarantine."""
+        tables = _quarantining(spark, sf_dir).core.tables()
+        keys = [tables[n].select(F.lit(n).alias("Table_Name"), F.col(e.key).alias("Row_Key")) for n, e in ENTITIES.items()]
+        return reduce(DataFrame.unionByName, keys)
+
+    def cascade_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+        errors = _quarantining(spark, sf_dir).errors
+        rows = [
+            errors[n].select(F.lit(n).alias("Table_Name"), F.col(e.key).alias("Row_Key"), "Error_Reason")
+            for n, e in ENTITIES.items()
+        ]
+        return reduce(DataFrame.unionByName, rows)
+
+    def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The log after three loads: the clean delivery, the dirty one, which stops, and the dirty one with quarantine."""
+        log = load.load_log(spark, _loads(spark, sf_dir))
+        number = F.dense_rank().over(Window.orderBy("started_at"))
+        return log.select(
+            number.cast("bigint").alias("Load_Number"), "Status", "Table_Name", "Read_Rows", "Rejected_Rows", "Error_Rows",
+            "Quarantined_Rows", "Published_Rows",
+        )
+
+    def published_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _core_by_month(spark, sf_dir).visits
+
+    def doctor_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Visits to one doctor, from the layout in which files can be skipped by patient and by doctor."""
+        visits = _core_by_month(spark, sf_dir).appointments.where(F.col("Doctor_ID") == "5")
+        return visits.select("Appointment_ID", "Patient_ID", "Doctor_ID", "Appointment_Date")
+
+    def patient_bills(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bills = _core_by_month(spark, sf_dir).billing.where(F.col("Patient_ID") == "12")
+        return bills.select("Bill_ID", "Patient_ID", "Treatment_ID", "Amount")
+
     out: dict[str, Query] = {f"core_{name.lower()}": core_table(name) for name in ENTITIES}
     return out | {
         "load_exclude_quarantined": remaining,
@@ -254,6 +316,12 @@ def _load_queries() -> dict[str, Query]:
         "check_length": length_checks,
         "load_row_counts": lambda spark, sf_dir: checks.row_counts(_core(spark, sf_dir).tables()),
         "load_publish": publish,
+        "load_cascade": cascade_keys,
+        "load_cascade_errors": cascade_errors,
+        "load_log": history,
+        "visits_published": published_visits,
+        "layout_doctor_lookup": doctor_lookup,
+        "layout_patient_bills": patient_bills,
         "layout_billing_by_month": lambda spark, sf_dir: _by_month(spark, sf_dir, BILLING)
         .groupBy(F.col(MONTH).alias("Bill_Month"))
         .agg(F.count("*").alias("Bill_Count"), F.sum("Amount").cast("decimal(38,2)").alias("Total_Amount")),
@@ -295,6 +363,29 @@ def _core_by_month(spark: SparkSession, sf_dir: str) -> Core:
     return _once("core by month", spark, sf_dir, prepare)
 
 
+def _loads(spark: SparkSession, sf_dir: str) -> str:
+    """A folder under which three loads have run, the last of them with quarantine."""
+
+    def prepare() -> str:
+        root = f"{scratch_root(spark)}/clinic-loads-{uuid.uuid4().hex}"
+        load.load(spark, testbed.clean_feed(spark, sf_dir), root, testbed.AS_OF)
+        dirty = testbed.dirty_feed(spark, sf_dir)
+        try:
+            load.load(spark, dirty, root, testbed.DIRTY_AS_OF)
+        except load.ConstraintError:
+            load.load(spark, dirty, root, testbed.DIRTY_AS_OF, on_violation=load.QUARANTINE)
+            return root
+        raise AssertionError("the dirty delivery must not be published as it is")
+
+    return _once("loads", spark, sf_dir, prepare)
+
+
+def _quarantining(spark: SparkSession, sf_dir: str) -> load.LoadResult:
+    root = _loads(spark, sf_dir)
+    run = latest_run(spark, root).run
+    return load.LoadResult(run, open_core(spark, root), load.read_errors(spark, root, run))
+
+
 def _treatment_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Treatments of one appointment, from the layout in which their files can be skipped."""
     treatments = _core_by_month(spark, sf_dir).treatments
@@ -315,7 +406,18 @@ def _reporting_queries() -> dict[str, Query]:
         wide = {c: F.col(c).cast("decimal(38,2)") for c in ("Amount", "Weighted_Cost")}
         return rows.withColumns(wide)
 
+    def from_sql(call: str) -> Query:
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            procedures.register_functions(_core(spark, sf_dir))
+            return spark.sql(f"select * from {call}")
+
+        return query
+
+    period = ", ".join(f"date '{day}'" for day in PERIOD)
     return {
+        "sql_patient_analysis": from_sql("patient_analysis('12')"),
+        "sql_doctor_performance": from_sql("doctor_performance('5')"),
+        "sql_revenue_report": from_sql(f"revenue_report({period})"),
         "fact_chain": chain,
         "view_patient_analysis": on_core(views.patient_analysis),
         "view_doctor_performance": on_core(views.doctor_performance),

@@ -333,6 +333,36 @@ def _length_checks() -> str:
     )
 
 
+def _without_parent(table: str, column: str, parent: str) -> str:
+    return f"c.{column} is not null and not exists (select 1 from clean_{parent} p where p.{column} = c.{column})"
+
+
+# References, parents first.
+_REFERENCES = {
+    "patients": (),
+    "doctors": (),
+    "appointments": (("Patient_ID", "patients"), ("Doctor_ID", "doctors")),
+    "treatments": (("Appointment_ID", "appointments"),),
+    "billing": (("Patient_ID", "patients"), ("Treatment_ID", "treatments")),
+}
+
+
+def _cascade(table: str) -> str:
+    """What is left of a table when rows without a key and children of quarantined parents go as well, and their errors."""
+    key = _KEYS[table]
+    lost = [_without_parent(table, column, parent) for column, parent in _REFERENCES[table]]
+    kept = " ".join(f"and not ({condition})" for condition in lost)
+    errors = [f"select {key}, 'Parent quarantined' as Error_Reason from kept_{table} c where {condition}" for condition in lost]
+    more = " union all ".join([_log_of(table), *errors])
+    return (
+        f"clean_{table} as (select * from kept_{table} c where {key} is not null {kept}), "
+        f"all_errors_{table} as ({more})"
+    )
+
+
+_CASCADE = ", ".join(_cascade(t) for t in _REFERENCES)
+
+
 def _rule_queries() -> dict[str, str]:
     out = {}
     for table, rules in _RULES.items():
@@ -345,10 +375,40 @@ def _rule_queries() -> dict[str, str]:
     out["check_primary_key"] = f"{_DIRTY}, {_LOGS}, {_KEPT} {_key_checks()}"
     out["check_foreign_key"] = f"{_DIRTY}, {_LOGS}, {_KEPT} {_reference_checks()}"
     out["check_length"] = f"{_CLEAN} {_length_checks()}"
-    out["anti_join_hot_keys"] = out["dq_appointment_orphan_patient"]
+    number = "cast(regexp_extract(Appointment_ID, '[0-9]+') as bigint)"
+    hot = f"select * replace (case when {number} % 3 = 0 then '12' else Patient_ID end as Patient_ID) from appointments"
+    orphans = _RULES["appointments"]["dq_appointment_orphan_patient"].replace("from appointments c", f"from ({hot}) c")
+    out["anti_join_hot_keys"] = f"{_DIRTY} {orphans}"
+    out["load_cascade"] = f"{_DIRTY}, {_LOGS}, {_KEPT}, {_CASCADE} " + _per_table("{k} as Row_Key", source="clean_{t}")
+    out["load_cascade_errors"] = f"{_DIRTY}, {_LOGS}, {_KEPT}, {_CASCADE} " + _per_table(
+        "{k} as Row_Key, Error_Reason", source="all_errors_{t}"
+    )
+    out["load_log"] = _load_log()
     return out
 
 
+def _load_log() -> str:
+    """Three loads: the clean delivery, the dirty one that stops, and the dirty one with quarantine."""
+
+    def counts(number: int, status: str, errors: str, left: str, published: bool) -> str:
+        return _per_table(
+            f"{number} as Load_Number, '{status}' as Status, count(*) as Read_Rows, 0 as Rejected_Rows, "
+            f"({errors}) as Error_Rows, count(*) - (select count(*) from {left}) as Quarantined_Rows, "
+            + (f"(select count(*) from {left})" if published else "0")
+            + " as Published_Rows"
+        )
+
+    columns = "Load_Number, Status, Table_Name, Read_Rows, Rejected_Rows, Error_Rows, Quarantined_Rows, Published_Rows"
+    dirty = f"{_DIRTY}, {_LOGS}, {_KEPT}, {_CASCADE}"
+    loads = (
+        f"{_CLEAN} select {columns} from ({counts(1, 'published', 'select 0', '{t}', True)})",
+        f"{dirty} select {columns} from ({counts(2, 'failed', 'select count(*) from {t}_log', 'kept_{t}', False)})",
+        f"{dirty} select {columns} from ({counts(3, 'published', 'select count(*) from all_errors_{t}', 'clean_{t}', True)})",
+    )
+    typed = ", ".join(c if c in ("Status", "Table_Name") else f"cast({c} as bigint) as {c}" for c in columns.split(", "))
+    return f"select {typed} from (" + " union all ".join(f"({sql})" for sql in loads) + ")"
+
+
 def _load_queries() -> dict[str, str]:
     out = {}
     for table in _KEYS:
@@ -370,6 +430,15 @@ def _load_queries() -> dict[str, str]:
     out["layout_treatment_lookup"] = f"""{_CLEAN}
         select Treatment_ID, Appointment_ID, Cost from treatments
         where Appointment_ID = (select max(Appointment_ID) from treatments)"""
+    out["source_multiline"] = f"""{_CLEAN}
+        select * replace (case cast(Patient_ID as bigint) % 3
+                            when 0 then '"House", ' || Patient_ID || chr(10) || chr(10) || Last_Name || ',' || chr(13) || chr(10) || '"'
+                            when 1 then 'say ""' || Patient_ID end as Address)
+        from patients"""
+    out["layout_doctor_lookup"] = f"""{_CLEAN}
+        select Appointment_ID, Patient_ID, Doctor_ID, Appointment_Date from appointments where Doctor_ID = '5'"""
+    out["layout_patient_bills"] = f"""{_CLEAN}
+        select Bill_ID, Patient_ID, Treatment_ID, Amount from billing where Patient_ID = '12'"""
     for table in ("appointments", "billing"):
         out[f"core_{table}_by_month"] = f"{_CLEAN} select * from {table}"
     out["load_row_counts"] = f"{_CLEAN} " + _per_table("count(*) as Row_Count")
@@ -387,6 +456,7 @@ def _load_queries() -> dict[str, str]:
                count(distinct Treatment_ID) as Treatments, cast(sum(Amount) as decimal(38,2)) as Amount,
                cast(sum(Cost) as decimal(38,2)) as Weighted_Cost, count(Cost) as Cost_Weight
         from chain group by 1, 2, 3, 4"""
+    out["visits_published"] = out["fact_chain"]
     return out
 
 
@@ -577,4 +647,6 @@ def on_core_tables() -> dict[str, str]:
 
 
 def all_queries() -> dict[str, str]:
-    return _load_queries() | _rule_queries() | _view_queries() | _report_queries() | _summary_queries()
+    own = _load_queries() | _rule_queries() | _view_queries() | _report_queries() | _summary_queries()
+    summaries = ("patient_analysis", "doctor_performance", "revenue_report")
+    return own | {f"sql_{name}": own[f"proc_{name}"] for name in summaries}

@@ -42,10 +42,11 @@ def write_sorted(
     df: DataFrame, entity: Entity, path: str, files: int, keys: dict[str, int] | None = None, rows: int | None = None
 ) -> None:
     """Files of ranges of (lookup columns, key): a lookup skips all files but a few."""
+    rows = df.count() if rows is None else rows
     placed, order = _ordered(df, entity, files, rows)
     order.append(entity.key)
     placed = placed.repartitionByRange(files, *order).sortWithinPartitions(*order)
-    _filtered(placed.drop(PLACE).write.mode("overwrite"), entity, keys).parquet(path)
+    _filtered(placed.drop(PLACE).write.mode("overwrite"), entity, keys, rows // files).parquet(path)
 
 
 def write_by_month(
@@ -60,6 +61,7 @@ def write_by_month(
     The rows are cut into ranges of (month, lookup columns, key). The key is unique, so both a
     month and a value that hold much of the table are spread over many tasks.
     """
+    rows = df.count() if rows is None else rows
     placed, order = _ordered(df, entity, files, rows)
     order = [MONTH, *order, entity.key]
     placed = (
@@ -67,10 +69,10 @@ def write_by_month(
         .repartitionByRange(files, *order)
         .sortWithinPartitions(*order)
     )
-    _filtered(placed.drop(PLACE).write.mode("overwrite").partitionBy(MONTH), entity, keys).parquet(path)
+    _filtered(placed.drop(PLACE).write.mode("overwrite").partitionBy(MONTH), entity, keys, rows // files).parquet(path)
 
 
-def _ordered(df: DataFrame, entity: Entity, files: int, rows: int | None) -> tuple[DataFrame, list[str]]:
+def _ordered(df: DataFrame, entity: Entity, files: int, rows: int) -> tuple[DataFrame, list[str]]:
     """Rows and the columns that put them in the order of their lookups.
 
     Two columns have equal rights: each value gets the number of the range it lies in, and the bits of
@@ -85,14 +87,13 @@ def _ordered(df: DataFrame, entity: Entity, files: int, rows: int | None) -> tup
     return df.withColumn(PLACE, place), [PLACE]
 
 
-def _range_limits(df: DataFrame, entity: Entity, bits: int, rows: int | None) -> dict[str, list[str]]:
+def _range_limits(df: DataFrame, entity: Entity, bits: int, rows: int) -> dict[str, list[str]]:
     """For each lookup column 2 ** bits - 1 values that cut it into ranges of about as many rows.
 
     They come from at most about ``SAMPLE_ROWS`` rows, chosen by a hash of the key, and decide
     on the order of rows only.
     """
-    rows = max(df.count() if rows is None else rows, 1)
-    share = F.pmod(F.xxhash64(entity.key), F.lit(1_000_000)) < F.lit(1_000_000 * SAMPLE_ROWS // rows)
+    share = F.pmod(F.xxhash64(entity.key), F.lit(1_000_000)) < F.lit(1_000_000 * SAMPLE_ROWS // max(rows, 1))
     sample = df.where(share).select(*entity.lookups).collect()
     limits = {}
     for column in entity.lookups:
@@ -120,12 +121,16 @@ def _spread(number: Column) -> Column:
     return number
 
 
-def _filtered(writer: DataFrameWriter, entity: Entity, keys: dict[str, int] | None) -> DataFrameWriter:
+def _filtered(
+    writer: DataFrameWriter, entity: Entity, keys: dict[str, int] | None, file_rows: int
+) -> DataFrameWriter:
     """Bloom filters for the key and the lookup columns, for as many values as a file can have of them."""
+    # Ranges come from a sample: some files have more rows than others.
+    most = 2 * file_rows + 1
     parents = dict(entity.foreign_keys)
     writer = writer.option("parquet.bloom.filter.max.bytes", str(BLOOM_BYTES))
     for column in {entity.key, *entity.lookups}:
-        values = min(ROWS_PER_FILE, (keys or {}).get(parents.get(column, ""), ROWS_PER_FILE))
+        values = min(most, (keys or {}).get(parents.get(column, ""), most))
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer = writer.option(f"parquet.bloom.filter.expected.ndv#{column}", str(max(values, 1)))
     return writer

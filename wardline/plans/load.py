@@ -108,6 +108,7 @@ def load(
     layout_rows: int = LAYOUT_ROWS,
     on_violation: str = STOP,
     with_visits: bool = True,
+    collation: str | None = None,
     **thresholds: int,
 ) -> LoadResult:
     """Publish the clean rows of ``feed`` under ``root``, a folder all executors share.
@@ -118,8 +119,9 @@ def load(
     the others get ``OvertakenError``. Unreadable lines are logged; more than ``max_errors`` of an extract stop the
     load, if that is given. What the rules leave and the core cannot take stops the load, or, with
     ``on_violation="quarantine"``, goes to the error log with all that refers to it. ``with_visits`` publishes what the
-    treatments and bills of each appointment come to, so that reports need not join them. ``thresholds`` go to the
-    anti-joins. Every load, published or not, leaves its counts in the load log (``load_log``).
+    treatments and bills of each appointment come to, so that reports need not join them. ``collation``, such as
+    ``UTF8_LCASE``, is how keys and references are compared, in the load and in all that reads what it publishes. ``thresholds``
+    go to the anti-joins. Every load, published or not, leaves its counts in the load log (``load_log``).
     """
     if on_violation not in (STOP, QUARANTINE):
         raise ValueError(f"on_violation is {on_violation!r}, not {STOP!r} or {QUARANTINE!r}")
@@ -127,9 +129,9 @@ def load(
     counts = _Counts()
     try:
         last = latest_run(spark, root)
-        staging, rejects = stage(spark, feed, f"{root}/run={run}/staging", max_errors, counts)
+        staging, rejects = stage(spark, feed, f"{root}/run={run}/staging", max_errors, counts, collation)
         errors_path = f"{root}/run={run}/errors"
-        errors = write_errors(spark, staging, rejects, errors_path, as_of, counts, **thresholds)
+        errors = write_errors(spark, staging, rejects, errors_path, as_of, counts, collation, **thresholds)
         guard_not_empty(staging)
         steps = cascade.levels() if on_violation == QUARANTINE else [list(ENTITIES.values())]
         written: dict[str, DataFrame] = {}
@@ -138,17 +140,17 @@ def load(
             def write(entity: Entity) -> DataFrame:
                 if on_violation == QUARANTINE:
                     errors[entity.name] = _log_breaches(
-                        staging, errors[entity.name], entity, written, errors_path, counts, **thresholds
+                        staging, errors[entity.name], entity, written, errors_path, counts, collation, **thresholds
                     )
                 _write_core(staging, errors[entity.name], entity, root, run, layout_rows, on_violation, counts, thresholds)
-                return read_core_table(spark, entity, core_path(root, run, entity))
+                return read_core_table(spark, entity, core_path(root, run, entity), collation)
 
             written |= _for_each_entity(write, entities)
         _check(written)
         if with_visits:
             _write_visits(written, root, run, layout_rows, counts)
         by_month = [e.name for e in ENTITIES.values() if e.month_of and _laid_out(staging, e, layout_rows)]
-        _publish(spark, root, run, (last.sequence if last else 0) + 1, by_month, with_visits, counts)
+        _publish(spark, root, run, (last.sequence if last else 0) + 1, by_month, with_visits, collation, counts)
     except Exception as error:
         log.error("load %s failed, nothing was published: %s", run, error)
         _log_load(spark, root, run, started, counts, "failed", str(error))
@@ -164,6 +166,7 @@ def stage(
     path: str,
     max_errors: int | None = None,
     counted: _Counts | None = None,
+    collation: str | None = None,
 ) -> tuple[Staging, dict[str, DataFrame]]:
     """Write the feed as Parquet, replacing what is there; return staged rows and reject rows.
 
@@ -177,7 +180,7 @@ def stage(
         unreadable = F.count(CORRUPT) if CORRUPT in raw.columns else F.lit(0).cast("bigint")
         counted = raw.observe(counts, F.count("*").alias("rows"), unreadable.alias("unreadable"))
         counted.write.mode("overwrite").parquet(target)
-        ddl = f"{entity.ddl}, {CORRUPT} string" if CORRUPT in raw.columns else entity.ddl
+        ddl = entity.ddl_with(collation) + (f", {CORRUPT} string" if CORRUPT in raw.columns else "")
         return spark.read.schema(ddl).parquet(target), counts.get
 
     staging, rejects, rows, unreadable = {}, {}, {}, {}
@@ -203,6 +206,7 @@ def write_errors(
     path: str,
     as_of: date,
     counted: _Counts | None = None,
+    collation: str | None = None,
     **thresholds: int,
 ) -> dict[str, DataFrame]:
     """The five error logs (key, Error_Reason, Logged_At), replacing those of ``path``."""
@@ -211,19 +215,31 @@ def write_errors(
         rows = quality.error_rows(entity, staging, as_of, **thresholds)
         if entity.name in rejects:
             rows = rows.unionByName(rejects[entity.name])
-        return _append_errors(rows, entity, path, "overwrite", counted)
+        return _append_errors(rows, entity, path, "overwrite", counted, collation)
 
     return _for_each_entity(write)
 
 
-def _append_errors(rows: DataFrame, entity: Entity, path: str, mode: str, counted: _Counts | None) -> DataFrame:
+def read_errors(spark: SparkSession, root: str, run: str, collation: str | None = None) -> dict[str, DataFrame]:
+    """The error logs of a run."""
+    path = f"{root.rstrip('/')}/run={run}/errors"
+    return {
+        e.name: spark.read.schema(_error_schema(e, collation)).parquet(f"{path}/{e.name.lower()}") for e in ENTITIES.values()
+    }
+
+
+def _error_schema(entity: Entity, collation: str | None) -> str:
+    key = f"{entity.key} string{f' collate {collation}' if collation else ''}"
+    return f"{key}, {quality.REASON} string, Logged_At timestamp"
+
+
+def _append_errors(rows: DataFrame, entity: Entity, path: str, mode: str, counted: _Counts | None, collation) -> DataFrame:
     target, counts = f"{path}/{entity.name.lower()}", Observation(f"errors {entity.name}")
     rows = rows.withColumn("Logged_At", F.current_timestamp()).observe(counts, F.count("*").alias("rows"))
     rows.write.mode(mode).parquet(target)
     if counted is not None:
         counted.errors[entity.name] = counted.errors.get(entity.name, 0) + counts.get["rows"]
-    schema = f"{entity.key} string, {quality.REASON} string, Logged_At timestamp"
-    return rows.sparkSession.read.schema(schema).parquet(target)
+    return rows.sparkSession.read.schema(_error_schema(entity, collation)).parquet(target)
 
 
 def staging_status(staging: dict[str, DataFrame]) -> DataFrame:
@@ -280,12 +296,12 @@ def _laid_out(staging, entity: Entity, layout_rows: int) -> bool:
     return quality.rows_of(staging, entity.name) >= layout_rows
 
 
-def _log_breaches(staging, errors, entity, written, errors_path, counts, **thresholds) -> DataFrame:
+def _log_breaches(staging, errors, entity, written, errors_path, counts, collation, **thresholds) -> DataFrame:
     """The error log of a table with the rows that the core cannot take, though no rule speaks against them."""
     rows = quality.rows_of(staging, entity.name)
     kept = exclude_quarantined(staging[entity.name], _quarantined_by_rules(errors), entity, rows, **thresholds)
     found = cascade.breaches(entity, kept, written, rows, counts.written, **thresholds)
-    return _append_errors(found, entity, errors_path, "append", counts)
+    return _append_errors(found, entity, errors_path, "append", counts, collation)
 
 
 def _write_core(staging, errors, entity, root, run, layout_rows, on_violation, counts, thresholds) -> None:
@@ -322,13 +338,14 @@ def _quarantined_by_rules(errors: DataFrame) -> DataFrame:
     return errors.where(F.col(quality.REASON) != quality.UNPARSEABLE)
 
 
-def _publish(spark: SparkSession, root: str, run: str, sequence: int, by_month: list[str], with_visits, counts) -> None:
+def _publish(spark: SparkSession, root: str, run: str, sequence: int, by_month: list[str], with_visits, collation, counts) -> None:
     """Add the next line to the publish log: one file named by its number, which only one load can create."""
     line = {
         "sequence": sequence,
         "run": run,
         "by_month": sorted(by_month),
         "has_visits": with_visits,
+        "collation": collation,
         "rows": counts.written,
         "published_at": datetime.now(timezone.utc).isoformat(),
     }

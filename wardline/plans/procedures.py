@@ -1,4 +1,4 @@
-"""Summaries for one patient, one doctor or one period."""
+"""Summaries for one patient, one doctor or one period, as DataFrames and as SQL table functions."""
 
 from __future__ import annotations
 
@@ -9,26 +9,28 @@ from pyspark.sql import functions as F
 
 from wardline.functions import average, full_name, money
 from wardline.operators.joins import BROADCAST_ROWS, prefilter
-from wardline.plans.facts import fact_chain
+from wardline.plans.facts import fact_chain, visits
 from wardline.plans.layout import in_period
 from wardline.session import materialize
-from wardline.sources.core import Core
+from wardline.sources.core import MONTH, Core
 
 
 def _chain_of(core: Core, column: str, value: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The fact chain of the appointments with ``column`` = ``value``.
+    """The fact chain of the appointments with ``column`` = ``value``, read if its load has published it.
 
-    Each table is scanned once: what belongs to the key is written, its row count comes with it, and
+    Otherwise each table is scanned once: what belongs to the key is written, its row count comes with it, and
     it selects rows of the next table, broadcast as long as it has at most ``max_rows``. Beyond that
     the next tables are joined as they are, since a shuffle by a hot key would not be cheaper.
     """
-    visits = core.appointments.where(F.col(column) == value)
-    visits = materialize(visits.select("Appointment_ID", "Patient_ID", "Doctor_ID", "Appointment_Date"), "visits")
-    treatments = prefilter(core.treatments, visits, "Appointment_ID", max_rows)
+    if core.visits is not None:
+        return core.visits.where(F.col(column) == value)
+    own = core.appointments.where(F.col(column) == value)
+    own = materialize(own.select("Appointment_ID", "Patient_ID", "Doctor_ID", "Appointment_Date"), "visits")
+    treatments = prefilter(core.treatments, own, "Appointment_ID", max_rows)
     if treatments is core.treatments:
-        return fact_chain(visits, treatments, core.billing)
+        return fact_chain(own, treatments, core.billing)
     treatments = materialize(treatments, "treatments")
-    return fact_chain(visits, treatments, prefilter(core.billing, treatments, "Treatment_ID", max_rows))
+    return fact_chain(own, treatments, prefilter(core.billing, treatments, "Treatment_ID", max_rows))
 
 
 def patient_analysis(core: Core, patient_id: str, **limits: int) -> DataFrame:
@@ -85,3 +87,70 @@ def revenue_report(core: Core, start: date, end: date) -> DataFrame:
         F.max("Amount").alias("Highest_Bill"),
         F.min("Amount").alias("Lowest_Bill"),
     )
+
+
+# --- the same for callers that speak SQL ---
+
+_NAME = "concat(coalesce(First_Name, ''), ' ', coalesce(Last_Name, ''))"
+
+
+def _mean(total: str, count: str) -> str:
+    """As ``functions.average``."""
+    return f"cast(cast({total} as decimal(24,2)) / nullif(cast({count} as decimal(20,2)), 0) as decimal(38,6))"
+
+
+_FUNCTIONS = {
+    "patient_analysis": (
+        "patient string",
+        "Patient_ID string, Patient_Name string, Total_Visits bigint, Total_Treatments bigint, "
+        "Total_Paid_Amount decimal(38,2), Last_Visit_Date date",
+        f"""select Patient_ID, {_NAME}, Total_Visits, Total_Treatments, Total_Paid_Amount, Last_Visit_Date
+            from (select Patient_ID, count(*) as Total_Visits, sum(Treatments) as Total_Treatments,
+                         cast(sum(Amount) as decimal(38,2)) as Total_Paid_Amount, max(Appointment_Date) as Last_Visit_Date
+                  from Visits where Patient_ID = patient_analysis.patient group by Patient_ID)
+            join Patients using (Patient_ID)""",
+    ),
+    "doctor_performance": (
+        "doctor string",
+        "Doctor_ID string, Doctor_Name string, Specialization string, Total_Patients bigint, Total_Visits bigint, "
+        "Total_Revenue decimal(38,2), Avg_Treatment_Cost decimal(38,6)",
+        f"""select Doctor_ID, {_NAME}, Specialization, Total_Patients, Total_Visits, Total_Revenue, Avg_Treatment_Cost
+            from (select Doctor_ID, count(distinct Patient_ID) as Total_Patients, count(*) as Total_Visits,
+                         cast(sum(Amount) as decimal(38,2)) as Total_Revenue,
+                         {_mean("sum(Weighted_Cost)", "sum(Cost_Weight)")} as Avg_Treatment_Cost
+                  from Visits where Doctor_ID = doctor_performance.doctor group by Doctor_ID)
+            join Doctors using (Doctor_ID)""",
+    ),
+    "revenue_report": (
+        "first_day date, last_day date",
+        "Start_Date date, End_Date date, Total_Bills bigint, Total_Revenue decimal(38,2), "
+        "Average_Bill_Amount decimal(38,6), Highest_Bill decimal(10,2), Lowest_Bill decimal(10,2)",
+        f"""select revenue_report.first_day, revenue_report.last_day, bills, revenue, mean, highest, lowest
+            from (select count(Bill_ID) as bills, cast(sum(Amount) as decimal(38,2)) as revenue,
+                         {_mean("sum(Amount)", "count(Amount)")} as mean, max(Amount) as highest, min(Amount) as lowest
+                  from Bills_By_Date
+                  where Bill_Date between revenue_report.first_day and revenue_report.last_day {{months}})""",
+    ),
+}
+_MONTHS = (
+    f"and {MONTH} between trunc(revenue_report.first_day, 'month') and trunc(revenue_report.last_day, 'month')"
+)
+
+
+def register_functions(core: Core) -> None:
+    """Make the summaries callable from ``spark.sql``: ``select * from patient_analysis('P012')``.
+
+    They are temporary functions over temporary views of this session, which are replaced when a later
+    run is registered.
+    """
+    spark = core.patients.sparkSession
+    core.register_views()
+    visits(core).createOrReplaceTempView("Visits")
+    bills = core.by_date("Billing")
+    bills.createOrReplaceTempView("Bills_By_Date")
+    months = _MONTHS if MONTH in bills.columns else ""
+    for name, (parameters, columns, body) in _FUNCTIONS.items():
+        spark.sql(
+            f"create or replace temporary function {name}({parameters}) returns table ({columns}) "
+            f"return {body.format(months=months)}"
+        )

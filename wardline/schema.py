@@ -34,6 +34,11 @@ class Entity:
     def ddl(self) -> str:
         return ", ".join(f"{f.name} {f.type}" for f in self.fields)
 
+    def ddl_with(self, collation: str | None) -> str:
+        """``ddl`` with keys and references under a collation, so that they are compared by it wherever they meet."""
+        keys = {self.key, *(c for c, _ in self.foreign_keys)} if collation else set()
+        return ", ".join(f"{f.name} {f.type}{f' collate {collation}' if f.name in keys else ''}" for f in self.fields)
+
     @property
     def core_lengths(self) -> dict[str, int]:
         return {f.name: f.core_length for f in self.fields if f.core_length}

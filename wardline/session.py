@@ -58,6 +58,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
 def write_new(spark: SparkSession, path: str, text: str) -> bool:
     """Create a small file with ``text``, unless there is one of that name: then leave it and return False."""
     files, place = _file_system(spark, path)

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.schema import ENTITIES, VISITS, Entity
+from wardline.session import path_exists
 
 COMMIT_SCHEMA = (
-    "sequence bigint, run string, by_month array<string>, has_visits boolean, rows map<string,bigint>, published_at timestamp"
+    "sequence bigint, run string, by_month array<string>, has_visits boolean, collation string, rows map<string,bigint>, published_at timestamp"
 )
 MONTH = "_month"
 
@@ -61,12 +61,9 @@ def core_path(root: str, run: str, entity: Entity) -> str:
 
 def latest_run(spark: SparkSession, root: str):
     """The row of the last published run, or None if nothing was published yet."""
-    try:
-        log = spark.read.schema(COMMIT_SCHEMA).json(commit_path(root))
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not path_exists(spark, commit_path(root)):
+        return None
+    log = spark.read.schema(COMMIT_SCHEMA).json(commit_path(root))
     # A line that is still being written has no number yet.
     return log.where("sequence is not null").orderBy(F.desc("sequence"), F.desc("published_at"), F.desc("run")).first()
 
@@ -85,19 +82,20 @@ def open_core(spark: SparkSession, root: str) -> Core:
     if commit is None:
         raise FileNotFoundError(f"nothing has been published under {root}")
     paths = {e.name: core_path(root, commit.run, e) for e in ENTITIES.values()}
+    collation, visits = commit.collation, core_path(root, commit.run, VISITS)
     return Core.of(
-        {e.name: read_core_table(spark, e, paths[e.name]) for e in ENTITIES.values()},
-        {name: read_monthly(spark, ENTITIES[name], paths[name]) for name in commit.by_month},
-        visits=read_core_table(spark, VISITS, core_path(root, commit.run, VISITS)) if commit.has_visits else None,
+        {e.name: read_core_table(spark, e, paths[e.name], collation) for e in ENTITIES.values()},
+        {name: read_monthly(spark, ENTITIES[name], paths[name], collation) for name in commit.by_month},
+        visits=read_core_table(spark, VISITS, visits, collation) if commit.has_visits else None,
         rows=commit.rows or {},
     )
 
 
-def read_core_table(spark: SparkSession, entity: Entity, path: str) -> DataFrame:
+def read_core_table(spark: SparkSession, entity: Entity, path: str, collation: str | None = None) -> DataFrame:
     """A core table: the columns of the entity, however its files are laid out."""
-    return spark.read.schema(entity.ddl).parquet(path).select(*entity.columns)
+    return spark.read.schema(entity.ddl_with(collation)).parquet(path).select(*entity.columns)
 
 
-def read_monthly(spark: SparkSession, entity: Entity, path: str) -> DataFrame:
+def read_monthly(spark: SparkSession, entity: Entity, path: str, collation: str | None = None) -> DataFrame:
     """A core table in month folders, with the month as column ``_month``."""
-    return spark.read.schema(f"{entity.ddl}, {MONTH} date").parquet(path)
+    return spark.read.schema(f"{entity.ddl_with(collation)}, {MONTH} date").parquet(path)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.schema import CORRUPT, ENTITIES, Entity
+from wardline.sources.records import quoted_records
 
 TIME = "Appointment_Time"
 # Fixed value: hours and minutes, seconds and their fraction if given.
@@ -22,20 +23,22 @@ def read_csv_extract(
     few fields, with a text over its staged length, or with a time that is none, keeps what
     could be read and carries its raw text in ``_corrupt_record``.
 
-    ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
+    ``multi_line`` allows line breaks inside quotes; large files are still read by many tasks, at the
+    price of writing their lines once (``sources.records``).
     """
-    rows = (
-        spark.read.schema(f"{entity.ddl}, {CORRUPT} string")
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("dateFormat", "yyyy-MM-dd")
-        .option("multiLine", multi_line)
-        .option("encoding", encoding)
-        .csv(path)
-    )
+    schema = f"{entity.ddl}, {CORRUPT} string"
+    options = {
+        "quote": '"',
+        "escape": '"',
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT,
+        "dateFormat": "yyyy-MM-dd",
+    }
+    if multi_line:
+        parsed = F.from_csv("record", schema, options | {"multiLine": "true"}).alias("row")
+        rows = quoted_records(spark, path, encoding).select(parsed).select("row.*")
+    else:
+        rows = spark.read.schema(schema).options(header=True, encoding=encoding, **options).csv(path)
     return mark_unreadable(rows, entity)
 
 
