@@ -216,7 +216,19 @@ def _quality_queries() -> dict[str, Query]:
         staging["Appointments"] = staging["Appointments"].withColumn("Patient_ID", hot)
         return quality.error_rows(APPOINTMENTS, staging, testbed.DIRTY_AS_OF, rules, hot_rows=5, broadcast_rows=5)
 
+    def collated(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """All error rows of the dirty delivery, whose keys come in upper and lower case, under a collation without cases."""
+        errors = _collated(spark, sf_dir)
+        rows = [
+            errors[n].select(
+                F.lit(n).alias("Table_Name"), F.lower(F.collate(e.key, "UTF8_BINARY")).alias("Row_Key"), "Error_Reason"
+            )
+            for n, e in ENTITIES.items()
+        ]
+        return reduce(DataFrame.unionByName, rows)
+
     out = {name: rule(table, reason) for name, (table, reason) in RULE_QUERIES.items()}
+    out["dq_collated"] = collated
     out |= {f"errors_{name.lower()}": error_log(name) for name in ENTITIES}
     out["dq_summary"] = lambda spark, sf_dir: quality.summary(_dirty(spark, sf_dir).errors)
     out["anti_join_hot_keys"] = hot_keys
@@ -363,6 +375,22 @@ def _core_by_month(spark: SparkSession, sf_dir: str) -> Core:
     return _once("core by month", spark, sf_dir, prepare)
 
 
+def _collated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Error logs of the dirty delivery with a letter ahead of each key: capital for keys, small for references."""
+
+    def prepare() -> dict[str, DataFrame]:
+        feed = {}
+        for name, df in testbed.dirty_feed(spark, sf_dir).items():
+            entity = ENTITIES[name]
+            spelled = {c: F.concat(F.lit("k"), c) for c, _ in entity.foreign_keys}
+            feed[name] = df.withColumns(spelled | {entity.key: F.concat(F.lit("K"), F.lower(entity.key))})
+        path = f"{scratch_root(spark)}/collated-{uuid.uuid4().hex}"
+        staging, _ = load.stage(spark, feed, f"{path}/staging", collation="UTF8_LCASE")
+        return load.write_errors(spark, staging, {}, f"{path}/errors", testbed.DIRTY_AS_OF, collation="UTF8_LCASE")
+
+    return _once("collated", spark, sf_dir, prepare)
+
+
 def _loads(spark: SparkSession, sf_dir: str) -> str:
     """A folder under which three loads have run, the last of them with quarantine."""
 

@@ -7,6 +7,8 @@ because DuckDB divides decimals as doubles.
 
 from __future__ import annotations
 
+import re
+
 
 def _rounded(numerator: str, denominator: str, places: int, type_: str) -> str:
     """numerator / denominator, both integers, rounded half away from zero; NULL for a zero denominator."""
@@ -384,9 +386,30 @@ def _rule_queries() -> dict[str, str]:
         "{k} as Row_Key, Error_Reason", source="all_errors_{t}"
     )
     out["load_log"] = _load_log()
+    out["dq_collated"] = _collated_errors()
     return out
 
 
+def _collated_errors() -> str:
+    """The rules over keys in capital and references in small letters, compared without regard to case."""
+    columns = {t: [key, *(c for c, _ in _REFERENCES[t])] for t, key in _KEYS.items()}
+    spelled = ",\n".join(
+        f"spelled_{t} as (select * replace ("
+        + ", ".join(f"('{'K' if c == _KEYS[t] else 'k'}' || lower({c})) collate nocase as {c}" for c in names)
+        + f") from {t})"
+        for t, names in columns.items()
+    )
+    logs = ",\n".join(
+        f"spelled_{t}_log as (" + " union all ".join(f"({_respelled(sql)})" for sql in rules.values()) + ")"
+        for t, rules in _RULES.items()
+    )
+    return f"{_DIRTY}, {spelled}, {logs} " + _per_table("lower({k}) as Row_Key, Error_Reason", source="spelled_{t}_log")
+
+
+def _respelled(sql: str) -> str:
+    return re.sub(r"\bfrom (patients|doctors|appointments|treatments|billing)\b", r"from spelled_\1", sql)
+
+
 def _load_log() -> str:
     """Three loads: the clean delivery, the dirty one that stops, and the dirty one with quarantine."""
 

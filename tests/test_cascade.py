@@ -183,3 +183,39 @@ def test_rows_come_from_the_load(core, monkeypatch):
     monkeypatch.setattr(type(core.patients), "count", lambda self: pytest.fail("counted again"))
     assert core.row_count("Patients") == 3
     assert quality.REASON == "Error_Reason"
+
+
+# --- keys under a collation ---
+
+
+def _in_capitals_and_small_letters() -> dict[str, list[dict[str, str]]]:
+    """Keys as delivered in capitals; references in small letters, and one key twice in both."""
+    rows = extract_rows()
+    for name, entity in ENTITIES.items():
+        for row in rows[name]:
+            for column, _ in entity.foreign_keys:
+                row[column] = row[column].lower()
+    rows["Patients"].append(dict(rows["Patients"][1], Patient_ID="p2"))
+    return rows
+
+
+def test_keys_are_compared_by_the_collation(spark, tmp_path, core):
+    from wardline.plans import reports
+
+    root = str(tmp_path / "root")
+    (tmp_path / "in").mkdir()
+    source = write_extracts(tmp_path / "in", _in_capitals_and_small_letters())
+    # Byte by byte, no reference has a counterpart.
+    assert load.load_csv(spark, source, root, AS_OF).core.appointments.isEmpty()
+    result = load.load_csv(spark, source, root, AS_OF, collation="UTF8_LCASE", on_violation=load.QUARANTINE)
+    found = {(r[0].lower(), r[1]) for r in result.errors["Patients"].select("Patient_ID", "Error_Reason").collect()}
+    assert ("p2", "Duplicate Patient_ID") in found and ("p3", "Duplicate Patient_ID") in found
+    # Both spellings of the repeated key are gone, and what refers to either.
+    assert {r[0] for r in result.core.patients.select("Patient_ID").collect()} == {"P1", "P6"}
+    opened = open_core(spark, root)
+    assert all(r[0] == "p1" for r in opened.appointments.select("Patient_ID").collect())
+    patients = [tuple(r)[:4] for r in reports.top_patients(opened).collect()]
+    plain = [tuple(r)[:4] for r in reports.top_patients(core).where("Patient_ID = 'P1'").collect()]
+    assert [(p[0].upper(), *p[1:]) for p in patients] == plain
+    assert [r.Doctor_ID for r in reports.top_doctors(opened).collect()] == ["D1"]
+    assert opened.billing.join(opened.patients, "Patient_ID").count() == opened.billing.count() > 0

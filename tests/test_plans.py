@@ -68,13 +68,14 @@ def test_scans_read_only_what_is_used(core, capfd):
 def test_filters_reach_the_scan(core, capfd, monkeypatch):
     """What a lookup writes on its way is left in its plan here."""
     monkeypatch.setattr(procedures, "materialize", lambda df, label: df)
-    plan = explained(procedures.patient_analysis(core, "P1"), capfd)
-    assert "EqualTo(Patient_ID,P1)" in plan
+    for tables in (core, Core.of(core.tables())):
+        plan = explained(procedures.patient_analysis(tables, "P1"), capfd)
+        assert "EqualTo(Patient_ID,P1)" in plan
 
 
 def test_lookups_read_each_table_once(core, capfd):
     """Visits and treatments of the key are small tables of their own; bills are read with them."""
-    plan = explained(procedures.patient_analysis(core, "P1"), capfd)
+    plan = explained(procedures.patient_analysis(Core.of(core.tables()), "P1"), capfd)
     assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) <= 5
     assert plan.count("/core/appointments") == 0 and plan.count("/core/treatments") == 0
 
