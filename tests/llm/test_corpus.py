@@ -426,6 +426,78 @@ def test_exchange_finds_classes_that_follow_each_other():
     assert table.sum() == pytest.approx(pairs.sum())
 
 
+def test_words_move_to_the_class_under_which_their_bigrams_are_likeliest():
+    rng = np.random.default_rng(4)
+    size, own = class_lm.CLASSES, class_lm.CLASSES - 1
+    table = rng.integers(0, 50, (size, size)).astype(float)
+    beside = rng.integers(0, 3, (30, 2 * size)).astype(float)
+    smooth = table + class_lm.PRIOR / size
+    for word, found in enumerate(class_lm.best_classes(beside, table, own)):
+        likelihood = []
+        for c in range(own):
+            after = sum(n * math.log(smooth[c, d] / smooth[c].sum()) for d, n in enumerate(beside[word, :size]))
+            ahead = sum(n * math.log(smooth[d, c] / smooth[d].sum()) for d, n in enumerate(beside[word, size:]))
+            likelihood.append(after + ahead - beside[word, :size].sum() * math.log(smooth[:, c].sum()))
+        assert found == int(np.argmax(likelihood))
+
+
+def test_class_model_next_to_brute_force(spark, monkeypatch):
+    """Neighbours, class bigrams and scores of every text, counted word by word."""
+    monkeypatch.setattr(class_lm, "HEAD_WORDS", 80)
+    rng = random.Random(5)
+    texts = [(i, words_of(rng, rng.randrange(40))) for i in range(60)] + [(None, ""), (7, "of of a")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    model, rare = class_lm.ClassModel.learn(docs)
+    known = {int(h): i for i, h in enumerate(model.vocabulary.words.tolist())}
+
+    def tokens(text):
+        words = split(text)
+        if not words:
+            return [], []
+        cut = class_lm.split_words([text.encode()])
+        endings = class_lm._endings(cut, np.arange(len(words)))
+        numbers = [known.get(int(h)) for h in cut.hashes.tolist()]
+        of = [model.classes.of_ending[e] if n is None else model.classes.of_word[n] for n, e in zip(numbers, endings)]
+        return words, [int(c) for c in of]
+
+    end = model.classes.of_end
+    sequences = [tokens(t) for _, t in texts]
+    counts = Counter(w for words, _ in sequences for w in words)
+    class_of = {w: c for words, classes in sequences for w, c in zip(words, classes)}
+    bigrams = Counter(b for _, classes in sequences for b in zip([end, *classes], [*classes, end]))
+    table = class_lm.count_classes(docs, model.vocabulary, model.classes)
+    assert {b: int(n) for b, n in np.ndenumerate(table) if n} == dict(bigrams)
+
+    total = sum(counts.values()) + len(texts)
+    mass, kinds = Counter({end: len(texts)}), Counter({end: 1})
+    for word, n in counts.items():
+        mass[class_of[word]] += n
+        kinds[class_of[word]] += 1
+    share = {c: (mass[c] + 0.5) / (total + 0.5 * class_lm.CLASSES) for c in range(class_lm.CLASSES)}
+    found = {}
+    for r in class_lm.score_documents(docs, model, rare).collect():
+        found.setdefault(r.doc_id, []).append(r.score)
+    for (doc_id, _), (words, classes) in zip(texts, sequences):
+        score, before = 0.0, end
+        for word, c in zip([*words, None], [*classes, end]):
+            after = sum(n for (a, _), n in bigrams.items() if a == before)
+            score += math.log10((bigrams[before, c] + class_lm.PRIOR * share[c]) / (after + class_lm.PRIOR))
+            n = len(texts) if word is None else counts[word]
+            score += math.log10((n + class_lm.DELTA) / (mass[c] + class_lm.DELTA * (kinds[c] + 1)))
+            before = c
+        assert min(abs(score - s) for s in found[doc_id]) < 1e-6
+
+
+def test_the_number_of_clustered_words_grows_with_the_input(spark):
+    rng = random.Random(6)
+    clustered = []
+    for n in (60, 600):
+        rows = [(i, " ".join(f"w{rng.randrange(6 * n)}" for _ in range(40))) for i in range(n)]
+        model, _ = class_lm.ClassModel.learn(spark.createDataFrame(rows, "doc_id bigint, text string"))
+        clustered.append(int((model.vocabulary.counts >= class_lm.LEAST_COUNT).sum()))
+    assert clustered[1] > 5 * clustered[0] and clustered[1] > class_lm.TOP_WORDS
+
+
 def test_class_model_scores(spark, docs, rows, nothing, clashing, monkeypatch):
     """Base figures next to brute force, with and without words that only a shuffle can count."""
     trained = [(i, t) for i, t, *_ in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 10]
