@@ -1,0 +1,153 @@
+"""Five extracts made so that their figures are the known ones of a real delivery: its totals by status, method, month,
+type, patient and doctor, all at once, over 200 made-up bills."""
+
+from __future__ import annotations
+
+import csv
+import random
+from pathlib import Path
+
+import numpy as np
+
+from wardline.schema import ENTITIES
+
+BILLS = 200
+TOTAL = 55_124_985
+# Known totals in cents, and numbers of bills or visits.
+STATUS = {"Paid": 17_342_490, "Pending": 18_461_201}
+METHOD = {"Credit Card": (75, 20_138_243)}
+TYPE = {"Chemotherapy": (49, 12_885_568), "MRI": (36, 11_609_816), "X-Ray": (41, 11_065_367)}
+MONTH = {"2023-12": 2_756_971, "2023-04": 6_427_154}
+PATIENT, DOCTOR = ("P012", 10, 3_005_308), ("D005", 29, 8_269_648)
+DOCTORS_PATIENTS = 23
+INACTIVE = ("P006", "P015")
+VISITS = {"Scheduled": 51, "No-show": 52, "Cancelled": 51, "Completed": 46}
+INSURERS = {"MedCare Plus": 18, "WellnessCorp": 16, "PulseSecure": 10, "HealthIndia": 6}
+BORN = {2000: 18, 1985: 13, 1970: 12, 1950: 7}
+MALE = 31
+
+
+def _shares(total: int, names: list[str]) -> dict[str, int]:
+    """A total in cents, dealt to names."""
+    each = total // len(names)
+    return {n: each for n in names[:-1]} | {names[-1]: total - each * (len(names) - 1)}
+
+
+def _margins() -> list[dict[str, int]]:
+    """For each way to group bills the total of every group; the first group of each is the common one."""
+    months = [f"2023-{m:02d}" for m in range(1, 13) if f"2023-{m:02d}" not in MONTH]
+    known_types = {t: cents for t, (_, cents) in TYPE.items()}
+    card = METHOD["Credit Card"][1]
+    return [
+        {"Failed": TOTAL - sum(STATUS.values())} | STATUS,
+        _shares(TOTAL - card, ["Cash", "Insurance"]) | {"Credit Card": card},
+        _shares(TOTAL - sum(known_types.values()), ["ECG", "Physiotherapy"]) | known_types,
+        _shares(TOTAL - sum(MONTH.values()), months) | MONTH,
+        {"other": TOTAL - PATIENT[2], PATIENT[0]: PATIENT[2]},
+        {"other": TOTAL - DOCTOR[2], DOCTOR[0]: DOCTOR[2]},
+    ]
+
+
+def _counts() -> list[dict[str, int]]:
+    """How many bills each group has."""
+    types = {t: n for t, (n, _) in TYPE.items()}
+    months = {m: round(BILLS * cents / TOTAL) for m, cents in _margins()[3].items()}
+    months["2023-04"] += BILLS - sum(months.values())
+    return [
+        {"Failed": 70, "Paid": 63, "Pending": 67},
+        {"Cash": 62, "Insurance": 63, "Credit Card": 75},
+        {"ECG": 37, "Physiotherapy": 37} | types,
+        months,
+        {"other": BILLS - PATIENT[1], PATIENT[0]: PATIENT[1]},
+        {"other": BILLS - DOCTOR[1], DOCTOR[0]: DOCTOR[1]},
+    ]
+
+
+def _groups(rng: random.Random) -> list[list[str]]:
+    """The group of each bill, by each way to group. Bill 0 is in the common group of all; the next ones differ from
+    it in one way only, one for each other group, so that cents can be moved from group to group in that way alone."""
+    margins, out = _margins(), []
+    special = [(way, name) for way, margin in enumerate(margins) for name in list(margin)[1:]]
+    for way, counts in enumerate(_counts()):
+        common = next(iter(margins[way]))
+        own = [common, *(name if w == way else common for w, name in special)]
+        pool = [name for name, n in counts.items() for _ in range(n - own.count(name))]
+        rng.shuffle(pool)
+        out.append(own + pool)
+    # The patient and the doctor that stand out have nothing to do with each other.
+    patients, doctors = out[4], out[5]
+    for i in range(len(special) + 1, BILLS):
+        if patients[i] != "other" and doctors[i] != "other":
+            j = next(j for j in range(len(special) + 1, BILLS) if patients[j] == doctors[j] == "other")
+            patients[i], patients[j] = patients[j], patients[i]
+    return out
+
+
+def _amounts(groups: list[list[str]]) -> list[int]:
+    """Cents of each bill, all totals met: proportional fitting, and what rounding leaves moved between the special bills."""
+    margins = _margins()
+    cents = np.full(BILLS, TOTAL / BILLS)
+    masks = [{name: np.array([g == name for g in own]) for name in margin} for own, margin in zip(groups, margins)]
+    for _ in range(500):
+        for own, margin in zip(masks, margins):
+            for name, total in margin.items():
+                cents[own[name]] *= total / cents[own[name]].sum()
+    whole = np.rint(cents).astype(np.int64)
+    whole[0] += TOTAL - whole.sum()
+    special = 1
+    for own, margin in zip(masks, margins):
+        for name, total in list(margin.items())[1:]:
+            missing = total - whole[own[name]].sum()
+            whole[special] += missing
+            whole[0] -= missing
+            special += 1
+    assert all(whole[own[n]].sum() == t for own, margin in zip(masks, margins) for n, t in margin.items()) and whole.min() > 0
+    return whole.tolist()
+
+
+def _spread(counts: dict, rng: random.Random) -> list:
+    out = [value for value, n in counts.items() for _ in range(n)]
+    rng.shuffle(out)
+    return out
+
+
+def write_delivery(folder: Path) -> str:
+    rng = random.Random(20)
+    groups = _groups(rng)
+    amounts = _amounts(groups)
+    status, method, kind, month, patient, doctor = groups
+    ids = [f"P{i:03d}" for i in range(1, 51)]
+    active = [i for i in ids if i not in (*INACTIVE, PATIENT[0])]
+    doctors = [f"D{i:03d}" for i in range(1, 11) if f"D{i:03d}" != DOCTOR[0]]
+
+    # Visits of the doctor that stands out are of as many patients as known, the others of all in turn.
+    his = [i for i in range(BILLS) if doctor[i] == DOCTOR[0]]
+    visitor = {i: active[n % DOCTORS_PATIENTS] for n, i in enumerate(his)}
+    others = [i for i in range(BILLS) if patient[i] == "other" and i not in visitor]
+    visitor |= {i: active[n % len(active)] for n, i in enumerate(others)}
+    visitor |= {i: PATIENT[0] for i in range(BILLS) if patient[i] == PATIENT[0]}
+    seen_by = {i: DOCTOR[0] if i in his else doctors[i % len(doctors)] for i in range(BILLS)}
+
+    born, insurer, outcome = _spread(BORN, rng), _spread(INSURERS, rng), _spread(VISITS, rng)
+    rows = {
+        "Patients": [
+            (i, "Ann", f"Lee {n}", "M" if n < MALE else "F", f"{born[n]}-05-05", "", "", "2022-01-01", insurer[n], "", "")
+            for n, i in enumerate(ids)
+        ],
+        "Doctors": [(d, "Gus", d, "Oncology", "", "9", "Main", "") for d in sorted([*doctors, DOCTOR[0]])],
+        "Appointments": [
+            (f"A{i:03d}", visitor[i], seen_by[i], f"{month[i]}-03", "8:30:00", "Checkup", outcome[i]) for i in range(BILLS)
+        ],
+        "Treatments": [
+            (f"T{i:03d}", f"A{i:03d}", kind[i], "", f"{amounts[i] / 100:.2f}", f"{month[i]}-03") for i in range(BILLS)
+        ],
+        "Billing": [
+            (f"B{i:03d}", visitor[i], f"T{i:03d}", f"{month[i]}-03", f"{amounts[i] / 100:.2f}", method[i], status[i])
+            for i in range(BILLS)
+        ],
+    }
+    for name, entity in ENTITIES.items():
+        with open(folder / entity.file, "w", newline="") as file:
+            writer = csv.writer(file, lineterminator="\n")
+            writer.writerows([entity.columns, *rows[name]])
+    return str(folder)

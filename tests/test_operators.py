@@ -120,3 +120,23 @@ def test_division_rounds_once(spark):
         percent(F.lit(1), F.lit(800), "decimal(5,2)").alias("tie"),
     ).first()
     assert tuple(row) == (Decimal("0.00"), Decimal("5.000003"), None, Decimal("33.33"), Decimal("0.13"))
+
+
+def test_anti_join_keeps_hot_values_with_a_counterpart_out_of_the_shuffle(spark):
+    """A third of three million references are to one known key."""
+    left = spark.range(0, 3_000_000, numPartitions=8).select(
+        "id", F.when(F.col("id") % 3 == 0, "known").otherwise(F.concat(F.lit("k"), F.col("id") % 50_000)).alias("v")
+    )
+    keys = spark.range(0, 40_000).select(F.concat(F.lit("k"), "id").alias("k")).unionByName(
+        spark.createDataFrame([("known",)], "k string")
+    )
+    found = anti_join(left, keys, "v", "k", 3_000_000, 40_001, hot_rows=100_000, broadcast_rows=100)
+    assert found.count() == left.where("v <> 'known' and cast(substring(v, 2) as int) >= 40000").count()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    shuffled = plan[plan.rindex("Join LeftSemi") :]
+    above_scan = shuffled[: shuffled.index("Range (0, 3000000")]
+    assert "strategy=broadcast" not in above_scan.splitlines()[0]
+    assert "Join LeftAnti" in above_scan and "rightHint=(strategy=broadcast)" in above_scan
+    # What is shuffled holds none of the hot value's rows.
+    rest = left.join(F.broadcast(spark.createDataFrame([("known",)], "v string")), "v", "left_anti")
+    assert rest.groupBy("v").count().agg(F.max("count")).first()[0] < 100

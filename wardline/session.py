@@ -58,6 +58,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and authority of its file system, the default one if it names none."""
+    files, place = _file_system(spark, path)
+    return files.makeQualified(place).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     files, place = _file_system(spark, path)
     return files.exists(place)
