@@ -1,0 +1,141 @@
+"""The registered queries over a small folder with odd texts: their columns, and what only they derive."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+from llm.samples import words_of
+
+from wardline.llm import queries
+
+COLUMNS = {
+    "op1_decontaminate": "doc_id item_id",
+    "op2_token_records": "doc_id start n_tokens ids_crc32",
+    "op3_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op4_ngram_join": "doc_id n_shingles component_id",
+    "op5_sentencepiece": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op6_toxicity": "doc_id held_out score predicted",
+    "op7_exact_dedup": "doc_id keep_id group_size kept text_sha256",
+    "op8_personal_data": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "op9_language": "doc_id held_out lang_pred score",
+    "op10_class_lm": "doc_id held_out n_tokens n_known train_tokens base_score score",
+    "op11_merkle_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
+    "op12_token_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+    "op13_vector_graph": "query_id rank vec_id score",
+}
+
+
+def crc(doc_id: int | None) -> int:
+    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode())
+
+
+@pytest.fixture(scope="module")
+def folder(spark, docs, tmp_path_factory):
+    """Documents whose ids are their own, with further columns; those of null ids and repeated rows are tested by operator."""
+    path = str(tmp_path_factory.mktemp("tables"))
+    # SQL takes time with the square of a text's length.
+    own = docs.where("doc_id is not null and coalesce(length(text), 0) < 20000").dropDuplicates(["doc_id"])
+    own.selectExpr("*", "doc_id as row", "'x' as hash", "1 as part").write.parquet(f"{path}/documents.parquet")
+    import random
+
+    item = " ".join((docs.where("doc_id = 24").first().text or "").split()[5:30])
+    items = [(0, item), (1, words_of(random.Random(77), 20)), (2, None)]
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{path}/benchmark.parquet")
+    own.selectExpr("doc_id", "1 as quality", "cast(doc_id % 4 = 0 as int) as toxic").write.parquet(f"{path}/labels.parquet")
+    vectors = [(i, np.random.default_rng(i).normal(size=6).tolist(), 0) for i in range(150)]
+    spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{path}/embeddings.parquet")
+    return path
+
+
+@pytest.fixture(scope="module")
+def texts(spark, folder):
+    return {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+
+
+@pytest.fixture(scope="module")
+def results(spark, folder):
+    done = {}
+
+    def result(name):
+        if name not in done:
+            df = queries.queries()[name](spark, folder)
+            done[name] = (df.columns, df.collect())
+        return done[name]
+
+    return result
+
+
+@pytest.mark.parametrize("name", COLUMNS)
+def test_columns_and_rows(results, texts, name):
+    columns, rows = results(name)
+    wanted = COLUMNS[name].split()
+    assert set(wanted) <= set(columns) and len(set(columns)) == len(columns)
+    if name not in ("op1_decontaminate", "op13_vector_graph"):
+        assert sorted(r.doc_id for r in rows) == sorted(texts)
+        assert all(r[c] is not None for r in rows for c in wanted)
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_same_rows_as_sql(results, folder, name):
+    connection = duckdb.connect()
+    connection.execute(f"create view documents as select * from '{folder}/documents.parquet/*.parquet'")
+    found = connection.execute(queries.oracle_sql()[name])
+    names = [d[0] for d in found.description]
+    columns, rows = results(name)
+    assert sorted(names) == sorted(columns)
+    assert sorted(found.fetchall()) == sorted(tuple(r[c] for c in names) for r in rows)
+
+
+def test_token_records(results, texts):
+    from tokenizers import Tokenizer
+
+    tokenizer, start = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), 0
+    rows = {r.doc_id: r for r in results("op2_token_records")[1]}
+    for doc_id in sorted(texts):
+        ids = np.array([*tokenizer.encode(texts[doc_id] or "", add_special_tokens=False).ids, 2], "<u4")
+        row = rows[doc_id]
+        assert (row.start, row.n_tokens, row.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
+def test_piece_digests(results, texts):
+    from sentencepiece import SentencePieceProcessor
+
+    library = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    for row in results("op5_sentencepiece")[1]:
+        ids = library.encode(texts[row.doc_id] or "") + [2]
+        digests = [hashlib.sha256(t.encode()).hexdigest() for t in (" ".join(map(str, ids)), library.decode(ids))]
+        assert [row.n_tokens, row.ids_sha256, row.decoded_sha256] == [len(ids), *digests]
+
+
+def test_splits_and_cutoffs(results, texts):
+    for name, modulus, remainder in (("op6_toxicity", 3, 1), ("op9_language", 4, 2), ("op10_class_lm", 10, 0)):
+        assert all(r.held_out == (crc(r.doc_id) % modulus == remainder) for r in results(name)[1])
+    for r in results("op6_toxicity")[1]:
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
+    for r in results("op9_language")[1]:
+        letters = any(map(str.isalpha, texts[r.doc_id] or ""))
+        assert 0 <= r.score <= 1 and (r.lang_pred == "und") == (not letters) and r.lang_pred in ("en", "de", "und")
+
+
+def test_personal_data_digests(results):
+    for r in results("op8_personal_data")[1]:
+        spans = [s for s in r.spans.split(",") if s]
+        base = [s for s in spans if s.split(":")[0] in ("email", "ip", "card", "phone")]
+        assert hashlib.sha256(",".join(base).encode()).hexdigest() == r.base_sha256
+        counts = [sum(s.startswith(f"{kind}:") for s in base) for kind in ("email", "ip", "card", "phone")]
+        assert counts == [r.n_email, r.n_ip, r.n_card, r.n_phone]
+
+
+def test_leaks(results, texts):
+    assert {(r.doc_id, r.item_id) for r in results("op1_decontaminate")[1]} >= {(24, 0)}
+
+
+def test_nearest(results):
+    rows = results("op13_vector_graph")[1]
+    assert {r.query_id for r in rows} == {0, 50, 100} and len(rows) == 15

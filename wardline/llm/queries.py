@@ -14,6 +14,7 @@ from wardline.llm import (
     piece_bpe,
     records,
     repeats,
+    sql,
     token_alignment,
     toxicity,
     vector_graph,
@@ -42,5 +43,10 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    own = {"op7_exact_dedup": exact_dedup.OP7_SQL, "op11_merkle_manifest": merkle.OP11_SQL}
+    own = {
+        "op3_suffix_dedup": sql.SUFFIX_DEDUP,
+        "op4_ngram_join": sql.NGRAM_JOIN,
+        "op7_exact_dedup": exact_dedup.OP7_SQL,
+        "op11_merkle_manifest": merkle.OP11_SQL,
+    }
     return own | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

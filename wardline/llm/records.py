@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from wardline.llm import crc32c
 from wardline.llm.common import batch_chunks, id_and_text, partitions, read_table
 from wardline.llm.word_bpe import encoder
-from wardline.session import scratch_path
+from wardline.session import qualified_path, scratch_path
 
 SHARD_BYTES = 64_000_000
 # Two records closer than this in a file are read in one go.
@@ -61,6 +61,9 @@ def write_records(
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first())
     )
 
+    # A path without a scheme means the same place to workers as to Spark.
+    path = qualified_path(spark, path)
+
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         shard, tokens = None, 0
@@ -105,6 +108,7 @@ def read_records(index: DataFrame, path: str) -> DataFrame:
 
     Lengths and checksums are verified; a damaged record is an error.
     """
+    path = qualified_path(index.sparkSession, path)
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
