@@ -73,6 +73,20 @@ def test_piece_codec_equals_the_library():
         assert own.decode(ids) == library.decode(ids), text
 
 
+def test_a_codec_that_forgets_encodes_as_before(monkeypatch):
+    from sentencepiece import SentencePieceProcessor
+
+    monkeypatch.setattr(piece_bpe, "KEPT_SEGMENTS", 120)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library, codec = SentencePieceProcessor(model_file=path), piece_bpe.PieceCodec(path)
+    for group in range(20):
+        texts = [f"of the same words {group * 7 + i} Wort{group}x{i} naïve\n" for i in range(12)]
+        digits, at, decoded, text_at = codec.encode_all([t.encode() for t in texts])
+        for text, a, b, c, d in zip(texts, at, at[1:], text_at, text_at[1:]):
+            ids = library.encode(text)
+            assert [int(i) for i in digits[a:b].split()] == ids and decoded[c:d].removeprefix(b" ").decode() == library.decode(ids)
+
+
 def test_piece_encoding_round_trip(docs, rows, nothing, clashing):
     from sentencepiece import SentencePieceProcessor
 

@@ -8,7 +8,7 @@ backwards. Compatibility of two pieces is found out once by merging them and rem
 
 A text is cut where no piece can reach across: between two characters that stand side by side
 in no piece, which holds for whatever comes ahead of a blank. What lies between two cuts is
-encoded once per worker and kept; the cuts of many texts are found and looked up at once.
+encoded once per worker and kept, as long as it is among the segments that most groups of texts have; the cuts of many texts are found and looked up at once.
 
 Defined cases: a null or empty text has the end id alone and decodes to ''. Any other text,
 however long, is encoded as a whole, blanks at its ends and line ends included. Characters
@@ -34,7 +34,7 @@ BLANK = "\u2581"
 
 # A worker keeps at most this many segments, and as many answers about pairs of pieces.
 KEPT_SEGMENTS = 400_000
-KEPT_PAIRS = 250_000
+KEPT_PAIRS = 400_000
 # Texts are encoded in groups of about this many bytes.
 GROUP_BYTES = 2_000_000
 
@@ -96,12 +96,13 @@ class PieceCodec:
             span_hashes(data, starts, ends, lower=False), return_index=True, return_inverse=True
         )
         if len(self._known) + len(unique) > KEPT_SEGMENTS:
-            self._forget()
+            self._keep_frequent(KEPT_SEGMENTS // 2)
         numbers = self._known.find(unique)
         new = np.flatnonzero(numbers < 0)
         if len(new):
             self._learn([data[starts[i] : ends[i]].tobytes() for i in sample[new].tolist()], unique[new])
             numbers[new] = self._known.find(unique[new])
+        self._uses[numbers] += 1
         numbers = numbers[which]
         first = np.searchsorted(starts, limits)
         digits, digit_limits = self._digits.gather(numbers, first)
@@ -122,10 +123,23 @@ class PieceCodec:
 
     def _forget(self) -> None:
         self._known, self._digits, self._decoded = Lookup(), _Strings(), _Strings()
+        #: How many groups of texts had each segment.
+        self._uses = np.zeros(0, np.int32)
+
+    def _keep_frequent(self, most: int) -> None:
+        """Forget all but the segments that most groups of texts had; of these, half of the uses."""
+        kept = np.sort(np.argsort(-self._uses, kind="stable")[:most])
+        keys = np.empty(len(self._known), self._known.keys.dtype)
+        keys[self._known.numbers] = self._known.keys
+        self._known = Lookup()
+        self._known.add(keys[kept])
+        self._digits, self._decoded = self._digits.only(kept), self._decoded.only(kept)
+        self._uses = self._uses[kept] // 2
 
     def _learn(self, segments: list[bytes], keys: np.ndarray) -> None:
         encoded = [self._encode_segment(s.decode("utf-8").replace(" ", BLANK)) for s in segments]
         self._known.add(keys)
+        self._uses = np.concatenate([self._uses, np.zeros(len(keys), np.int32)])
         self._digits.extend([b"".join([b"%d " % i for i in ids]) for ids in encoded])
         self._decoded.extend([b"".join([self._texts[i] for i in ids]) for ids in encoded])
 
@@ -193,6 +207,14 @@ class _Strings:
         self._lengths = np.concatenate([self._lengths, lengths])
         self._data = np.concatenate([self._data, np.frombuffer(b"".join(strings), np.uint8)])
 
+    def only(self, numbers: np.ndarray) -> _Strings:
+        """The strings with these numbers, renumbered in that order."""
+        out = _Strings()
+        out._lengths = self._lengths[numbers]
+        out._starts = np.cumsum(out._lengths) - out._lengths
+        out._data = self._data[ranges(self._starts[numbers], out._lengths)]
+        return out
+
     def gather(self, numbers: np.ndarray, first: np.ndarray) -> tuple[bytes, list[int]]:
         """The strings with these numbers, joined, and where the first-th of them start."""
         lengths = self._lengths[numbers]
