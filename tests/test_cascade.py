@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wardline.plans import cascade, checks, load, quality
 from wardline.schema import ENTITIES
-from wardline.session import write_new
+from wardline.session import materialize, write_new
 from wardline.sources import open_core
 from wardline.sources.core import commit_path, latest_run, published_runs
 
@@ -219,3 +219,12 @@ def test_keys_are_compared_by_the_collation(spark, tmp_path, core):
     assert [(p[0].upper(), *p[1:]) for p in patients] == plain
     assert [r.Doctor_ID.upper() for r in reports.top_doctors(opened).collect()] == ["D1"]
     assert opened.billing.join(opened.patients, "Patient_ID").count() == opened.billing.count() > 0
+
+
+def test_breaches_are_looked_for_in_narrow_rows_written_once(spark, tmp_path, monkeypatch):
+    written = []
+    monkeypatch.setattr(load, "materialize", lambda df, label: written.append(df.columns) or materialize(df, label))
+    load.load_csv(spark, write_extracts(tmp_path), str(tmp_path / "root"), AS_OF, on_violation=load.QUARANTINE)
+    assert sorted(written) == sorted(
+        [e.key, *(c for c, _ in e.foreign_keys), "_too_long"] for e in ENTITIES.values()
+    )

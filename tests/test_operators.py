@@ -8,7 +8,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wardline.functions import age_years, average, percent, quotient
-from wardline.operators import anti_join, dense_rank_desc, prefilter, repeat_rows
+from wardline.operators import anti_join, dense_rank_desc, joins, prefilter, repeat_rows
+from wardline.session import materialize
 
 
 def _amounts(spark, kind):
@@ -75,6 +76,35 @@ def test_anti_join_with_hot_keys(spark, hot_rows):
         assert len(found) == len(set(found)) and set(found) == expected
 
 
+@pytest.mark.parametrize("hot_rows", [2, 500, 10_000])
+def test_anti_join_writes_no_values_where_most_rows_stay(spark, monkeypatch, hot_rows):
+    """Only hot values are written, and what is left of the rows is shuffled once."""
+    value = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 == 0, None).otherwise(F.concat(F.lit("k"), "id"))
+    left = spark.range(0, 3000).select("id", value.alias("v"))
+    keys = spark.range(0, 600).select(F.when(F.col("id") % 5 != 0, F.concat(F.lit("k"), F.floor(F.col("id") / 2))).alias("k"))
+    known = {r.k for r in keys.collect()} - {None}
+    for more in ([], ["hot"]):
+        wanted = {r.id for r in left.collect() if r.v not in known.union(more)}
+        given = keys.unionByName(spark.createDataFrame([(k,) for k in more], "k string"))
+        written = []
+        monkeypatch.setattr(joins, "materialize", lambda df, label: written.append(df := materialize(df, label)) or df)
+        joined = anti_join(left, given, "v", "k", 3000, 600, hot_rows, broadcast_rows=100, most_stay=True)
+        found = [r.id for r in joined.collect()]
+        assert len(found) == len(set(found)) and set(found) == wanted
+        assert [df.count() for df in written] == [{2: 1, 500: 1, 10_000: 0}[hot_rows]]
+
+
+def test_anti_join_writes_references_once(spark, monkeypatch):
+    """References that have a counterpart and are not hot are never written."""
+    left = spark.range(0, 3000).select("id", (F.col("id") % 1000).alias("v"))
+    keys = spark.range(0, 990).select(F.col("id").alias("k"))
+    written = []
+    monkeypatch.setattr(joins, "materialize", lambda df, label: written.append(df := materialize(df, label)) or df)
+    found = anti_join(left, keys, "v", "k", 3000, 990, broadcast_rows=100)
+    assert {r.id % 1000 for r in found.collect()} == set(range(990, 1000))
+    assert [df.count() for df in written] == [10]
+
+
 @pytest.mark.parametrize("chunk", [1, 4, 7, 1000])
 def test_repeat_rows(spark, chunk):
     df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 4), ("d", 7), ("e", 8), ("f", 50), (None, 15)], "k string, n long")
