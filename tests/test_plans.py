@@ -9,6 +9,7 @@ import pytest
 from clinic import AS_OF
 from pyspark.sql import functions as F
 
+from wardline import testbed
 from wardline.plans import insights, procedures, quality, reports, views
 from wardline.plans.layout import write_by_month
 from wardline.schema import BILLING, ENTITIES
@@ -127,3 +128,36 @@ def test_month_layout_splits_a_hot_month_and_patient(spark, tmp_path):
     assert hot > 3
     cold = written.where("Patient_ID = 'P7' and _month = date '2020-05-01'").select(F.input_file_name()).distinct()
     assert cold.count() == 1
+
+
+def test_filters_of_month_files_are_sized_by_the_month(spark, tmp_path):
+    """60,000 bills over 60 months: 60 files of a thousand rows, not of filters for 60,000 rows."""
+    rows = spark.range(0, 60_000, numPartitions=2).selectExpr(
+        "concat('B', id) as Bill_ID",
+        "concat('P', id % 5000) as Patient_ID",
+        "concat('T', id) as Treatment_ID",
+        "add_months(date '2020-01-05', cast(id % 60 as int)) as Bill_Date",
+        "cast(1 as decimal(10,2)) as Amount",
+        "'Cash' as Payment_Method",
+        "'Paid' as Payment_Status",
+    )
+    path = tmp_path / "billing"
+    write_by_month(rows, BILLING, str(path), files=1)
+    files = list(path.rglob("*.parquet"))
+    assert len(files) == 60 and max(f.stat().st_size for f in files) < 60_000
+    assert read_monthly(spark, BILLING, str(path)).drop(MONTH).exceptAll(rows).isEmpty()
+
+
+def test_bills_of_the_test_tables_take_one_shuffle_of_the_lines(spark, tmp_path, capfd):
+    lines = spark.range(0, 40).selectExpr(
+        "id div 4 as l_orderkey", "cast(id % 2 as int) as l_linenumber", "cast(id as double) as l_extendedprice",
+        "cast(0.1 as double) as l_discount", "timestamp '1997-01-01' as l_shipdate", "'A' as l_returnflag",
+        "cast(1 as double) as l_quantity",
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    orders = spark.range(0, 10).selectExpr("id as o_orderkey", "id as o_custkey", "'1-URGENT' as o_orderpriority")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    bills = testbed._Tables(spark, str(tmp_path)).billing()
+    plan = explained(bills, capfd)
+    assert "hashpartitioning(l_orderkey#" in plan and not re.search(r"hashpartitioning\(l_orderkey#\w+L?, l_linenumber", plan)
+    assert bills.count() == 40 and bills.select("Bill_ID").distinct().count() == 40

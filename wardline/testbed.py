@@ -135,19 +135,24 @@ class _Tables:
 
     def treatments(self) -> DataFrame:
         """One per order and line number, with the least or largest of what its lines say."""
-        lines = self.line_treatments()
-        return lines.groupBy("Treatment_ID", "Appointment_ID").agg(
+        # Numbers are sorted and shuffled in place of the texts made of them.
+        lines = self._lines_with_parts().groupBy(_line_number().alias("_line"), "l_orderkey").agg(
             F.min("Treatment_Type").alias("Treatment_Type"),
             F.max("Cost").alias("Cost"),
             F.min("Treatment_Date").alias("Treatment_Date"),
         )
+        return lines.withColumns({"Treatment_ID": _text(F.col("_line")), "Appointment_ID": _text(F.col("l_orderkey"))})
 
     def line_treatments(self, *more: str) -> DataFrame:
         """One per line: a line number that occurs twice in an order is a key that occurs twice."""
+        lines = self._lines_with_parts(*more)
+        return lines.withColumns({"Treatment_ID": _line_id(), "Appointment_ID": _text(F.col("l_orderkey"))})
+
+    def _lines_with_parts(self, *more: str) -> DataFrame:
         parts = self._read("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
         return self.lines().join(parts, "l_partkey").select(
-            _line_id().alias("Treatment_ID"),
-            _text(F.col("l_orderkey")).alias("Appointment_ID"),
+            "l_orderkey",
+            "l_linenumber",
             F.col("p_type").alias("Treatment_Type"),
             F.col("l_extendedprice").cast("decimal(12,2)").alias("Cost"),
             F.col("l_shipdate").cast("date").alias("Treatment_Date"),
@@ -166,7 +171,9 @@ class _Tables:
         )
         # The first line of an order is paid by the visitor's neighbour.
         payer = F.col("o_custkey") + F.when(F.col("l_linenumber") == 1, 1 - F.col("o_custkey") % 2 * 2).otherwise(0)
-        return self.lines().withColumn("_number", number).join(orders, "l_orderkey").select(
+        # One shuffle by order serves the numbering and the join.
+        lines = self.lines().repartition("l_orderkey").withColumn("_number", number)
+        return lines.join(orders, "l_orderkey").select(
             F.concat(_line_id(), F.lit("-"), _text(F.col("_number"))).alias("Bill_ID"),
             _text(payer).alias("Patient_ID"),
             _line_id().alias("Treatment_ID"),
@@ -182,8 +189,12 @@ def _text(key: Column) -> Column:
     return key.cast("string")
 
 
+def _line_number() -> Column:
+    return F.col("l_orderkey") * 10 + F.col("l_linenumber")
+
+
 def _line_id() -> Column:
-    return _text(F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    return _text(_line_number())
 
 
 def _renamed(condition: Column, column: str) -> Column:
