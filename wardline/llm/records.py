@@ -32,11 +32,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardline.llm import crc32c
-from wardline.llm.common import batch_chunks, id_and_text, partitions, read_table
+from wardline.llm.common import batch_chunks, id_and_text, partitions, read_table, tidied
 from wardline.llm.word_bpe import encoder
 from wardline.session import qualified_path, scratch_path
 
 SHARD_BYTES = 64_000_000
+# Texts encoded in one go: some 100 MB of a worker's memory for 2 MB of them, 30 for these.
+ENCODED_BYTES = 500_000
 # Two records closer than this in a file are read in one go.
 READ_BYTES = 8_000_000
 
@@ -70,7 +72,7 @@ def write_records(
         codec = encoder(tokenizer)
         end, width = np.array([end_id], codec.id_type).tobytes(), int(codec.id_type[-1])
         try:
-            for ids, texts in batch_chunks(batches):
+            for ids, texts in batch_chunks(batches, ENCODED_BYTES):
                 if shard is None or shard.size >= SHARD_BYTES:
                     shard = _close(shard) or _Shard(path)
                 tokens_of, limits = codec.encode_all(texts)
@@ -99,7 +101,7 @@ def write_records(
             _close(shard)
 
     index = f"{path}/index"
-    ordered.mapInArrow(write, INDEX_SCHEMA).write.parquet(index)
+    ordered.mapInArrow(tidied(write), INDEX_SCHEMA).write.parquet(index)
     return spark.read.schema(INDEX_SCHEMA).parquet(index)
 
 
@@ -132,7 +134,7 @@ def read_records(index: DataFrame, path: str) -> DataFrame:
                     names=["doc_id", "part", "tokens_before", "ids"],
                 )
 
-    return index.mapInArrow(read, RECORD_SCHEMA)
+    return index.mapInArrow(tidied(read), RECORD_SCHEMA)
 
 
 def part_starts(index: DataFrame) -> DataFrame:
