@@ -37,7 +37,7 @@ from wardline.llm.word_bpe import encoder
 from wardline.session import qualified_path, scratch_path
 
 SHARD_BYTES = 64_000_000
-# Texts encoded in one go: some 100 MB of a worker's memory for 2 MB of them, 30 for these.
+# Texts encoded in one go. The first group takes a worker from 155 to 230 MB; one of 2 MB takes it to 265.
 ENCODED_BYTES = 500_000
 # Two records closer than this in a file are read in one go.
 READ_BYTES = 8_000_000
