@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -223,6 +224,27 @@ def test_equal_strings_have_their_trigger_at_the_same_place():
     assert found[0] == found[1] == found[2]
 
 
+def test_ranges_are_hashed_in_memory_for_the_ranges_not_for_the_data():
+    rng = np.random.default_rng(4)
+    data = rng.integers(97, 101, 6_000_000, np.uint8)
+    starts = np.sort(rng.integers(0, len(data) - 200, 3_000)) // 100 * 100
+    lengths = rng.integers(repeats.SPAN, 76, len(starts))
+    rolled = repeats.rolling_hashes(data, repeats.SPAN)
+    places = np.sort(rng.integers(0, len(rolled), 5_000))
+    assert (repeats.hashes_at(data, repeats.SPAN, places) == rolled[places]).all()
+    assert repeats.hashes_at(data[:10], repeats.SPAN, places[:0]).size == 0
+    same = defaultdict(set)
+    tracemalloc.start()
+    for key, low, n in zip(repeats._range_hashes(data, starts, lengths).tolist(), starts.tolist(), lengths.tolist()):
+        same[key].add(bytes(data[low : low + n]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(len(texts) == 1 for texts in same.values())
+    assert len(same) == len({bytes(data[a : a + n]) for a, n in zip(starts.tolist(), lengths.tolist())})
+    # Eight bytes for each of the data were 48 MB, and several times that while they were mixed.
+    assert peak < 8 * len(data)
+
+
 # --- benchmark leaks ---
 
 

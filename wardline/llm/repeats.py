@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm.common import id_and_text, partitions, read_table, text_bytes, zipped
+from wardline.llm.common import id_and_text, partitions, read_table, text_bytes, tidied, zipped
 from wardline.llm.words import U64, _powers, byte_values, mix, ranges
 from wardline.session import materialize
 
@@ -73,18 +73,33 @@ def _slide(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(values[: len(values) - (width - covered)], values[width - covered :]) if covered < width else values
 
 
-def rolling_hashes(data: np.ndarray, width: int, salt: int = 0) -> np.ndarray:
-    """A hash of the ``width`` bytes from each place on."""
+def _rolled(data: np.ndarray, width: int, salt: int = 0) -> Iterator[tuple[int, np.ndarray]]:
+    """(first place, hashes of the ``width`` bytes from each place on), a block of places at a time."""
     n = len(data) - width + 1
-    out = np.empty(max(n, 0), U64)
     table = byte_values(False) if not salt else mix(byte_values(False) ^ U64(salt))
     for low in range(0, n, BLOCK):
         high = min(low + BLOCK, n)
         forward, back = _powers(2 * BLOCK)
         sums = np.zeros(high - low + width, U64)
         np.cumsum(table[data[low : high + width - 1]] * forward[: high - low + width - 1], out=sums[1:])
-        out[low:high] = (sums[width : width + high - low] - sums[: high - low]) * back[: high - low]
-    return mix(out)
+        yield low, mix((sums[width : width + high - low] - sums[: high - low]) * back[: high - low])
+
+
+def rolling_hashes(data: np.ndarray, width: int, salt: int = 0) -> np.ndarray:
+    """A hash of the ``width`` bytes from each place on."""
+    out = np.empty(max(len(data) - width + 1, 0), U64)
+    for low, block in _rolled(data, width, salt):
+        out[low : low + len(block)] = block
+    return out
+
+
+def hashes_at(data: np.ndarray, width: int, places: np.ndarray) -> np.ndarray:
+    """``rolling_hashes`` at ascending places only: eight bytes for each of these, not for each byte of the data."""
+    out = np.empty(len(places), U64)
+    for low, block in _rolled(data, width):
+        first, end = np.searchsorted(places, (low, low + len(block)))
+        out[first:end] = block[places[first:end] - low]
+    return out
 
 
 def parse(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -229,7 +244,7 @@ def _shared_triggers(docs: DataFrame) -> DataFrame:
                 out["same"].append(None)
         return pa.table(_arrays(SHARED_SCHEMA, out))
 
-    answers = docs.mapInArrow(triggers, TRIGGER_SCHEMA).groupBy("part").applyInArrow(shared, SHARED_SCHEMA)
+    answers = docs.mapInArrow(tidied(triggers), TRIGGER_SCHEMA).groupBy("part").applyInArrow(shared, SHARED_SCHEMA)
     answers = materialize(answers, "shared-triggers")
     named = (
         answers.groupBy("batch", "ordinal")
@@ -278,7 +293,7 @@ def _marks(docs: DataFrame) -> DataFrame:
         if rows:
             yield from _phrase_rows(rows, TaskContext.get().partitionId() << 32 | turn, parts)
 
-    found = docs.mapInArrow(phrases, PHRASE_SCHEMA).groupBy("part").applyInArrow(_sorted_phrases, MARK_SCHEMA)
+    found = docs.mapInArrow(tidied(phrases), PHRASE_SCHEMA).groupBy("part").applyInArrow(_sorted_phrases, MARK_SCHEMA)
     found = materialize(found, "repeat-marks")
     named = (
         found.groupBy("batch", "ordinal")
@@ -364,13 +379,13 @@ def _phrase_rows(rows: list[tuple], batch: int, parts: int) -> Iterator[pa.Recor
 
 
 def _range_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """A hash of each range of bytes, by its first and last ``SPAN`` bytes, which cover it, and its length."""
-    if not len(starts):
-        return np.zeros(0, U64)
-    rolled = rolling_hashes(data, SPAN)
+    """A hash of each range of bytes, by its first and last ``SPAN`` bytes, which cover it, and its length.
+
+    Neither the ranges' starts nor their middles or ends go back.
+    """
     middle = (lengths - SPAN) // 2
-    parts = rolled[starts] * U64(3) + rolled[starts + middle] * U64(5) + rolled[starts + lengths - SPAN] * U64(7)
-    return mix(parts + lengths.astype(U64))
+    first, second, third = (hashes_at(data, SPAN, starts + more) for more in (0, middle, lengths - SPAN))
+    return mix(first * U64(3) + second * U64(5) + third * U64(7) + lengths.astype(U64))
 
 
 def _sorted_phrases(table: pa.Table) -> pa.Table:
@@ -472,7 +487,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for ids, figures, kept in _cut(batches):
             yield _removed(ids, figures, pa.array(kept, pa.binary()), "kept")
 
-    return find_repeats(docs, id_col, text_col).mapInArrow(run, REMOVED_SCHEMA)
+    return find_repeats(docs, id_col, text_col).mapInArrow(tidied(run), REMOVED_SCHEMA)
 
 
 def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list, list[bytes]]]:
@@ -518,4 +533,4 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             yield _removed(ids, figures, pa.array([hashlib.sha256(k).hexdigest() for k in kept]), "kept_sha256")
 
     found = find_repeats(read_table(spark, sf_dir, "documents"))
-    return found.mapInArrow(digest, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    return found.mapInArrow(tidied(digest), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
