@@ -463,6 +463,47 @@ def test_words_move_to_the_class_under_which_their_bigrams_are_likeliest():
         assert found == int(np.argmax(likelihood))
 
 
+def test_neighbours_cross_the_shuffle_packed_and_add_up(spark, monkeypatch):
+    """A task hands on a row for many counts, in batches of bounded size, more than once; words go where all their counts say."""
+    monkeypatch.setattr(class_lm, "GATHERED", 600)
+    monkeypatch.setattr(class_lm, "TEXT_BYTES", 2_000)
+    monkeypatch.setattr(class_lm, "BATCH_BYTES", 1_000)
+    rng = random.Random(8)
+    texts = [" ".join(f"w{int(rng.expovariate(0.03))}" for _ in range(rng.randrange(50))) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)
+    vocabulary = class_lm.Vocabulary.of(class_lm.frequent_words(class_lm.count_words(docs), 1 << 10).toPandas())
+    coarse = np.array([rng.randrange(class_lm.CLASSES - 1) for _ in range(class_lm.END)])
+    classes = class_lm.Classes(coarse[vocabulary.symbols], coarse[: class_lm.ENDINGS], class_lm.CLASSES - 1)
+    moves = vocabulary.counts >= class_lm.LEAST_COUNT
+
+    wanted = np.zeros((len(moves), 2 * class_lm.CLASSES))
+    for text in texts:
+        sequence, places, _, which, found = vocabulary.sequence(class_lm.split_words([text.encode()]), classes)
+        for word, place in zip(found[which], places):
+            if word >= 0 and moves[word]:
+                wanted[word, sequence[place + 1]] += 1
+                wanted[word, class_lm.CLASSES + sequence[place - 1]] += 1
+    for parts in (1, 3, 5_000):
+        rows = class_lm.count_neighbours(docs, vocabulary, classes, moves, parts).collect()
+        got, size = np.zeros_like(wanted), 2 * class_lm.CLASSES
+        for r in rows:
+            keys, times = np.frombuffer(r.keys, np.int64), np.frombuffer(r.times, np.int64)
+            assert len(set(keys.tolist())) == len(keys) == len(times) <= class_lm.GATHERED + 1_000
+            got[keys // size * parts + r.part, keys % size] += times
+        assert (got == wanted).all()
+        assert 2 < len(rows) and (parts > 3 or len(rows) < np.count_nonzero(wanted) / 20)
+
+    table = np.array([[rng.randrange(1, 50) for _ in range(class_lm.CLASSES)] for _ in range(class_lm.CLASSES)], float)
+    moved = class_lm.move_words(docs, vocabulary, classes, table, moves).of_word
+    best = class_lm.best_classes(wanted, table, classes.of_end)
+    assert (moved == np.where(moves, best, classes.of_word)).all() and (~moves).any()
+
+    batch = class_lm._neighbour_rows(np.arange(9_600), np.ones(9_600, np.int64), 64)
+    pieces = list(class_lm._pieces(batch))
+    assert len(pieces) > 1 and class_lm.pa.Table.from_batches(pieces).equals(class_lm.pa.Table.from_batches([batch]))
+    assert max(p.num_rows for p in pieces) * batch.nbytes / batch.num_rows <= max(1_000, batch.nbytes / 64)
+
+
 def test_class_model_next_to_brute_force(spark, monkeypatch):
     """Neighbours, class bigrams and scores of every text, counted word by word."""
     monkeypatch.setattr(class_lm, "HEAD_WORDS", 80)
