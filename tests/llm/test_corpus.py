@@ -504,6 +504,54 @@ def test_neighbours_cross_the_shuffle_packed_and_add_up(spark, monkeypatch):
     assert max(p.num_rows for p in pieces) * batch.nbytes / batch.num_rows <= max(1_000, batch.nbytes / 64)
 
 
+def test_exchange_goes_on_until_no_symbol_gains():
+    """After any fixed number of sweeps some symbols may still be better off in another class."""
+    rng = np.random.default_rng(3)
+    pairs = np.floor(rng.pareto(0.7, (300, 300)))
+    found = class_lm.exchange_clusters(pairs, classes=12)
+    assert class_lm.likelihood(class_lm._by_class(pairs, found, 12)) > class_lm.likelihood(
+        class_lm._by_class(pairs, class_lm.exchange_clusters(pairs, classes=12, sweeps=12), 12)
+    )
+    reached = class_lm.likelihood(class_lm._by_class(pairs, found, 12))
+    for symbol in range(299):
+        for c in range(11):
+            other = found.copy()
+            other[symbol] = c
+            assert class_lm.likelihood(class_lm._by_class(pairs, other, 12)) <= reached + 1e-4
+
+
+def test_words_are_exchanged_until_they_rest(spark):
+    """Not in one round: words whose neighbours move have to move again."""
+    rng = random.Random(12)
+    kinds = [[f"k{k}x{i}{'abcdefgh'[rng.randrange(8)]}" for i in range(120)] for k in range(20)]
+    texts = []
+    for _ in range(900):
+        kind, words = rng.randrange(20), []
+        for _ in range(50):
+            kind = (kind * 7 + 3) % 20 if rng.random() < 0.8 else rng.randrange(20)
+            words.append(rng.choice(kinds[kind]))
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    vocabulary = class_lm.Vocabulary.of(class_lm.frequent_words(class_lm.count_words(docs), 1 << 18).toPandas())
+    units = class_lm.materialize(class_lm.as_units(docs, vocabulary), "units")
+    pairs = class_lm.count_pairs(units, vocabulary)
+    assert (pairs == class_lm.count_pairs(docs, vocabulary)).all() and pairs.sum() == 900 * 51
+    coarse = class_lm.exchange_clusters(pairs)
+    classes = class_lm.Classes(coarse[vocabulary.symbols], coarse[: class_lm.ENDINGS], int(coarse[-1]))
+    table = class_lm.count_classes(units, vocabulary, classes)
+    assert (table == class_lm._by_class(pairs, coarse, class_lm.CLASSES)).all()
+
+    moves = vocabulary.counts >= class_lm.LEAST_COUNT
+    once = class_lm.move_words(units, vocabulary, classes, table, moves)
+    after_one = class_lm.likelihood(class_lm.count_classes(units, vocabulary, once))
+    found, rested = class_lm.exchange_words(units, vocabulary, classes, table, moves)
+    assert (rested == class_lm.count_classes(docs, vocabulary, found)).all()
+    least = class_lm.SETTLED * table.sum()
+    assert class_lm.likelihood(rested) > max(after_one, class_lm.likelihood(table)) + least
+    model, _ = class_lm.ClassModel.learn(docs)
+    assert (model.classes.of_word == found.of_word).all()
+
+
 def test_class_model_next_to_brute_force(spark, monkeypatch):
     """Neighbours, class bigrams and scores of every text, counted word by word."""
     monkeypatch.setattr(class_lm, "HEAD_WORDS", 80)
